@@ -106,3 +106,19 @@ def segment_hashes(units: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed
     terms = (units[at].astype(np.uint64) + np.uint64(1)) * random_words(seed, int(lengths.max()))[inside]
     sums = np.add.reduceat(terms, np.cumsum(lengths) - lengths)
     return mix64(sums + lengths.astype(np.uint64) * random_words(seed + 1, 1)[0])
+
+
+def group_first(rows: DataFrame, keys: list[str], key: str, name: str, salts: int = 32) -> DataFrame:
+    """``rows`` with ``name``, the smallest ``key`` among rows with equal ``keys``, and ``name``_rows, their number.
+
+    Minima are taken per salt and then among salts; rows find theirs by keys and
+    salt, so that a hot group never meets in one task.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
+    parts = salted.groupBy(*keys, "_salt").agg(F.min(key).alias(name), F.count("*").alias(f"{name}_rows"))
+    whole = parts.groupBy(*keys).agg(
+        F.min(name).alias(name), F.sum(f"{name}_rows").alias(f"{name}_rows"), F.bit_or(F.expr("shiftleft(1L, _salt)")).alias("_salts")
+    )
+    bits = F.filter(F.sequence(F.lit(0), F.lit(salts - 1)), lambda s: F.col("_salts").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), s)) != 0)
+    spread = whole.withColumn("_salt", F.explode(bits)).drop("_salts")
+    return salted.join(spread, [*keys, "_salt"]).drop("_salt")

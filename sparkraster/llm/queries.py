@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, sharding
+from . import exact_dedup, minhash, mixing, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,26 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its near-duplicate component."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, words=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+OP8_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2]) WHEN len(w) > 0 THEN [w] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT c.a, c.b FROM c JOIN n x ON x.doc_id = c.a JOIN n y ON y.doc_id = c.b WHERE 185 * common >= 85 * (x.n + y.n)),
+e AS (SELECT a AS u, b AS v FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS node, doc_id AS reached FROM documents UNION SELECT r.node, e.v FROM r JOIN e ON e.u = r.reached),
+k AS (SELECT node, min(reached) AS component_id FROM r GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, k.component_id, d.doc_id = k.component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN k ON k.node = d.doc_id
+"""
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -57,8 +77,8 @@ SELECT doc_id, size, source_size, target,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_sharding": op2_sharding, "op4_exact_dedup": op4_exact_dedup, "op9_mixing": op9_mixing}
+    return {"op2_sharding": op2_sharding, "op4_exact_dedup": op4_exact_dedup, "op8_minhash": op8_minhash, "op9_mixing": op9_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4_SQL, "op9_mixing": OP9_SQL}
+    return {"op4_exact_dedup": OP4_SQL, "op8_minhash": OP8_SQL, "op9_mixing": OP9_SQL}
