@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, minhash, mixing, sharding
+from . import bpe, exact_dedup, minhash, mixing, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, and its text decoded from them, as digests."""
+    docs = _table(spark, sf_dir, "documents")
+    return bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the copy that stays."""
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -77,7 +84,7 @@ SELECT doc_id, size, source_size, target,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_sharding": op2_sharding, "op4_exact_dedup": op4_exact_dedup, "op8_minhash": op8_minhash, "op9_mixing": op9_mixing}
+    return {"op2_sharding": op2_sharding, "op3_bpe": op3_bpe, "op4_exact_dedup": op4_exact_dedup, "op8_minhash": op8_minhash, "op9_mixing": op9_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
