@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, text_bytes
-from .pretokens import distinct_words
+from .pretokens import Distinct
 
 #: Bytes of text in a block (a longer text is a block of its own).
 BLOCK = 4_000_000
@@ -88,7 +88,7 @@ def _unpack_words(blob: bytes) -> list[bytes]:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]):
-    """(name, ids, words, hash order bounds source, index, counts) of every block."""
+    """Name, ids and distinct words of every block."""
     for batch in batches:
         raw, offsets = text_bytes(batch.column(1))
         for a, b in slices(np.diff(offsets), BLOCK):
@@ -96,15 +96,14 @@ def _blocks(batches: Iterator[pa.RecordBatch]):
             texts = [x or "" for x in batch.column(1).slice(a, b - a).to_pylist()]
             name = hashlib.blake2b(raw[offsets[a] : offsets[b]].tobytes(), digest_size=16)
             name.update(repr((ids.to_pylist(), np.diff(offsets[a : b + 1]).tolist())).encode())
-            words, hashes, index, counts = distinct_words(texts)
-            yield name.digest(), ids, words, hashes, index, counts
+            yield name.digest(), ids, Distinct(texts)
 
 
 def _requests(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, _, words, hashes, _, _ in _blocks(batches):
-            encoded = [x.encode() for x in words]
-            part = (hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+        for name, _, found in _blocks(batches):
+            encoded = [x.encode() for x in found.words()]
+            part = (found.hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
             edges = np.searchsorted(part, np.arange(ranges + 1)).tolist()
             rows = [(r, _pack_words(encoded[a:b])) for r, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
             yield pa.RecordBatch.from_pydict({"range": pa.array([r for r, _ in rows], pa.int32()), "block": pa.array([name] * len(rows), pa.binary()), "words": pa.array([w for _, w in rows], pa.binary())})
@@ -137,9 +136,9 @@ def _answers(path: str, pattern: str):
 
 
 def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for name, ids, words, _, index, counts in _blocks(batches):
+    for name, ids, found in _blocks(batches):
         yield pa.RecordBatch.from_pydict(
-            {"block": pa.array([name], pa.binary()), "keys": pa.array([ids.to_pylist()], pa.list_(pa.int64())), "words": pa.array([len(words)], pa.int64()), "counts": pa.array([pack(counts)], pa.binary()), "index": pa.array([pack(index)], pa.binary())}
+            {"block": pa.array([name], pa.binary()), "keys": pa.array([ids.to_pylist()], pa.list_(pa.int64())), "words": pa.array([len(found.hashes)], pa.int64()), "counts": pa.array([pack(found.counts)], pa.binary()), "index": pa.array([pack(found.index)], pa.binary())}
         )
 
 

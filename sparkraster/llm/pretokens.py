@@ -21,16 +21,26 @@ WHITE_SPACE = (0x9, 0xA, 0xB, 0xC, 0xD, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000,
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
 
+def _class(c: int) -> int:
+    kind = unicodedata.category(chr(c))[0]
+    return SPACE if c in WHITE_SPACE else LETTER if kind == "L" else NUMBER if kind == "N" else OTHER
+
+
 @cache
-def classes() -> np.ndarray:
+def _plane() -> np.ndarray:
+    """The classes of the first 65,536 code points."""
+    return np.array([_class(c) for c in range(0x10000)], np.uint8)
+
+
+def classes(points: np.ndarray) -> np.ndarray:
     """The class of every code point."""
-    table = np.zeros(0x110000, np.uint8)
-    for c in range(0x110000):
-        kind = unicodedata.category(chr(c))[0]
-        if kind in "LN":
-            table[c] = LETTER if kind == "L" else NUMBER
-    table[list(WHITE_SPACE)] = SPACE
-    return table
+    if not len(points) or points.max() < 0x10000:
+        return _plane()[points]
+    kind = _plane()[points & 0xFFFF]
+    far = np.flatnonzero(points >= 0x10000)
+    some, index = np.unique(points[far], return_inverse=True)
+    kind[far] = np.array([_class(int(c)) for c in some], np.uint8)[index]
+    return kind
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -44,7 +54,7 @@ def cuts(points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(points)
     if not n:
         return np.zeros(0, np.int64)
-    kind = classes()[points]
+    kind = classes(points)
     head = np.zeros(n + 1, bool)  # a text begins here
     head[offsets[offsets < n]] = True
     head[n] = True
@@ -71,30 +81,33 @@ def cuts(points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-def distinct_words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pre-tokens by ascending hash, their hashes, the index of each occurrence into them, and occurrences per text.
-
-    Occurrences are told apart by two independent hashes of 64 and 32 bits.
-    """
-    points, offsets = code_points(texts)
-    begin = cuts(points, offsets)
-    if not len(begin):
-        return [], np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
-    end = np.append(begin[1:], len(points))
-    inside = np.arange(len(points), dtype=np.int32) - np.repeat(begin.astype(np.int32), end - begin)
-    longest = int((end - begin).max())
-    mixed = np.add.reduceat(points * random_words(21, longest)[inside], begin) + (end - begin).astype(np.uint64) * random_words(22, 1)
-    check = np.add.reduceat(points * random_words(23, longest).astype(np.uint32)[inside], begin, dtype=np.uint32)
-    order = np.argsort(mixed)
-    ranked = mixed[order]
-    new = np.ones(len(order), bool)
-    new[1:] = ranked[1:] != ranked[:-1]
-    first = order[new]
-    index = np.empty(len(order), np.int64)
-    index[order] = np.cumsum(new) - 1
-    if not np.array_equal(check[first][index], check):
-        raise ValueError("two words share a hash")
-    whole = "".join(texts)
-    words = [whole[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())]
-    counts = np.bincount(np.searchsorted(offsets, begin, "right") - 1, minlength=len(texts))
-    return words, ranked[new], index, counts
+class Distinct:
+    """The distinct pre-tokens of some texts by ascending hash: ``hashes``, a further 32 bits in
+    ``checks``, the ``index`` of every occurrence into them, and occurrences per text in ``counts``."""
+
+    def __init__(self, texts: list[str]):
+        points, offsets = code_points(texts)
+        begin = cuts(points, offsets)
+        self.whole, self.counts = "".join(texts), np.zeros(len(texts), np.int64)
+        self.hashes, self.checks, self.index, self.begin, self.end = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int32), begin, begin
+        if not len(begin):
+            return
+        end = np.append(begin[1:], len(points))
+        inside = np.arange(len(points), dtype=np.int32) - np.repeat(begin.astype(np.int32), end - begin)
+        longest = int((end - begin).max())
+        mixed = np.add.reduceat(points * random_words(21, longest)[inside], begin) + (end - begin).astype(np.uint64) * random_words(22, 1)
+        check = np.add.reduceat(points * random_words(23, longest).astype(np.uint32)[inside], begin, dtype=np.uint32)
+        order = np.argsort(mixed)
+        ranked = mixed[order]
+        new = np.ones(len(order), bool)
+        new[1:] = ranked[1:] != ranked[:-1]
+        first = order[new]
+        self.index = np.empty(len(order), np.int32)
+        self.index[order] = np.cumsum(new, dtype=np.int32) - 1
+        self.hashes, self.checks, self.begin, self.end = ranked[new], check[first], begin[first], end[first]
+        if not np.array_equal(self.checks[self.index], check):
+            raise ValueError("two words share a hash")
+        self.counts = np.bincount(np.searchsorted(offsets, begin, "right") - 1, minlength=len(texts))
+
+    def words(self, which: np.ndarray | slice = slice(None)) -> list[str]:
+        return [self.whole[a:b] for a, b in zip(self.begin[which].tolist(), self.end[which].tolist())]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, minhash, mixing, sharding
+from . import bpe, exact_dedup, minhash, mixing, sharding, wavelet
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,12 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """
 
 
+def op7_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the token files, its number of ids and their checksum."""
+    files = wavelet.write_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return wavelet.read_tokens(files)
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its near-duplicate component."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -84,7 +90,7 @@ SELECT doc_id, size, source_size, target,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_sharding": op2_sharding, "op3_bpe": op3_bpe, "op4_exact_dedup": op4_exact_dedup, "op8_minhash": op8_minhash, "op9_mixing": op9_mixing}
+    return {"op2_sharding": op2_sharding, "op3_bpe": op3_bpe, "op4_exact_dedup": op4_exact_dedup, "op7_wavelet": op7_wavelet, "op8_minhash": op8_minhash, "op9_mixing": op9_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
