@@ -8,13 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, minhash, mixing, sharding, wavelet
+from . import bpe, exact_dedup, fingerprint, minhash, mixing, sharding, warc, wavelet
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, read back from the archives."""
+    bundles = warc.write_warc(_table(spark, sf_dir, "pages"))
+    return warc.read_warc(bundles).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP1_SQL = """
+WITH t AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha256(h) AS payload_digest, min(page_id) OVER (PARTITION BY h) AS first FROM t)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first < page_id THEN first END AS refers_to FROM g
+"""
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards of nearly equal bytes."""
     docs = _table(spark, sf_dir, "documents").withColumn("text_crc32", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")))
@@ -89,9 +103,14 @@ SELECT doc_id, size, source_size, target,
 """
 
 
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, its edited text's, and how near that and the next document are."""
+    return fingerprint.fingerprint_edits(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_sharding": op2_sharding, "op3_bpe": op3_bpe, "op4_exact_dedup": op4_exact_dedup, "op7_wavelet": op7_wavelet, "op8_minhash": op8_minhash, "op9_mixing": op9_mixing}
+    return {"op1_warc": op1_warc, "op2_sharding": op2_sharding, "op3_bpe": op3_bpe, "op4_exact_dedup": op4_exact_dedup, "op7_wavelet": op7_wavelet, "op8_minhash": op8_minhash, "op9_mixing": op9_mixing, "op10_fingerprint": op10_fingerprint}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4_SQL, "op8_minhash": OP8_SQL, "op9_mixing": OP9_SQL}
+    return {"op1_warc": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op8_minhash": OP8_SQL, "op9_mixing": OP9_SQL}
