@@ -122,3 +122,18 @@ def group_first(rows: DataFrame, keys: list[str], key: str, name: str, salts: in
     bits = F.filter(F.sequence(F.lit(0), F.lit(salts - 1)), lambda s: F.col("_salts").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), s)) != 0)
     spread = whole.withColumn("_salt", F.explode(bits)).drop("_salts")
     return salted.join(spread, [*keys, "_salt"]).drop("_salt")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if getattr(context, "_sparkraster_shipped", False):
+        return
+    import shutil
+    from pathlib import Path
+
+    package = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="sparkraster-")
+    shutil.copytree(package, Path(folder, "in", package.name), ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", f"{folder}/in"))
+    context._sparkraster_shipped = True

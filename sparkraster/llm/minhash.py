@@ -10,9 +10,9 @@
 4. Links give components. Two members of one smallest id that still stand in
    different components, one of them not linked to it, are held against each
    other too, so that no link is lost. What keeps this from pairing up a whole
-   hot group is a bound: shingles that only one member has besides the smallest
-   id's own can't be shared, which limits the overlap, and with it the sizes of
-   possible partners.
+   hot group is a bound: two members share at most those of the smallest id's
+   shingles that both have, and of their others those that occur in several
+   members; what a member has alone also limits the sizes of its partners.
 
 A pair at the threshold shares no bucket with probability (1 - t^4)^32: 6e-11 at
 0.85, 5e-8 at 0.8. The sketch test leaves out a pair at the threshold only when
@@ -136,8 +136,8 @@ def signatures(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """(a, b) to (a, b, n_a, n_b, common, extra): sizes of the full sets and of their
-    intersection, and short hashes of b's shingles that a lacks."""
+    """(a, b) to (a, b, n_a, n_b, common, extra, present): sizes of the full sets and of their
+    intersection, short hashes of b's shingles that a lacks, and a bit for each of a's that b has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,22 +151,25 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
             raw, off = text_bytes(batch.column(3))
             for a, b in slices(np.diff(off), BLOCK):
                 sets, at = shingle_sets(raw[off[a] : off[b]], off[a : b + 1] - off[a], words)
-                shared, extra = [], []
+                shared, extra, present = [], [], []
                 for i in range(b - a):
                     left, right = own[again[a + i]], sets[at[i] : at[i + 1]]
                     place = np.searchsorted(left, right)
                     same = (left[np.minimum(place, len(left) - 1)] == right) if len(left) else np.zeros(len(right), bool)
                     shared.append(int(same.sum()))
+                    bits = np.zeros(-(-len(left) // 64) * 64, np.uint8)
+                    bits[place[same]] = 1
+                    present.append(np.packbits(bits).view(np.int64))
                     extra.append((right[~same] >> np.uint64(32)).astype(np.uint32).view(np.int32))
                 counts = np.array([len(own[again[a + i]]) for i in range(b - a)], np.int64)
-                lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) for x in extra])]).astype(np.int32), pa.array(np.concatenate(extra), pa.int32()))
+                lists = [pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) for x in some])]).astype(np.int32), pa.array(np.concatenate(some))) for some in (extra, present)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(counts), pa.array(np.diff(at)), pa.array(shared, pa.int64()), lists],
-                    ["a", "b", "n_a", "n_b", "common", "extra"],
+                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(counts), pa.array(np.diff(at)), pa.array(shared, pa.int64()), *lists],
+                    ["a", "b", "n_a", "n_b", "common", "extra", "present"],
                 )
 
     rows = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    return rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, n_a long, n_b long, common long, extra array<int>")
+    return rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, n_a long, n_b long, common long, extra array<int>, present array<long>")
 
 
 def _near(common: str, a: str, b: str, percent: int) -> Column:
@@ -216,15 +219,23 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     # Shingles of a member that neither ``a`` nor another of its members has.
     lone = held.select("a", "b", F.explode("extra").alias("s")).groupBy("a", "s").agg(F.count("*").alias("times"), F.min("b").alias("b")).where("times = 1").groupBy("a", "b").agg(F.count("*").alias("lone"))
     members = pairs.where("several").select("a", "b", F.col("n_b").alias("n"), F.col("sketch_b").alias("sketch")).join(lone, ["a", "b"], "left").na.fill(0, ["lone"])
+    members = members.join(held.select("a", "b", (F.col("n_b") - F.col("common")).alias("other"), "present"), ["a", "b"])
     members = stored(labelled(labelled(members, "b", "label"), "a", "label_a"), "members")
     step = F.lit(float(np.log(CLASS_STEP)))
     outer = members.where("label != label_a").withColumn("most", F.expr(f"least(floor(n * 100 / {percent}), floor((100 + {percent}) * (n - lone) / {percent}) - n)"))
     outer = outer.withColumn("fewest", F.expr(f"ceil(n * {percent} / 100)")).where("most >= fewest and most > 0")
     low, high = F.floor(F.log(F.greatest("fewest", F.lit(1))) / step), F.floor(F.log("most") / step)
-    outer = outer.select("a", F.col("b").alias("x"), F.col("n").alias("n_x"), F.col("sketch").alias("sketch_x"), F.col("lone").alias("lone_x"), F.col("label").alias("label_x"), F.explode(F.sequence(low, high)).alias("class"))
-    inner = members.select("a", F.col("b").alias("y"), F.col("n").alias("n_y"), F.col("sketch").alias("sketch_y"), F.col("lone").alias("lone_y"), F.col("label").alias("label_y"), F.floor(F.log("n") / step).alias("class"))
+
+    def part(rows: DataFrame, name: str, classes: Column) -> DataFrame:
+        kept = [F.col(c).alias(f"{c}_{name}") for c in ("n", "sketch", "lone", "label", "other", "present")]
+        return rows.select("a", F.col("b").alias(name), *kept, classes.alias("class"))
+
+    outer = part(outer, "x", F.explode(F.sequence(low, high)))
+    inner = part(members, "y", F.floor(F.log("n") / step))
+    shared = "aggregate(zip_with(present_x, present_y, (p, q) -> bit_count(p & q)), 0, (s, v) -> s + v)"
+    overlap = F.expr(f"(100 + {percent}) * ({shared} + least(other_x - lone_x, other_y - lone_y)) >= {percent} * (n_x + n_y)")
     bound = F.expr(f"(100 + {percent}) * least(n_x - lone_x, n_y - lone_y) >= {percent} * (n_x + n_y)")
-    test = F.expr("label_x != label_y") & bound & _possible("x", "y", percent)
+    test = F.expr("label_x != label_y") & bound & _possible("x", "y", percent) & overlap
     rest = outer.join(inner, (outer["a"] == inner["a"]) & (outer["class"] == inner["class"]) & test)
     rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     more = confirmed(rest, bodies, words).where(_near("common", "n_a", "n_b", percent)).select("a", "b")
