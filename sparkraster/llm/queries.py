@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fingerprint, minhash, mixing, sharding, warc, wavelet
+from . import bpe, exact_dedup, fingerprint, htmlext, langid, minhash, mixing, sharding, warc, wavelet
 from .common import ship
 
 
@@ -58,6 +58,23 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """
 
 
+def held_out(key: str = "doc_id") -> Column:
+    """The documents that nothing is learned from."""
+    return F.pmod(F.crc32(F.col(key).cast("string")), F.lit(4)) == 2
+
+
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's predicted language."""
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(held_out(), F.lit(False)))
+    model = langid.train(docs.where("not held_out"))
+    return langid.predict(docs.select("doc_id", "text", "held_out"), model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return htmlext.extract(_table(spark, sf_dir, "pages"))
+
+
 def op7_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the token files, its number of ids and their checksum."""
     files = wavelet.write_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -111,7 +128,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_warc": op1_warc, "op2_sharding": op2_sharding, "op3_bpe": op3_bpe, "op4_exact_dedup": op4_exact_dedup, "op7_wavelet": op7_wavelet, "op8_minhash": op8_minhash, "op9_mixing": op9_mixing, "op10_fingerprint": op10_fingerprint}
+    return {"op1_warc": op1_warc, "op2_sharding": op2_sharding, "op3_bpe": op3_bpe, "op4_exact_dedup": op4_exact_dedup, "op5_langid": op5_langid, "op6_html": op6_html, "op7_wavelet": op7_wavelet, "op8_minhash": op8_minhash, "op9_mixing": op9_mixing, "op10_fingerprint": op10_fingerprint}
 
 
 def oracle_sql() -> dict[str, str]:
