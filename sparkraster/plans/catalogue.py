@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import cells
+from . import cells, grids
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-for _module in (cells,):
+for _module in (cells, grids):
     QUERIES |= _module.QUERIES
     SQL |= _module.SQL

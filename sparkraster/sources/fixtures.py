@@ -11,8 +11,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per cell: row, col, co, cross, landcover, glad, refwater, hand, dem, shadow."""
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.round(F.sum("l_extendedprice") / 1e7, 6).alias("cross"))
+    """One row per cell; sums run over whole cents, so that no order of adding shows. Columns: row, col, co, cross, landcover, glad, refwater, hand, dem, shadow."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg((F.sum(cents) / 1e9).alias("cross"))
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     orders = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
     first = F.substring("o_orderpriority", 1, 1)
@@ -31,7 +32,7 @@ def layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-LAYERS_SQL = """fx_lines AS (SELECT l_orderkey, round(sum(l_extendedprice) / 1e7, 6) AS "cross" FROM lineitem GROUP BY l_orderkey),
+LAYERS_SQL = """fx_lines AS (SELECT l_orderkey, sum(round(l_extendedprice * 100)::BIGINT)::DOUBLE / 1e9 AS "cross" FROM lineitem GROUP BY l_orderkey),
 l AS (SELECT (o_orderkey // 100)::INT AS row, (o_orderkey % 100)::INT AS col, o_totalprice / 1e6 AS co, "cross",
   (CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 10 WHEN '2' THEN 30 WHEN '3' THEN 60 WHEN '4' THEN 80 WHEN '5' THEN 90 END)::INT AS landcover,
   (CASE WHEN o_custkey % 13 = 0 THEN 255 ELSE (o_orderkey * 37) % 255 END)::INT AS glad,
@@ -41,14 +42,14 @@ l AS (SELECT (o_orderkey // 100)::INT AS row, (o_orderkey % 100)::INT AS col, o_
 
 
 def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overlapping observations: scene, row, col, value, looks."""
+    """Overlapping observations: scene, row, col, value (whole cents), looks."""
     lines = table(spark, sf_dir, "lineitem")
     keys = [F.col("l_linenumber").alias("scene"), F.expr("cast(l_orderkey div 100 as int)").alias("row"), F.expr("cast(l_orderkey % 100 as int)").alias("col")]
-    return lines.groupBy(*keys).agg(F.round(F.avg("l_extendedprice") / 1e6, 6).alias("value"), F.sum("l_quantity").alias("looks"))
+    return lines.groupBy(*keys).agg(F.round(F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")) / F.count("*")).alias("value"), F.sum("l_quantity").alias("looks"))
 
 
 SCENES_SQL = """s AS (SELECT l_linenumber AS scene, (l_orderkey // 100)::INT AS row, (l_orderkey % 100)::INT AS col,
-  round(avg(l_extendedprice) / 1e6, 6) AS value, sum(l_quantity) AS looks FROM lineitem GROUP BY ALL)"""
+  round(sum(round(l_extendedprice * 100)::BIGINT)::DOUBLE / count(*)) AS value, sum(l_quantity) AS looks FROM lineitem GROUP BY ALL)"""
 
 
 def patch(spark: SparkSession, sf_dir: str) -> DataFrame:
