@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import cells, grids
+from . import cells, grids, histograms
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-for _module in (cells, grids):
+for _module in (cells, grids, histograms):
     QUERIES |= _module.QUERIES
     SQL |= _module.SQL
