@@ -48,7 +48,7 @@ def label(mask: DataFrame, group: list[str] | None = None, connect: int = 8) ->
         labels = jumped.select("run", "label")
         if not changed:
             break
-    cells = every.join(labels, "run").select(*group, "row", F.explode(F.sequence("first", "last")).cast("int").alias("col"), F.col("label.row").alias("comp_row"), F.col("label.first").alias("comp_col"))
+    cells = every.join(labels, "run").select(*group, "row", F.explode(F.sequence(F.col("first").cast("int"), F.col("last").cast("int"))).alias("col"), F.col("label.row").alias("comp_row"), F.col("label.first").alias("comp_col"))
     return cells
 
 

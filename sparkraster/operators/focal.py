@@ -14,8 +14,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ALONG_ROW = Window.partitionBy("row").orderBy("col")
-ALONG_COL = Window.partitionBy("col").orderBy("row")
+
+def along(df: DataFrame):
+    """Windows along lines and along columns, within a scene where the table has scenes."""
+    scene = ["scene"] if "scene" in df.columns else []
+    return Window.partitionBy(*scene, "row").orderBy("col"), Window.partitionBy(*scene, "col").orderBy("row")
 
 
 def _reflected(step: int, value: str, window) -> Column:
@@ -26,10 +29,11 @@ def _reflected(step: int, value: str, window) -> Column:
 
 def slope(df: DataFrame, height: str, spacing: float = 30.0) -> DataFrame:
     """Slope angle in degrees of a complete grid: Sobel differences over three spacings."""
-    rows = df.withColumns({"_e": _reflected(1, height, ALONG_ROW), "_w": _reflected(-1, height, ALONG_ROW)})
+    row, col = along(df)
+    rows = df.withColumns({"_e": _reflected(1, height, row), "_w": _reflected(-1, height, row)})
     rows = rows.withColumns({"_dx": F.col("_e") - F.col("_w"), "_sx": F.col("_e") + 2 * F.col(height) + F.col("_w")})
-    gx = _reflected(1, "_dx", ALONG_COL) + 2 * F.col("_dx") + _reflected(-1, "_dx", ALONG_COL)
-    gy = _reflected(1, "_sx", ALONG_COL) - _reflected(-1, "_sx", ALONG_COL)
+    gx = _reflected(1, "_dx", col) + 2 * F.col("_dx") + _reflected(-1, "_dx", col)
+    gy = _reflected(1, "_sx", col) - _reflected(-1, "_sx", col)
     out = rows.withColumns({"_gx": gx / 3 / spacing, "_gy": gy / 3 / spacing})
     return out.withColumn("slope", F.degrees(F.atan(F.sqrt(F.col("_gx") * F.col("_gx") + F.col("_gy") * F.col("_gy"))))).drop("_e", "_w", "_dx", "_sx", "_gx", "_gy")
 
@@ -37,7 +41,7 @@ def slope(df: DataFrame, height: str, spacing: float = 30.0) -> DataFrame:
 def box_sums(df: DataFrame, values: dict[str, Column], size: int) -> DataFrame:
     """Sums over the size x size box around every cell; what lies outside counts 0."""
     h = size // 2
-    along_row, along_col = ALONG_ROW.rangeBetween(-h, h), ALONG_COL.rangeBetween(-h, h)
+    along_row, along_col = (w.rangeBetween(-h, h) for w in along(df))
     rows = df.withColumns({f"_{k}": v for k, v in values.items()})
     rows = rows.withColumns({f"_{k}": F.sum(f"_{k}").over(along_row) for k in values})
     return rows.withColumns({k: F.sum(f"_{k}").over(along_col) for k in values}).drop(*[f"_{k}" for k in values])
@@ -85,7 +89,7 @@ def halo_apply(df: DataFrame, fn: Callable[[np.ndarray], np.ndarray], value: str
     def reach(column: str) -> Column:
         return F.sequence(F.floor((F.col(column) - halo) / tile).cast("int"), F.floor((F.col(column) + halo) / tile).cast("int"))
 
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         r0, c0 = int(frame["row"].min()), int(frame["col"].min())
         grid = np.full((int(frame["row"].max()) - r0 + 1, int(frame["col"].max()) - c0 + 1), np.nan)
         grid[frame["row"] - r0, frame["col"] - c0] = frame["value"].astype(float)

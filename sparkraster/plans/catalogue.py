@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import cells, grids, histograms
+from . import cells, grids, histograms, neighbours
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-for _module in (cells, grids, histograms):
+for _module in (cells, grids, histograms, neighbours):
     QUERIES |= _module.QUERIES
     SQL |= _module.SQL
