@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import cells, grids, histograms, neighbours
+from . import cells, grids, histograms, neighbours, places
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-for _module in (cells, grids, histograms, neighbours):
+for _module in (cells, grids, histograms, neighbours, places):
     QUERIES |= _module.QUERIES
     SQL |= _module.SQL
