@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .morph import kept
+from .morph import FOUR, kept, moved
 
 
 def runs(mask: DataFrame, group: list[str]) -> DataFrame:
@@ -95,6 +95,11 @@ def grow(layer: DataFrame, value: str, seed: float, relaxed: float, group: list[
     keys = group or []
     seeds = layer.where(F.col(value) > seed).select(*keys, "row", "col")
     allowed = layer.where(F.col(value) > relaxed).select(*keys, "row", "col")
+    return grow_masks(seeds, allowed, keys, excluded)
+
+
+def grow_masks(seeds: DataFrame, allowed: DataFrame, keys: list[str], excluded: DataFrame | None = None) -> DataFrame:
+    """Growth from given seeds over given cells."""
     if excluded is not None:
         allowed = allowed.join(excluded.select(*keys, "row", "col"), [*keys, "row", "col"], "left_anti")
     labels = kept(label(allowed.unionByName(seeds).distinct(), keys, 4), "grown")
@@ -102,6 +107,26 @@ def grow(layer: DataFrame, value: str, seed: float, relaxed: float, group: list[
     return labels.join(found, [*keys, "comp_row", "comp_col"], "left_semi").select(*keys, "row", "col")
 
 
+def rings(labels: DataFrame, allowed: DataFrame) -> DataFrame:
+    """(comp_row, comp_col, row, col): each component's surroundings inside ``allowed``, as wide as its margin.
+
+    All components widen together, a step at a time; a cell carries the steps its component has left.
+    """
+    comp = ["comp_row", "comp_col"]
+    margins = stats(labels).select(*comp, "margin")
+    most = margins.agg(F.max("margin")).first()[0] or 0
+    own = labels.select(*comp, "row", "col")
+    seen = frontier = own
+    found = None
+    for step in range(most):
+        wide = frontier.join(margins.where(F.col("margin") > step).select(*comp), comp, "left_semi")
+        nxt = moved(wide.select("row", "col", *comp), FOUR).join(allowed.select("row", "col"), ["row", "col"], "left_semi").join(seen.select(*comp, "row", "col"), [*comp, "row", "col"], "left_anti")
+        frontier = kept(nxt.select(*comp, "row", "col"), "ring")
+        seen = seen.unionByName(frontier)
+        found = frontier if found is None else found.unionByName(frontier)
+    return found if found is not None else own.limit(0)
+
+
 def grow_steps(layer: DataFrame, value: str, seed: float, relaxed: float, steps: int) -> DataFrame:
     """Growth that stops after ``steps`` rounds."""
     from .morph import dilate

@@ -131,14 +131,16 @@ def histogram_bimodality(df: DataFrame, keys: list[str], value: str, low: float,
     return bins.join(facts, keys).groupBy(*keys).agg(F.max(share).alias("share"), F.max(apart).alias("separation"))
 
 
-def tallest_peaks(hist: DataFrame, keys: list[str], n: int, divider: int) -> DataFrame:
+def tallest_peaks(hist: DataFrame, keys: list[str], n: int, divider: int | DataFrame) -> DataFrame:
     """(keys, low_peak, high_peak): the tallest local peak up to, and from, the dividing bin; else the tallest bin.
 
-    A plateau is one run of equal counts, its peak in the middle; runs at an end aren't peaks.
+    ``divider`` is a bin or a table (keys, divider). A plateau is one run of equal counts, its peak in the middle; runs at an end aren't peaks.
     """
     out = None
-    for name, test in (("low_peak", F.col("bin") <= divider), ("high_peak", F.col("bin") >= divider)):
-        side = dense(hist.select(*keys, "bin", "n"), keys, n).where(test)
+    every = dense(hist.select(*keys, "bin", "n"), keys, n)
+    every = every.withColumn("divider", F.lit(divider)) if isinstance(divider, int) else every.join(divider, keys)
+    for name, test in (("low_peak", F.col("bin") <= F.col("divider")), ("high_peak", F.col("bin") >= F.col("divider"))):
+        side = every.where(test)
         order = Window.partitionBy(*keys).orderBy("bin")
         runs = side.withColumn("new", F.coalesce((F.col("n") != F.lag("n").over(order)).cast("int"), F.lit(1))).withColumn("run", F.sum("new").over(order))
         runs = runs.groupBy(*keys, "run").agg(F.max("n").alias("n"), F.floor((F.min("bin") + F.max("bin")) / 2).cast("int").alias("bin"))

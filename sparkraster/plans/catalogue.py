@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import cells, grids, histograms, neighbours, places
+from . import cells, grids, histograms, neighbours, places, stages
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-for _module in (cells, grids, histograms, neighbours, places):
+for _module in (cells, grids, histograms, neighbours, places, stages):
     QUERIES |= _module.QUERIES
     SQL |= _module.SQL
