@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes
+from .common import slices, text_bytes, tidy
 from .pretokens import Distinct
 
 #: Bytes of text in a block (a longer text is a block of its own).
@@ -185,10 +185,10 @@ def encode_decode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", t
     """
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    asked = docs.mapInArrow(_requests(ranges), "range int, block binary, words binary")
-    answers = asked.repartition(ranges, "range").mapInArrow(_answers(path, pattern), "block binary, range int, lengths binary, ids binary")
+    asked = docs.mapInArrow(tidy(_requests(ranges)), "range int, block binary, words binary")
+    answers = asked.repartition(ranges, "range").mapInArrow(tidy(_answers(path, pattern)), "block binary, range int, lengths binary, ids binary")
     per_block = answers.groupBy("block").agg(F.collect_list(F.struct("range", "lengths", "ids")).alias("answers"))
-    placed = docs.mapInArrow(_positions, "block binary, keys array<long>, words long, counts binary, index binary")
+    placed = docs.mapInArrow(tidy(_positions), "block binary, keys array<long>, words long, counts binary, index binary")
     kinds = "key long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded binary" if whole else "")
-    out = placed.join(per_block, "block", "left").select("keys", "words", "counts", "index", "answers").mapInArrow(_assembled(path, whole), kinds)
+    out = placed.join(per_block, "block", "left").select("keys", "words", "counts", "index", "answers").mapInArrow(tidy(_assembled(path, whole)), kinds)
     return out.withColumnRenamed("key", key)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -52,6 +53,22 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def tidy(run):
+    """``run`` over batches, giving memory back at the end: workers stay alive between stages."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except AttributeError:  # another C library
+                pass
+
+    return tidied
+
+
 def slices(lengths: np.ndarray, most: int) -> list[tuple[int, int]]:
     """Runs [a, b) of neighbouring items whose lengths add up to ``most`` at most (an item above it stands alone)."""
     out, a, total = [], 0, 0

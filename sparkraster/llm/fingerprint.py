@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import random_words, segment_hashes, slices
+from .common import random_words, segment_hashes, slices, tidy
 
 #: Bytes of a chunk: least, normal and most.
 LEAST, NORMAL, MOST = 16, 48, 192
@@ -176,4 +176,4 @@ def with_next(df: DataFrame, key: str, text: str) -> DataFrame:
 def fingerprint_edits(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edited text, and how near the edited and the next text are."""
     kinds = "key long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return with_next(df, key, text).mapInArrow(_compare, kinds).withColumnRenamed("key", key)
+    return with_next(df, key, text).mapInArrow(tidy(_compare), kinds).withColumnRenamed("key", key)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import random_words, slices, text_bytes
+from .common import random_words, slices, text_bytes, tidy
 
 #: Hashed features, rows to fit on, rows of one language to fit on at most.
 FEATURES, SAMPLE, PER_LANGUAGE = 2048, 4000, 400
@@ -116,7 +116,7 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     wanted = max(1, min(PER_LANGUAGE, SAMPLE // len(languages)))
     share = F.create_map(*[x for name, n in counts.items() for x in (F.lit(name), F.lit(wanted / n))])[F.col(lang)]
     chosen = rows.where((F.pmod(F.xxhash64(F.col(key), F.lit("fit")), F.lit(1 << 30)) + 0.5) / float(1 << 30) < share)
-    found = chosen.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(_vectors, "lang string, vector binary").collect()
+    found = chosen.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(tidy(_vectors), "lang string, vector binary").collect()
     if not found:
         return Model([], codewords(0), np.zeros((FEATURES + 1, 0), np.float32))
     found.sort(key=lambda r: (r["lang"], bytes(r["vector"])))
@@ -160,4 +160,4 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 )
 
     kinds = rows.limit(0).withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "ambiguous": F.lit(False)}).schema
-    return rows.withColumn("_letters", has_letter(text)).mapInArrow(run, kinds)
+    return rows.withColumn("_letters", has_letter(text)).mapInArrow(tidy(run), kinds)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import group_first, mix64, random_words, segment_hashes, slices, stored, text_bytes
+from .common import group_first, mix64, random_words, segment_hashes, slices, stored, text_bytes, tidy
 from .components import components
 
 SAMPLES, BANDS, SKETCH_BITS = 128, 32, 512
@@ -131,7 +131,7 @@ def signatures(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(at)), *parts], ["id", "n", "set_a", "set_b", "bands", "sketch"])
 
     return df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        run, "id long, n long, set_a long, set_b long, bands array<long>, sketch array<long>"
+        tidy(run), "id long, n long, set_a long, set_b long, bands array<long>, sketch array<long>"
     )
 
 
@@ -169,7 +169,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
                 )
 
     rows = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    return rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, n_a long, n_b long, common long, extra array<int>, present array<long>")
+    return rows.select("a", "b", "text_a", "text_b").mapInArrow(tidy(run), "a long, b long, n_a long, n_b long, common long, extra array<int>, present array<long>")
 
 
 def _near(common: str, a: str, b: str, percent: int) -> Column:

@@ -14,6 +14,8 @@ import numpy as np
 
 from .common import random_words
 
+#: Words that are hashed together.
+PART = 100_000
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 #: The code points with the Unicode property White_Space.
 WHITE_SPACE = (0x9, 0xA, 0xB, 0xC, 0xD, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -93,10 +95,7 @@ class Distinct:
         if not len(begin):
             return
         end = np.append(begin[1:], len(points))
-        inside = np.arange(len(points), dtype=np.int32) - np.repeat(begin.astype(np.int32), end - begin)
-        longest = int((end - begin).max())
-        mixed = np.add.reduceat(points * random_words(21, longest)[inside], begin) + (end - begin).astype(np.uint64) * random_words(22, 1)
-        check = np.add.reduceat(points * random_words(23, longest).astype(np.uint32)[inside], begin, dtype=np.uint32)
+        mixed, check = self._hashed(points, begin, end)
         order = np.argsort(mixed)
         ranked = mixed[order]
         new = np.ones(len(order), bool)
@@ -109,5 +108,20 @@ class Distinct:
             raise ValueError("two words share a hash")
         self.counts = np.bincount(np.searchsorted(offsets, begin, "right") - 1, minlength=len(texts))
 
+    @staticmethod
+    def _hashed(points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """64 and 32 bits per word, some words at a time to keep intermediate arrays small."""
+        longest = int((end - begin).max())
+        wide, narrow = random_words(21, longest), random_words(23, longest).astype(np.uint32)
+        mixed, check = np.empty(len(begin), np.uint64), np.empty(len(begin), np.uint32)
+        for a in range(0, len(begin), PART):
+            b = min(a + PART, len(begin))
+            first, lengths = begin[a:b] - begin[a], end[a:b] - begin[a:b]
+            signs = points[begin[a] : end[b - 1]]
+            inside = np.arange(len(signs), dtype=np.int32) - np.repeat(first.astype(np.int32), lengths)
+            mixed[a:b] = np.add.reduceat(signs * wide[inside], first) + lengths.astype(np.uint64) * random_words(22, 1)
+            check[a:b] = np.add.reduceat(signs * narrow[inside], first, dtype=np.uint32)
+        return mixed, check
+
     def words(self, which: np.ndarray | slice = slice(None)) -> list[str]:
         return [self.whole[a:b] for a, b in zip(self.begin[which].tolist(), self.end[which].tolist())]

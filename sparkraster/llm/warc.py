@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import group_first, stored
+from .common import group_first, stored, tidy
 
 #: Payloads below this many bytes are always written.
 SMALLEST = 100
@@ -151,7 +151,7 @@ def write_warc(df: DataFrame, key: str = "page_id", url: str = "url", html: str
     first = group_first(large, ["digest"], "page_id", "first").where("first_rows > 1 and page_id > first")
     refers = first.groupBy("page_id", "digest").agg(F.min("first").alias("refers_to"))
     rows = pages.join(refers, ["page_id", "digest"], "left").select("page_id", "url", "payload", "digest", "refers_to")
-    return stored(rows.mapInArrow(_writer, "name string, data binary, records array<struct<page_id: long, frame: int, offset: int>>"), "warc")
+    return stored(rows.mapInArrow(tidy(_writer), "name string, data binary, records array<struct<page_id: long, frame: int, offset: int>>"), "warc")
 
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,5 +183,5 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_warc(bundles: DataFrame) -> DataFrame:
     """A row per record, read back from the bundles and held against its digest and the index."""
     return bundles.select("name", "data", "records").mapInArrow(
-        _reader, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, bundle string, frame int, offset int"
+        tidy(_reader), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, bundle string, frame int, offset int"
     )

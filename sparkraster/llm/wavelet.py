@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, stored, text_bytes
+from .common import slices, stored, text_bytes, tidy
 from .pretokens import Distinct
 
 MAGIC = b"WVLT0001"
@@ -272,7 +272,7 @@ def write_tokens(df: DataFrame, path: str, key: str = "doc_id", text: str = "tex
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     docs = docs.repartitionByRange(ranges, "key").sortWithinPartitions("key", "text")
-    files = docs.mapInArrow(_writer(path, bits, end), "part int, turn int, first_key long, n_ids long, file binary")
+    files = docs.mapInArrow(tidy(_writer(path, bits, end)), "part int, turn int, first_key long, n_ids long, file binary")
     return stored(files, "tokens")
 
 
@@ -294,5 +294,5 @@ def read_tokens(files: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, start, n_tokens, ids_crc32) of every document, from the files."""
     order = Window.orderBy(F.col("first_key").asc_nulls_first(), "part", "turn").rowsBetween(Window.unboundedPreceding, -1)
     before = files.select("part", "turn", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).alias("before"))  # a row per file
-    docs = files.select("part", "turn", "file").mapInArrow(_reader, "part int, turn int, key long, inside long, n_tokens long, ids_crc32 long")
+    docs = files.select("part", "turn", "file").mapInArrow(tidy(_reader), "part int, turn int, key long, inside long, n_tokens long, ids_crc32 long")
     return docs.join(before, ["part", "turn"]).select(F.col("key").alias(key), (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
