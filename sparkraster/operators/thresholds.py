@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.maths import normal_cdf
+from .morph import kept
 
 
 def windows(df: DataFrame, size: int) -> DataFrame:
@@ -73,11 +74,30 @@ def inverse_distance(blocks: DataFrame, points: DataFrame, radius: int = 2, powe
     square = F.pow(F.col("row") - F.col("pr"), 2) + F.pow(F.col("col") - F.col("pc"), 2)
     weight = 1 / F.pow(square + smoothing**2, power / 2)
     found = blocks.join(near, ["row", "col"]).groupBy("row", "col").agg((F.sum(weight * F.col("value")) / F.sum(weight)).alias("value"))
-    missing = blocks.join(found, ["row", "col"], "left_anti")
-    sites = points.select(F.col("row").alias("pr"), F.col("col").alias("pc"), "value")  # a row per block with a threshold
-    far = F.struct(square.alias("d"), "pr", "pc")
-    filled = missing.join(sites, F.lit(True)).groupBy("row", "col").agg(F.min_by("value", far).alias("value"))
-    return found.unionByName(filled)
+    missing = kept(blocks.select("row", "col").join(found, ["row", "col"], "left_anti"), "blocks")
+    if not missing.limit(1).count() or not points.limit(1).count():
+        return found
+    return found.unionByName(nearest_points(missing, points.select(F.col("row").alias("pr"), F.col("col").alias("pc"), "value"), 2 * radius))
+
+
+def nearest_points(blocks: DataFrame, points: DataFrame, reach: int) -> DataFrame:
+    """The value of the nearest point (pr, pc, value) for every block; of equally near ones the first.
+
+    Squares of ``reach`` meet with their neighbours; what has no point that near is tried again with twice the reach.
+    """
+    out = None
+    while True:
+        square = lambda c, reach=reach: F.floor(F.col(c) / reach)
+        around = F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r in (-1, 0, 1) for c in (-1, 0, 1)]))
+        spread = points.withColumn("_o", around).select("pr", "pc", "value", (square("pr") + F.col("_o.r")).alias("_r"), (square("pc") + F.col("_o.c")).alias("_c"))
+        far = F.pow(F.col("row") - F.col("pr"), 2) + F.pow(F.col("col") - F.col("pc"), 2)
+        pairs = blocks.withColumns({"_r": square("row"), "_c": square("col")}).join(spread, ["_r", "_c"]).withColumn("far", far).where(F.col("far") <= reach * reach)
+        near = kept(pairs.groupBy("row", "col").agg(F.min_by("value", F.struct("far", "pr", "pc")).alias("value")), "near")
+        out = near if out is None else out.unionByName(near)
+        blocks = kept(blocks.join(near, ["row", "col"], "left_anti"), "blocks")
+        if not blocks.limit(1).count():
+            return out
+        reach *= 2
 
 
 def below(cells: DataFrame, surface: DataFrame, block: int, value: str) -> DataFrame:

@@ -192,3 +192,11 @@ def test_layers_are_read_by_band_and_lines(spark, tmp_path):
     assert part.count() == 600
     plan = part._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(band" in plan
+
+
+def test_far_blocks_take_the_nearest_point(spark):
+    points = spark.createDataFrame([(0, 0, 1.0), (0, 40, 2.0)], "row int, col int, value double")
+    blocks = spark.createDataFrame([(0, c) for c in range(0, 45)], "row int, col int")
+    got = {r["col"]: r["value"] for r in thresholds.inverse_distance(blocks, points).collect()}
+    assert got == {c: 1.0 if c <= 20 else 2.0 for c in range(45)}
+    assert thresholds.inverse_distance(blocks, points.limit(0)).count() == 0
