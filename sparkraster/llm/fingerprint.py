@@ -34,6 +34,8 @@ HARD, EASY = 6, 4
 #: Bytes that the gear hash sees.
 SEEN = 16
 BLOCK = 2_000_000
+#: Ranges per task, so that tasks get about as many rows each.
+RANGES = 4
 #: Distances in the id quantiles that cut the ranges.
 ACCURACY = 100_000
 
@@ -152,25 +154,30 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def with_next(df: DataFrame, key: str, text: str) -> DataFrame:
     """(range, key, text, extra): rows in descending key order within a range, the first row
     of the next range, marked ``extra``, at its end; the last range ends with the very first row."""
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = RANGES * tasks
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     steps = [i / ranges for i in range(1, ranges)] or [0.5]
     found = docs.agg(F.percentile_approx("key", steps, ACCURACY).alias("cuts"), F.max("key").alias("first"), F.count("*").alias("rows"), F.count("key").alias("known")).first()
-    # A cut is the largest key of its range. At most one per shuffle partition.
+    # A cut is the largest key of its range; their number is bounded by the shuffle partitions.
     cuts = sorted({c for c in found["cuts"] or [] if c != found["first"]}, reverse=True)
     borders = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
     last = len(cuts)
-    # Keys above the first cut are range 0.
-    place = F.when(F.col("key").isNull(), last).otherwise(F.size(F.filter(borders, lambda c: c >= F.col("key")))).cast("int")
+    # Keys above the first cut are range 0. Whole runs of cuts are counted first, then the cuts of one run.
+    run = max(1, int(len(cuts) ** 0.5))
+    heads = F.array(*[F.lit(c).cast("long") for c in cuts[run - 1 :: run]]) if cuts else borders
+    whole = F.size(F.filter(heads, lambda c: c >= F.col("key"))) * run
+    some = F.size(F.filter(F.slice(borders, whole + 1, run), lambda c: c >= F.col("key")))
+    place = F.when(F.col("key").isNull(), last).otherwise(whole + some).cast("int")
     own = F.struct(place.alias("range"), F.lit(False).alias("extra"))
     before = F.struct((place - 1).alias("range"), F.lit(True).alias("extra"))
     ahead = F.struct(F.lit(last).alias("range"), F.lit(True).alias("extra"))
     nothing = F.lit(None).cast("struct<range:int,extra:boolean>")
-    opens = F.array_contains(borders, F.col("key"))
+    opens = (place > 0) & (F.get(borders, place - 1) == F.col("key"))
     very_first = F.col("key") == found["first"] if found["known"] else F.lit(True)
     copies = F.filter(F.array(own, F.when(opens, before).otherwise(nothing), F.when(very_first, ahead).otherwise(nothing)), lambda x: x.isNotNull())
     rows = docs.withColumn("to", F.explode(copies)).select("to.range", "key", "text", "to.extra")
-    return rows.repartition(ranges, "range").sortWithinPartitions("range", "extra", F.desc_nulls_last("key"), "text")
+    return rows.repartition(tasks, "range").sortWithinPartitions("range", "extra", F.desc_nulls_last("key"), "text")
 
 
 def fingerprint_edits(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
