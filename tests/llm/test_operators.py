@@ -290,12 +290,13 @@ PAGE = """<html><head><title>{t}</title></head><body><nav><a href=x>Home {t}</a>
 
 def test_wrappers_tell_template_from_content(spark):
     pages = [(i, f"http://h{i % 2}.example/{i}", PAGE.format(t=f"title{i}")) for i in range(12)]
-    pages += [(20, None, None), (21, "http://x/", ""), (22, "http://x/", "<div>" * 500 + "deep <b>text"), (23, "http://y/", "<article><p>One &amp two<p>Three</article><p>out"), (24, "http://y/", "<p>cut off <a hr")]
+    pages += [(20, None, None), (21, "http://x/", ""), (22, "http://x/", "<div>" * 500 + "deep <b>text"), (23, "http://y/", "<article><p>One &amp two<p>Three</article><p>out"), (24, "http://y/", "<p>cut off <a hr"),
+        (25, "http://z/", '<div class="has-sidebar"><div class="sidebar"><p>side</div><main><div class="post-header"><h1>Head</h1></div><p>Body</p><div id="comments"><article><p>Comment</article></div></main></div>')]
     got = by_id(htmlext.extract(spark.createDataFrame(pages, "page_id long, url string, html string")), "page_id")
     for i in range(12):
         assert got[i]["text"] == f"title{i}\nText of title{i} & more é. Line\nSecond title{i}"
         assert got[i]["n_chars"] == len(got[i]["text"])
-    assert [got[i]["text"] for i in range(20, 25)] == ["", "", "deep text", "One & two\nThree", "cut off"]
+    assert [got[i]["text"] for i in range(20, 26)] == ["", "", "deep text", "One & two\nThree", "cut off", "Head\nBody"]
     size, pairs = htmlext.match(["a", 0, [["b", 1, []], ["c", 2, []]]], ["a", 0, [["x", 1, []], ["b", 2, []], ["c", 3, []]]])
     assert size == 3 and len(pairs) == 3
     assert htmlext.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
