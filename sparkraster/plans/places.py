@@ -227,11 +227,11 @@ def files_per_input(spark, sf):
     return counts.groupBy("files").agg(F.count("*").alias("inputs")).withColumn("equal", (F.count("*").over(Window.partitionBy()) == 1).cast("int"))
 
 
-@query(f"""WITH {GRANULES_SQL} SELECT granule, 'OPERATION_T' || burst_id || '_' || strftime(t_start, '%Y%m%dT%H%M%SZ') || '_S1A_30_v' || printf('%03d', track) AS name,
+@query(f"""WITH {GRANULES_SQL} SELECT granule, 'WATER_T' || burst_id || '_' || strftime(t_start, '%Y%m%dT%H%M%SZ') || '_S1A_30_v' || printf('%03d', track) AS name,
   pols[1] AS band, 'tile ' || granule AS described, 'S1A' AS platform, 3 AS members, granule AS stem FROM g WHERE t_start IS NOT NULL""")
 def product_names(spark, sf):
     rows = fixtures.granules(spark, sf).where("t_start is not null")
-    name = F.format_string("OPERATION_T%s_%s_%s_30_v%03d", "burst_id", meta.compact_time(F.col("t_start")), meta.short_platform(F.lit("Sentinel-1A")), "track")
+    name = F.format_string("WATER_T%s_%s_%s_30_v%03d", "burst_id", meta.compact_time(F.col("t_start")), meta.short_platform(F.lit("Sentinel-1A")), "track")
     band = meta.polarisation(F.concat(F.lit("/in/scene_"), F.col("freqs")[0]["pols"][0], F.lit(".tif")))
     text = meta.described(F.lit(""), F.concat(F.lit("/data/tile "), F.col("granule")), "layer")
     stem = F.split(F.regexp_extract(F.concat(F.lit("/in/"), F.col("granule"), F.lit("-co.tif")), "[^/]+$", 0), "-")[0]
