@@ -12,12 +12,15 @@ shuffle makes them; a long range is cut into several files, so that a task holds
 table in the shared folder: Spark's commit makes a retried task's files replace,
 not repeat, a lost task's.
 
+Added tokens that a text spells out get their own id, as the library gives them.
+
 Cases: null and empty texts have the end id only; null ids come first; repeated
 rows are written each; an empty table has no files and an empty result.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -165,7 +168,11 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        # Added tokens are cut out of texts before words are looked for, as the library does.
+        self.added = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        if any(t.lstrip or t.rstrip or t.single_word or (t.normalized and self.library.normalizer) for t in self.library.get_added_tokens_decoder().values()):
+            raise ValueError("added tokens that take their surroundings along")
+        self.literals = re.compile("|".join(re.escape(x) for x in sorted(self.added, key=len, reverse=True)) or r"(?!)")
         # A token's text has one sign per byte.
         self.sizes = np.array([len(self.library.id_to_token(i) or "") for i in range(self.library.get_vocab_size(with_added_tokens=True))])
         self._forget()
@@ -220,20 +227,37 @@ def _encoder(path: str) -> _Encoder:
     return _Encoder(path)
 
 
+def _pieces(texts: list[str], encoder: _Encoder, end: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The texts cut at added tokens, the id that closes each piece, and the place after each text's last piece."""
+    pieces, closing, stops = [], [], []
+    for text in texts:
+        at = 0
+        for found in encoder.literals.finditer(text):
+            pieces.append(text[at : found.start()])
+            closing.append(encoder.added[found.group()])
+            at = found.end()
+        pieces.append(text[at:] if at else text)
+        closing.append(end)
+        stops.append(len(pieces))
+    return pieces, np.array(closing, np.uint32), np.array(stops, np.int64)
+
+
 def encode_block(texts: list[str], encoder: _Encoder, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts one after another, each closed by ``end``, and the number of ids of each."""
-    block = Distinct(texts)
+    pieces, closing, ends = _pieces(texts, encoder, end)
+    block = Distinct(pieces)
     starts, lengths = encoder.look_up(block)
     last = np.cumsum(block.counts)
-    # The end id is one more word, after the last of each text.
-    index = np.insert(block.index, last, len(starts))
-    starts, lengths = np.append(starts, len(encoder.pool)), np.append(lengths, 1)
+    # The id that closes a piece is one more word, after the piece's last.
+    closers, which = np.unique(closing, return_inverse=True)
+    index = np.insert(block.index, last, len(starts) + which)
+    starts, lengths = np.append(starts, len(encoder.pool) + np.arange(len(closers))), np.append(lengths, np.ones(len(closers), lengths.dtype))
     per = lengths[index]
     stops = np.cumsum(per, dtype=np.int64)
     places = np.repeat(starts[index] - (stops - per), per)
     places += np.arange(len(places))
-    ids = np.append(encoder.pool, np.uint32(end))[places]
-    return ids, np.diff(np.concatenate([[0], stops[last + np.arange(len(last))]]))
+    ids = np.append(encoder.pool, closers)[places]
+    return ids, np.diff(np.concatenate([[0], stops[(last + np.arange(len(last)))[ends - 1]]]))
 
 
 def _writer(path: str, bits: int, end: int):

@@ -111,6 +111,21 @@ def test_token_files_equal_the_library(spark, docs, rows, monkeypatch):
     assert wavelet.read_tokens(wavelet.write_tokens(docs.limit(0), tokens.path("byte_bpe_50k.json"))).count() == 0
 
 
+def test_token_files_keep_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    path, sign = tokens.path("byte_bpe_50k.json"), "<|endoftext|>"
+    library = Tokenizer.from_file(path)
+    texts = [f"a {sign} b", sign, f"{sign}{sign}", f" x  {sign}\n\n{sign}y's", f"<|endof{sign}text|>", "plain words", None, "", "<|endoftext |>", f"é{sign} 中 "]
+    texts += [f"word{i} {sign * (i % 3)} it's " * (i % 5) for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got, start = by_id(wavelet.read_tokens(wavelet.write_tokens(df, path))), 0
+    for i, text in enumerate(texts):
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 0]
+        assert (got[i]["start"], got[i]["n_tokens"], got[i]["ids_crc32"]) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), text
+        start += len(ids)
+
+
 def squeezed(text):
     return "".join(c for c in text or "" if c not in common.SPACES)
 
