@@ -23,20 +23,20 @@ def extended_land(cells: DataFrame, seeds: list, targets: list, least: int = 3,
     return components.grow(marked.withColumn("land", value), "land", seed, relaxed)
 
 
-def terrain_eroded(water: DataFrame, height: DataFrame, value: str = "hand", spread: float = 2.5, most: int = 20) -> DataFrame:
-    """Water without boundary cells higher than their component's boundary median plus deviation, again and again.
+def terrain_eroded(water: DataFrame, height: DataFrame, value: str = "hand", spread: float = 2.5) -> DataFrame:
+    """Water without boundary cells higher than their component's boundary median plus deviation, until none is left.
 
-    Only components whose boundary is uneven are touched; every round is written, a count ends the loop.
+    Only components whose first boundary is uneven are touched, and its median and deviation hold for all of the
+    erosion. Taking boundary cells until none is too high equals the 4-components, over a component's cells that
+    are too high, that reach its first boundary.
     """
     labels = morph.kept(components.label(water), "water")
-    for _ in range(most):
-        edge = labels.join(morph.boundary(labels), ["row", "col"], "left_semi").join(height.select("row", "col", F.col(value).alias("_h")), ["row", "col"])
-        facts = edge.groupBy(*COMP).agg(F.stddev_pop("_h").alias("s"), F.expr("percentile(_h, 0.5)").alias("m")).where(F.col("s") > spread)
-        lost = morph.kept(edge.join(facts, COMP).where(F.col("_h") > F.col("m") + F.col("s")).select("row", "col"), "lost")
-        if not lost.limit(1).count():
-            break
-        labels = morph.kept(labels.join(lost, ["row", "col"], "left_anti"), "water")
-    return labels.select("row", "col")
+    edge = morph.kept(morph.boundary(labels), "boundary")
+    cells = labels.join(height.select("row", "col", F.col(value).alias("_h")), ["row", "col"])
+    facts = cells.join(edge, ["row", "col"], "left_semi").groupBy(*COMP).agg(F.stddev_pop("_h").alias("s"), F.expr("percentile(_h, 0.5)").alias("m")).where(F.col("s") > spread)
+    high = morph.kept(cells.join(facts, COMP).where(F.col("_h") > F.col("m") + F.col("s")).select("row", "col"), "high")
+    lost = components.grow_masks(high.join(edge, ["row", "col"], "left_semi"), high, [])
+    return labels.join(lost, ["row", "col"], "left_anti").select("row", "col")
 
 
 def split_water(cells: DataFrame, value: str, least: int = 5000, mode: str = "v1", n: int = 64, low: float = -35.0, high: float = 0.0) -> DataFrame:

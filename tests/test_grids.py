@@ -35,6 +35,38 @@ def test_all_missing_never_fails(spark):
     assert masks.validation(empty, "value", [255.0]).first()["state"] == "nan_value"
 
 
+def test_terrain_erodes_until_no_boundary_cell_is_high(spark):
+    hand = np.zeros((62, 110))
+    water = hand > 1
+    water[1:61, 1:61] = True
+    hand[1:61, 1:30] = 50  # 29 rings deep
+    water[5:14, 65:105] = True
+    hand[9, 65:95] = 50  # a ridge of 30 cells from the boundary inwards
+    hand[7, 80] = 50  # reached by nothing
+    water[30:40, 70:80] = True
+    hand[34:36, 70:80] = 2.0  # too even
+    water[45:60, 65:105] = True
+    hand[45:60, 65:105] = np.random.default_rng(5).integers(0, 12, (15, 40))
+
+    def rim(area):
+        p = np.pad(area, 1)
+        return area & ~(p[:-2, 1:-1] & p[2:, 1:-1] & p[1:-1, :-2] & p[1:-1, 2:])
+
+    expected = set()
+    for box in (np.s_[1:61, 1:61], np.s_[5:14, 65:105], np.s_[30:40, 70:80], np.s_[45:60, 65:105]):
+        area = np.zeros_like(water)
+        area[box] = True
+        first = hand[rim(area)]
+        if first.std() > 2.5:
+            while (bad := rim(area) & (hand > np.median(first) + first.std())).any():
+                area &= ~bad
+        expected |= set(zip(*(x.tolist() for x in np.nonzero(area))))
+    cells = grid(spark, hand.tolist()).withColumnRenamed("value", "hand")
+    got = refine.terrain_eroded(mask(spark, water.astype(float).tolist()), cells)
+    assert {tuple(r) for r in got.collect()} == expected
+    assert (7, 80) in expected and (9, 94) not in expected and (30, 29) not in expected
+
+
 def test_constant_grid(spark):
     ones = tables.constant_layer(spark, 5, 5, 1.0)
     inner = (F.col("row").between(1, 3)) & (F.col("col").between(1, 3))
