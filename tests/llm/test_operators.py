@@ -323,6 +323,20 @@ def test_copies_of_an_article_are_no_template(spark):
     assert {r["text"] for r in htmlext.extract(df).collect()} == {"The same article everywhere."}
 
 
+def test_copies_in_several_shapes_are_no_template(spark):
+    text = "The same article in every shape."
+    more = ["", "<table><tr><td></td></tr></table>", "<ul><li></li></ul>", "<section></section>"]
+    bodies = [f"<html><head><title>same</title></head><body><div><p>{text}</p></div>{x}</body></html>" for x in more]
+    fixed = "<html><head><title>{t}</title></head><body><div><p>Fixed line.</p><h2>{t}</h2></div>{x}</body></html>"
+    pages = [(i, "http://copies.example/", bodies[i % 4]) for i in range(12)]
+    pages += [(20 + i, "http://three.example/", fixed.format(t=f"t{i}", x=more[i])) for i in range(3)]
+    pages += [(30 + i, "http://two.example/", fixed.format(t=f"t{i % 2}", x=more[i % 4])) for i in range(8)]
+    got = by_id(htmlext.extract(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5)), "page_id")
+    assert {got[i]["text"] for i in range(12)} == {text}
+    assert [got[20 + i]["text"] for i in range(3)] == ["t0", "t1", "t2"]
+    assert [got[30 + i]["text"] for i in range(8)] == [f"Fixed line.\nt{i % 2}" for i in range(8)]
+
+
 def test_pipeline_keeps_its_columns_and_decisions(spark, docs, rows):
     import corpus_pipeline
 
