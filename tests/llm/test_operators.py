@@ -337,6 +337,29 @@ def test_copies_in_several_shapes_are_no_template(spark):
     assert [got[30 + i]["text"] for i in range(8)] == [f"Fixed line.\nt{i % 2}" for i in range(8)]
 
 
+@pytest.mark.parametrize("around", ["<div>", "<font>", "<div><font>", "<section><span class=x>"])
+@pytest.mark.parametrize("times", [1, 59, 119, 120, 121, 300, 20000])
+def test_nesting_has_no_bound(around, times):
+    def text(page):
+        return [t for t, _ in htmlext.blocks(htmlext.parse(page)[0])[0]]
+
+    deep = around * times
+    assert text(f"<p>before</p>{deep}<nav>Menu<p>item</p></nav><main><p>In <b>bold</b> and<p>more<div>inner</div>tail<aside>side</aside>end</main>out") == ["In bold and", "more", "inner", "tail", "end"]
+    assert text(f"{deep}<nav>Menu<p>item</p></nav><form><div>name</div></form><p>One<br>line</p>two<footer>foot</footer>") == ["One line", "two"]
+    assert text(f"<div id=a>{deep}<footer><p>foot</p></footer>{'</div>' * times}</div><p>last") == ["last"]
+
+
+def test_what_an_article_is_filed_under_excludes_nothing():
+    def text(page):
+        return [t for t, _ in htmlext.blocks(htmlext.parse(page)[0])[0]]
+
+    for classes in ("post category-comment tag-search", "category-social", "hentry product_cat-widgets post_tag-ads", "Tag-Newsletter type-post"):
+        assert text(f"<div>out</div><article class='{classes}'><h1>Head</h1><p>Body</article>") == ["Head", "Body"]
+        assert text(f"<div role=main class='{classes}'><p>Body</div>") == ["Body"]
+    assert text("<p>Body</p><article class='comment'><p>Nice</article>") == ["Body"]
+    assert text("<p>Body</p><article class='comment-body category-news'><p>Nice</article>") == ["Body"]
+
+
 def test_pipeline_keeps_its_columns_and_decisions(spark, docs, rows):
     import corpus_pipeline
 
