@@ -349,6 +349,19 @@ def test_nesting_has_no_bound(around, times):
     assert text(f"<div id=a>{deep}<footer><p>foot</p></footer>{'</div>' * times}</div><p>last") == ["last"]
 
 
+def test_many_shapes_are_joined_one_by_one(spark, monkeypatch):
+    pages = [(i, f"http://h{i % 2}.example/{i}", PAGE.format(t=f"é&amp;title{i}") + "<div><b>x</b></div><table></table>" * (i % 7)) for i in range(60)]
+    pages += [(100, None, None), (101, None, None), (101, None, None), (102, "http://h0.example/", ""), (None, "http://y/", "<p>cut off <a hr")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    few = sorted(map(str, htmlext.extract(df).collect()))
+    monkeypatch.setattr(htmlext, "BROADCAST_ROWS", 0)
+    joined = htmlext.extract(df)
+    assert sorted(map(str, joined.collect())) == few and len(few) == len(pages)
+    assert {"Text of é&title5 & more é. Line"} <= {line for r in joined.collect() for line in r["text"].split("\n")}
+    # A page meets the slots of its own shape, not those of all shapes of its host.
+    assert "known" not in joined._jdf.queryExecution().toString() and htmlext._joined(df.selectExpr("page_id key", "url", "'h' host", "html"), spark.createDataFrame([("h", f"s{i}", [1]) for i in range(3000)], "host string, shape string, slots array<int>")).count() == len(pages)
+
+
 def test_what_an_article_is_filed_under_excludes_nothing():
     def text(page):
         return [t for t, _ in htmlext.blocks(htmlext.parse(page)[0])[0]]
