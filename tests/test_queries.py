@@ -38,6 +38,14 @@ def test_equals_its_sql(spark, duck, name):
     assert got == sorted("|".join(plain(r[i]) for i in at) for r in ref.fetchall())
 
 
+def test_whole_layers_are_read(spark):
+    from sparkraster.sources import fixtures
+
+    cells = fixtures.layers(spark, DATA).count()
+    assert catalogue.QUERIES["block_halo_all"](spark, DATA).agg({"own": "sum"}).first()[0] == cells
+    assert catalogue.QUERIES["layer_roundtrip_all"](spark, DATA).count() == cells
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and df.columns == ["row", "col", "code"]
