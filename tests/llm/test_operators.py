@@ -75,7 +75,7 @@ def test_bpe_equals_the_library(spark, docs, rows):
     path = tokens.path("byte_bpe_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
     library = tiktoken.Encoding("own", pat_str=tokens.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    got = by_id(bpe.encode_decode(docs.unionByName(docs.limit(5)), path, tokens.PATTERN, whole=True))
+    got = by_id(bpe.encode_decode(docs.unionByName(docs.limit(5)), path, tokens.PATTERN, with_ids=True, with_bytes=True))
     for doc_id, text, *_ in rows:
         ids, r = library.encode_ordinary(text or ""), got[doc_id]
         assert list(r["ids"]) == ids and bytes(r["decoded"]) == (text or "").encode()
