@@ -44,9 +44,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text, and the text decoded from them, as digests."""
+    """Ids of every text, their digest, and that of the text decoded from them."""
     ship(spark)
-    return bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact), ("near_dedup", near), ("mixing", mix), ("bpe", encode)]
