@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -337,35 +338,97 @@ def test_copies_in_several_shapes_are_no_template(spark):
     assert [got[30 + i]["text"] for i in range(8)] == [f"Fixed line.\nt{i % 2}" for i in range(8)]
 
 
+def texts_of(page):
+    return [t for t, _, _ in htmlext.blocks(htmlext.parse(page)[0])[0]]
+
+
 @pytest.mark.parametrize("around", ["<div>", "<font>", "<div><font>", "<section><span class=x>"])
 @pytest.mark.parametrize("times", [1, 59, 119, 120, 121, 300, 20000])
 def test_nesting_has_no_bound(around, times):
-    def text(page):
-        return [t for t, _ in htmlext.blocks(htmlext.parse(page)[0])[0]]
-
     deep = around * times
-    assert text(f"<p>before</p>{deep}<nav>Menu<p>item</p></nav><main><p>In <b>bold</b> and<p>more<div>inner</div>tail<aside>side</aside>end</main>out") == ["In bold and", "more", "inner", "tail", "end"]
-    assert text(f"{deep}<nav>Menu<p>item</p></nav><form><div>name</div></form><p>One<br>line</p>two<footer>foot</footer>") == ["One line", "two"]
-    assert text(f"<div id=a>{deep}<footer><p>foot</p></footer>{'</div>' * times}</div><p>last") == ["last"]
+    assert texts_of(f"<p>before</p>{deep}<nav>Menu<p>item</p></nav><main><p>In <b>bold</b> and<p>more<div>inner</div>tail<aside>side</aside>end</main>out") == ["In bold and", "more", "inner", "tail", "end"]
+    assert texts_of(f"{deep}<nav>Menu<p>item</p></nav><form><div>name</div></form><p>One<br>line</p>two<footer>foot</footer>") == ["One line", "two"]
+    assert texts_of(f"<div id=a>{deep}<footer><p>foot</p></footer>{'</div>' * times}</div><p>last") == ["last"]
 
 
-def test_many_shapes_are_joined_one_by_one(spark, monkeypatch):
+def test_pages_of_many_shapes(spark):
     pages = [(i, f"http://h{i % 2}.example/{i}", PAGE.format(t=f"é&amp;title{i}") + "<div><b>x</b></div><table></table>" * (i % 7)) for i in range(60)]
     pages += [(100, None, None), (101, None, None), (101, None, None), (102, "http://h0.example/", ""), (None, "http://y/", "<p>cut off <a hr")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
-    few = sorted(map(str, htmlext.extract(df).collect()))
-    monkeypatch.setattr(htmlext, "BROADCAST_ROWS", 0)
-    joined = htmlext.extract(df)
-    assert sorted(map(str, joined.collect())) == few and len(few) == len(pages)
-    assert {"Text of é&title5 & more é. Line"} <= {line for r in joined.collect() for line in r["text"].split("\n")}
-    # A page meets the slots of its own shape, not those of all shapes of its host.
-    assert "known" not in joined._jdf.queryExecution().toString() and htmlext._joined(df.selectExpr("page_id key", "url", "'h' host", "html"), spark.createDataFrame([("h", f"s{i}", [1]) for i in range(3000)], "host string, shape string, slots array<int>")).count() == len(pages)
+    rows = htmlext.extract(df).collect()
+    assert len(rows) == len(pages) and {r["n_chars"] == len(r["text"]) for r in rows} == {True}
+    for r in rows:
+        if r["page_id"] is not None and r["page_id"] < 60:
+            lines = r["text"].split("\n")
+            assert lines[:3] == [f"é&title{r['page_id']}", f"Text of é&title{r['page_id']} & more é. Line", f"Second é&title{r['page_id']}"]
+
+
+def tree(rng, depth):
+    return [rng.choice("abc"), 0, [tree(rng, depth - 1) for _ in range(rng.randrange(4) if depth else 0)]]
+
+
+def largest(a, b):
+    """Simple tree matching as it is defined, pair by pair."""
+    if a[0] != b[0]:
+        return 0
+    best = {}
+    for i in range(len(a[2]) + 1):
+        for j in range(len(b[2]) + 1):
+            best[i, j] = max(best[i - 1, j], best[i, j - 1], best[i - 1, j - 1] + largest(a[2][i - 1], b[2][j - 1])) if i and j else 0
+    return best[len(a[2]), len(b[2])] + 1
+
+
+def test_matching_equals_brute_force(monkeypatch):
+    rng = random.Random(5)
+    for grid in (htmlext.GRID, 0):
+        monkeypatch.setattr(htmlext, "GRID", grid)
+        for _ in range(300):
+            a, b = tree(rng, 3), tree(rng, 3)
+            size, pairs = htmlext.match(a, b)
+            assert size == len(pairs) and (size == largest(a, b) if grid else size <= largest(a, b))
+            assert all(x[0] == y[0] for x, y in pairs)
+            inner = {id(y): x for x, y in pairs}
+            for x, y in pairs:  # children keep their order and their parents
+                at = [next(i for i, c in enumerate(x[2]) if c is inner[id(d)]) for d in y[2] if id(d) in inner]
+                assert at == sorted(set(at))
+
+
+def test_long_lists_of_siblings_take_seconds():
+    def page(n, extra):
+        rows = [["h2" if i % 2 else "p", i, []] for i in range(n)]
+        rows[n // 2 : n // 2] = [["table", n + k, []] for k in range(extra)]
+        return ["div", -1, rows]
+
+    began = time.monotonic()
+    assert htmlext.match(page(20000, 0), page(19000, 0))[0] == 19001
+    assert htmlext.match(page(20000, 3), page(19990, 1))[0] == 19992
+    htmlext.match(["div", -1, [["p" if i % 3 else "h2", i, []] for i in range(20000)]], page(20000, 0))
+    wrapper, other = htmlext._facts(page(20000, 0), {}), htmlext._facts(page(20000, 2), {})
+    htmlext.merge(wrapper, other)
+    assert len(wrapper[2]) == 20002 and time.monotonic() - began < 20
+
+
+def test_words_alone_take_no_article_away():
+    assert texts_of('<div class="social-history"><p>A history</p></div><p class="notice-board">On the board</p><table class="tags"><tr><td>Tags of prose</table>') == ["A history", "On the board", "Tags of prose"]
+    assert texts_of('<ul class="tags"><li><a href=x>one</a><li><a href=y>two</a></ul><div class="social-links"><a href=z>share this</a></div><p>Body') == ["Body"]
+    assert texts_of('<div class="comment-list"><p>Nice</div><div id="site-header"><p>Site</div><div class="cookie-notice">We</div><div class=adBox>Buy</div><p>Body') == ["Body"]
+    assert texts_of("<main></main><p>Outside") == ["Outside"]
+    assert texts_of("<main> <nav>Menu</nav></main><div><p>Outside</div>") == ["Outside"]
+
+
+def test_a_headline_in_the_header_stays_if_it_varies(spark):
+    page = "<html><head><title>{t}</title></head><body><header><h1><a href=/>{h}</a></h1><p>Motto</p></header><div><p>Text of {t}.</p></div></body></html>"
+    pages = [(i, "http://own.example/", page.format(t=f"t{i}", h=f"Head {i}")) for i in range(5)]
+    pages += [(10 + i, "http://site.example/", page.format(t=f"t{i}", h="The site")) for i in range(5)]
+    pages += [(20 + i, "http://few.example/", page.format(t=f"t{i}", h=f"Head {i}")) for i in range(2)]
+    got = by_id(htmlext.extract(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)), "page_id")
+    assert [got[i]["text"] for i in range(5)] == [f"Head {i}\nText of t{i}." for i in range(5)]
+    assert [got[10 + i]["text"] for i in range(5)] == [f"Text of t{i}." for i in range(5)]
+    assert [got[20 + i]["text"] for i in range(2)] == [f"Text of t{i}." for i in range(2)]
 
 
 def test_what_an_article_is_filed_under_excludes_nothing():
-    def text(page):
-        return [t for t, _ in htmlext.blocks(htmlext.parse(page)[0])[0]]
-
+    text = texts_of
     for classes in ("post category-comment tag-search", "category-social", "hentry product_cat-widgets post_tag-ads", "Tag-Newsletter type-post"):
         assert text(f"<div>out</div><article class='{classes}'><h1>Head</h1><p>Body</article>") == ["Head", "Body"]
         assert text(f"<div role=main class='{classes}'><p>Body</div>") == ["Body"]
