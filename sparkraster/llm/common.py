@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
 
@@ -20,11 +21,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for ``name`` in the folder that driver and executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``; only where it is
-    unset (single-machine tests) a temporary one is made.
+    The cluster names that folder in ``spark.checkpoint.dir``. Where it is unset, a single
+    machine (tests) gets a temporary one, and a cluster an error: its executors share no local folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='sparkraster-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -38,6 +41,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def aside(df: DataFrame, outputs: tuple[str, ...]) -> tuple[DataFrame, dict[str, str], list[Column]]:
+    """``df`` under names of our own, so that none of its columns can clash with those that an operator works with.
+
+    Columns named like an output are left out. Also returned: our name by the caller's, and what gives the caller's names back.
+    """
+    names = {name: f"in_{i}" for i, name in enumerate(c for c in df.columns if c not in outputs)}
+    quoted = ["`" + name.replace("`", "``") + "`" for name in names]
+    return df.select(*[F.col(q).alias(own) for q, own in zip(quoted, names.values())]), names, [F.col(own).alias(name) for name, own in names.items()]
+
+
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
