@@ -10,7 +10,8 @@ map has ``slots`` rows whatever the input, which bounds its broadcast.
 
 Cases: null text has no bytes and still takes ``overhead``; null keys share one
 slot; repeated rows are placed each for itself; an empty table gives an empty
-placement; input columns named like an output column are replaced.
+placement; input columns named like an output column (size, virtual_slot, shard, slot,
+version) are replaced, others never clash.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, text_or_empty
+from .common import aside, shared_dir, stored, text_or_empty
 
 #: Virtual slots; fixed for the life of a data set.
 SLOTS = 8192
@@ -97,18 +98,21 @@ def placed(sized: DataFrame, slot_map: DataFrame, stats: DataFrame, key: str = "
     Places are counted within a virtual slot and shifted by the rows of the
     shard's earlier slots, so that no task sees a whole shard.
     """
+    rows, names, given = aside(sized, ("shard", "slot", "version"))
+    rows = rows.withColumnsRenamed({names["size"]: "size", names["virtual_slot"]: "virtual_slot"})
+    given = [column for name, column in zip(names, given) if name not in ("size", "virtual_slot")]
     before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
     mapped = slot_map.join(F.broadcast(stats), "virtual_slot").withColumn("ahead", F.coalesce(F.sum("slot_rows").over(before), F.lit(0)))
-    within = F.row_number().over(Window.partitionBy("virtual_slot").orderBy(key, "size"))
-    numbered = sized.withColumn("slot", within.cast("long") - 1)
+    within = F.row_number().over(Window.partitionBy("virtual_slot").orderBy(names[key], "size"))
+    numbered = rows.withColumn("within", within.cast("long") - 1)
     out = numbered.join(F.broadcast(mapped.select("virtual_slot", "shard", "version", "ahead")), "virtual_slot")  # ``slots`` rows
-    return out.withColumn("slot", F.col("slot") + F.col("ahead")).drop("ahead")
+    return out.select(*given, "size", "virtual_slot", "shard", (F.col("within") + F.col("ahead")).alias("slot"), "version")
 
 
 def shard_by_bytes(df: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
-    """Place every row of ``df`` so that shards have nearly equal bytes; the map is stored, then used as stored."""
+    """Place every row of ``df`` so that shards have nearly equal bytes; sums and map are stored, then used as stored."""
     sized = with_slot(df.drop("shard", "slot", "version"), key, text, slots)
-    stats = slot_bytes(sized, slots)
+    stats = stored(slot_bytes(sized, slots), "slot-bytes")
     path = shared_dir(df.sparkSession, "slot-map")
     save_map(first_map(stats, shards), path)
     return placed(sized, load_map(df.sparkSession, path), stats, key)
