@@ -13,8 +13,9 @@ only rows of one (source, size, id mod 64) are numbered together.
 
 Cases: null text has size 0; the null source is a source, last in order; a source
 without words has target 0 and takes nothing; of equal ids each row counts for
-itself; an empty table gives an empty result; input columns named like an output
-column are replaced.
+itself, and null ids are dealt by their texts; an empty table gives an empty result;
+input columns named like an output column are replaced, others never clash. Windows over
+all sources have a row per source: sources are taken to be few (thousands).
 """
 
 from __future__ import annotations
@@ -24,12 +25,13 @@ import hashlib
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, text_or_empty
+from .common import WORD, aside, stored, text_or_empty
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (5, 2, 1)
 #: The mix takes this share of all words, and of a source at most ``MOST`` times its words.
 SHARE, MOST = 1.5, 2.0
+OUTPUTS = ("size", "source_size", "target", "copies", "taken")
 #: Parts that rows of one size are dealt to.
 PARTS = 64
 
@@ -64,32 +66,36 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SH
 
 def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 7, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """``df`` with size, source_size, target, copies and taken (copies x size)."""
-    rows = df.drop("size", "source_size", "target", "taken", "copies").withColumn("size", F.regexp_count(text_or_empty(text), F.lit(WORD)).cast("long"))
-    part = F.pmod(F.coalesce(F.col(key), F.lit(0)), F.lit(PARTS)).cast("int")
-    rows = rows.withColumn("_s", F.coalesce(F.col(source), F.lit(""))).withColumn("_null", F.col(source).isNull()).withColumn("_part", part)
-
-    one, high, top = ["_s", "_null", "size", "_part"], ["_s", "_null", "_high"], ["_s", "_null", "_top"]
-    cells = rows.groupBy(*one).agg(F.count("*").alias("_rows")).withColumn("_high", F.floor(F.col("size") / 4)).withColumn("_top", F.floor(F.col("size") / 256))
-    highs = cells.groupBy(*high, "_top").agg(F.sum("_rows").alias("_rows"), F.sum(F.col("_rows") * F.col("size")).alias("_words"))
-    tops = highs.groupBy(*top).agg(F.sum("_rows").alias("_rows"), F.sum("_words").alias("_words"))
-    totals = tops.groupBy("_s", "_null").agg(F.sum("_words").alias("source_size"))
-    targets = source_targets(totals.select(F.when(~F.col("_null"), F.col("_s")).alias("source"), "source_size"), weights, share, most)
-    targets = targets.select(F.coalesce("source", F.lit("")).alias("_s"), F.col("source").isNull().alias("_null"), "source_size", "target")
+    rows, names, given = aside(df, OUTPUTS)
+    key, text, source = names[key], names[text], names[source]
+    # A null id's part follows from its text.
+    part = F.pmod(F.coalesce(F.col(key), F.xxhash64(text)), F.lit(PARTS)).cast("int")
+    rows = rows.withColumns({"size": F.regexp_count(text_or_empty(text), F.lit(WORD)).cast("long"), "name": F.coalesce(F.col(source), F.lit("")), "none": F.col(source).isNull(), "part": part, "mark": F.xxhash64(text)})
+
+    one, high, top = ["name", "none", "size", "part"], ["name", "none", "high"], ["name", "none", "top"]
+    # Written, since totals, targets and each digit's sums are read from it: words are counted here, and once more for the rows themselves.
+    cells = stored(rows.groupBy(*one).agg(F.count("*").alias("rows")), "cells")
+    cells = cells.withColumns({"high": F.floor(F.col("size") / 4), "top": F.floor(F.col("size") / 256)})
+    highs = cells.groupBy(*high, "top").agg(F.sum("rows").alias("rows"), F.sum(F.col("rows") * F.col("size")).alias("words"))
+    tops = highs.groupBy(*top).agg(F.sum("rows").alias("rows"), F.sum("words").alias("words"))
+    totals = tops.groupBy("name", "none").agg(F.sum("words").alias("source_size"))
+    targets = source_targets(totals.select(F.when(~F.col("none"), F.col("name")).alias("source"), "source_size"), weights, share, most)
+    targets = targets.select(F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNull().alias("none"), "source_size", "target")
 
     def earlier(order: list[str], within: list[str]):
         window = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum("_rows").over(window), F.lit(0))
+        return F.coalesce(F.sum("rows").over(window), F.lit(0))
 
-    tops = tops.withColumn("_ahead", earlier(["_top"], ["_s", "_null"])).drop("_rows", "_words").join(targets, ["_s", "_null"])
-    highs = highs.withColumn("_more", earlier(["_high"], top)).drop("_rows", "_words").join(tops, top)
-    highs = highs.withColumn("_ahead", F.col("_ahead") + F.col("_more")).drop("_more", "_top")
-    cells = cells.withColumn("_more", earlier(["size", "_part"], high)).drop("_rows", "_top").join(highs, high)
-    cells = cells.withColumn("_ahead", F.col("_ahead") + F.col("_more")).drop("_more", "_high")
+    tops = tops.withColumn("ahead", earlier(["top"], ["name", "none"])).drop("rows", "words").join(targets, ["name", "none"])
+    highs = highs.withColumn("more", earlier(["high"], top)).drop("rows", "words").join(tops, top)
+    highs = highs.withColumn("ahead", F.col("ahead") + F.col("more")).drop("more", "top")
+    cells = cells.withColumn("more", earlier(["size", "part"], high)).drop("rows", "top").join(highs, high)
+    cells = cells.withColumn("ahead", F.col("ahead") + F.col("more")).drop("more", "high")
 
-    numbered = rows.withColumn("_at", F.row_number().over(Window.partitionBy(*one).orderBy(key)))
-    out = numbered.join(cells, one).withColumn("_rank", F.col("_ahead") + F.col("_at"))
+    numbered = rows.withColumn("at", F.row_number().over(Window.partitionBy(*one).orderBy(key, "mark")))
+    out = numbered.join(cells, one).withColumn("rank", F.col("ahead") + F.col("at"))
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     u = F.lit(offset(seed))
-    copies = F.floor(F.col("_rank") * each + u) - F.floor((F.col("_rank") - 1) * each + u)
+    copies = F.floor(F.col("rank") * each + u) - F.floor((F.col("rank") - 1) * each + u)
     out = out.withColumn("copies", F.least(copies, F.lit(int(most))).cast("long")).withColumn("taken", F.col("copies") * F.col("size"))
-    return out.drop("_s", "_null", "_part", "_ahead", "_at", "_rank")
+    return out.select(*given, *OUTPUTS)
