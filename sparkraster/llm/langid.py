@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import random_words, slices, text_bytes, tidy
+from .common import aside, random_words, slices, text_bytes, tidy
 
 #: Hashed features, rows to fit on, rows of one language to fit on at most.
 FEATURES, SAMPLE, PER_LANGUAGE = 2048, 4000, 400
@@ -138,9 +138,9 @@ def decode(margins: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, n
 
 def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``df`` with lang_pred, score and ambiguous."""
-    rows = df.drop("lang_pred", "score", "ambiguous")
+    rows, own, given = aside(df, ("lang_pred", "score", "ambiguous"))
     names = rows.columns
-    place = names.index(text)
+    place = names.index(own[text])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,4 +160,5 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 )
 
     kinds = rows.limit(0).withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "ambiguous": F.lit(False)}).schema
-    return rows.withColumn("_letters", has_letter(text)).mapInArrow(tidy(run), kinds)
+    out = rows.withColumn("letters", has_letter(own[text])).mapInArrow(tidy(run), kinds)
+    return out.select(*given, "lang_pred", "score", "ambiguous")
