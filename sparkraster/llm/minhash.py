@@ -7,6 +7,7 @@
 3. In every band bucket all members are held against the bucket's smallest id.
    Such a pair survives if the sizes allow the similarity and the sketches'
    XOR population count doesn't exclude it, and is then confirmed on full sets.
+   A text that is held against many is sent once to each of the tasks that share them.
 4. Links give components. Two members of one smallest id that still stand in
    different components, one of them not linked to it, are held against each
    other too, so that no link is lost. What keeps this from pairing up a whole
@@ -20,8 +21,10 @@ the samples disagree by seven standard deviations more than expected.
 
 Cases: null or blank text has an empty set and stands alone; with fewer words than
 a shingle has, the whole sequence is the one shingle; repeated rows and equal sets
-share a class; null ids can't be linked and stand alone; an empty table gives an
-empty result; input columns named like an output column are replaced.
+share a class; where an id comes with several texts, the one with the least hash
+stands for the id, whose component all its rows get, each with its own number of
+shingles; null ids can't be linked and stand alone; an empty table gives an empty
+result; input columns named like an output column are replaced, others never clash.
 """
 
 from __future__ import annotations
@@ -33,12 +36,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import group_first, mix64, random_words, segment_hashes, slices, stored, text_bytes, tidy
+from .common import aside, group_first, mix64, random_words, segment_hashes, slices, stored, text_bytes, tidy
 from .components import components
 
 SAMPLES, BANDS, SKETCH_BITS = 128, 32, 512
 #: Bytes of text that are hashed together.
 BLOCK = 2_000_000
+#: Texts that a task holds against one; salts of a band bucket, one bit each in a long.
+HELD, SALTS = 500, 64
 #: Growth of shingle counts from one size class to the next.
 CLASS_STEP = 1.05
 
@@ -113,8 +118,8 @@ def _lists(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(np.arange(0, values.size + 1, values.shape[1], dtype=np.int32), pa.array(values.ravel()))
 
 
-def signatures(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """(key, text) to (key, n, set_a, set_b, bands, sketch); bands and sketch are null for empty sets."""
+def signatures(texts: DataFrame, words: int) -> DataFrame:
+    """(id, text, mark) to (id, mark, n, set_a, set_b, bands, sketch); bands and sketch are null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,48 +133,79 @@ def signatures(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
                     parts = [pa.array(first).take(to), pa.array(second).take(to), _lists(bands).take(to), _lists(sketch).take(to)]
                 else:
                     parts = [pa.nulls(b - a, t) for t in (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(at)), *parts], ["id", "n", "set_a", "set_b", "bands", "sketch"])
+                names = [batch.column(i).slice(a, b - a) for i in (0, 2)]
+                yield pa.RecordBatch.from_arrays([*names, pa.array(np.diff(at)), *parts], ["id", "mark", "n", "set_a", "set_b", "bands", "sketch"])
 
-    return df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        tidy(run), "id long, n long, set_a long, set_b long, bands array<long>, sketch array<long>"
-    )
+    return texts.select("id", "text", "mark").mapInArrow(tidy(run), "id long, mark long, n long, set_a long, set_b long, bands array<long>, sketch array<long>")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """(a, b) to (a, b, n_a, n_b, common, extra, present): sizes of the full sets and of their
-    intersection, short hashes of b's shingles that a lacks, and a bit for each of a's that b has."""
+def _confirmed(words: int):
+    """Rows (a, b, text), each ``a``'s own (b null) before those held against it, to a row per pair."""
+
+    def pair(own: np.ndarray, other: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+        place = np.searchsorted(own, other)
+        same = own[np.minimum(place, len(own) - 1)] == other if len(own) else np.zeros(len(other), bool)
+        bits = np.zeros(-(-len(own) // 64) * 64, np.uint8)
+        bits[place[same]] = 1
+        return int(same.sum()), (other[~same] >> np.uint64(32)).astype(np.uint32).view(np.int32), np.packbits(bits).view(np.int64)
+
+    def lists(parts: list[np.ndarray]) -> pa.Array:
+        return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32), pa.array(np.concatenate(parts)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, last = np.zeros(0, np.uint64), None
         for batch in batches:
-            ids = np.asarray(batch.column(0).cast(pa.int64()))
-            _, first, again = np.unique(ids, return_index=True, return_inverse=True)
-            raw_a, off_a = text_bytes(batch.column(2).take(pa.array(first)))
-            own = []
-            for a, b in slices(np.diff(off_a), BLOCK):
-                sets, at = shingle_sets(raw_a[off_a[a] : off_a[b]], off_a[a : b + 1] - off_a[a], words)
-                own += np.split(sets, at[1:-1])
-            raw, off = text_bytes(batch.column(3))
-            for a, b in slices(np.diff(off), BLOCK):
-                sets, at = shingle_sets(raw[off[a] : off[b]], off[a : b + 1] - off[a], words)
-                shared, extra, present = [], [], []
-                for i in range(b - a):
-                    left, right = own[again[a + i]], sets[at[i] : at[i + 1]]
-                    place = np.searchsorted(left, right)
-                    same = (left[np.minimum(place, len(left) - 1)] == right) if len(left) else np.zeros(len(right), bool)
-                    shared.append(int(same.sum()))
-                    bits = np.zeros(-(-len(left) // 64) * 64, np.uint8)
-                    bits[place[same]] = 1
-                    present.append(np.packbits(bits).view(np.int64))
-                    extra.append((right[~same] >> np.uint64(32)).astype(np.uint32).view(np.int32))
-                counts = np.array([len(own[again[a + i]]) for i in range(b - a)], np.int64)
-                lists = [pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) for x in some])]).astype(np.int32), pa.array(np.concatenate(some))) for some in (extra, present)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(counts), pa.array(np.diff(at)), pa.array(shared, pa.int64()), *lists],
-                    ["a", "b", "n_a", "n_b", "common", "extra", "present"],
-                )
-
-    rows = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    return rows.select("a", "b", "text_a", "text_b").mapInArrow(tidy(run), "a long, b long, n_a long, n_b long, common long, extra array<int>, present array<long>")
+            ids, others = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            raw, offsets = text_bytes(batch.column(2))
+            for x, y in slices(np.diff(offsets), BLOCK):
+                sets, at = shingle_sets(raw[offsets[x] : offsets[y]], offsets[x : y + 1] - offsets[x], words)
+                rows = []
+                for i in range(x, y):
+                    one = sets[at[i - x] : at[i - x + 1]]
+                    if others[i] is None:
+                        own = one.copy()
+                    elif (ids[i], others[i]) != last:  # a repeated row
+                        rows.append((ids[i], others[i], len(own), len(one), *pair(own, one)))
+                    last = ids[i], others[i]
+                if rows:
+                    a, b, n_a, n_b, common, extra, present = zip(*rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array(v, pa.int64()) for v in (a, b, n_a, n_b, common)), lists(extra), lists(present)],
+                        ["a", "b", "n_a", "n_b", "common", "extra", "present"],
+                    )
+
+    return run
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
+    """(a, b) to (a, b, n_a, n_b, common, extra, present): sizes of the full sets and of their
+    intersection, short hashes of b's shingles that a lacks, and a bit for each of a's that b has.
+
+    ``chosen`` has the mark of the text that stands for each id. Texts are shuffled once to find their
+    pairs; an ``a`` with many of them is dealt to as many tasks as keep ``HELD`` pairs in each.
+    """
+    tasks = pairs.groupBy("a").agg(F.ceil(F.count("*") / HELD).cast("int").alias("tasks"))
+    held = pairs.join(tasks, "a").select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), F.col("tasks")).cast("int").alias("task"), "b")
+    own = tasks.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"), F.lit(None).cast("long").alias("b"))
+    wanted = held.unionByName(own).join(chosen, "id")
+    rows = texts.join(wanted, ["id", "mark"]).select("a", "task", "b", "text")
+    rows = rows.repartition("a", "task").sortWithinPartitions("a", "task", F.asc_nulls_first("b"))
+    return rows.select("a", "b", "text").mapInArrow(tidy(_confirmed(words)), "a long, b long, n_a long, n_b long, common long, extra array<int>, present array<long>")
+
+
+def bucket_pairs(heads: DataFrame) -> DataFrame:
+    """(id, bands) to (a, b): every member of a band bucket with the bucket's smallest id.
+
+    Least ids are found per salt and then among salts, and come back to members by band and salt, so that a
+    bucket of any size is spread.
+    """
+    bands = heads.select("id", F.explode("bands").alias("band")).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    bands = bands.repartition("band", "salt")
+    parts = bands.groupBy("band", "salt").agg(F.min("id").alias("a"), F.count("*").alias("members"))
+    buckets = parts.groupBy("band").agg(F.min("a").alias("a"), F.sum("members").alias("members"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts")).where("members > 1")
+    used = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda s: F.col("salts").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), s)) != 0)
+    buckets = buckets.select("band", "a", F.explode(used).alias("salt"))
+    return bands.join(buckets, ["band", "salt"]).where("id != a").select("a", F.col("id").alias("b")).distinct()
 
 
 def _near(common: str, a: str, b: str, percent: int) -> Column:
@@ -188,14 +224,17 @@ def _possible(a: str, b: str, percent: int) -> Column:
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """``df`` with n_shingles, component_id and kept: documents linked, directly or through
     others, by a Jaccard similarity of ``percent`` hundredths or more over ``words``-word shingles."""
-    texts = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("id is not null")
-    signed = stored(signatures(df, key, text, words).where("id is not null"), "signatures")
-    classes = stored(group_first(signed.where("n > 0").select("id", "n", "set_a", "set_b").distinct(), ["n", "set_a", "set_b"], "id", "class").select("id", "class"), "classes")
-    heads = signed.where("n > 0").join(classes.where("id = class").select("id"), "id", "left_semi").dropDuplicates(["id"])
-
-    bands = heads.select("id", F.explode("bands").alias("band"))
-    buckets = bands.groupBy("band").agg(F.min("id").alias("a"), F.count("*").alias("members")).where("members > 1").drop("members")
-    pairs = bands.join(buckets, "band").where("id != a").select("a", F.col("id").alias("b")).distinct()
+    rows, names, given = aside(df, ("n_shingles", "component_id", "kept"))
+    rows = rows.withColumns({"id": F.col(names[key]).cast("long"), "mark": F.xxhash64(names[text])})
+    texts = rows.select("id", F.col(names[text]).cast("string").alias("text"), "mark")
+    signed = stored(signatures(texts, words), "signatures")
+    # The text that stands for an id, and the classes of equal sets.
+    chosen = signed.where("id is not null").groupBy("id").agg(F.min(F.struct("mark", "n", "set_a", "set_b")).alias("s")).select("id", "s.*")
+    classes = group_first(chosen.where("n > 0"), ["n", "set_a", "set_b"], "id", "class").select("id", "mark", "class")
+    classes = stored(classes, "classes")
+    chosen = classes.select("id", "mark")
+    heads = signed.join(classes.where("id = class").select("id", "mark"), ["id", "mark"], "left_semi").dropDuplicates(["id"])
+    pairs = bucket_pairs(heads)
     sides = heads.select("id", "n", "sketch")
 
     def side(name: str) -> DataFrame:
@@ -206,8 +245,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     several = pairs.groupBy("a").agg((F.count("*") > 1).alias("several"))
     pairs = pairs.withColumn("possible", _possible("a", "b", percent)).join(several, "a").where("possible or several")
     pairs = stored(pairs.select("a", "b", "n_b", "sketch_b", "several"), "pairs")
-    bodies = texts.dropDuplicates(["id"])
-    held = stored(confirmed(pairs.select("a", "b"), bodies, words), "held")
+    held = stored(confirmed(pairs.select("a", "b"), texts, chosen, words), "held")
     links = held.where(_near("common", "n_a", "n_b", percent)).select("a", "b")
     found = stored(components(links), "components")
 
@@ -238,12 +276,13 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     test = F.expr("label_x != label_y") & bound & _possible("x", "y", percent) & overlap
     rest = outer.join(inner, (outer["a"] == inner["a"]) & (outer["class"] == inner["class"]) & test)
     rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = confirmed(rest, bodies, words).where(_near("common", "n_a", "n_b", percent)).select("a", "b")
+    more = confirmed(stored(rest, "rest"), texts, chosen, words).where(_near("common", "n_a", "n_b", percent)).select("a", "b")
     more = labelled(labelled(more, "a", "la"), "b", "lb").select(F.col("la").alias("a"), F.col("lb").alias("b"))
     joined = components(more).select(F.col("node").alias("component"), F.col("component").alias("joined"))
 
     out = classes.join(label.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     out = out.join(joined, "component", "left").select("id", F.coalesce("joined", "component").alias("component"))
-    sizes = signed.select("id", "n").distinct().join(out, "id", "left").select(F.col("id").alias("_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
-    rows = df.drop("n_shingles", "component_id", "kept").join(sizes, F.col(key) == F.col("_id"), "left").drop("_id")
-    return rows.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
+    sizes = signed.groupBy("id", "mark").agg(F.max("n").alias("n_shingles"))
+    found = sizes.join(out, "id", "left").select(F.col("id").alias("id_"), F.col("mark").alias("mark_"), "n_shingles", F.coalesce("component", "id").alias("component_id"))
+    rows = rows.join(found, F.col("id").eqNullSafe(F.col("id_")) & (F.col("mark") == F.col("mark_")), "left")
+    return rows.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))).select(*given, "n_shingles", "component_id", "kept")
