@@ -14,15 +14,16 @@ not repeat, a lost task's.
 
 Added tokens that a text spells out get their own id, as the library gives them.
 
-Cases: null and empty texts have the end id only; null ids come first; repeated
-rows are written each; an empty table has no files and an empty result.
+Cases: null and empty texts have the end id only; null ids come first, by text; repeated
+rows are written each, in the order of their texts; an empty table has no files and an
+empty result. The result has no columns of the input but the key, so nothing can clash.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 
 import numpy as np
@@ -46,10 +47,26 @@ STEP = 512
 REMEMBERED = 2_000_000
 
 
+class Sections(Sequence):
+    """Compressed sections of a file, each decompressed when it is first asked for."""
+
+    def __init__(self, data: memoryview, places: list[tuple[int, int]], kind: str):
+        self.data, self.places, self.kind, self.open = data, places, kind, {}
+
+    def __len__(self) -> int:
+        return len(self.places)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        if i not in self.open:
+            at, length = self.places[i]
+            self.open[i] = np.frombuffer(zstandard.ZstdDecompressor().decompress(self.data[at : at + length]), self.kind)
+        return self.open[i]
+
+
 class WaveletMatrix:
     """Bit planes of a sequence of ids, highest bit first."""
 
-    def __init__(self, planes: list[np.ndarray], ranks: list[np.ndarray], zeros: list[int], n: int):
+    def __init__(self, planes: Sequence[np.ndarray], ranks: Sequence[np.ndarray], zeros: list[int], n: int):
         self.planes, self.ranks, self.zeros, self.n, self.bits = planes, ranks, zeros, n, len(planes)
 
     @classmethod
@@ -106,15 +123,18 @@ class WaveletMatrix:
         at = self._descend(token, 0)[0] + k
         for level in range(self.bits - 1, -1, -1):
             one = token >> (self.bits - 1 - level) & 1
-            wanted = at - self.zeros[level] if one else at
-            low, high = 0, self.n
-            while high - low > 1:  # the last place with ``wanted`` such bits before it
-                mid = (low + high) // 2
-                before = self._ones(level, mid) if one else mid - self._ones(level, mid)
-                low, high = (mid, high) if before <= wanted else (low, mid)
-            at = low
+            at = self._place(level, one, at - self.zeros[level] if one else at)
         return at
 
+    def _place(self, level: int, one: int, k: int) -> int:
+        """Where the k-th (from 0) one or zero of a plane stands: its block by the rank directory, then its bit."""
+        ranks = self.ranks[level]
+        before = ranks if one else np.arange(len(ranks), dtype=np.int64) * STEP - ranks
+        block = int(np.searchsorted(before, k, "right")) - 1
+        first = block * STEP // 8
+        bits = np.unpackbits(self.planes[level][first : first + STEP // 8], bitorder="little")
+        return block * STEP + int(np.flatnonzero(bits == one)[k - int(before[block])])
+
     def tokens(self) -> np.ndarray:
         """All ids, by undoing the planes from the last to the first."""
         kind = np.uint16 if self.bits <= 16 else np.uint32
@@ -135,30 +155,30 @@ def _directory(plane: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(np.bitwise_count(padded).reshape(-1, step).sum(axis=1, dtype=np.int64))]).astype(np.uint32)
 
 
-def to_file(ids: np.ndarray, keys: np.ndarray, counts: np.ndarray, bits: int) -> bytes:
-    """One shard: header, then compressed sections with their lengths."""
+def to_file(ids: np.ndarray, keys: np.ndarray, counts: np.ndarray, bits: int, known: np.ndarray | None = None) -> bytes:
+    """One shard: header, then compressed sections with their lengths: document ids, whether each is known
+    (all of them by default), their numbers of ids, zeros of the planes, and planes with their rank directories."""
     matrix = WaveletMatrix.of(ids, bits)
+    known = np.ones(len(keys), np.uint8) if known is None else known.astype(np.uint8)
     squeeze = zstandard.ZstdCompressor(level=1).compress
-    parts = [keys.astype("<i8").tobytes(), counts.astype("<i8").tobytes(), np.array(matrix.zeros, "<i8").tobytes()]
+    parts = [keys.astype("<i8").tobytes(), known.tobytes(), counts.astype("<i8").tobytes(), np.array(matrix.zeros, "<i8").tobytes()]
     parts += [x.tobytes() for pair in zip(matrix.planes, matrix.ranks) for x in pair]
     parts = [squeeze(x) for x in parts]
     head = np.array([bits, matrix.n, len(keys), *map(len, parts)], "<i8")
     return MAGIC + head.tobytes() + b"".join(parts)
 
 
-def from_file(data: bytes) -> tuple[WaveletMatrix, np.ndarray, np.ndarray]:
-    """The matrix, the document ids and their numbers of ids."""
+def from_file(data: bytes) -> tuple[WaveletMatrix, np.ndarray, np.ndarray, np.ndarray]:
+    """The matrix, the document ids, whether each is known, and their numbers of ids. Planes stay compressed until they are asked for."""
     if data[:8] != MAGIC:
         raise ValueError("not a wavelet file")
     bits, n, _ = np.frombuffer(data, "<i8", 3, 8).tolist()
-    lengths = np.frombuffer(data, "<i8", 3 + 2 * bits, 32).tolist()
-    at, parts = 32 + 8 * len(lengths), []
-    for length in lengths:
-        parts.append(zstandard.ZstdDecompressor().decompress(data[at : at + length]))
-        at += length
-    planes = [np.frombuffer(x, np.uint8) for x in parts[3::2]]
-    ranks = [np.frombuffer(x, np.uint32) for x in parts[4::2]]
-    return WaveletMatrix(planes, ranks, np.frombuffer(parts[2], "<i8").tolist(), n), np.frombuffer(parts[0], "<i8"), np.frombuffer(parts[1], "<i8")
+    lengths = np.frombuffer(data, "<i8", 4 + 2 * bits, 32)
+    starts = 32 + 8 * len(lengths) + np.cumsum(lengths) - lengths
+    places, whole = list(zip(starts.tolist(), lengths.tolist())), memoryview(data)
+    keys, known, counts, zeros = (Sections(whole, [place], kind)[0] for place, kind in zip(places, ("<i8", "u1", "<i8", "<i8")))
+    matrix = WaveletMatrix(Sections(whole, places[4::2], "u1"), Sections(whole, places[5::2], "<u4"), zeros.tolist(), n)
+    return matrix, keys, known.astype(bool), counts
 
 
 class _Encoder:
@@ -266,21 +286,19 @@ def _writer(path: str, bits: int, end: int):
         held: list[tuple] = []
 
         def file() -> pa.RecordBatch:
-            ids, keys, counts = (np.concatenate(x) for x in zip(*held))
-            known = pa.array(keys[:1]) if not nulls[0] else pa.nulls(1, pa.int64())
+            ids, keys, known, counts = (np.concatenate(x) for x in zip(*held))
+            first = pa.array([int(keys[0]) if known[0] else None], pa.int64())
             return pa.RecordBatch.from_pydict(
-                {"part": pa.array([part], pa.int32()), "turn": pa.array([turn], pa.int32()), "first_key": known, "n_ids": pa.array([len(ids)], pa.int64()), "file": pa.array([to_file(ids, keys, counts, bits)], pa.binary())}
+                {"part": pa.array([part], pa.int32()), "turn": pa.array([turn], pa.int32()), "first_key": first, "n_ids": pa.array([len(ids)], pa.int64()), "file": pa.array([to_file(ids, keys, counts, bits, known)], pa.binary())}
             )
 
-        nulls = [False]
         for batch in batches:
             raw, offsets = text_bytes(batch.column(1))
             for a, b in slices(np.diff(offsets), BLOCK):
                 keys = batch.column(0).slice(a, b - a)
                 ids, counts = encode_block([x or "" for x in batch.column(1).slice(a, b - a).to_pylist()], encoder, end)
-                if not held:
-                    nulls[0] = keys[0].as_py() is None
-                held.append((ids.astype(np.uint16 if bits <= 16 else np.uint32), np.asarray(keys.fill_null(-(2**63))), counts))
+                known = np.asarray(keys.is_valid().to_numpy(zero_copy_only=False), bool)
+                held.append((ids.astype(np.uint16 if bits <= 16 else np.uint32), np.asarray(keys.fill_null(0)), known, counts))
                 have += len(ids)
                 if have >= SHARD:
                     yield file()
@@ -303,20 +321,21 @@ def write_tokens(df: DataFrame, path: str, key: str = "doc_id", text: str = "tex
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, turn, data in zip(*(batch.column(i) for i in range(3))):
-            matrix, keys, counts = from_file(data.as_py())
+            matrix, keys, known, counts = from_file(data.as_py())
             ids = matrix.tokens().astype("<u4")
             ends = np.cumsum(counts)
             raw = memoryview(ids).cast("B")
             crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip((ends - counts).tolist(), ends.tolist())]
             n = len(keys)
             yield pa.RecordBatch.from_pydict(
-                {"part": pa.array([part.as_py()] * n, pa.int32()), "turn": pa.array([turn.as_py()] * n, pa.int32()), "key": pa.array(keys, mask=keys == -(2**63)), "inside": pa.array(ends - counts), "n_tokens": pa.array(counts), "ids_crc32": pa.array(crc, pa.int64())}
+                {"part": pa.array([part.as_py()] * n, pa.int32()), "turn": pa.array([turn.as_py()] * n, pa.int32()), "key": pa.array(keys, mask=~known), "inside": pa.array(ends - counts), "n_tokens": pa.array(counts), "ids_crc32": pa.array(crc, pa.int64())}
             )
 
 
 def read_tokens(files: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, start, n_tokens, ids_crc32) of every document, from the files."""
+    # A row per file of millions of ids, so one task numbers them.
     order = Window.orderBy(F.col("first_key").asc_nulls_first(), "part", "turn").rowsBetween(Window.unboundedPreceding, -1)
-    before = files.select("part", "turn", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).alias("before"))  # a row per file
+    before = files.select("part", "turn", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).alias("before"))
     docs = files.select("part", "turn", "file").mapInArrow(tidy(_reader), "part int, turn int, key long, inside long, n_tokens long, ids_crc32 long")
     return docs.join(before, ["part", "turn"]).select(F.col("key").alias(key), (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
