@@ -1,9 +1,14 @@
 """Document fingerprints by content-defined chunking.
 
-A gear hash over the last 16 bytes places chunk borders, with a harder test before
+A gear hash over the last bytes places chunk borders, with a harder test before
 the normal chunk size and an easier one after it (normalised chunking). The
 fingerprint is the set of chunk digests with the bytes each stands for, so a
-shifted passage keeps its chunks; containment weighs shared chunks by their bytes.
+shifted passage keeps its chunks; containment weighs shared chunks by their bytes:
+the share of a fingerprint's bytes that stand in chunks of the other, too.
+
+Texts of up to ``SHORT`` bytes have a second set, of finer chunks, by which two
+short texts are compared; a short and a long text meet by the normal chunks. As
+text, a chunk takes 8 bytes in base64, about a fifth of the bytes that it stands for.
 
 ``with_next`` gives every document the next one in descending id order: ranges of
 ids, cut at quantiles, are sorted within their tasks, and the first document of a
@@ -11,14 +16,16 @@ range is sent to the range before as well. Whole texts are shuffled once.
 
 Cases: null text counts as empty; an empty text has an empty fingerprint, equal to
 another empty one (1.0) and unlike any other (0.0); equal ids follow each other by
-text; null ids come last; the only document is its own next; an empty table gives
-an empty result.
+text; null ids come last, by text; the only document is its own next; an empty table gives
+an empty result, which has no columns of the input but the key, so nothing can clash.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +34,23 @@ from pyspark.sql import functions as F
 
 from .common import random_words, segment_hashes, slices, tidy
 
-#: Bytes of a chunk: least, normal and most.
-LEAST, NORMAL, MOST = 16, 48, 192
-#: Bits that the gear hash must have at zero: before and after the normal size.
-HARD, EASY = 6, 4
-#: Bytes that the gear hash sees.
-SEEN = 16
+class Scale(NamedTuple):
+    """Bytes of a chunk (least, normal and most), bits that the gear hash must have at zero before
+    and after the normal size, and bytes that it sees."""
+
+    least: int
+    normal: int
+    most: int
+    hard: int
+    easy: int
+    seen: int
+
+
+COARSE, FINE = Scale(16, 48, 192, 6, 4, 16), Scale(4, 8, 32, 4, 2, 4)
+#: Bytes up to which a text has finer chunks as well.
+SHORT = 1024
+#: Bits of a digest; the other bits of a chunk's 64 hold bytes (a chunk of more has several entries).
+DIGEST = 40
 BLOCK = 2_000_000
 #: Ranges per task, so that tasks get about as many rows each.
 RANGES = 4
@@ -40,20 +58,20 @@ RANGES = 4
 ACCURACY = 100_000
 
 
-def gear(raw: np.ndarray) -> np.ndarray:
-    """Gear hash of the last ``SEEN`` bytes at every place: each byte's number, doubled per byte since."""
+def gear(raw: np.ndarray, seen: int) -> np.ndarray:
+    """Gear hash of the last ``seen`` bytes at every place: each byte's number, doubled per byte since."""
     now = (random_words(41, 256) >> np.uint64(32)).astype(np.uint32)[raw]
     span = 1
-    while span < SEEN:
+    while span < seen:
         now[span:] = now[span:] + (now[:-span] << np.uint32(span))
         span *= 2
     return now
 
 
-def borders(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def borders(raw: np.ndarray, offsets: np.ndarray, scale: Scale = COARSE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the chunks of all texts, and chunks per text."""
-    high = gear(raw) >> np.uint32(32 - HARD)
-    soft = np.flatnonzero(high >> np.uint32(HARD - EASY) == 0) + 1  # a border stands behind the byte
+    high = gear(raw, scale.seen) >> np.uint32(32 - scale.hard)
+    soft = np.flatnonzero(high >> np.uint32(scale.hard - scale.easy) == 0) + 1  # a border stands behind the byte
     hard = soft[high[soft - 1] == 0].tolist()
     soft = soft.tolist()
     starts, counts = [], []
@@ -63,9 +81,9 @@ def borders(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         before = len(starts)
         while a < b:
             starts.append(a)
-            if b - a <= LEAST:
+            if b - a <= scale.least:
                 break
-            least, normal, most = a + LEAST, a + NORMAL, a + MOST
+            least, normal, most = a + scale.least, a + scale.normal, a + scale.most
             while i < n_hard and hard[i] < least:
                 i += 1
             if i < n_hard and hard[i] <= normal:
@@ -85,35 +103,73 @@ def borders(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, counts
 
 
-def fingerprints(texts: list[bytes]) -> list[dict[int, int]]:
+def chunk_sets(texts: list[bytes], scale: Scale) -> list[dict[int, int]]:
     """Chunk digests of each text with the bytes they stand for."""
-    out: list[dict[int, int]] = []
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    if not len(raw):
+        return [{} for _ in texts]
+    starts, ends, counts = borders(raw, offsets, scale)
+    digests = (segment_hashes(raw, starts, ends, 43) >> np.uint64(64 - DIGEST)).tolist()
+    lengths, out, at = (ends - starts).tolist(), [], 0
+    for n in counts.tolist():
+        chunks: dict[int, int] = {}
+        for d, length in zip(digests[at : at + n], lengths[at : at + n]):
+            chunks[d] = chunks.get(d, 0) + length
+        out.append(chunks)
+        at += n
+    return out
+
+
+class Fingerprint(NamedTuple):
+    """Bytes by chunk digest: of normal chunks, and of finer ones where the text is short."""
+
+    coarse: dict[int, int]
+    fine: dict[int, int] | None
+
+
+def fingerprints(texts: list[bytes]) -> list[Fingerprint]:
+    """The fingerprint of every text."""
+    out: list[Fingerprint] = []
     for x, y in slices(np.array([len(t) for t in texts], np.int64), BLOCK):
         part = texts[x:y]
-        raw = np.frombuffer(b"".join(part), np.uint8)
-        offsets = np.concatenate([[0], np.cumsum([len(t) for t in part])]).astype(np.int64)
-        starts, ends, counts = borders(raw, offsets) if len(raw) else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(part), np.int64))
-        digests, lengths, at = segment_hashes(raw, starts, ends, 43).tolist(), (ends - starts).tolist(), 0
-        for n in counts.tolist():
-            chunks: dict[int, int] = {}
-            for d, length in zip(digests[at : at + n], lengths[at : at + n]):
-                chunks[d] = chunks.get(d, 0) + length
-            out.append(chunks)
-            at += n
+        short = [i for i, t in enumerate(part) if len(t) <= SHORT]
+        fine = dict(zip(short, chunk_sets([part[i] for i in short], FINE)))
+        out += [Fingerprint(chunks, fine.get(i)) for i, chunks in enumerate(chunk_sets(part, COARSE))]
     return out
 
 
-def containment(a: dict[int, int], b: dict[int, int]) -> float:
-    """The share of the larger fingerprint's bytes that stand in chunks of both."""
-    if not a or not b:
-        return float(not a and not b)
-    shared = sum(min(n, b[d]) for d, n in a.items() if d in b)
-    return shared / max(sum(a.values()), sum(b.values()))
+def containment(a: Fingerprint, b: Fingerprint) -> float:
+    """The share of ``a``'s bytes that stand in chunks of ``b`` as well."""
+    own, other = (a.coarse, b.coarse) if a.fine is None or b.fine is None else (a.fine, b.fine)
+    if not own or not other:
+        return float(not own and not other)
+    return sum(min(n, other[d]) for d, n in own.items() if d in other) / sum(own.values())
+
+
+def _written(chunks: dict[int, int]) -> str:
+    most = (1 << 64 - DIGEST) - 1
+    entries = [d << 64 - DIGEST | part for d, n in sorted(chunks.items()) for part in [most] * (n // most) + [n % most] if part]
+    return base64.b64encode(np.array(entries, "<u8").tobytes()).decode()
+
+
+def written(mark: Fingerprint) -> str:
+    """A fingerprint as text: base64 of digest and bytes of each chunk, ascending; finer chunks behind a dot."""
+    return _written(mark.coarse) + ("" if mark.fine is None else "." + _written(mark.fine))
+
+
+def read(text: str) -> Fingerprint:
+    """The fingerprint that ``written`` gave."""
 
+    def chunks(part: str) -> dict[int, int]:
+        out: dict[int, int] = {}
+        for x in np.frombuffer(base64.b64decode(part), "<u8").tolist():
+            d = x >> 64 - DIGEST
+            out[d] = out.get(d, 0) + (x & (1 << 64 - DIGEST) - 1)
+        return out
 
-def written(chunks: dict[int, int]) -> str:
-    """A fingerprint as text: digest and bytes of each chunk, ascending."""
-    return " ".join([f"{d:016x}:{n}" for d, n in sorted(chunks.items())])
+    coarse, dot, fine = text.partition(".")
+    return Fingerprint(chunks(coarse), chunks(fine) if dot else None)
 
 
 def edited(text: str, following: str) -> str:
