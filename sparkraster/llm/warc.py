@@ -11,10 +11,13 @@ find them, in salted groups; pages are shuffled once, by id, to meet the result.
 Bundles are rows of a Parquet table in the shared folder: Spark's commit makes a
 retried task's bundles replace, not repeat, a lost task's.
 
+``find_records`` seeks single records by page id: the index gives bundle, frame and
+offset, and only those frames are opened.
+
 Cases: null html is an empty payload; null urls write no target; null ids are never
-revisits and refer to nothing; of rows with the same id each is written, and the
-first of them may be a revisit of itself's id only through another id; an empty
-table has no bundles and an empty result.
+revisits and refer to nothing; rows with the same id are written each, and are
+revisits only of a smaller id; an empty table has no bundles and an empty result,
+which has no columns of the input, so nothing can clash.
 """
 
 from __future__ import annotations
@@ -185,3 +188,31 @@ def read_warc(bundles: DataFrame) -> DataFrame:
     return bundles.select("name", "data", "records").mapInArrow(
         tidy(_reader), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, bundle string, frame int, offset int"
     )
+
+
+def record_index(bundles: DataFrame) -> DataFrame:
+    """(page_id, name, frame, offset): where every record stands. Bundles' data aren't read."""
+    return bundles.select("name", F.explode("records").alias("at")).select("at.page_id", "name", "at.frame", "at.offset")
+
+
+def _picker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for data, places in zip(batch.column(0), batch.column(1)):
+            data, open_ = data.as_py(), {}
+            for place in places.as_py():
+                if place["frame"] not in open_:
+                    open_ = {place["frame"]: read_frame(data, place["frame"])}
+                headers, block, _ = parse(open_[place["frame"]], place["offset"])
+                refers = headers.get("WARC-Refers-To")
+                rows.append({"page_id": place["page_id"], "record_type": headers["WARC-Type"], "refers_to": int(refers[10:-1]) if refers else None, "payload": None if refers else block.split(b"\r\n\r\n", 1)[1]})
+        kinds = pa.schema([("page_id", pa.int64()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
+        yield pa.RecordBatch.from_pylist(rows, kinds)
+
+
+def find_records(bundles: DataFrame, ids: DataFrame, key: str = "page_id") -> DataFrame:
+    """(page_id, record_type, refers_to, payload) of the wanted ids: only their frames are decompressed; a revisit has no payload."""
+    wanted = record_index(bundles).join(ids.select(F.col(key).cast("long").alias("page_id")).distinct(), "page_id", "left_semi")
+    places = F.array_sort(F.collect_list(F.struct("frame", "offset", "page_id"))).alias("places")  # of one bundle: bounded by its bytes
+    found = bundles.select("name", "data").join(wanted.groupBy("name").agg(places), "name")
+    return found.select("data", "places").mapInArrow(tidy(_picker), "page_id long, record_type string, refers_to long, payload binary")
