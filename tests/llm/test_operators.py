@@ -5,6 +5,7 @@ import hashlib
 import random
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -88,8 +89,8 @@ def test_wavelet_matrix_answers():
     rng = np.random.default_rng(1)
     for n in (0, 1, 7, 513, 3000):
         ids = rng.integers(0, 60, n).astype(np.uint32) * 700
-        matrix, keys, counts = wavelet.from_file(wavelet.to_file(ids, np.arange(2), np.array([n, 0]), 16))
-        assert (matrix.tokens() == ids).all() and keys.tolist() == [0, 1] and counts.tolist() == [n, 0]
+        matrix, keys, known, counts = wavelet.from_file(wavelet.to_file(ids, np.arange(2), np.array([n, 0]), 16))
+        assert not matrix.planes.open and (matrix.tokens() == ids).all() and known.all() and keys.tolist() == [0, 1] and counts.tolist() == [n, 0]
         for i in range(0, n, 97):
             assert matrix.access(i) == ids[i] and matrix.rank(int(ids[i]), i) == (ids[:i] == ids[i]).sum()
         for t in (0, 700, 1400, 50000):
@@ -97,13 +98,26 @@ def test_wavelet_matrix_answers():
             assert matrix.count(t) == len(places) and [matrix.select(t, k) for k in range(len(places))] == places.tolist()
 
 
-def test_token_files_equal_the_library(spark, docs, rows, monkeypatch):
+@pytest.mark.parametrize("shard", [8_000_000, 500])
+def test_token_files_equal_the_library(spark, docs, rows, shard):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokens.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
-    got = by_id(wavelet.read_tokens(wavelet.write_tokens(docs, tokens.path("byte_bpe_50k.json"))))
-    start = 0
+    wavelet.SHARD, before = shard, wavelet.SHARD  # travels with the function of each task
+    try:
+        write = wavelet._writer
+        files = docs.select(F.col("doc_id").alias("key"), "text").repartitionByRange(4, "key").sortWithinPartitions("key", "text")
+
+        def small(batches):
+            wavelet.SHARD = shard
+            wavelet.BLOCK = min(shard, 4_000_000)
+            yield from write(tokens.path("byte_bpe_50k.json"), 16, 0)(batches)
+
+        files = common.stored(files.mapInArrow(small, "part int, turn int, first_key long, n_ids long, file binary"), "files")
+    finally:
+        wavelet.SHARD = before
+    assert files.count() > (10 if shard == 500 else 0)
+    got, start = by_id(wavelet.read_tokens(files)), 0
     for doc_id, text, *_ in sorted(rows):
         ids = [*library.encode(text or "", add_special_tokens=False).ids, 0]
         r = got[doc_id]
@@ -177,6 +191,69 @@ def test_near_duplicates_equal_brute_force(spark, docs, rows, words, percent):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_an_id_with_several_texts_keeps_its_rows(spark):
+    rng = random.Random(4)
+    base = sentence(rng, 60)
+    made = [(5, base), (5, "quite another text of some words"), (5, None), (7, base + " more"), (7, base + " more"), (None, base), (None, base), (2, "x y z"), (9, base)]
+    for rows in (made, [r for r in made if r[0] != 9]):
+        got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), words=3, percent=85).collect()
+        assert sorted((str(r["doc_id"]), r["text"] or "", r["n_shingles"]) for r in got) == sorted((str(i), t or "", len(shingles(t, 3))) for i, t in rows)
+        assert {r["component_id"] for r in got if r["doc_id"] is None} == {None} and all(r["kept"] for r in got if r["doc_id"] is None)
+        assert len({r["component_id"] for r in got if r["doc_id"] == 5}) == 1
+
+
+def test_a_hub_is_dealt_to_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "HELD", 3)
+    rng, base = random.Random(8), [f"w{i}" for i in range(200)]
+    made = []
+    for i in range(60):
+        words = list(base)
+        for k in rng.sample(range(200), rng.randrange(6)):
+            words[k] = f"n{rng.randrange(10**6)}"
+        made.append((i, " ".join(words)))
+    got = by_id(minhash.near_duplicates(spark.createDataFrame(made, "doc_id long, text string").repartition(5), words=3, percent=85))
+    sets, root = {i: shingles(t, 3) for i, t in made}, {i: i for i, _ in made}
+    for _ in made:  # labels spread until they rest
+        for i in sets:
+            for j in sets:
+                if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                    root[i] = min(root[i], root[j])
+    assert {i: got[i]["component_id"] for i in sets} == root
+
+
+CLASHES = ("_id", "id", "_longest", "_ahead", "ahead", "_s", "_letters", "letters", "size", "rank", "mark", "norm", "salt", "tag", "part", "name", "none", "at", "virtual_slot", "row", "a", "b", "n", "component", "in_0", "with space", "do.t")
+OPERATORS = {
+    "sharding": lambda df: sharding.shard_by_bytes(df, 3, slots=16),
+    "bpe": lambda df: bpe.encode_decode(df, tokens.path("byte_bpe_50k.tiktoken"), tokens.PATTERN),
+    "exact_dedup": exact_dedup.exact_dedup,
+    "langid": lambda df: langid.predict(df, langid.train(df)),
+    "wavelet": lambda df: wavelet.read_tokens(wavelet.write_tokens(df, tokens.path("byte_bpe_50k.json"))),
+    "minhash": minhash.near_duplicates,
+    "mixing": mixing.mix,
+    "fingerprint": fingerprint.fingerprint_edits,
+    "warc": lambda df: warc.read_warc(warc.write_warc(df, "doc_id", "source", "text")),
+    "html": lambda df: htmlext.extract(df, "doc_id", "source", "text"),
+}
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_clashing_names_null_ids_repeated_rows_and_empty_tables(spark, name):
+    made = [(1, "some text here", "en", "s"), (1, "some text here", "en", "s"), (None, "other", "fr", None), (None, None, None, None), (None, "other", "fr", None), (-(2**63), "lowest", "en", "s"), (2**63 - 1, "highest", "en", "s"), (4, "", "fr", "t"), (4, "unlike", "fr", "t")]
+    df = spark.createDataFrame(made, "doc_id long, text string, lang string, source string").repartition(2)
+    plain = OPERATORS[name](df)
+    clashing = OPERATORS[name](df.withColumns({c: F.lit("mine") for c in CLASHES}))
+    assert plain.count() == len(made)
+    found = [c for c in plain.columns if c not in ("size", "virtual_slot", "text", "bundle", "frame", "offset")] if name != "sharding" else ["doc_id", "size", "shard", "slot"]
+    assert sorted(map(str, clashing.select(*found).collect())) == sorted(map(str, plain.select(*found).collect()))
+    own = {"sharding": {"size", "virtual_slot"}, "mixing": {"size"}}.get(name, set())
+    if len(clashing.columns) > 20:
+        left = [c for c in CLASHES if c not in own]
+        assert set(left) <= set(clashing.columns) and {tuple(r) for r in clashing.select(*[f"`{c}`" for c in left]).collect()} == {("mine",) * len(left)}
+    assert OPERATORS[name](df.limit(0)).count() == 0
+    keys = sorted(str(r[0]) for r in plain.select(next(c for c in ("doc_id", "page_id") if c in plain.columns)).collect())
+    assert keys == sorted(str(r[0]) for r in made)
+
+
 def test_mixing_stays_near_its_targets(spark, docs, rows):
     got = mixing.mix(docs.withColumn("taken", F.lit("clash"))).collect()
     assert {(r["doc_id"], r["taken"]) for r in mixing.mix(docs.repartition(7)).collect()} == {(r["doc_id"], r["taken"]) for r in got}
@@ -252,19 +329,63 @@ def test_language_codes_and_held_out_accuracy(spark):
     assert by_id(langid.predict(df, one))[1]["lang_pred"] == "aa"
 
 
-def test_fingerprints_follow_their_chunks(spark, docs, rows):
+def cut_bytes(text, scale):
+    """Chunks of one text, byte by byte."""
+    table = [int(x) >> 32 for x in common.random_words(41, 256)]
+    out, a = [], 0
+    while a < len(text):
+        end = min(len(text), a + scale.most)
+        for i in range(a + scale.least, end):  # a border may stand before byte i
+            seen = text[max(0, i - scale.seen) : i]
+            value = sum(table[c] << (len(seen) - 1 - k) for k, c in enumerate(seen)) & 0xFFFFFFFF
+            bits = scale.hard if i - a <= scale.normal else scale.easy
+            if value >> 32 - bits == 0:
+                end = i
+                break
+        out.append(text[a:end])
+        a = end
+    return out
+
+
+def shared_bytes(one, other):
+    """The share of the bytes of ``one`` whose chunks ``other`` has, too."""
+    scale = fingerprint.FINE if max(len(one), len(other)) <= fingerprint.SHORT else fingerprint.COARSE
+    own, theirs = Counter(), Counter()
+    for counts, text in ((own, one), (theirs, other)):
+        for chunk in cut_bytes(text, scale):
+            counts[chunk] += len(chunk)
+    return sum(min(n, theirs[c]) for c, n in own.items()) / sum(own.values()) if own and theirs else float(not own and not theirs)
+
+
+def test_chunks_are_those_of_a_loop_over_bytes():
+    rng = random.Random(9)
+    texts = [b"", b"a", b"x" * 700, sentence(rng, 300).encode(), "é中😀 ".encode() * 90] + [bytes(rng.randrange(256) for _ in range(rng.randrange(400))) for _ in range(30)]
+    for scale in (fingerprint.COARSE, fingerprint.FINE):
+        raw, offsets = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        starts, ends, counts = fingerprint.borders(raw, offsets, scale)
+        # A gear hash sees the text before, too: no border depends on it beyond the bytes that it sees.
+        alone = [fingerprint.borders(np.frombuffer(t, np.uint8), np.array([0, len(t)]), scale) for t in texts if t]
+        assert [e - s for s, e in zip(starts, ends)] == [e - s for x in alone for s, e in zip(x[0], x[1])] or scale.seen > scale.least
+        for t, (s, e, n) in zip([t for t in texts if t], alone):
+            assert [t[a:b] for a, b in zip(s, e)] == cut_bytes(t, scale)
+
+
+def test_fingerprints_equal_brute_force(spark, docs, rows):
     got = by_id(fingerprint.fingerprint_edits(docs))
     ordered = sorted(rows, key=lambda r: -r[0])
+    by_text = {}
     for (doc_id, text, *_), (_, following, *_) in zip(ordered, ordered[1:] + ordered[:1]):
-        text, r = text or "", got[doc_id]
-        changed = fingerprint.edited(text, following or "")
-        own, other, third = fingerprint.fingerprints([text.encode(), changed.encode(), (following or "").encode()])
+        text, following, r = text or "", following or "", got[doc_id]
+        n = len(text) // 3
+        changed = text[: len(text) - n] + following[:n]
         assert (r["n_chars"], r["edited_sha256"]) == (len(text), hashlib.sha256(changed.encode()).hexdigest())
-        assert (r["fingerprint"], r["edited_fingerprint"]) == (fingerprint.written(own), fingerprint.written(other))
-        assert (r["near_edited"], r["near_next"]) == (fingerprint.containment(own, other), fingerprint.containment(own, third))
-        assert sum(own.values()) == len(text.encode())
+        assert r["near_edited"] == pytest.approx(shared_bytes(text.encode(), changed.encode()))
+        assert r["near_next"] == pytest.approx(shared_bytes(text.encode(), following.encode()))
+        own, other = fingerprint.read(r["fingerprint"]), fingerprint.read(r["edited_fingerprint"])
+        assert r["near_edited"] == fingerprint.containment(own, other) and sum(own.coarse.values()) == len(text.encode())
+        assert by_text.setdefault(text, r["fingerprint"]) == r["fingerprint"]
     long = got[rows[7][0]]
-    assert 0.6 < long["near_edited"] < 0.72 and long["near_next"] == 0
+    assert 0.6 < long["near_edited"] < 0.72 and long["near_next"] == 0 and len(long["fingerprint"]) < 0.3 * long["n_chars"]
     shifted = fingerprint.fingerprints([rows[7][1].encode(), b"some words before " + rows[7][1].encode()])
     assert fingerprint.containment(*shifted) > 0.99
     alone = fingerprint.fingerprint_edits(docs.limit(1)).first()
@@ -274,6 +395,14 @@ def test_fingerprints_follow_their_chunks(spark, docs, rows):
     assert fingerprint.fingerprint_edits(with_null).count() == 4
 
 
+def test_short_texts_keep_what_an_edit_leaves(spark):
+    rng = random.Random(2)
+    made = [(i, sentence(rng, 6)[:40]) for i in range(40)]
+    got = fingerprint.fingerprint_edits(spark.createDataFrame(made, "doc_id long, text string").repartition(3)).collect()
+    assert np.mean([r["near_edited"] for r in got]) > 0.5 and min(r["near_edited"] for r in got) > 0.2
+    assert np.mean([r["near_next"] for r in got]) < 0.2
+
+
 def test_archives_can_be_sought_and_read_whole(spark):
     import zstandard
 
@@ -296,6 +425,9 @@ def test_archives_can_be_sought_and_read_whole(spark):
             assert headers["WARC-Record-ID"] == f"<urn:page:{place['page_id']}>"
             if headers["WARC-Type"] == "response":
                 assert hashlib.sha256(block.split(b"\r\n\r\n", 1)[1]).hexdigest() == got[place["page_id"]]["payload_digest"]
+    sought = by_id(warc.find_records(bundles, spark.createDataFrame([(5,), (8,), (3,), (99,), (5,)], "page_id long")), "page_id")
+    assert sorted(sought) == [3, 5, 8] and sought[5]["refers_to"] == 2 and sought[5]["payload"] is None
+    assert (bytes(sought[8]["payload"]), bytes(sought[3]["payload"])) == (("é" * 400_000).encode(), b"short")
     assert warc.read_warc(warc.write_warc(df.limit(0))).count() == 0
 
 
