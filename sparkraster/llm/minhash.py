@@ -177,16 +177,25 @@ def _confirmed(words: int):
     return run
 
 
+def counted(pairs: DataFrame, name: str) -> DataFrame:
+    """``pairs`` (a, b), written, with ``members``, the number of pairs of each ``a``.
+
+    Pairs and counts are both read from files when they meet, so that Spark can split a hot ``a``.
+    """
+    pairs = stored(pairs, name)
+    return pairs.join(stored(pairs.groupBy("a").agg(F.count("*").alias("members")), f"{name}-counts"), "a")
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
-    """(a, b) to (a, b, n_a, n_b, common, extra, present): sizes of the full sets and of their
+    """(a, b, members) to (a, b, n_a, n_b, common, extra, present): sizes of the full sets and of their
     intersection, short hashes of b's shingles that a lacks, and a bit for each of a's that b has.
 
     ``chosen`` has the mark of the text that stands for each id. Texts are shuffled once to find their
     pairs; an ``a`` with many of them is dealt to as many tasks as keep ``HELD`` pairs in each.
     """
-    tasks = pairs.groupBy("a").agg(F.ceil(F.count("*") / HELD).cast("int").alias("tasks"))
-    held = pairs.join(tasks, "a").select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), F.col("tasks")).cast("int").alias("task"), "b")
-    own = tasks.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"), F.lit(None).cast("long").alias("b"))
+    pairs = pairs.select("a", "b", F.ceil(F.col("members") / HELD).cast("int").alias("tasks"))
+    held = pairs.select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), F.col("tasks")).cast("int").alias("task"), "b")
+    own = pairs.select("a", "tasks").distinct().select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"), F.lit(None).cast("long").alias("b"))
     wanted = held.unionByName(own).join(chosen, "id")
     rows = texts.join(wanted, ["id", "mark"]).select("a", "task", "b", "text")
     rows = rows.repartition("a", "task").sortWithinPartitions("a", "task", F.asc_nulls_first("b"))
@@ -234,18 +243,18 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     classes = stored(classes, "classes")
     chosen = classes.select("id", "mark")
     heads = signed.join(classes.where("id = class").select("id", "mark"), ["id", "mark"], "left_semi").dropDuplicates(["id"])
-    pairs = bucket_pairs(heads)
-    sides = heads.select("id", "n", "sketch")
+    pairs = counted(bucket_pairs(heads), "buckets")
+    sides = stored(heads.select("id", "n", "sketch"), "sides")
 
     def side(name: str) -> DataFrame:
         return sides.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"sketch_{name}"))
 
     pairs = pairs.join(side("b"), "b").join(side("a"), "a")
     # What these tests exclude can't be a link. Where ``a`` has other members its overlap is still wanted below.
-    several = pairs.groupBy("a").agg((F.count("*") > 1).alias("several"))
-    pairs = pairs.withColumn("possible", _possible("a", "b", percent)).join(several, "a").where("possible or several")
-    pairs = stored(pairs.select("a", "b", "n_b", "sketch_b", "several"), "pairs")
-    held = stored(confirmed(pairs.select("a", "b"), texts, chosen, words), "held")
+    several = F.col("members") > 1
+    pairs = pairs.where(_possible("a", "b", percent) | several).select("a", "b", "members", "n_b", "sketch_b", several.alias("several"))
+    pairs = stored(pairs, "pairs")
+    held = stored(confirmed(pairs, texts, chosen, words), "held")
     links = held.where(_near("common", "n_a", "n_b", percent)).select("a", "b")
     found = stored(components(links), "components")
 
@@ -276,7 +285,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     test = F.expr("label_x != label_y") & bound & _possible("x", "y", percent) & overlap
     rest = outer.join(inner, (outer["a"] == inner["a"]) & (outer["class"] == inner["class"]) & test)
     rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = confirmed(stored(rest, "rest"), texts, chosen, words).where(_near("common", "n_a", "n_b", percent)).select("a", "b")
+    more = confirmed(counted(rest, "rest"), texts, chosen, words).where(_near("common", "n_a", "n_b", percent)).select("a", "b")
     more = labelled(labelled(more, "a", "la"), "b", "lb").select(F.col("la").alias("a"), F.col("lb").alias("b"))
     joined = components(more).select(F.col("node").alias("component"), F.col("component").alias("joined"))
 
