@@ -7,8 +7,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The ellipsoid, the scale and the false easting.
-A, FLAT, SCALE, EASTING = 6378137.0, 1 / 298.257223563, 0.9996, 500000.0
+# The ellipsoid, the scale and the false easting and (south) northing.
+A, FLAT, SCALE, EASTING, NORTHING = 6378137.0, 1 / 298.257223563, 0.9996, 500000.0, 10_000_000.0
 N = FLAT / (2 - FLAT)
 RADIUS = A / (1 + N) * (1 + N**2 / 4 + N**4 / 64)
 ALPHA = (N / 2 - 2 * N**2 / 3 + 5 * N**3 / 16 + 41 * N**4 / 180, 13 * N**2 / 48 - 3 * N**3 / 5 + 557 * N**4 / 1440, 61 * N**3 / 240 - 103 * N**4 / 140, 49561 * N**4 / 161280)
@@ -16,8 +16,9 @@ BETA = (N / 2 - 2 * N**2 / 3 + 37 * N**3 / 96 - N**4 / 360, N**2 / 48 + N**3 / 1
 ECC = math.sqrt(FLAT * (2 - FLAT))
 
 
-def to_utm(lon: Column, lat: Column, zone: Column) -> Column:
-    """(x, y) in metres of longitude and latitude in degrees, northern false origin."""
+def to_utm(lon: Column, lat: Column, zone: Column, south: Column | None = None) -> Column:
+    """(x, y) in metres of longitude and latitude in degrees, in a northern zone or where ``south`` in a southern one."""
+    origin = F.lit(0.0) if south is None else F.when(south, NORTHING).otherwise(0.0)
     lam = F.radians(lon - (zone * 6 - 183))
     sin = F.sin(F.radians(lat))
     t = F.sinh(F.atanh(sin) - ECC * F.atanh(ECC * sin))
@@ -26,12 +27,13 @@ def to_utm(lon: Column, lat: Column, zone: Column) -> Column:
     for j, a in enumerate(ALPHA, 1):
         x = x + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
         y = y + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    return F.struct((EASTING + SCALE * RADIUS * x).alias("x"), (SCALE * RADIUS * y).alias("y"))
+    return F.struct((EASTING + SCALE * RADIUS * x).alias("x"), (origin + SCALE * RADIUS * y).alias("y"))
 
 
-def from_utm(x: Column, y: Column, zone: Column) -> Column:
+def from_utm(x: Column, y: Column, zone: Column, south: Column | None = None) -> Column:
     """(lon, lat) in degrees of metres."""
-    xi, eta = y / (SCALE * RADIUS), (x - EASTING) / (SCALE * RADIUS)
+    origin = F.lit(0.0) if south is None else F.when(south, NORTHING).otherwise(0.0)
+    xi, eta = (y - origin) / (SCALE * RADIUS), (x - EASTING) / (SCALE * RADIUS)
     xi1, eta1 = xi, eta
     for j, b in enumerate(BETA, 1):
         xi1 = xi1 - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)

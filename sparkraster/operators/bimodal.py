@@ -58,10 +58,47 @@ def least_squares(x: np.ndarray, y: np.ndarray, start: np.ndarray, low: np.ndarr
     return p, error
 
 
+def dividers(y: np.ndarray, parts: int) -> list[int]:
+    """Ends of the parts of a histogram with the most variance between them, parts of equal weight where it has too few bins in use."""
+    used = np.flatnonzero(y)
+    if len(used) < parts:
+        cumulated = np.cumsum(y) / y.sum()
+        return [int(np.searchsorted(cumulated, (i + 1) / parts)) for i in range(parts - 1)]
+    x = np.arange(len(y), dtype=float)
+    n, s = np.concatenate([[0], np.cumsum(y)]), np.concatenate([[0], np.cumsum(y * x)])
+
+    def score(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Of the bins [a, b): squared sum by weight."""
+        weight = n[b] - n[a]
+        return np.divide((s[b] - s[a]) ** 2, weight, out=np.full(np.broadcast(a, b).shape, -np.inf), where=weight > 0)
+
+    edges, end = np.arange(len(y) + 1), np.array(len(y))
+    if parts == 2:
+        return [int(np.argmax(score(np.array(0), edges) + score(edges, end))) - 1]
+    i, j = edges[:, None], edges[None, :]
+    both = np.where(i < j, score(np.zeros_like(i), i) + score(np.minimum(i, j), np.maximum(i, j)) + score(j, np.full_like(j, len(y))), -np.inf)
+    low, high = np.unravel_index(int(np.argmax(both)), both.shape)
+    return [int(low) - 1, int(high) - 1]
+
+
+def start_values(x: np.ndarray, y: np.ndarray, modes: int, step: float) -> np.ndarray:
+    """Mean, deviation and height of each part between the dividers; a part without weight takes the whole's."""
+    ends = [-1, *dividers(y, modes), len(y) - 1]
+    start = []
+    for a, b in zip(ends, ends[1:]):
+        w = np.zeros_like(y)
+        w[a + 1 : b + 1] = y[a + 1 : b + 1]
+        w = w if w.sum() else y
+        mean = (w * x).sum() / w.sum()
+        start += [mean, max(np.sqrt((w * (x - mean) ** 2).sum() / w.sum()), step), max(y[np.abs(x - mean).argmin()], 1e-4)]
+    return np.array(start)
+
+
 def fit(bins: DataFrame, keys: list[str], low: float, high: float, n: int, modes: int = 2) -> DataFrame:
     """(keys, mu1, sd1, amp1, .., fitted, error): modes by ascending mean, fitted to the bins' shares.
 
-    Starts from the parts of the histogram between equal-variance dividers; a group of fewer than 3 cells isn't fitted.
+    Starts from the parts of the histogram between the dividers of most variance; a group of fewer than 3 cells isn't
+    fitted. Only the bins of a group are in Python, however many cells it has.
     """
     step = (high - low) / n
     names = [f"{c}{i + 1}" for i in range(modes) for c in ("mu", "sd", "amp")]
@@ -70,19 +107,11 @@ def fit(bins: DataFrame, keys: list[str], low: float, high: float, n: int, modes
         y = np.zeros(n)
         y[frame["bin"].to_numpy(int)] = frame["n"].to_numpy(float)
         total = y.sum()
-        x = low + (np.arange(n) + 0.5) * step
         row = {k: [frame[k].iloc[0]] for k in keys}
         if total < 3:
             return pd.DataFrame(row | {c: [None] for c in names} | {"fitted": [False], "error": [None]}).astype({c: "float64" for c in [*names, "error"]})
-        y = y / total
-        centres = np.quantile(np.repeat(x, np.round(y * total).astype(int)), (np.arange(modes) + 0.5) / modes)
-        nearest = np.abs(x[:, None] - centres[None]).argmin(axis=1)
-        start = []
-        for i in range(modes):
-            w = y * (nearest == i)
-            mean = (w * x).sum() / w.sum() if w.sum() else centres[i]
-            start += [mean, max(np.sqrt((w * (x - mean) ** 2).sum() / w.sum()) if w.sum() else 1.0, step), max(y[np.abs(x - mean).argmin()], 1e-4)]
-        p, error = least_squares(x, y, np.array(start), np.tile(LOWEST, modes), np.tile(HIGHEST, modes))
+        y, x = y / total, low + (np.arange(n) + 0.5) * step
+        p, error = least_squares(x, y, start_values(x, y, modes, step), np.tile(LOWEST, modes), np.tile(HIGHEST, modes))
         p = p.reshape(-1, 3)[np.argsort(p.reshape(-1, 3)[:, 0], kind="stable")].ravel()
         return pd.DataFrame(row | {c: [float(v)] for c, v in zip(names, p)} | {"fitted": [True], "error": [error]})
 
@@ -91,6 +120,17 @@ def fit(bins: DataFrame, keys: list[str], low: float, high: float, n: int, modes
     return histogram_apply(bins.select(*keys, "bin", "n"), keys, run, schema)
 
 
+def valley_mode(modes: DataFrame, keys: list[str], low: float, high: float, n: int, share: float = 0.03) -> DataFrame:
+    """(keys, valley): the last bin between the peaks and below the threshold up to which less than ``share`` of the second
+    mode lies, else the lower peak. ``modes`` has keys, low_peak, high_peak, threshold, and mu, sd and amp of the second mode."""
+    step = (high - low) / n
+    bins = modes.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn("x", F.lit(low) + (F.col("bin") + 0.5) * step)
+    bins = bins.withColumn("g", gaussian("x", F.col("mu"), F.col("sd"), F.col("amp")))
+    upto = F.sum("g").over(hist.prefix(keys)) / F.sum("g").over(Window.partitionBy(*keys))
+    fits = (F.col("x") > F.col("low_peak")) & (F.col("x") < F.col("high_peak")) & (F.col("x") < F.col("threshold")) & (F.col("upto") < share)
+    return bins.withColumn("upto", upto).groupBy(*keys).agg(F.coalesce(F.max(F.when(fits, F.col("x"))), F.max("low_peak")).alias("valley"))
+
+
 def coefficient(value: str) -> Column:
     """Bimodality coefficient from population moments, corrected for the sample size."""
     n = F.count(value)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Tags that may differ between runs.
@@ -22,11 +22,17 @@ def first_difference(diff: DataFrame, keys: list[str]) -> DataFrame:
     return diff.agg(F.min(F.struct(*keys, "left_value", "right_value")).alias("first"), F.count("*").alias("n")).select("first.*", "n").where("n > 0")
 
 
-def tag_differences(left: DataFrame, right: DataFrame, skip: tuple[str, ...] = VOLATILE, lists: tuple[str, ...] = ()) -> DataFrame:
-    """Tags (key, value) on one side only or with other values; list tags compare sorted."""
+def tag_differences(left: DataFrame, right: DataFrame, skip: Column | tuple[str, ...] = VOLATILE, lists: Column | tuple[str, ...] = ()) -> DataFrame:
+    """Tags (key, value) on one side only or with other values; list tags compare sorted.
+
+    ``skip`` and ``lists`` are keys, or conditions on the key.
+    """
+
+    def test(which: Column | tuple[str, ...]) -> Column:
+        return which if isinstance(which, Column) else F.col("key").isin(*which) if which else F.lit(False)
 
     def plain(tags: DataFrame, name: str) -> DataFrame:
         ordered = F.concat_ws(", ", F.array_sort(F.split("value", ", *")))
-        return tags.where(~F.col("key").isin(*skip)).select("key", F.when(F.col("key").isin(*lists) if lists else F.lit(False), ordered).otherwise(F.col("value")).alias(name))
+        return tags.where(~test(skip)).select("key", F.when(test(lists), ordered).otherwise(F.col("value")).alias(name))
 
     return plain(left, "left_value").join(plain(right, "right_value"), "key", "full_outer").where(~F.col("left_value").eqNullSafe(F.col("right_value")))

@@ -1,55 +1,108 @@
 """Connected components of masks, and what is known of each.
 
-Lines are cut into runs first, so the graph has a node per run and an edge per
-touching pair of runs in neighbouring lines. Smallest labels spread over the edges
-with pointer jumping; every round is written to the shared folder.
+Square tiles are labelled first, each within one task, from the runs of its lines. What
+is left is a graph with a node per tile's component and an edge per touching pair at a
+tile's border. Smallest labels spread over it with pointer jumping; every round is
+written to the shared folder. Components that touch no border take no part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .morph import FOUR, kept, moved
 
+#: Lines and columns of a tile.
+TILE = 512
 
-def runs(mask: DataFrame, group: list[str]) -> DataFrame:
-    """(group, row, run, first, last): maximal runs of neighbouring cells in a line; run is a unique number."""
-    order = Window.partitionBy(*group, "row").orderBy("col")
-    island = F.col("col") - F.row_number().over(order)
-    out = mask.select(*group, "row", "col").distinct().withColumn("_i", island).groupBy(*group, "row", "_i").agg(F.min("col").alias("first"), F.max("col").alias("last")).drop("_i")
-    return out.withColumn("run", F.struct(*group, "row", "first"))
+
+def _joined(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The least number that each of ``n`` nodes is linked with by the edges (a, b)."""
+    label = np.arange(n)
+    while True:
+        la, lb = label[a], label[b]
+        if np.array_equal(la, lb):
+            return label
+        np.minimum.at(label, np.maximum(la, lb), np.minimum(la, lb))
+        while not np.array_equal(label, label[label]):
+            label = label[label]
+
+
+def label_runs(row: np.ndarray, col: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Line, first and last column of the runs of some cells, in line order, and the first run of each one's component."""
+    order = np.lexsort((col, row))
+    row, col = row[order].astype(np.int64), col[order].astype(np.int64)
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (col[1:] > col[:-1] + 1)
+    starts = np.flatnonzero(new)
+    line, first, last = row[starts], col[starts], col[np.append(starts[1:], len(row)) - 1]
+    low = int(col.min()) - 2 if len(col) else 0
+    width = int(col.max()) - low + 3 if len(col) else 1
+    # Runs of the line before that begin before this one ends, and end after it begins.
+    begin = np.searchsorted(line * width + last - low, (line - 1) * width + first - low - pad, "left")
+    end = np.searchsorted(line * width + first - low, (line - 1) * width + last - low + pad, "right")
+    many = np.maximum(end - begin, 0)
+    a = np.repeat(np.arange(len(line)), many)
+    b = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many) + np.repeat(begin, many)
+    return line, first, last, _joined(a, b, len(line))
+
+
+def _tile_runs(mask: DataFrame, group: list[str], pad: int) -> DataFrame:
+    """(group, row, first, last, tile_row, tile_col, comp_row, comp_col): runs inside tiles, with their tile's component."""
+
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        line, first, last, root = label_runs(frame["row"].to_numpy(), frame["col"].to_numpy(), pad)
+        out = {g: [v] * len(line) for g, v in zip(group, key)}
+        return pd.DataFrame(out | {"row": line, "first": first, "last": last, "comp_row": line[root], "comp_col": first[root]})
+
+    kinds = dict(mask.dtypes)
+    names = ", ".join([f"{g} {kinds[g]}" for g in group] + [f"{c} int" for c in ("row", "first", "last", "comp_row", "comp_col")])
+    tiles = [F.floor(F.col(c) / TILE).alias(f"_{c}") for c in ("row", "col")]
+    cells = mask.select(*group, F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col")).distinct()
+    return cells.groupBy(*group, *tiles).applyInPandas(run, names)
 
 
 def label(mask: DataFrame, group: list[str] | None = None, connect: int = 8) -> DataFrame:
     """(group, row, col, comp_row, comp_col): the component's first cell in line order, for every cell."""
     group = group or []
-    every = kept(runs(mask, group), "runs")
     pad = 1 if connect == 8 else 0
-    above = every.select(*group, (F.col("row") + 1).alias("row"), F.col("first").alias("f2"), F.col("last").alias("l2"), F.col("run").alias("run2"))
-    touching = (F.col("first") <= F.col("l2") + pad) & (F.col("f2") <= F.col("last") + pad)
-    # Runs of neighbouring lines meet on blocks of columns, not on whole lines.
-    span = lambda a, b, p: F.explode(F.sequence(F.floor((F.col(a) - p) / 64), F.floor((F.col(b) + p) / 64)))
-    edges = every.withColumn("_b", span("first", "last", pad)).join(above.withColumn("_b", span("f2", "l2", 0)), [*group, "row", "_b"]).where(touching)
-    edges = edges.select(F.col("run").alias("a"), F.col("run2").alias("b")).distinct()
+    every = kept(_tile_runs(mask, group, pad), "runs")
+    node = F.struct(*group, "comp_row", "comp_col")
+    last = TILE - 1
+    border = F.pmod("row", F.lit(TILE)).isin(0, last) | (F.pmod("first", F.lit(TILE)) == 0) | (F.pmod("last", F.lit(TILE)) == last)
+    here = every.where(border).select(*group, "row", "first", "last", node.alias("a"))
+    # Runs meet those of their own line and of the line before, on blocks of columns, not on whole lines.
+    span = lambda p: F.explode(F.sequence(F.floor((F.col("first") - p) / 64), F.floor((F.col("last") + p) / 64)))
+    down = F.explode(F.array(F.lit(0), F.lit(1)))
+    there = here.withColumn("_down", down).select(*group, (F.col("row") + F.col("_down")).alias("row"), "_down", F.col("first").alias("f2"), F.col("last").alias("l2"), F.col("a").alias("b"), span(0).alias("_b"))
+    beside = (F.col("_down") == 0) & (F.col("first") == F.col("l2") + 1)
+    below = (F.col("_down") == 1) & (F.col("first") <= F.col("l2") + pad) & (F.col("f2") <= F.col("last") + pad)
+    edges = here.withColumn("_b", span(1)).join(there, [*group, "row", "_b"]).where((beside | below) & (F.col("a") != F.col("b")))
+    edges = edges.select("a", "b").distinct()
     edges = kept(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    key = lambda c: F.struct(*[F.col(f"{c}.{g}") for g in group], F.col(f"{c}.row"), F.col(f"{c}.first"))
-    labels = kept(every.select("run", key("run").alias("label")), "labels")
+    if edges.limit(1).count():
+        whole = _spread(edges).select(F.col("node.comp_row").alias("comp_row"), F.col("node.comp_col").alias("comp_col"), *[F.col(f"node.{g}").alias(g) for g in group], "label")
+        every = every.join(whole, [*group, "comp_row", "comp_col"], "left")
+        every = every.withColumns({c: F.coalesce(F.col(f"label.{c}"), F.col(c)) for c in ("comp_row", "comp_col")})
+    return every.select(*group, "row", F.explode(F.sequence("first", "last")).alias("col"), "comp_row", "comp_col")
+
+
+def _spread(edges: DataFrame) -> DataFrame:
+    """(node, label): the least node that each one is linked with, over edges given in both directions."""
+    labels = kept(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("label")), "labels")
     while True:
-        near = edges.join(labels.select(F.col("run").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        step = labels.join(near.withColumnRenamed("a", "run"), "run", "left").select("run", F.least("label", F.coalesce("near", "label")).alias("label"), F.col("label").alias("old"))
-        step = kept(step, "labels")
-        jump = step.select(F.col("run").alias("label"), F.col("label").alias("root"))
-        jumped = kept(step.join(jump, "label").select("run", F.least("label", "root").alias("label"), "old"), "labels")
-        changed = jumped.where("label != old").limit(1).count()
-        labels = jumped.select("run", "label")
-        if not changed:
-            break
-    cells = every.join(labels, "run").select(*group, "row", F.explode(F.sequence(F.col("first").cast("int"), F.col("last").cast("int"))).alias("col"), F.col("label.row").alias("comp_row"), F.col("label.first").alias("comp_col"))
-    return cells
+        near = edges.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
+        step = kept(labels.join(near.withColumnRenamed("a", "node"), "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("old")), "labels")
+        jump = step.select(F.col("node").alias("label"), F.col("label").alias("root"))
+        jumped = kept(step.join(jump, "label").select("node", F.least("label", "root").alias("label"), "old"), "labels")
+        labels = jumped.select("node", "label")
+        if not jumped.where("label != old").limit(1).count():
+            return labels
 
 
 def stats(labels: DataFrame, group: list[str] | None = None) -> DataFrame:

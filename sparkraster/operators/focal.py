@@ -141,3 +141,18 @@ def split_bregman(weight: float = 20.0, steps: int = 50) -> Callable[[np.ndarray
         return u
 
     return run
+
+
+def filtered(df: DataFrame, value: str, method: str, **parameters) -> DataFrame:
+    """(row, col, filtered) by the filter of that name: lee, guided, projected or bregman total variation.
+
+    Total variation works on decibels, missing cells being -30 dB for it; its values come back as power.
+    """
+    if method == "lee":
+        return lee(df, value, **parameters).select("row", "col", "filtered")
+    decibels = df.withColumn("_db", 10 * F.log10(F.when(F.col(value) > 0, F.col(value))))
+    if method == "guided":
+        return guided(decibels, value, "_db", **parameters).select("row", "col", "filtered")
+    smooth = {"projected": total_variation, "bregman": split_bregman}[method]
+    out = halo_apply(decibels, smooth(**parameters), "_db", fill=-30.0)
+    return out.withColumn("filtered", F.pow(F.lit(10.0), F.col("filtered") / 10))

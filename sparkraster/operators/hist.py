@@ -131,6 +131,30 @@ def histogram_bimodality(df: DataFrame, keys: list[str], value: str, low: float,
     return bins.join(facts, keys).groupBy(*keys).agg(F.max(share).alias("share"), F.max(apart).alias("separation"))
 
 
+def quantiles(df: DataFrame, value: str, shares: list[float], n: int = 4096) -> DataFrame:
+    """(share, quantile): exact quantiles of a whole table, linear between two ranks; none of an empty one.
+
+    Values are counted in ``n`` bins first; only those in bins that hold a wanted rank are then ranked, by distinct value
+    and within their bin, so that no task sees the table.
+    """
+    known = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
+    facts = known.agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("cells")).where("cells > 0")  # one row
+    ranks = facts.select("cells", F.explode(F.array(*[F.lit(float(p)) for p in shares])).alias("share")).withColumn("at", F.col("share") * (F.col("cells") - 1))
+    ranks = ranks.select("share", "at", F.explode(F.array(F.floor("at"), F.ceil("at"))).alias("rank")).distinct()
+    binned = known.crossJoin(F.broadcast(facts.select("low", "high")))
+    binned = binned.select("v", F.when(F.col("high") > F.col("low"), bin_of(F.col("v"), F.col("low"), F.col("high"), n)).otherwise(0).alias("bin"))
+    order = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)  # ``n`` rows
+    bins = binned.groupBy("bin").agg(F.count("*").alias("n")).withColumn("end", F.sum("n").over(order))
+    wanted = ranks.join(F.broadcast(bins), (F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("n")))  # a few ranks, ``n`` bins
+    starts = wanted.select("bin", (F.col("end") - F.col("n")).alias("start")).distinct()
+    within = Window.partitionBy("bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = binned.join(F.broadcast(starts), "bin").groupBy("bin", "start", "v").agg(F.count("*").alias("n"))
+    ranked = ranked.withColumn("end", F.col("start") + F.sum("n").over(within)).select("bin", "v", "end", (F.col("end") - F.col("n")).alias("begin"))
+    hits = ranked.join(F.broadcast(wanted.select("share", "at", "rank", "bin")), "bin").where("rank >= begin and rank < end")
+    low, high = F.min_by("v", "rank"), F.max_by("v", "rank")
+    return hits.groupBy("share", "at").agg((low + (F.col("at") - F.floor("at")) * (high - low)).alias("quantile")).select("share", "quantile")
+
+
 def tallest_peaks(hist: DataFrame, keys: list[str], n: int, divider: int | DataFrame) -> DataFrame:
     """(keys, low_peak, high_peak): the tallest local peak up to, and from, the dividing bin; else the tallest bin.
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import morph
+
 #: Processing modes in order; the last that contains all bands found is meant.
 MODES = {"MIX_SINGLE_POL": ["HH", "VV"], "MIX_DUAL_POL": ["HH", "HV", "VV", "VH"], "DV_POL": ["VV", "VH"], "SV_POL": ["VV"], "DH_POL": ["HH", "HV"], "SH_POL": ["HH"]}
 
@@ -81,3 +83,38 @@ def tags(df: DataFrame, columns: dict[str, Column], key: str) -> DataFrame:
     """Named values as (product, key, value) rows."""
     entries = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in columns.items()])
     return df.select(F.col(key).alias("product"), F.explode(entries).alias("t")).select("product", "t.key", "t.value")
+
+
+def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
+    """``df`` with ``name``, each row's place in the order of a column from 1.
+
+    Rows are dealt to ranges, numbered within each, and shifted by the rows of the ranges before: no task sees them all.
+    The ranges are written, since what is counted and what is numbered must be the same.
+    """
+    rows = morph.kept(df.repartitionByRange(F.col(order)).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    ahead = rows.groupBy("_range").agg(F.count("*").alias("_rows")).select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_ahead"))
+    at = F.row_number().over(Window.partitionBy("_range").orderBy(order))
+    return rows.withColumn("_at", at).join(F.broadcast(ahead), "_range").withColumn(name, (F.col("_at") + F.col("_ahead")).cast("int")).drop("_range", "_at", "_ahead")
+
+
+def trimmed(text: Column, sides: int = 2) -> Column:
+    """The text without its first and last signs: a list of one name, as it is written, to the name."""
+    return F.substring(text, F.lit(1 + sides), F.greatest(F.lit(0), F.char_length(text) - 2 * sides))
+
+
+#: What a product says of its type, source, spacecraft and sensor.
+BASE_TAGS = {
+    "one": {"PRODUCT_TYPE": "WATER-S1", "SPACECRAFT_NAME": "Sentinel-1", "SENSOR": "IW"},
+    "two": {"PRODUCT_TYPE": "WATER-NI", "SPACECRAFT_NAME": "NISAR", "SENSOR": "LSAR"},
+}
+
+
+def base_tags(sensor: Column, version: Column, processed: Column) -> Column:
+    """The tags that every product of a sensor has, as a map; ``processed`` is the time of its making."""
+    both = F.create_map(F.lit("SOFTWARE_VERSION"), version, F.lit("PROCESSING_DATETIME"), F.date_format(processed, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    out: Column = both
+    for name, tags in BASE_TAGS.items():
+        own = F.create_map(*[F.lit(x) for pair in tags.items() for x in pair])
+        out = F.when(sensor == name, F.map_concat(own, both)).otherwise(out)
+    return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.folders import scratch
@@ -17,18 +17,32 @@ def moved(cells: DataFrame, offsets: list[tuple[int, int]] | tuple) -> DataFrame
     return cells.withColumn("_o", steps).select((F.col("row") + F.col("_o.r")).alias("row"), (F.col("col") + F.col("_o.c")).alias("col"), *keep).distinct()
 
 
-def _spans(n: int) -> list[tuple[int, int]]:
-    return [(d, n - abs(d)) for d in range(-n, n + 1)]
+def line_runs(mask: DataFrame, group: list[str]) -> DataFrame:
+    """(group, row, first, last): maximal runs of neighbouring cells in a line."""
+    order = Window.partitionBy(*group, "row").orderBy("col")
+    cells = mask.select(*group, "row", "col").distinct().withColumn("_i", F.col("col") - F.row_number().over(order))
+    return cells.groupBy(*group, "row", "_i").agg(F.min("col").alias("first"), F.max("col").alias("last")).drop("_i")
 
 
 def dilate(mask: DataFrame, n: int, within: DataFrame | None = None) -> DataFrame:
     """n steps to 4-neighbours: all cells at a Manhattan distance of n at most, inside ``within`` if given.
 
-    Steps that a mask bounds go one frontier at a time; each new frontier is written, which cuts the lineage.
+    A run of cells reaches one interval in each of 2n + 1 lines; intervals that touch are one before they become cells again.
+    Columns besides row and col are groups of their own. Steps that a mask bounds go one frontier at a time; each new
+    frontier is written, which cuts the lineage.
     """
     if within is None:
-        out = moved(mask, [(r, c) for r, w in _spans(n) for c in range(-w, w + 1)])
-        return out
+        group = [c for c in mask.columns if c not in ("row", "col")]
+        reach = F.lit(n) - F.abs("_d")
+        spread = line_runs(mask, group).withColumn("_d", F.explode(F.sequence(F.lit(-n), F.lit(n))))
+        spread = spread.select(*group, (F.col("row") + F.col("_d")).cast("int").alias("row"), (F.col("first") - reach).cast("int").alias("first"), (F.col("last") + reach).cast("int").alias("last"))
+        order = Window.partitionBy(*group, "row").orderBy("first", "last")
+        before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        opens = F.coalesce((F.col("first") > before + 1).cast("int"), F.lit(1))
+        parts = spread.withColumn("_new", opens).withColumn("_part", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        whole = parts.groupBy(*group, "row", "_part").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+        out = whole.select("row", F.explode(F.sequence("first", "last")).alias("col"), *group)
+        return out.select(*mask.columns)
     reached = frontier = mask.select("row", "col").distinct()
     for _ in range(n):
         step = moved(frontier, FOUR).join(within, ["row", "col"], "left_semi").join(reached, ["row", "col"], "left_anti")

@@ -42,3 +42,14 @@ def nearest_centre(df: DataFrame) -> DataFrame:
     far = F.round(F.pow(F.col("row") - F.col("r0"), 2) + F.pow(F.col("col") - F.col("c0"), 2), 6)
     held = valid.join(centres, "scene").withColumn("order", F.struct(far.alias("d"), (-F.col("scene")).alias("s")))
     return held.groupBy("row", "col").agg(F.min_by("value", "order").alias("value"), F.min_by("scene", "order").alias("scene"))
+
+
+def placed(df: DataFrame, grids: DataFrame, spacing: float, start_x: float, start_y: float, width: int, length: int) -> DataFrame:
+    """Cells of scenes on the mosaic's grid: shifted by whole cells to the nearest place, and cropped.
+
+    ``grids`` has scene, x0 and y0, the upper left corner of each scene: a row per scene.
+    """
+    shift = lambda far: F.floor(far / spacing + 0.5).cast("int")
+    offsets = grids.select("scene", shift(F.lit(start_y) - F.col("y0")).alias("_down"), shift(F.col("x0") - F.lit(start_x)).alias("_right"))
+    moved = df.join(offsets, "scene").withColumns({"row": F.col("row") + F.col("_down"), "col": F.col("col") + F.col("_right")}).drop("_down", "_right")
+    return moved.where((F.col("row") >= 0) & (F.col("row") < length) & (F.col("col") >= 0) & (F.col("col") < width))

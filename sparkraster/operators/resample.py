@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geo
+
 
 def block(column: str, size: int) -> Column:
     return F.floor(F.col(column) / size).cast("int")
@@ -73,3 +75,16 @@ def cut_to_tiles(points: DataFrame, tiles: DataFrame, spacing: float) -> DataFra
     inside = (F.col("x") >= F.col("xmin")) & (F.col("x") < F.col("xmax")) & (F.col("y") > F.col("ymin")) & (F.col("y") <= F.col("ymax"))
     out = keyed.join(boxes, ["_x", "_y"]).where(inside)
     return out.withColumns({"row": F.floor((F.col("ymax") - F.col("y")) / spacing).cast("int"), "col": F.floor((F.col("x") - F.col("xmin")) / spacing).cast("int")}).drop("_x", "_y")
+
+
+def reprojected(target: DataFrame, source: DataFrame, zone: int, source_zone: int, spacing: float, origin: tuple[float, float], source_origin: tuple[float, float], value: str = "value") -> DataFrame:
+    """The source cell, in another zone, under the centre of every target cell (row, col); missing where there is none.
+
+    Origins are (x, y) of the upper left corners. Cells meet by an equi-join on the source's rows and columns.
+    """
+    x, y = F.lit(origin[0]) + (F.col("col") + 0.5) * spacing, F.lit(origin[1]) - (F.col("row") + 0.5) * spacing
+    at = target.select("row", "col", geo.from_utm(x, y, F.lit(zone)).alias("g"))
+    at = at.select("row", "col", geo.to_utm(F.col("g.lon"), F.col("g.lat"), F.lit(source_zone)).alias("p"))
+    row, col = F.floor((F.lit(source_origin[1]) - F.col("p.y")) / spacing).cast("int"), F.floor((F.col("p.x") - F.lit(source_origin[0])) / spacing).cast("int")
+    found = source.select(F.col("row").alias("_r"), F.col("col").alias("_c"), F.col(value).alias(value))
+    return at.select("row", "col", row.alias("_r"), col.alias("_c")).join(found, ["_r", "_c"], "left").select("row", "col", value)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.maths import normal_cdf
+from . import bimodal, hist
 from .morph import kept
 
 
@@ -46,6 +47,32 @@ def selected(stats: DataFrame, wanted: int = 20, least: int = 40, variation: flo
     return hits.join(F.broadcast(sizes.select("window_size")), "window_size")
 
 
+def bimodal_windows(cells: DataFrame, value: str, sizes: tuple[int, ...], low: float, high: float, n: int) -> DataFrame:
+    """(window_size, window_row, window_col, bimodal): whether each window's values have two modes."""
+    parts = [windows(cells, size) for size in sizes]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    keys = ["window_size", "window_row", "window_col"]
+    return bimodal.verdict(rows.where(F.col(value).isNotNull()), keys, value, low, high, n).select(*keys, "bimodal")
+
+
+def selected_by_all(stats: DataFrame, cells: DataFrame, value: str, low: float, high: float, n: int, share: float = 0.7, **tests) -> DataFrame:
+    """Windows that pass the tests of ``selected``, have two modes and a large share of variance between two classes.
+
+    The tests are joined before sizes are chosen, so windows are halved for as long as too few pass all of them.
+    """
+    sizes = tuple(sorted({r[0] for r in stats.select("window_size").distinct().collect()}, reverse=True))  # a row per size
+    keys = ["window_size", "window_row", "window_col"]
+    modes = bimodal_windows(cells, value, sizes, low, high, n).where("bimodal").select(*keys)
+    rows = None
+    for size in sizes:
+        part = windows(cells, size)
+        rows = part if rows is None else rows.unionByName(part)
+    apart = hist.between_class_share(rows, keys, value, low, high, n).where(F.col("share") > share).select(*keys)
+    return selected(stats.join(modes, keys, "left_semi").join(apart, keys, "left_semi"), **tests)
+
+
 def walked(df: DataFrame, low: float = 0.98, high: float = 0.02, fraction: float = 0.05, most: int = 100) -> DataFrame:
     """Thresholds moved towards the second mode until the modes' shares are met: columns threshold, mean1, std1, mean2, std2.
 
@@ -109,5 +136,7 @@ def below(cells: DataFrame, surface: DataFrame, block: int, value: str) -> DataF
 
 def upper_bound(df: DataFrame, value: str, inside: str) -> DataFrame:
     """Highest plausible threshold over reference water of one mode: max(99.5th percentile, mean) and two deviations."""
-    stats = df.where(inside).agg(F.expr(f"percentile({value}, 0.995)").alias("p"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("deviation"))
-    return stats.select((F.greatest("p", "mean") + 2 * F.col("deviation")).alias("bound"))
+    chosen = df.where(inside)
+    stats = chosen.agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("deviation"))  # one row each
+    tall = hist.quantiles(chosen, value, [0.995]).agg(F.max("quantile").alias("p"))
+    return stats.crossJoin(F.broadcast(tall)).select((F.greatest("p", "mean") + 2 * F.col("deviation")).alias("bound"))

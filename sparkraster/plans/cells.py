@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import maths
-from ..operators import masks, product
+from ..operators import hist, masks, product
 from ..sources import fixtures, tables
 from ..sources.fixtures import LAYERS_SQL
 
@@ -75,10 +75,12 @@ def class_mask(spark, sf):
     return rows.select("row", "col", target.cast("int").alias("target"), F.array_contains(codes, F.col("glad")).cast("int").alias("vegetation"))
 
 
-@query("""SELECT name, unnest(list_distinct(flatten([range(112, 125), range(200, 208), range(19, 25), range(125, 149)])))::INT AS code FROM (SELECT 'vegetation' AS name FROM region LIMIT 1)""")
+@query(f"""WITH {LAYERS_SQL}, r AS (SELECT unnest(list_distinct(flatten([range(112, 125), range(200, 208), range(19, 25), range(125, 149)])))::INT AS code)
+SELECT row, col, code FROM l JOIN r ON code = glad""")
 def range_codes(spark, sf):
-    rows = fixtures.table(spark, sf, "region").limit(1).select(F.lit("vegetation").alias("name"), F.array(*[F.lit(x) for x in masks.VEGETATION_RANGES]).alias("ranges"))
-    return rows.select("name", F.explode(masks.parse_ranges(F.col("ranges"))).alias("code"))
+    """Cells whose code is in one of the ranges, as text names them."""
+    ranges = masks.parse_ranges(F.array(*[F.lit(x) for x in masks.VEGETATION_RANGES]))
+    return fixtures.layers(spark, sf).select("row", "col", F.explode(ranges).alias("code"), "glad").where("code = glad").select("row", "col", "code")
 
 
 @query(f"""WITH {DB} SELECT row, col, round({smf('occurrence', 0.8, 0.95)}, 6) AS rise FROM d""")
@@ -240,8 +242,11 @@ def layer_validation(spark, sf):
 
 @query(f"""WITH {LAYERS_SQL} SELECT min(co) AS low, round(quantile_cont(co, 0.02), 6) AS p2, round(quantile_cont(co, 0.5), 6) AS median, round(quantile_cont(co, 0.98), 6) AS p98, max(co) AS high, count(co) AS n FROM l""")
 def layer_summary(spark, sf):
-    rows = fixtures.layers(spark, sf).agg(F.min("co").alias("low"), F.expr("percentile(co, array(0.02, 0.5, 0.98))").alias("p"), F.max("co").alias("high"), F.count("co").alias("n"))
-    return rows.select("low", r6(F.col("p")[0]).alias("p2"), r6(F.col("p")[1]).alias("median"), r6(F.col("p")[2]).alias("p98"), "high", "n")
+    cells = fixtures.layers(spark, sf).select("co")
+    ends = cells.agg(F.min("co").alias("low"), F.max("co").alias("high"), F.count("co").alias("n"))
+    found = {"p2": 0.02, "median": 0.5, "p98": 0.98}
+    ranks = hist.quantiles(cells, "co", list(found.values())).agg(*[r6(F.max(F.when(F.col("share") == p, F.col("quantile")))).alias(name) for name, p in found.items()])
+    return ends.crossJoin(F.broadcast(ranks)).select("low", *found, "high", "n")
 
 
 @query(f"""WITH {WTR} SELECT round(100.0::DOUBLE * count(*) FILTER (code <> 255) / count(*), 4) AS spatial_coverage,
@@ -261,12 +266,15 @@ def removed_kept(spark, sf):
     return staged(spark, sf).agg(F.count_if(F.col("water") & (F.col("cover") == 1)).alias("removed"), F.count_if(F.col("water") & (F.col("cover") != 1)).alias("kept"))
 
 
-@query("""SELECT n_nationkey::INT * 1.0::DOUBLE - 12 AS x, round(0.5 * exp(-((n_nationkey - 12.0) + 3) * ((n_nationkey - 12.0) + 3) / 2 / 4), 6) + round(0.2 * exp(-((n_nationkey - 12.0) - 5) * ((n_nationkey - 12.0) - 5) / 2 / 9), 6) AS both FROM nation""")
+@query(f"""WITH {DB} SELECT row, col, round(0.5 * exp(-(co_db + 18) * (co_db + 18) / 2 / 4), 6) + round(0.2 * exp(-(co_db + 8) * (co_db + 8) / 2 / 9), 6) AS both FROM d""")
 def gaussian_eval(spark, sf):
-    x = F.col("n_nationkey").cast("double") - 12
-    return fixtures.table(spark, sf, "nation").select(x.alias("x"), (r6(maths.gaussian(x, -3, 2, 0.5)) + r6(maths.gaussian(x, 5, 3, 0.2))).alias("both"))
+    """Two modes at every cell's value."""
+    rows = db(spark, sf)
+    return rows.select("row", "col", (r6(maths.gaussian("co_db", -18, 2, 0.5)) + r6(maths.gaussian("co_db", -8, 3, 0.2))).alias("both"))
 
 
-@query("""SELECT r::INT AS row, c::INT AS col, 1.5::DOUBLE AS value FROM range(20) a(r), range(30) b(c)""")
+@query(f"""WITH {LAYERS_SQL}, m AS (SELECT max(row) + 1 AS rows, max(col) + 1 AS cols FROM l) SELECT r::INT AS row, c::INT AS col, 1.5::DOUBLE AS value FROM (SELECT unnest(range(rows)) AS r, cols FROM m), LATERAL (SELECT unnest(range(cols)) AS c)""")
 def constant_layer(spark, sf):
-    return tables.constant_layer(spark, 20, 30, 1.5)
+    """One value on the whole grid of the layers."""
+    size = fixtures.layers(spark, sf).agg(F.max("row") + 1, F.max("col") + 1).first()  # one row
+    return tables.constant_layer(spark, size[0], size[1], 1.5)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import geo
 from ..operators import compare, masks, mosaic, resample
 from ..sources import fixtures, tables
 from ..sources.fixtures import GRANULES_SQL, LAYERS_SQL, SCENES_SQL, TILES_SQL
@@ -129,19 +130,16 @@ def _variants(spark, sf):
     return old, new
 
 
-@query("""WITH a AS (SELECT n_name AS key, CASE WHEN n_nationkey % 5 = 0 THEN 'b, a' ELSE n_name || n_regionkey END AS value FROM nation WHERE n_nationkey <> 3),
-b AS (SELECT n_name AS key, CASE WHEN n_nationkey % 5 = 0 THEN 'a, b' WHEN n_nationkey % 4 = 0 THEN 'other' ELSE n_name || n_regionkey END AS value FROM nation WHERE n_nationkey <> 7)
-SELECT key, a.value AS left_value, b.value AS right_value FROM a FULL JOIN b USING (key) WHERE key NOT IN (SELECT n_name FROM nation WHERE n_nationkey = 8)
-  AND (CASE WHEN a.value = 'b, a' THEN 'a, b' ELSE a.value END) IS DISTINCT FROM b.value""")
+@query(f"""WITH {GRANULES_SQL}, a AS (SELECT granule AS tag, CASE WHEN key % 5 = 0 THEN 'b, a' ELSE burst_id || track END AS value FROM g WHERE key % 10 <> 3),
+b AS (SELECT granule AS tag, CASE WHEN key % 5 = 0 THEN 'a, b' WHEN key % 4 = 0 THEN 'other' ELSE burst_id || track END AS value FROM g WHERE key % 10 <> 7)
+SELECT tag AS key, a.value AS left_value, b.value AS right_value FROM a FULL JOIN b USING (tag) WHERE tag NOT LIKE '%8' AND (CASE WHEN a.value = 'b, a' THEN 'a, b' ELSE a.value END) IS DISTINCT FROM b.value""")
 def tag_diff(spark, sf):
-    rows = fixtures.table(spark, sf, "nation")
-    plain = F.concat("n_name", F.col("n_regionkey").cast("string"))
-    five = F.col("n_nationkey") % 5 == 0
-    left = rows.where("n_nationkey <> 3").select(F.col("n_name").alias("key"), F.when(five, "b, a").otherwise(plain).alias("value"))
-    right = rows.where("n_nationkey <> 7").select(F.col("n_name").alias("key"), F.when(five, "a, b").when(F.col("n_nationkey") % 4 == 0, "other").otherwise(plain).alias("value"))
-    lists = tuple(r[0] for r in rows.where(five).select("n_name").collect())  # names of list tags
-    skip = tuple(r[0] for r in rows.where("n_nationkey = 8").select("n_name").collect())
-    return compare.tag_differences(left, right, skip, lists)
+    """Tags of all scenes in two versions; keys of every fifth hold lists, keys that end in 8 may differ."""
+    rows = fixtures.granules(spark, sf)
+    plain, five = F.concat("burst_id", F.col("track").cast("string")), F.col("key") % 5 == 0
+    left = rows.where("key % 10 <> 3").select(F.col("granule").alias("key"), F.when(five, "b, a").otherwise(plain).alias("value"))
+    right = rows.where("key % 10 <> 7").select(F.col("granule").alias("key"), F.when(five, "a, b").when(F.col("key") % 4 == 0, "other").otherwise(plain).alias("value"))
+    return compare.tag_differences(left, right, F.col("key").endswith("8"), F.substring("key", 2, 20).cast("int") % 5 == 0)
 
 
 @query(f"""WITH {LAYERS_SQL} SELECT (max(row) + 1)::INT AS length, (max(col) + 1)::INT AS width, 1::BIGINT AS bands, 500000.0::DOUBLE AS x0, 4000000.0 + 300 * (max(row) + 1) AS y0 FROM l""")
@@ -179,3 +177,71 @@ def merge_band_sets(spark, sf):
     second = rows.select("row", "col", F.when(F.col("veg") == 2, 2).otherwise(255).alias("value"), F.lit(1).alias("order"))
     both = first.unionByName(second).where("value <> 255")
     return both.groupBy("row", "col").agg(F.min_by("value", "order").alias("value"))
+
+
+@query(f"""WITH {SCENES_SQL}, g AS (SELECT scene, value, (row + floor((10 + 90 * scene) / 30.0 + 0.5))::INT AS row, (col + floor((30 * scene - 105) / 30.0 + 0.5))::INT AS col FROM s)
+SELECT row, col, min_by(value, scene) AS value, min(scene) AS scene FROM g WHERE row >= 0 AND row < 1400 AND col >= 0 AND col < 90 GROUP BY row, col""")
+def place_scenes(spark, sf):
+    """Scenes with grids of their own, on the mosaic's, first valid."""
+    rows = fixtures.scenes(spark, sf)
+    grids = rows.select("scene").distinct().select("scene", (F.col("scene") * 30 - 105).cast("double").alias("x0"), (-10 - F.col("scene") * 90).cast("double").alias("y0"))
+    return mosaic.first_valid(mosaic.placed(rows, grids, 30.0, 0.0, 0.0, 90, 1400))
+
+
+def _inverse() -> str:
+    """SQL: (x, y) of zone 10 to lon, lat, in steps."""
+    x = " ".join(f"- {b!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, b in enumerate(geo.BETA, 1))
+    y = " ".join(f"- {b!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, b in enumerate(geo.BETA, 1))
+    k, e, sin = repr(geo.SCALE * geo.RADIUS), repr(geo.ECC), "s0"
+    steps = []
+    for i in range(1, 6):
+        steps.append(f"i{i + 2} AS (SELECT *, tanh(psi + {e} * atanh({e} * {sin})) AS s{i} FROM i{i + 1})")
+        sin = f"s{i}"
+    return f"""i0 AS (SELECT *, y / {k} AS xi, (x - 500000) / {k} AS eta FROM c), i1 AS (SELECT *, xi {y} AS xi1, eta {x} AS eta1 FROM i0),
+i2 AS (SELECT *, degrees(atan2(sinh(eta1), cos(xi1))) - 123 AS lon, sin(xi1) / cosh(eta1) AS s0, atanh(sin(xi1) / cosh(eta1)) AS psi FROM i1),
+{", ".join(steps)}, geo AS (SELECT row, col, lon, degrees(asin({sin})) AS lat FROM i7)"""
+
+
+def _forward() -> str:
+    """SQL: lon, lat to (x, y) of zone 11."""
+    e, k = repr(geo.ECC), repr(geo.SCALE * geo.RADIUS)
+    x = " + ".join(["eta", *[f"{a!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(geo.ALPHA, 1)]])
+    y = " + ".join(["xi", *[f"{a!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(geo.ALPHA, 1)]])
+    return f"""f1 AS (SELECT *, radians(lon + 117) AS lam, sin(radians(lat)) AS si FROM geo), f2 AS (SELECT *, sinh(atanh(si) - {e} * atanh({e} * si)) AS t FROM f1),
+f3 AS (SELECT *, atan2(t, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + t * t)) AS eta FROM f2), pr AS (SELECT row, col, 500000 + {k} * ({x}) AS px, {k} * ({y}) AS py FROM f3)"""
+
+
+@query(f"""WITH {LAYERS_SQL}, c AS (SELECT row, col, 736000 + (col + 0.5) * 900 AS x, 4300000 - (row + 0.5) * 900 AS y FROM l), {_inverse()}, {_forward()},
+k AS (SELECT row, col, floor((4300000 - py) / 900)::INT AS r, floor((px - 200000) / 900)::INT AS c FROM pr)
+SELECT k.row, k.col, l.landcover FROM k LEFT JOIN l ON l.row = k.r AND l.col = k.c""")
+def reproject_layer(spark, sf):
+    """A layer of one zone on the grid of its neighbour, by the nearest cell."""
+    rows = fixtures.layers(spark, sf)
+    return resample.reprojected(rows, rows, 10, 11, 900.0, (736000.0, 4300000.0), (200000.0, 4300000.0), "landcover")
+
+
+@query(f"""WITH {LAYERS_SQL}, f AS (SELECT unnest([4, 16, 64, 128])::INT AS factor) SELECT factor, (row // factor)::INT AS row, (col // factor)::INT AS col,
+  max(CASE WHEN l.row % factor = factor // 2 AND l.col % factor = factor // 2 THEN landcover END) AS landcover, avg(round(co * 1e8)::BIGINT) AS co FROM l, f GROUP BY factor, l.row // factor, l.col // factor""")
+def overview_all(spark, sf):
+    """All four levels of the pyramid."""
+    rows = fixtures.layers(spark, sf).withColumn("co", F.round(F.col("co") * 1e8).cast("long"))
+    return resample.overviews(rows, (4, 16, 64, 128), "landcover", "co")
+
+
+@query(f"""WITH {LAYERS_SQL} SELECT row, col, coalesce(shadow, 255)::INT AS shadow, CASE WHEN "cross" IS NULL THEN 255 ELSE "cross" END::DOUBLE AS cleaned FROM l""")
+def mask_cleaning(spark, sf):
+    """Masks with codes where values aren't finite."""
+    rows = fixtures.layers(spark, sf)
+    endless = F.when(F.col("cross").isNull(), F.lit(float("nan"))).otherwise(F.col("cross"))
+    return rows.select("row", "col", tables.clean_mask(F.col("shadow")).cast("int").alias("shadow"), tables.clean_mask(endless).alias("cleaned"))
+
+
+@query(f"""WITH {DB} SELECT (row // 10)::INT AS y, (col // 10)::INT AS x, round(avg(co_db), 6) AS z FROM d GROUP BY row // 10, col // 10""")
+def points_roundtrip(spark, sf):
+    """Threshold points, written as CSV and read again."""
+    from ..sources.folders import scratch
+
+    path = scratch(spark, "points")
+    blocks = [F.floor(F.col(c) / 10).cast("int").alias(name) for c, name in (("row", "y"), ("col", "x"))]
+    tables.write_points(db(spark, sf).groupBy(*blocks).agg(F.avg("co_db").alias("z")), path)
+    return spark.read.schema("x int, y int, z double").csv(path).select("y", "x", F.round("z", 6).alias("z"))

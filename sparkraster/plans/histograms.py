@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import hist, thresholds
 from ..sources import fixtures
-from ..sources.fixtures import PATCH_SQL
+from ..sources.fixtures import LAYERS_SQL, PATCH_SQL
 from .cells import DB, db
 
 QUERIES: dict = {}
@@ -220,10 +220,35 @@ def upper_bound(spark, sf):
     return thresholds.upper_bound(rows, "co_db", "co_db is not null").withColumn("bound", F.round("bound", 6))
 
 
-@query("""SELECT n_nationkey::INT AS tile, (n_nationkey // 5 * 100 + 20)::INT AS row0, (n_nationkey % 5 * 100 + 20)::INT AS col0, (n_nationkey // 5 * 100 + 20 + 20)::DOUBLE AS centre_row, (n_nationkey % 5 * 100 + 20 + 20)::DOUBLE AS centre_col,
-  (CASE n_nationkey % 3 WHEN 0 THEN -35 WHEN 1 THEN -35 ELSE 0 END)::DOUBLE AS low, (CASE n_nationkey % 3 WHEN 0 THEN 10 WHEN 1 THEN 10 ELSE 15 END)::DOUBLE AS high FROM nation""")
+@query(f"""WITH {LAYERS_SQL}, t AS (SELECT DISTINCT (row // 20 * 20)::INT AS row0, (col // 20 * 20)::INT AS col0 FROM l)
+SELECT row0, col0, (row0 + 20)::DOUBLE AS centre_row, (col0 + 20)::DOUBLE AS centre_col, (CASE (row0 // 20 + col0 // 20) % 3 WHEN 2 THEN 0 ELSE -35 END)::DOUBLE AS low,
+  (CASE (row0 // 20 + col0 // 20) % 3 WHEN 2 THEN 15 ELSE 10 END)::DOUBLE AS high FROM t""")
 def window_centres(spark, sf):
-    rows = fixtures.table(spark, sf, "nation").select(F.col("n_nationkey").alias("tile"), F.expr("cast(n_nationkey div 5 * 100 + 20 as int)").alias("row0"), F.expr("cast(n_nationkey % 5 * 100 + 20 as int)").alias("col0"))
+    """Corners and centres of all windows, and the histogram ranges of each one's band."""
+    rows = fixtures.layers(spark, sf).select(*[F.expr(f"cast({c} div 20 * 20 as int)").alias(f"{c}0") for c in ("row", "col")]).distinct()
     ranges = F.create_map(*[x for k, (a, b) in enumerate([(-35.0, 10.0), (-35.0, 10.0), (0.0, 15.0)]) for x in (F.lit(k), F.struct(F.lit(a).alias("low"), F.lit(b).alias("high")))])
-    kind = ranges[F.col("tile") % 3]
-    return rows.select("tile", "row0", "col0", (F.col("row0") + 20).cast("double").alias("centre_row"), (F.col("col0") + 20).cast("double").alias("centre_col"), kind["low"].alias("low"), kind["high"].alias("high"))
+    kind = ranges[F.expr("cast((row0 div 20 + col0 div 20) % 3 as int)")]
+    return rows.select("row0", "col0", (F.col("row0") + 20).cast("double").alias("centre_row"), (F.col("col0") + 20).cast("double").alias("centre_col"), kind["low"].alias("low"), kind["high"].alias("high"))
+
+
+VALLEY = "sum(0.3 * exp(-(x - mu) * (x - mu) / 2 / 4))"
+
+
+@query(f"""WITH {DB}, m AS (SELECT (row // 20)::INT AS block, avg(co_db) + 2 AS mu, min(co_db) AS low_peak, max(co_db) AS high_peak FROM d GROUP BY row // 20),
+b AS (SELECT m.*, bin, -35 + (bin + 0.5) * 0.1 AS x FROM m, range(450) r(bin)), c AS (SELECT *, {VALLEY} OVER (PARTITION BY block ORDER BY bin) / {VALLEY} OVER (PARTITION BY block) AS upto FROM b)
+SELECT block, round(coalesce(max(x) FILTER (x > low_peak AND x < high_peak AND x < mu AND upto < 0.03), max(low_peak)), 6) AS valley FROM c GROUP BY block""")
+def valley_mode(spark, sf):
+    """Where less than three hundredths of a block's second mode lie below."""
+    from ..operators import bimodal
+
+    modes = db(spark, sf).groupBy(F.floor(F.col("row") / 20).cast("int").alias("block")).agg((F.avg("co_db") + 2).alias("mu"), F.min("co_db").alias("low_peak"), F.max("co_db").alias("high_peak"))
+    modes = modes.withColumns({"sd": F.lit(2.0), "amp": F.lit(0.3), "threshold": F.col("mu")})
+    return bimodal.valley_mode(modes, ["block"], -35.0, 10.0, 450).withColumn("valley", F.round("valley", 6))
+
+
+@query()
+def window_select_all(spark, sf):
+    """Windows that pass all tests: mixture, variation, two modes, variance between classes. No SQL: modes are fitted."""
+    cells = db(spark, sf).select("row", "col", F.round(F.col("co_db"), 6).alias("u"), F.coalesce(F.col("co_db") < -11, F.lit(False)).alias("water"))
+    stats = thresholds.window_stats(cells.withColumn("u", F.pow(F.lit(10.0), F.col("u") / 10)), "u", (20, 10), "water")
+    return thresholds.selected_by_all(stats, cells, "u", -35.0, 0.0, 70, 0.5, low=0.2, high=2.0)

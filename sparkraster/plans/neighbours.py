@@ -215,3 +215,31 @@ def region_grow_excluded(spark, sf):
 SELECT DISTINCT row, col FROM r""")
 def region_grow_steps(spark, sf):
     return components.grow_steps(combined(spark, sf), "fuzzy", 0.7, 0.4, 3)
+
+
+@query(f"""WITH {LABELS} SELECT scene, comp_row, comp_col, round(max(value) - min(value), 9) AS spread FROM lb JOIN p USING (scene, row, col) GROUP BY ALL""")
+def component_ranges(spark, sf):
+    """A function of the user's own over the cells of each component."""
+
+    def spread(frame):
+        return frame.head(1)[["scene", "comp_row", "comp_col"]].assign(spread=round(float(frame["value"].max() - frame["value"].min()), 9))
+
+    return components.component_apply(_labels(spark, sf), fixtures.patch(spark, sf).select("scene", "row", "col", "value"), spread, "scene long, comp_row int, comp_col int, spread double", ["scene"])
+
+
+@query(f"""WITH {BOX}, c AS (SELECT row, col, "cross" AS v, mean, sqrt(variance) / mean AS ci FROM l JOIN st USING (row, col)),
+w AS (SELECT *, CASE WHEN ci IS NULL THEN NULL WHEN ci <= 0.523 THEN 1 WHEN ci >= 1.73 THEN 0 ELSE exp(-(ci - 0.523) / (1.73 - ci)) END AS weight FROM c),
+le AS (SELECT row, col, CASE WHEN v IS NULL THEN NULL ELSE coalesce(mean * weight + v * (1 - weight), v) END AS lee FROM w),
+o2 AS (SELECT i, j FROM range(-1, 2) a(i), range(-1, 2) b(j)), q AS (SELECT row, col, coalesce(10 * log10(CASE WHEN co > 0 THEN co END), 0) AS i0, coalesce(co, 0) AS p0, co FROM l),
+x2 AS (SELECT q.row, q.col, count(*) AS k, sum(n.i0) AS si, sum(n.p0) AS sp, sum(n.i0 * n.p0) AS sip, sum(n.i0 * n.i0) AS sii FROM q, o2 JOIN q n ON n.row = q.row + o2.i AND n.col = q.col + o2.j GROUP BY ALL),
+y AS (SELECT row, col, (sip / k - si / k * (sp / k)) / (sii / k - si / k * (si / k) + 3) AS a, sp / k AS mp, si / k AS mi FROM x2), z AS (SELECT row, col, a, mp - a * mi AS b FROM y),
+s AS (SELECT z.row, z.col, count(*) AS k, sum(n.a) AS sa, sum(n.b) AS sb FROM z, o2 JOIN z n ON n.row = z.row + o2.i AND n.col = z.col + o2.j GROUP BY ALL)
+SELECT row, col, round(lee, 9) AS "cross", round(CASE WHEN co IS NOT NULL THEN sa / k * i0 + sb / k END, 8) AS co FROM s JOIN q USING (row, col) JOIN le USING (row, col)""")
+def filter_choice(spark, sf):
+    """A filter of its own for each band, chosen by name."""
+    rows = fixtures.layers(spark, sf)
+    out = None
+    for band, method, digits in (("cross", "lee", 9), ("co", "guided", 8)):
+        part = focal.filtered(rows, band, method).select("row", "col", _r("filtered", digits).alias(band))
+        out = part if out is None else out.join(part, ["row", "col"])
+    return out

@@ -66,24 +66,24 @@ def track_band(spark, sf):
     return fixtures.granules(spark, sf).select("granule", "track").join(sets, "track")
 
 
-LON = "CASE WHEN n_nationkey % 4 = 0 THEN 179 - n_nationkey * 0.1 ELSE n_nationkey * 5 - 60 END"
-RIGHT = "CASE WHEN n_nationkey % 4 = 0 THEN -179 + n_nationkey * 0.1 ELSE n_nationkey * 5 - 58 END"
+LON = "CASE WHEN key % 4 = 0 THEN 179 - key % 25 * 0.1 ELSE key % 25 * 5 - 60 END"
+RIGHT = "CASE WHEN key % 4 = 0 THEN -179 + key % 25 * 0.1 ELSE key % 25 * 5 - 58 END"
 
 
-@query(f"""WITH b AS (SELECT n_name, ({LON})::DOUBLE AS l, ({RIGHT})::DOUBLE AS r FROM nation)
-SELECT n_name, l AS left_lon, CASE WHEN l > 0 AND r < 0 THEN 180 ELSE r END::DOUBLE AS right_lon FROM b UNION ALL SELECT n_name, -180::DOUBLE, r FROM b WHERE l > 0 AND r < 0""")
+@query(f"""WITH {GRANULES_SQL}, b AS (SELECT granule, ({LON})::DOUBLE AS l, ({RIGHT})::DOUBLE AS r FROM g)
+SELECT granule, l AS left_lon, CASE WHEN l > 0 AND r < 0 THEN 180 ELSE r END::DOUBLE AS right_lon FROM b UNION ALL SELECT granule, -180::DOUBLE, r FROM b WHERE l > 0 AND r < 0""")
 def antimeridian_boxes(spark, sf):
-    rows = fixtures.table(spark, sf, "nation")
-    return spatial.split_boxes(rows.select("n_name", F.expr(f"cast({LON} as double)").alias("left_lon"), F.expr(f"cast({RIGHT} as double)").alias("right_lon")))
+    rows = fixtures.granules(spark, sf)
+    return spatial.split_boxes(rows.select("granule", F.expr(f"cast({LON} as double)").alias("left_lon"), F.expr(f"cast({RIGHT} as double)").alias("right_lon")))
 
 
-@query(f"""WITH b AS (SELECT n_name, ({LON})::DOUBLE AS l, ({RIGHT})::DOUBLE AS r, (n_nationkey - 12)::DOUBLE AS s FROM nation)
-SELECT n_name, CASE WHEN greatest(l, r) - least(l, r) > 340 THEN least(CASE WHEN l < 0 THEN l + 360 ELSE l END, CASE WHEN r < 0 THEN r + 360 ELSE r END) ELSE least(l, r) END AS west,
+@query(f"""WITH {GRANULES_SQL}, b AS (SELECT granule, ({LON})::DOUBLE AS l, ({RIGHT})::DOUBLE AS r, (key % 100 - 50)::DOUBLE AS s FROM g)
+SELECT granule, CASE WHEN greatest(l, r) - least(l, r) > 340 THEN least(CASE WHEN l < 0 THEN l + 360 ELSE l END, CASE WHEN r < 0 THEN r + 360 ELSE r END) ELSE least(l, r) END AS west,
   CASE WHEN greatest(l, r) - least(l, r) > 340 THEN greatest(CASE WHEN l < 0 THEN l + 360 ELSE l END, CASE WHEN r < 0 THEN r + 360 ELSE r END) ELSE greatest(l, r) END AS east, s AS south, s + 2 AS north FROM b""")
 def corner_bbox(spark, sf):
-    rows = fixtures.table(spark, sf, "nation").select("n_name", F.expr(f"cast({LON} as double)").alias("l"), F.expr(f"cast({RIGHT} as double)").alias("r"), (F.col("n_nationkey") - 12).cast("double").alias("s"))
+    rows = fixtures.granules(spark, sf).select("granule", F.expr(f"cast({LON} as double)").alias("l"), F.expr(f"cast({RIGHT} as double)").alias("r"), (F.col("key") % 100 - 50).cast("double").alias("s"))
     box = spatial.wrapped_box(F.array("l", "r", "l", "r"), F.array(F.col("s"), F.col("s"), F.col("s") + 2, F.col("s") + 2))
-    return rows.select("n_name", box.alias("b")).select("n_name", "b.*")
+    return rows.select("granule", box.alias("b")).select("granule", "b.*")
 
 
 @query(f"""WITH {LAYERS_SQL}, {TILES_SQL}, c AS (SELECT row, col, 500000 + (col + 0.5) * 900 AS x, 4000000 + (row + 0.5) * 900 AS y FROM l),
@@ -248,7 +248,7 @@ def tags_flat(spark, sf):
 def granule_geo(spark, sf):
     rows = fixtures.granules(spark, sf).withColumn("s", F.col("freqs")[0]["spacing"])
     corner = [(F.col("x0") - F.col("s") / 2).alias("corner_x"), (F.col("y0") + F.col("side") + F.col("s") / 2).alias("corner_y")]
-    return rows.select("granule", *corner, F.row_number().over(Window.orderBy("granule")).alias("turn"), (F.col("side") / F.col("s")).cast("int").alias("width"))
+    return meta.numbered(rows.select("granule", *corner, (F.col("side") / F.col("s")).cast("int").alias("width")), "granule", "turn")
 
 
 @query(f"WITH {TILE_SETS_SQL} SELECT DISTINCT unnest(mgrs_tiles) AS tile FROM ts")
@@ -256,3 +256,54 @@ def tile_list(spark, sf):
     return fixtures.tile_sets(spark, sf).select(F.explode("mgrs_tiles").alias("tile")).distinct()
 
 
+
+
+def _near_ring() -> str:
+    parts = []
+    for x1, y1, x2, y2 in (("xmin", "ymin", "xmax", "ymin"), ("xmax", "ymin", "xmin", "ymax"), ("xmin", "ymax", "xmin", "ymin")):
+        dx, dy = f"({x2} - {x1})", f"({y2} - {y1})"
+        t = f"greatest(0.0::DOUBLE, least(1.0::DOUBLE, ((x - {x1}) * {dx} + (y - {y1}) * {dy}) / ({dx} * {dx} + {dy} * {dy})))"
+        parts.append(f"sqrt(pow(x - {x1} - {t} * {dx}, 2) + pow(y - {y1} - {t} * {dy}, 2))")
+    return f"least({', '.join(parts)})"
+
+
+@query(f"""WITH {LAYERS_SQL}, {TILES_SQL}, c AS (SELECT row, col, 500000 + (col + 0.5) * 900 AS x, 4000000 + (row + 0.5) * 900 AS y FROM l)
+SELECT mgrs_tile, row, col, round({_near_ring()}, 6) AS far FROM c JOIN t ON x BETWEEN xmin - 5000 AND xmax + 5000 AND y BETWEEN ymin - 5000 AND ymax + 5000 WHERE {_near_ring()} <= 5000""")
+def shoreline_cells(spark, sf):
+    """Cells within 5 km of a polygon's edges, on either side."""
+    cells = fixtures.layers(spark, sf).select("row", "col", (500000 + (F.col("col") + 0.5) * 900).alias("x"), (4000000 + (F.col("row") + 0.5) * 900).alias("y"))
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    rings = fixtures.tiles(spark, sf).withColumn("ring", F.array(corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmin", "ymax")))
+    wide = rings.withColumns({"xmin": F.col("xmin") - 5000, "xmax": F.col("xmax") + 5000, "ymin": F.col("ymin") - 5000, "ymax": F.col("ymax") + 5000})
+    points = cells.withColumns({"_x": F.floor(F.col("x") / spatial.STEP), "_y": F.floor(F.col("y") / spatial.STEP)})
+    pairs = points.join(spatial.lattice(wide, ("xmin", "xmax", "ymin", "ymax")), ["_x", "_y"]).where("x between xmin and xmax and y between ymin and ymax")
+    far = spatial.distance_to_ring(F.col("x"), F.col("y"), F.col("ring"))
+    return pairs.withColumn("far", far).where("far <= 5000").select("mgrs_tile", "row", "col", F.round("far", 6).alias("far"))
+
+
+@query(f"""WITH {GRANULES_SQL}, b AS (SELECT granule, zone, (zone * 6 - 183) + (x0 - 540000) / 40000 AS lon, -((y0 - 3000000) / 40000) AS lat FROM (SELECT *, epsg - 32600 AS zone FROM g)),
+{_krueger().split(",", 1)[0].split(" AS ")[0]} AS (SELECT * FROM b), {_krueger()[_krueger().index("k1 AS"):]}
+SELECT granule, round(x, 4) AS x, round(10000000 + y, 4) AS y, round(lon, 6) AS lon_back, round(lat, 6) AS lat_back FROM utm""")
+def utm_south(spark, sf):
+    """Southern zones and back."""
+    south = F.lit(True)
+    rows = _utm(spark, sf).withColumn("lat", -F.col("lat")).withColumn("p", geo.to_utm(F.col("lon"), F.col("lat"), F.col("zone"), south))
+    rows = rows.withColumn("b", geo.from_utm(F.col("p.x"), F.col("p.y"), F.col("zone"), south))
+    return rows.select("granule", F.round("p.x", 4).alias("x"), F.round("p.y", 4).alias("y"), F.round("b.lon", 6).alias("lon_back"), F.round("b.lat", 6).alias("lat_back"))
+
+
+@query(f"""WITH {GRANULES_SQL}, m AS (SELECT granule, unnest(CASE key % 2 WHEN 0 THEN [['PRODUCT_TYPE', 'WATER-S1'], ['SPACECRAFT_NAME', 'Sentinel-1'], ['SENSOR', 'IW']]
+  ELSE [['PRODUCT_TYPE', 'WATER-NI'], ['SPACECRAFT_NAME', 'NISAR'], ['SENSOR', 'LSAR']] END || [['SOFTWARE_VERSION', '1.' || track], ['PROCESSING_DATETIME', strftime(t_end, '%Y-%m-%dT%H:%M:%SZ')], ['INPUT', granule]]) AS kv FROM g)
+SELECT granule AS product, kv[1] AS key, kv[2] AS value FROM m WHERE kv[2] IS NOT NULL""")
+def base_tags(spark, sf):
+    """Every product's base tags and its input's name out of the list that names it, written and read again."""
+    from ..sources import tables
+    from ..sources.folders import scratch
+
+    rows = fixtures.granules(spark, sf)
+    sensor = F.when(F.col("key") % 2 == 0, "one").otherwise("two")
+    own = meta.base_tags(sensor, F.concat(F.lit("1."), F.col("track")), F.col("t_end"))
+    named = F.create_map(F.lit("INPUT"), meta.trimmed(F.concat(F.lit("['"), F.col("granule"), F.lit("']"))))
+    path = scratch(spark, "tags")
+    tables.write_tags(rows.select(F.col("granule").alias("product"), F.explode(F.map_concat(own, named))).where("value is not null"), path)
+    return spark.read.schema("product string, key string, value string").json(path)

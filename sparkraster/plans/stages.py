@@ -80,17 +80,6 @@ def split_water(spark, sf):
     return one.unionByName(refine.split_water(rows, "co_db", 20, "v2").withColumn("mode", F.lit("v2")))
 
 
-@query
-def component_ranges(spark, sf):
-    """A function of the user's own over the cells of each component."""
-
-    def spread(frame):
-        return frame.head(1)[["scene", "comp_row", "comp_col"]].assign(spread=float(frame["value"].max() - frame["value"].min()))
-
-    labels = components.label(fixtures.patch(spark, sf).where("mask"), ["scene"])
-    return components.component_apply(labels, fixtures.patch(spark, sf).select("scene", "row", "col", "value"), spread, "scene long, comp_row int, comp_col int, spread double", ["scene"])
-
-
 @query
 def threshold_stage(spark, sf):
     return refine.threshold_stage(db(spark, sf).select("row", "col", "co_db"), "co_db")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,14 @@ from pyspark.sql import SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the one that the cluster names in ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """A fresh folder in the one that the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset, a single machine gets a temporary one, and a cluster an error: its executors share no local folder.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='sparkraster-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
