@@ -163,19 +163,18 @@ def grow_masks(seeds: DataFrame, allowed: DataFrame, keys: list[str], excluded:
 def rings(labels: DataFrame, allowed: DataFrame) -> DataFrame:
     """(comp_row, comp_col, row, col): each component's surroundings inside ``allowed``, as wide as its margin.
 
-    All components widen together, a step at a time; a cell carries the steps its component has left.
+    All components widen together, a step at a time, and each step meets only the two before it.
     """
     comp = ["comp_row", "comp_col"]
     margins = stats(labels).select(*comp, "margin")
     most = margins.agg(F.max("margin")).first()[0] or 0
     own = labels.select(*comp, "row", "col")
-    seen = frontier = own
+    frontier, before = own, own.limit(0)
     found = None
     for step in range(most):
         wide = frontier.join(margins.where(F.col("margin") > step).select(*comp), comp, "left_semi")
-        nxt = moved(wide.select("row", "col", *comp), FOUR).join(allowed.select("row", "col"), ["row", "col"], "left_semi").join(seen.select(*comp, "row", "col"), [*comp, "row", "col"], "left_anti")
-        frontier = kept(nxt.select(*comp, "row", "col"), "ring")
-        seen = seen.unionByName(frontier)
+        nxt = moved(wide.select("row", "col", *comp), FOUR).join(allowed.select("row", "col"), ["row", "col"], "left_semi").join(frontier.unionByName(before), [*comp, "row", "col"], "left_anti")
+        before, frontier = frontier, kept(nxt.select(*comp, "row", "col"), "ring")
         found = frontier if found is None else found.unionByName(frontier)
     return found if found is not None else own.limit(0)
 

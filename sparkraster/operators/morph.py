@@ -44,9 +44,11 @@ def dilate(mask: DataFrame, n: int, within: DataFrame | None = None) -> DataFram
         out = whole.select("row", F.explode(F.sequence("first", "last")).alias("col"), *group)
         return out.select(*mask.columns)
     reached = frontier = mask.select("row", "col").distinct()
+    before = frontier.limit(0)
     for _ in range(n):
-        step = moved(frontier, FOUR).join(within, ["row", "col"], "left_semi").join(reached, ["row", "col"], "left_anti")
-        frontier = kept(step, "frontier")
+        # A neighbour of the frontier is new, or lies in the frontier or in the one before it.
+        step = moved(frontier, FOUR).join(within, ["row", "col"], "left_semi").join(frontier.unionByName(before), ["row", "col"], "left_anti")
+        before, frontier = frontier, kept(step, "frontier")
         reached = reached.unionByName(frontier)
     return reached
 

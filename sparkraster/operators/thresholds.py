@@ -57,19 +57,20 @@ def bimodal_windows(cells: DataFrame, value: str, sizes: tuple[int, ...], low: f
     return bimodal.verdict(rows.where(F.col(value).isNotNull()), keys, value, low, high, n).select(*keys, "bimodal")
 
 
-def selected_by_all(stats: DataFrame, cells: DataFrame, value: str, low: float, high: float, n: int, share: float = 0.7, **tests) -> DataFrame:
+def selected_by_all(stats: DataFrame, cells: DataFrame, value: str, bins: tuple[float, float, int], share: float = 0.7, **tests) -> DataFrame:
     """Windows that pass the tests of ``selected``, have two modes and a large share of variance between two classes.
 
     The tests are joined before sizes are chosen, so windows are halved for as long as too few pass all of them.
+    ``bins`` are the range and the number of bins of the histograms, ``tests`` the limits of ``selected``.
     """
     sizes = tuple(sorted({r[0] for r in stats.select("window_size").distinct().collect()}, reverse=True))  # a row per size
     keys = ["window_size", "window_row", "window_col"]
-    modes = bimodal_windows(cells, value, sizes, low, high, n).where("bimodal").select(*keys)
+    modes = bimodal_windows(cells, value, sizes, *bins).where("bimodal").select(*keys)
     rows = None
     for size in sizes:
         part = windows(cells, size)
         rows = part if rows is None else rows.unionByName(part)
-    apart = hist.between_class_share(rows, keys, value, low, high, n).where(F.col("share") > share).select(*keys)
+    apart = hist.between_class_share(rows, keys, value, *bins).where(F.col("share") > share).select(*keys)
     return selected(stats.join(modes, keys, "left_semi").join(apart, keys, "left_semi"), **tests)
 
 

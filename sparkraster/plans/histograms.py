@@ -251,4 +251,4 @@ def window_select_all(spark, sf):
     """Windows that pass all tests: mixture, variation, two modes, variance between classes. No SQL: modes are fitted."""
     cells = db(spark, sf).select("row", "col", F.round(F.col("co_db"), 6).alias("u"), F.coalesce(F.col("co_db") < -11, F.lit(False)).alias("water"))
     stats = thresholds.window_stats(cells.withColumn("u", F.pow(F.lit(10.0), F.col("u") / 10)), "u", (20, 10), "water")
-    return thresholds.selected_by_all(stats, cells, "u", -35.0, 0.0, 70, 0.5, low=0.2, high=2.0)
+    return thresholds.selected_by_all(stats, cells, "u", (-35.0, 0.0, 70), 0.5, low=0.2, high=2.0)

@@ -66,8 +66,8 @@ def guided_filter(spark, sf):
 def tv_filter(spark, sf):
     """Both total-variation filters, over tiles with a halo."""
     rows = db(spark, sf)
-    one = focal.halo_apply(rows, focal.total_variation(1.0), "co_db", 64, 24, -30.0).select("row", "col", F.col("filtered").alias("projected"))
-    two = focal.halo_apply(rows, focal.split_bregman(20.0), "co_db", 64, 24, -30.0).select("row", "col", F.col("filtered").alias("bregman"))
+    one = focal.halo_apply(rows, focal.total_variation(1.0), "co_db", 256, 150, -30.0).select("row", "col", F.col("filtered").alias("projected"))
+    two = focal.halo_apply(rows, focal.split_bregman(20.0), "co_db", 256, 150, -30.0).select("row", "col", F.col("filtered").alias("bregman"))
     return one.join(two, ["row", "col"])
 
 
@@ -78,7 +78,7 @@ def filter_stage(spark, sf):
     out = rows.select("row", "col")
     for band in ("co", "cross"):
         filled = rows.withColumn("_f", F.coalesce(maths.to_db(band), F.lit(-30.0)))
-        part = focal.halo_apply(filled, focal.total_variation(1.0), "_f", 64, 24, -30.0).select("row", "col", maths.to_power("filtered").alias(f"{band}_filtered"))
+        part = focal.halo_apply(filled, focal.total_variation(1.0), "_f", 256, 150, -30.0).select("row", "col", maths.to_power("filtered").alias(f"{band}_filtered"))
         out = out.join(part, ["row", "col"])
     out = out.join(rows.select("row", "col", "cross"), ["row", "col"]).withColumn("cross_filtered", F.when(F.col("cross").isNotNull(), F.col("cross_filtered"))).drop("cross")
     return out.withColumns({"ratio": maths.pol_ratio("co_filtered", "cross_filtered"), "span": maths.span("co_filtered", "cross_filtered")})

@@ -1,13 +1,14 @@
 """Hand-computed grids and invariants."""
 
 import math
+import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sparkraster.functions import geo, maths
-from sparkraster.operators import bimodal, components, compare, focal, hist, masks, morph, mosaic, product, refine, resample, spatial, thresholds
+from sparkraster.operators import bimodal, components, compare, focal, hist, masks, meta, morph, mosaic, product, refine, resample, spatial, thresholds
 from sparkraster.sources import tables
 
 
@@ -232,3 +233,85 @@ def test_far_blocks_take_the_nearest_point(spark):
     got = {r["col"]: r["value"] for r in thresholds.inverse_distance(blocks, points).collect()}
     assert got == {c: 1.0 if c <= 20 else 2.0 for c in range(45)}
     assert thresholds.inverse_distance(blocks, points.limit(0)).count() == 0
+
+
+def flood(cells, reach):
+    """Components of a set of cells by search: the least cell of each."""
+    todo, out = set(cells), {}
+    for start in sorted(cells):
+        if start in out:
+            continue
+        stack = [start]
+        while stack:
+            r, c = stack.pop()
+            if (r, c) in todo:
+                todo.remove((r, c))
+                out[r, c] = start
+                stack += [(r + i, c + j) for i, j in reach]
+    return out
+
+
+@pytest.mark.parametrize("connect", [4, 8])
+@pytest.mark.parametrize("tile", [2, 5, 512])
+def test_components_over_tiles_equal_a_search(spark, monkeypatch, connect, tile):
+    monkeypatch.setattr(components, "TILE", tile)
+    rng = random.Random(tile + connect)
+    reach = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i or j) and (connect == 8 or not i * j)]
+    grids = {g: {(r, c) for r in range(-3, 12) for c in range(-4, 14) if rng.random() < share} for g, share in enumerate((0.3, 0.45, 0.6, 0.9))}
+    df = spark.createDataFrame([(g, r, c) for g, cells in grids.items() for r, c in cells], "scene int, row int, col int")
+    got = {(x["scene"], x["row"], x["col"]): (x["comp_row"], x["comp_col"]) for x in components.label(df, ["scene"], connect).collect()}
+    assert got == {(g, *cell): root for g, cells in grids.items() for cell, root in flood(cells, reach).items()}
+    assert components.label(df.limit(0), ["scene"], connect).count() == 0
+
+
+def test_dilation_by_runs_equals_the_ball(spark):
+    rng = random.Random(3)
+    cells = {(rng.randrange(30), rng.randrange(30)) for _ in range(40)}
+    df = spark.createDataFrame([(g, r, c) for g in (1, 2) for r, c in cells if (r + c + g) % 3], "scene int, row int, col int")
+    for n in (0, 1, 4):
+        want = {(g, r + i, c + j) for g in (1, 2) for r, c in cells if (r + c + g) % 3 for i in range(-n, n + 1) for j in range(-n, n + 1) if abs(i) + abs(j) <= n}
+        got = [(x["scene"], x["row"], x["col"]) for x in morph.dilate(df, n).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 1000])
+def test_quantiles_are_exact(spark, n):
+    rng = random.Random(n)
+    values = [rng.choice([rng.gauss(0, 1), 5.0, rng.random() * 1e6]) for _ in range(n)]
+    shares = [0.0, 0.02, 0.15, 0.5, 0.98, 0.995, 1.0]
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v double").repartition(3)
+    for bins in (1, 7, 4096):
+        got = {x["share"]: x["quantile"] for x in hist.quantiles(df, "v", shares, bins).collect()}
+        assert {p: got[p] for p in shares} == pytest.approx({p: float(np.quantile(values, p)) for p in shares})
+    assert hist.quantiles(df.where("v > 1e9"), "v", [0.5]).count() == 0
+
+
+def test_rows_are_numbered_without_one_task(spark):
+    names = [f"S{i:04d}" for i in random.Random(1).sample(range(5000), 700)]
+    rows = meta.numbered(spark.createDataFrame([(x, i) for i, x in enumerate(names)], "name string, other int"), "name", "turn").collect()
+    assert {r["name"]: r["turn"] for r in rows} == {x: i + 1 for i, x in enumerate(sorted(names))}
+
+
+def test_tiles_of_the_filters_do_not_show(spark):
+    rng = np.random.default_rng(2)
+    image = np.round(rng.normal(-12, 4, (40, 700)), 3)
+    df = spark.createDataFrame([(r, c, float(image[r, c])) for r in range(40) for c in range(700)], "row int, col int, v double")
+    for fn in (focal.total_variation(1.0), focal.split_bregman(20.0)):
+        out = np.full(image.shape, np.nan)
+        for x in focal.halo_apply(df, fn, "v").collect():
+            out[x["row"], x["col"]] = x["filtered"]
+        assert np.allclose(out, fn(image), atol=1e-9)
+
+
+def test_dividers_part_a_histogram_best():
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        y, x = rng.integers(0, 9, 14).astype(float), np.arange(14.0)
+
+        def between(ends):
+            parts = [slice(a + 1, b + 1) for a, b in zip([-1, *ends], [*ends, 13])]
+            return sum((y[p] * x[p]).sum() ** 2 / y[p].sum() for p in parts if y[p].sum())
+
+        assert between(bimodal.dividers(y, 2)) == pytest.approx(max(between([i]) for i in range(13)))
+        assert between(bimodal.dividers(y, 3)) == pytest.approx(max(between([i, j]) for i in range(13) for j in range(i + 1, 13)))
+    assert len(bimodal.dividers(np.array([0.0, 3.0, 0.0]), 3)) == 2
