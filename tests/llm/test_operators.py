@@ -578,7 +578,7 @@ def test_pipeline_keeps_its_columns_and_decisions(spark, docs, rows):
         if name != "bpe":
             assert result.columns == df.columns, name
         previous = common.stored(result, name)
-    assert previous.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert previous.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
     assert previous.count() > 0
     kept = {r[0] for r in previous.select("doc_id").collect()}
     assert not kept & {r[0] for r in rows if not any(c.isalpha() for c in r[1] or "")}
