@@ -146,6 +146,8 @@ def grow(layer: DataFrame, value: str, seed: float, relaxed: float, group: list[
     seeds inside the exclusion stay and pass growth on.
     """
     keys = group or []
+    # Written, since seeds and allowed cells are both read from it.
+    layer = kept(layer.select(*keys, "row", "col", value).where((F.col(value) > seed) | (F.col(value) > relaxed)), "layer")
     seeds = layer.where(F.col(value) > seed).select(*keys, "row", "col")
     allowed = layer.where(F.col(value) > relaxed).select(*keys, "row", "col")
     return grow_masks(seeds, allowed, keys, excluded)
