@@ -154,15 +154,12 @@ def threshold_walk(spark, sf):
     return thresholds.walked(modes).select("scene", "threshold", "steps", F.round("moved", 6).alias("moved"))
 
 
-MEDIANS = f"""{DB}, md AS (SELECT (row // 10)::INT AS row, (col // 10)::INT AS col, quantile_cont(co_db, 0.5) AS value FROM d WHERE glad < 40 GROUP BY row // 10, col // 10 HAVING count(*) > 14)"""
-
-
 #: Over all cells; holes are where data are missing.
-ALL_MEDIANS = f"""{DB}, md AS (SELECT (row // 10)::INT AS row, (col // 10)::INT AS col, quantile_cont(co_db, 0.5) AS value FROM d WHERE co_db IS NOT NULL GROUP BY row // 10, col // 10 HAVING count(*) > 14)"""
+MEDIANS = f"""{DB}, md AS (SELECT (row // 10)::INT AS row, (col // 10)::INT AS col, quantile_cont(co_db, 0.5) AS value FROM d WHERE co_db IS NOT NULL GROUP BY row // 10, col // 10 HAVING count(*) > 14)"""
 
 
-def _medians(spark, sf, chosen="glad < 40"):
-    rows = db(spark, sf).where(chosen).select(F.floor(F.col("row") / 10).cast("int").alias("row"), F.floor(F.col("col") / 10).cast("int").alias("col"), F.col("co_db").alias("value"))
+def _medians(spark, sf):
+    rows = db(spark, sf).where("co_db is not null").select(F.floor(F.col("row") / 10).cast("int").alias("row"), F.floor(F.col("col") / 10).cast("int").alias("col"), F.col("co_db").alias("value"))
     some = rows.groupBy("row", "col").agg(F.count("*").alias("n")).where("n > 14").drop("n")
     return thresholds.block_median(rows.join(some, ["row", "col"], "left_semi"), ["row", "col"], "value")
 
@@ -172,9 +169,9 @@ def block_median(spark, sf):
     return _medians(spark, sf).withColumn("value", F.round("value", 8))
 
 
-@query(f"""WITH {ALL_MEDIANS} SELECT row, col, round(value, 8) AS value FROM md""")
+@query(f"""WITH {MEDIANS} SELECT row, col, round(value, 8) AS value FROM md""")
 def block_median_all(spark, sf):
-    return _medians(spark, sf, "co_db is not null").withColumn("value", F.round("value", 8))
+    return _medians(spark, sf).withColumn("value", F.round("value", 8))
 
 
 SURFACE = f"""{MEDIANS}, bl AS (SELECT DISTINCT (row // 10)::INT AS row, (col // 10)::INT AS col FROM d),
@@ -184,12 +181,9 @@ fl AS (SELECT row, col, arg_min(value, (far, r2, c2)) AS value FROM pr GROUP BY
 sf AS (SELECT fl.row, fl.col, round(coalesce(nr.value, fl.value), 8) AS value FROM fl LEFT JOIN nr USING (row, col))"""
 
 
-ALL_SURFACE = SURFACE.replace(MEDIANS, ALL_MEDIANS)
-
-
-def _surface(spark, sf, chosen="glad < 40"):
+def _surface(spark, sf):
     blocks = db(spark, sf).select(F.floor(F.col("row") / 10).cast("int").alias("row"), F.floor(F.col("col") / 10).cast("int").alias("col")).distinct()
-    return thresholds.inverse_distance(blocks, _medians(spark, sf, chosen)).withColumn("value", F.round("value", 8))
+    return thresholds.inverse_distance(blocks, _medians(spark, sf)).withColumn("value", F.round("value", 8))
 
 
 @query(f"""WITH {SURFACE} SELECT * FROM sf""")
@@ -203,14 +197,14 @@ def initial_water(spark, sf):
     return out.select("row", "col", F.col("water").cast("int").alias("water"))
 
 
-@query(f"""WITH {ALL_SURFACE} SELECT * FROM sf""")
+@query(f"""WITH {SURFACE} SELECT * FROM sf""")
 def idw_surface_all(spark, sf):
-    return _surface(spark, sf, "co_db is not null")
+    return _surface(spark, sf)
 
 
-@query(f"""WITH {ALL_SURFACE} SELECT d.row, d.col, coalesce(co_db < sf.value, FALSE)::INT AS water FROM d LEFT JOIN sf ON sf.row = d.row // 10 AND sf.col = d.col // 10""")
+@query(f"""WITH {SURFACE} SELECT d.row, d.col, coalesce(co_db < sf.value, FALSE)::INT AS water FROM d LEFT JOIN sf ON sf.row = d.row // 10 AND sf.col = d.col // 10""")
 def initial_water_all(spark, sf):
-    out = thresholds.below(db(spark, sf), _surface(spark, sf, "co_db is not null"), 10, "co_db")
+    out = thresholds.below(db(spark, sf), _surface(spark, sf), 10, "co_db")
     return out.select("row", "col", F.col("water").cast("int").alias("water"))
 
 
