@@ -162,13 +162,13 @@ def grow_masks(seeds: DataFrame, allowed: DataFrame, keys: list[str], excluded:
     return labels.join(found, [*keys, "comp_row", "comp_col"], "left_semi").select(*keys, "row", "col")
 
 
-def rings(labels: DataFrame, allowed: DataFrame) -> DataFrame:
-    """(comp_row, comp_col, row, col): each component's surroundings inside ``allowed``, as wide as its margin.
+def rings(labels: DataFrame, allowed: DataFrame, least: int = 1) -> DataFrame:
+    """(comp_row, comp_col, row, col): each component's surroundings inside ``allowed``, as wide as its margin, ``least`` cells at least.
 
     All components widen together, a step at a time, and each step meets only the two before it.
     """
     comp = ["comp_row", "comp_col"]
-    margins = stats(labels).select(*comp, "margin")
+    margins = stats(labels).select(*comp, F.greatest(F.col("margin"), F.lit(least)).alias("margin"))
     most = margins.agg(F.max("margin")).first()[0] or 0
     own = labels.select(*comp, "row", "col")
     frontier, before = own, own.limit(0)

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import heapq
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.maths import gaussian
 from . import bimodal, components, hist, masks, morph, thresholds
 
 COMP = ["comp_row", "comp_col"]
@@ -27,14 +32,14 @@ def terrain_eroded(water: DataFrame, height: DataFrame, value: str = "hand", spr
     """Water without boundary cells higher than their component's boundary median plus deviation, until none is left.
 
     Only components whose first boundary is uneven are touched, and its median and deviation hold for all of the
-    erosion. Taking boundary cells until none is too high equals the 4-components, over a component's cells that
+    erosion (sums are rounded: of two cells neither is above their median and deviation). Taking boundary cells until none is too high equals the 4-components, over a component's cells that
     are too high, that reach its first boundary.
     """
     labels = morph.kept(components.label(water), "water")
     edge = morph.kept(morph.boundary(labels), "boundary")
     cells = labels.join(height.select("row", "col", F.col(value).alias("_h")), ["row", "col"])
     facts = cells.join(edge, ["row", "col"], "left_semi").groupBy(*COMP).agg(F.stddev_pop("_h").alias("s"), F.expr("percentile(_h, 0.5)").alias("m")).where(F.col("s") > spread)
-    high = morph.kept(cells.join(facts, COMP).where(F.col("_h") > F.col("m") + F.col("s")).select("row", "col"), "high")
+    high = morph.kept(cells.join(facts, COMP).where(F.col("_h") > F.round(F.col("m") + F.col("s"), 9)).select("row", "col"), "high")
     lost = components.grow_masks(high.join(edge, ["row", "col"], "left_semi"), high, [])
     return labels.join(lost, ["row", "col"], "left_anti").select("row", "col")
 
@@ -58,18 +63,18 @@ def split_water(cells: DataFrame, value: str, least: int = 5000, mode: str = "v1
     return held.join(gone, [*COMP, "band"], "left_semi").select("row", "col")
 
 
-def _with_rings(labels: DataFrame, allowed: DataFrame, values: DataFrame, value: str) -> DataFrame:
-    """Cells of components and of their rings with their values: columns core (1 or 0) and the value."""
+def _with_rings(labels: DataFrame, allowed: DataFrame, values: DataFrame, value: str, least: int = 1) -> DataFrame:
+    """Cells of components and of their rings, ``least`` cells wide at least, with their values: columns core (1 or 0) and the value."""
     core = labels.select(*COMP, "row", "col").withColumn("core", F.lit(1))
-    around = components.rings(labels, allowed).withColumn("core", F.lit(0))
-    return core.unionByName(around).join(values.select("row", "col", value), ["row", "col"])
+    around = components.rings(labels, allowed, least).withColumn("core", F.lit(0))
+    return morph.kept(core.unionByName(around).join(values.select("row", "col", value), ["row", "col"]), "around")
 
 
 def false_water(water: DataFrame, cells: DataFrame, value: str, least: int = 40, low: float = -35.0, high: float = 0.0, n: int = 64) -> DataFrame:
     """Water whose components look like water: (row, col).
 
     Small components stay unless they are all land; larger ones with at most 0.8 land stay; of the others
-    those stay whose values differ from their surroundings' in two modes, the core being darker.
+    those stay whose values have two fitted modes together with their surroundings', the core being darker.
     """
     labels = morph.kept(components.label(water), "water")
     land = cells.where("land = 1").select("row", "col")
@@ -78,30 +83,50 @@ def false_water(water: DataFrame, cells: DataFrame, value: str, least: int = 40,
     doubtful = morph.kept(labels.join(facts.where((F.col("size") >= least) & (F.col("portion") > 0.8)).select(*COMP), COMP, "left_semi"), "doubtful")
     both = _with_rings(doubtful, dry, cells, value)
     order = both.groupBy(*COMP).agg(F.expr(f"percentile(if(core = 1, {value}, null), 0.5)").alias("inner"), F.expr(f"percentile(if(core = 0, {value}, null), 0.15)").alias("outer"))
-    two = hist.histogram_bimodality(both, COMP, value, low, high, n).where((F.col("share") > 0.7) & (F.col("separation") > 1.5))
+    two = bimodal.verdict(both, COMP, value, low, high, n).where("bimodal and cells > 4")
     real = order.where(F.col("inner") < F.col("outer")).join(two, COMP, "left_semi").select(*COMP, F.lit(1).alias("real"))
     keep = facts.join(real, COMP, "left").where(F.expr(f"if(size < {least}, portion <> 1, portion <= 0.8 or real = 1)"))
     return labels.join(keep.select(*COMP), COMP, "left_semi").select("row", "col")
 
 
 def filled_gaps(water: DataFrame, cells: DataFrame, value: str, most: int = 500, low: float = -35.0, high: float = 0.0, n: int = 64) -> DataFrame:
-    """Bright gaps to be filled: dry components of at most ``most`` cells, mostly reference water, that are of one mode with their surroundings."""
+    """Bright gaps to be filled: dry components of at most ``most`` cells, all but a hundredth reference water, that are of one mode with their surroundings."""
     dry = cells.join(water.select("row", "col"), ["row", "col"], "left_anti")
     labels = morph.kept(components.label(dry.select("row", "col")), "gaps")
     small = components.stats(labels).where(F.col("size") <= most).select(*COMP)
-    wet = components.portion(labels, cells.where("reference = 1")).where("flag = 1").select(*COMP)
+    wet = components.portion(labels, cells.where("reference = 1"), share=0.99).where("flag = 1").select(*COMP)
     gaps = morph.kept(labels.join(small, COMP, "left_semi").join(wet, COMP, "left_semi"), "gaps")
-    both = _with_rings(gaps, water, cells, value)
+    both = _with_rings(gaps, water, cells, value, 5)
     two = hist.histogram_bimodality(both, COMP, value, low, high, n).where((F.col("share") > 0.7) & (F.col("separation") > 1.5)).select(*COMP)
     return gaps.join(two, COMP, "left_anti").select("row", "col")
 
 
-def mask_stage(cells: DataFrame, water: DataFrame, value: str, spread: float = 2.5) -> DataFrame:
-    """Water without extended dark land and without cells above their banks; ``cells`` as for the parts."""
-    land = extended_land(cells, ["Bare sparse vegetation", "Urban", "Moss and lichen"], ["Grassland", "Shrubs"])
-    protected = morph.dilate(cells.where("water").select("row", "col"), 3)
-    dry = morph.kept(land.join(protected, ["row", "col"], "left_anti"), "dry")
-    left = water.join(dry, ["row", "col"], "left_anti")
+def dry_bands(bands: DataFrame, dry: DataFrame, share: float = 0.5) -> DataFrame:
+    """Cells of those components of ``bands`` that are dry land by more than ``share``."""
+    labels = morph.kept(components.label(bands), "bands")
+    flagged = components.portion(labels, dry, share=share).where("flag = 1")
+    return labels.join(flagged, COMP, "left_semi").select("row", "col")
+
+
+def mask_stage(
+    cells: DataFrame, water: DataFrame, value: str, spread: float = 2.5, classes: tuple = ("Bare sparse vegetation", "Urban", "Moss and lichen"), further: tuple = ("Grassland", "Shrubs"),
+    mode: str = "v1", large: int = 5000, persistent: float = 0.1,
+) -> DataFrame:
+    """Water without dark land, without dry bands of large bodies and without cells above their banks.
+
+    ``cells`` has row, col, landcover, hand, dark and water (as for ``extended_land``), co_db, cross_db, occurrence and
+    the value. Dark land are cells of the classes, grown over the further ones, that are rarely water and dark in both
+    bands. Bodies of ``large`` cells are split; of the bands that come off, components that are mostly dry land go. Dry
+    land keeps three cells away from what is water for ``persistent`` of the time.
+    """
+    land = extended_land(cells, list(classes), list(further)).withColumn("_land", F.lit(True))
+    marked = cells.join(land, ["row", "col"], "left").withColumn("_land", masks.sure(F.col("_land")) | masks.landcover_mask(F.col("landcover"), list(classes)))
+    marked = morph.kept(marked.select("row", "col", "_land", "occurrence", "co_db", "cross_db"), "land")
+    dark = marked.where(masks.dark_land(F.col("_land"), F.col("occurrence"), F.col("co_db"), F.col("cross_db"))).select("row", "col")
+    lasting = morph.dilate(marked.where(F.col("occurrence") >= persistent).select("row", "col"), 3)
+    dry = morph.kept(marked.where("_land").select("row", "col").join(lasting, ["row", "col"], "left_anti"), "dry")
+    bands = split_water(water.join(cells.select("row", "col", value), ["row", "col"]), value, large, mode)
+    left = water.join(dark, ["row", "col"], "left_anti").join(dry_bands(bands, dry), ["row", "col"], "left_anti")
     return terrain_eroded(left, cells, "hand", spread)
 
 
@@ -137,32 +162,84 @@ def window_thresholds(cells: DataFrame, keys: list[str], value: str, bound: tupl
     return out.withColumn("threshold", F.greatest(F.lit(bound[0]), F.least(F.lit(bound[1]), F.col("threshold"))))
 
 
-def grown_threshold(cells: DataFrame, keys: list[str], value: str, start: DataFrame, low: float = -35.0, high: float = 10.0, n: int = 90, levels: int = 6) -> DataFrame:
+def reach(value: np.ndarray, start: float) -> np.ndarray:
+    """Of every cell of a grid the least value up to which growth from cells below ``start`` must be allowed to take it in.
+
+    Seeds have their own value; cells without one, and what growth can't reach, are infinite. Cells are settled by rising value.
+    """
+    rows, cols = value.shape
+    held = np.where(np.isnan(value), np.inf, value)
+    best = np.where(held < start, held, np.inf)
+    heap = [(best[r, c], r, c) for r, c in zip(*np.nonzero(best < np.inf))]
+    heapq.heapify(heap)
+    while heap:
+        v, r, c = heapq.heappop(heap)
+        for y, x in ((r - 1, c), (r + 1, c), (r, c - 1), (r, c + 1)):
+            if 0 <= y < rows and 0 <= x < cols and max(v, held[y, x]) < best[y, x]:
+                best[y, x] = max(v, held[y, x])
+                heapq.heappush(heap, (best[y, x], y, x))
+    return best
+
+
+def reached(cells: DataFrame, keys: list[str], value: str, start: DataFrame) -> DataFrame:
+    """(keys, row, col, value, reach) of the cells that growth can take in; a window (bounded by its size) is one group."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        r, c = (frame[x].to_numpy() - frame[x].min() for x in ("row", "col"))
+        image = np.full((r.max() + 1, c.max() + 1), np.nan)
+        image[r, c] = frame[value].to_numpy(float)
+        return frame.drop(columns="threshold").assign(reach=reach(image, float(frame["threshold"].iloc[0]))[r, c])
+
+    rows = cells.select(*keys, "row", "col", value).join(start.where("threshold is not null").select(*keys, "threshold"), keys)
+    kinds = dict(rows.dtypes)
+    schema = ", ".join(f"{x} {kinds[x]}" for x in [*keys, "row", "col", value]) + ", reach double"
+    return rows.groupBy(*keys).applyInPandas(run, schema).where("reach < double('infinity')")
+
+
+def grown_threshold(cells: DataFrame, keys: list[str], value: str, start: DataFrame, low: float = -35.0, high: float = 10.0, n: int = 450) -> DataFrame:
     """Thresholds relaxed by growth: (keys, threshold). ``start`` has keys, threshold, mean1, std1, amp1.
 
-    Each of the next bins above the threshold is grown to from the cells below it; the level whose cells'
-    histogram is nearest the first mode is averaged with the threshold.
+    Every bin above the threshold is grown to from the cells below it. Between threshold and bin, the share of the
+    window's cells that the growth took in is held against the first mode; the bin with the least mean square
+    difference (the lowest of equal ones) is averaged with the threshold.
     """
     step = (high - low) / n
-    tried = cells.join(start, keys).withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(levels))))
-    tried = tried.withColumn("to", F.lit(low) + (F.floor((F.col("threshold") - low) / step) + F.col("level")) * step)
-    group = [*keys, "level"]
-    grown = components.grow_masks(tried.where(F.col(value) < F.col("threshold")).select(*group, "row", "col"), tried.where(F.col(value) < F.col("to")).select(*group, "row", "col"), group)
-    bins = hist.dense(hist.histogram(grown.join(tried, [*group, "row", "col"]), group, value, low, high, n).drop("density"), group, n).join(start, keys)
-    share = F.col("n") / F.sum("n").over(Window.partitionBy(*group))
-    x = F.lit(low) + (F.col("bin") + 0.5) * step
-    mode = F.exp(-F.pow((x - F.col("mean1")) / F.col("std1"), 2) / 2)
-    bins = bins.withColumns({"share": share, "model": mode / F.sum(mode).over(Window.partitionBy(*group))})
-    rms = bins.groupBy(*group).agg(F.sqrt(F.avg(F.pow(F.col("share") - F.col("model"), 2))).alias("rms"), F.max("threshold").alias("threshold"))
-    best = rms.groupBy(*keys).agg(F.min_by("level", F.struct("rms", "level")).alias("level"), F.max("threshold").alias("threshold"))
-    return best.select(*keys, ((F.col("threshold") + F.lit(low) + (F.floor((F.col("threshold") - low) / step) + F.col("level")) * step) / 2).alias("threshold"))
-
-
-def threshold_stage(cells: DataFrame, value: str, block: int = 20) -> DataFrame:
-    """Windows to thresholds to a surface to initial water: cells with threshold and water."""
-    windowed = thresholds.windows(cells.select("row", "col", value), 2 * block)
-    keys = ["window_row", "window_col"]
-    points = morph.kept(window_thresholds(windowed, keys, value, (-28.0, -3.0)), "points")
-    points = thresholds.block_median(points.select(F.col("window_row").alias("row"), F.col("window_col").alias("col"), F.col("threshold").alias("value")), ["row", "col"], "value")
+    at = lambda c: F.floor((F.col(c) - low) / step).cast("int")
+    held = cells.where(F.col(value).between(low, high))
+    first = start.withColumn("base", F.greatest(F.lit(0), at("threshold"))).where(F.col("base") < n - 1)
+    total = held.groupBy(*keys).agg(F.count("*").alias("total"))
+    grown = reached(held, keys, value, first).join(first.select(*keys, "base"), keys)
+    counts = grown.select(*keys, at(value).alias("bin"), F.greatest(F.lit(1), at("reach") - F.col("base") + 1).alias("level")).groupBy(*keys, "bin", "level").agg(F.count("*").alias("n"))
+    pairs = first.join(total, keys).withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(n - 1) - F.col("base"))))
+    # A bin is compared from the first level above it on; what it holds at a level are the cells taken in so far.
+    pairs = pairs.withColumn("bin", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("level") - 1)))
+    sofar = Window.partitionBy(*keys, "bin").orderBy("level").rowsBetween(Window.unboundedPreceding, 0)
+    pairs = pairs.join(counts, [*keys, "bin", "level"], "left").withColumn("share", F.sum(F.coalesce("n", F.lit(0))).over(sofar) / F.col("total"))
+    model = gaussian(F.lit(low) + (F.col("bin") + 0.5) * step, F.col("mean1"), F.col("std1"), F.col("amp1"))
+    error = pairs.groupBy(*keys, "level").agg(F.avg(F.pow(F.col("share") - model, 2)).alias("error"), F.max("threshold").alias("threshold"), F.max("base").alias("base"))
+    best = error.where("error is not null").groupBy(*keys).agg(F.min_by(F.struct("level", "threshold", "base"), F.struct("error", "level")).alias("b"))
+    to = F.lit(low) + (F.col("b.base") + F.col("b.level")) * step
+    return best.select(*keys, ((F.col("b.threshold") + to) / 2).alias("threshold"))
+
+
+def threshold_stage(cells: DataFrame, value: str, block: int = 20, water: str | None = None, **tests) -> DataFrame:
+    """Windows to thresholds to a surface to initial water: cells with threshold and water.
+
+    With ``water``, a column of known water, only windows that pass all tests (``thresholds.selected_by_all``, limits in
+    ``tests``) have a threshold, in squares of two blocks and, as long as too few pass, of one; else all windows have.
+    No window at all gives no threshold and no water.
+    """
+    keys = ["window_size", "window_row", "window_col"]
+    rows = cells.select("row", "col", value)
+    windowed = thresholds.windows(rows, 2 * block)
+    if water is not None:
+        linear = cells.select("row", "col", F.pow(F.lit(10.0), F.col(value) / 10).alias("_p"), F.col(water).alias("_w"))
+        sizes = (2 * block, block)
+        chosen = thresholds.selected_by_all(thresholds.window_stats(linear, "_p", sizes, "_w"), rows, value, (-35.0, 10.0, 90), **tests)
+        chosen = morph.kept(chosen.select(*keys), "windows")
+        windowed = windowed.unionByName(thresholds.windows(rows, block)).join(chosen, keys, "left_semi")
+    points = morph.kept(window_thresholds(morph.kept(windowed, "windowed"), keys, value, (-28.0, -3.0)), "points")
+    at = lambda c: F.floor(F.col(f"window_{c}") * F.col("window_size") / 2 / block).cast("int").alias(c)
+    points = thresholds.block_median(points.select(at("row"), at("col"), F.col("threshold").alias("value")), ["row", "col"], "value")
     blocks = cells.select(F.floor(F.col("row") / block).cast("int").alias("row"), F.floor(F.col("col") / block).cast("int").alias("col")).distinct()
     return thresholds.below(cells, thresholds.inverse_distance(blocks, points), block, value)

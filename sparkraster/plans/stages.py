@@ -8,15 +8,27 @@ from pyspark.sql import functions as F
 from ..functions import maths
 from ..operators import bimodal, components, focal, hist, masks, morph, product, refine, thresholds
 from ..sources import fixtures
-from .cells import db, vegetated
+from .cells import DB, db, vegetated
+from .neighbours import FOUR
+
+#: Window tests that the layers' wide distributions can pass.
+WINDOW_TESTS = {"share": 0.5, "low": 0.2, "high": 2.0}
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
-def query(f):
-    QUERIES[f.__name__] = f
-    return f
+def query(sql):
+    """Registers a query, with its SQL where it has one."""
+    if callable(sql):
+        QUERIES[sql.__name__] = sql
+        return sql
+
+    def keep(f):
+        SQL[f.__name__] = sql
+        return query(f)
+
+    return keep
 
 
 def cells(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,12 +59,20 @@ def window_thresholds(spark, sf):
     rows = morph.kept(rows.select(*keys, "row", "col", "co_db"), "windows")
     least = refine.window_thresholds(rows, keys, "co_db", (-28.0, -3.0)).withColumn("method", F.lit("ki"))
     even = morph.kept(refine.window_thresholds(rows, keys, "co_db", (-28.0, -3.0), method="otsu"), "even")
-    modes = bimodal.fit(hist.histogram(rows, keys, "co_db", -35.0, 10.0, 90), keys, -35.0, 10.0, 90).select(*keys, F.col("mu1").alias("mean1"), F.col("sd1").alias("std1"), F.col("amp1"))
+    modes = bimodal.fit(hist.histogram(rows, keys, "co_db", -35.0, 10.0, 450), keys, -35.0, 10.0, 450).select(*keys, F.col("mu1").alias("mean1"), F.col("sd1").alias("std1"), F.col("amp1"))
     grown = refine.grown_threshold(rows, keys, "co_db", morph.kept(even.join(modes, keys), "start")).withColumns({"mode": F.lit(None).cast("double"), "method": F.lit("rg")})
     return least.unionByName(even.withColumn("method", F.lit("otsu"))).unionByName(grown.select(least.columns))
 
 
-@query
+EIGHT = "(VALUES (0, 1), (0, -1), (1, 0), (-1, 0), (1, 1), (1, -1), (-1, 1), (-1, -1)) o(i, j)"
+
+
+@query(f"""WITH RECURSIVE {DB}, c AS (SELECT row, col, landcover, coalesce(co_db < -6, FALSE) AS dark, coalesce(occurrence > 0.97, FALSE) AS wet FROM d),
+s AS (SELECT row, col FROM c WHERE landcover = 60 AND dark), big AS (SELECT DISTINCT s.row, s.col FROM s, {EIGHT} JOIN s t ON t.row = s.row + o.i AND t.col = s.col + o.j),
+near AS (SELECT row, col FROM c WHERE wet UNION SELECT row + i, col + j FROM c, {FOUR} WHERE wet),
+v AS (SELECT row, col, CASE WHEN near.row IS NOT NULL THEN 0 WHEN big.row IS NOT NULL THEN 1 WHEN landcover IN (30, 90) AND dark THEN 0.75 ELSE 0 END AS v
+  FROM c LEFT JOIN near USING (row, col) LEFT JOIN big USING (row, col)),
+r AS (SELECT row, col FROM v WHERE v > 0.9 UNION SELECT a.row, a.col FROM r, {FOUR} JOIN v a ON a.row = r.row + o.i AND a.col = r.col + o.j WHERE a.v > 0.7) SELECT row, col FROM r""")
 def extend_land(spark, sf):
     return refine.extended_land(cells(spark, sf), ["Bare sparse vegetation"], ["Grassland", "Herbaceous wetland"], least=1, buffer=1)
 
@@ -67,7 +87,18 @@ def fill_bright(spark, sf):
     return refine.filled_gaps(dark(spark, sf), cells(spark, sf), "co_db")
 
 
-@query
+#: Least cells that dark ones are linked with, spread until nothing changes.
+BODIES = f"""{DB}, w AS MATERIALIZED (SELECT row, col, hand, row * 100000 + col AS k FROM d WHERE co_db < -5),
+n AS MATERIALIZED (SELECT w.k AS a, x.k AS b FROM w, {EIGHT} JOIN w x ON x.row = w.row + o.i AND x.col = w.col + o.j),
+lb(k, comp) USING KEY (k) AS (SELECT k, k FROM w UNION (SELECT DISTINCT ON (old.k) old.k, lb.comp FROM lb JOIN n ON n.a = lb.k JOIN recurring.lb old ON old.k = n.b WHERE lb.comp < old.comp ORDER BY old.k, lb.comp))"""
+
+
+@query(f"""WITH RECURSIVE {BODIES}, c AS (SELECT w.*, comp FROM w JOIN lb USING (k)),
+e AS (SELECT c.k FROM c, {FOUR} JOIN c x ON x.row = c.row + o.i AND x.col = c.col + o.j GROUP BY c.k HAVING count(*) = 4),
+f AS (SELECT comp, stddev_pop(hand) AS s, quantile_cont(hand, 0.5) AS m FROM c ANTI JOIN e USING (k) GROUP BY comp HAVING stddev_pop(hand) > 2.5),
+h AS (SELECT c.row, c.col, c.k FROM c JOIN f USING (comp) WHERE c.hand > round(m + s, 9)),
+r AS (SELECT row, col FROM h ANTI JOIN e USING (k) UNION SELECT h.row, h.col FROM r, {FOUR} JOIN h ON h.row = r.row + o.i AND h.col = r.col + o.j)
+SELECT row, col FROM c ANTI JOIN r USING (row, col)""")
 def terrain_erode(spark, sf):
     return refine.terrain_eroded(dark(spark, sf), cells(spark, sf), "hand")
 
@@ -82,7 +113,9 @@ def split_water(spark, sf):
 
 @query
 def threshold_stage(spark, sf):
-    return refine.threshold_stage(db(spark, sf).select("row", "col", "co_db"), "co_db")
+    """Thresholds of the windows that pass all tests, as a surface, and the initial water."""
+    rows = db(spark, sf).select("row", "col", "co_db", masks.sure(F.col("occurrence") > 0.5).alias("known"))
+    return refine.threshold_stage(rows, "co_db", water="known", **WINDOW_TESTS)
 
 
 @query
@@ -101,7 +134,8 @@ def workflow(spark: SparkSession, sf: str, ratio: bool) -> DataFrame:
     smooth = focal.lee(rows.select("row", "col", "co"), "co").select("row", "col", F.col("filtered").alias("co"))
     rows = rows.drop("co").join(smooth, ["row", "col"]).withColumns({"co_db": maths.to_db("co"), "cross_db": maths.to_db("cross"), "occurrence": maths.occurrence_share("refwater")})
     rows = morph.kept(rows, "filtered")
-    surface = refine.threshold_stage(rows.select("row", "col", "co_db"), "co_db").select("row", "col", "threshold", F.col("water").alias("initial"))
+    known = rows.select("row", "col", "co_db", masks.sure(F.col("occurrence") > 0.5).alias("known"))
+    surface = refine.threshold_stage(known, "co_db", water="known", **WINDOW_TESTS).select("row", "col", "threshold", F.col("water").alias("initial"))
     valley = F.coalesce("threshold", F.lit(-11.0))
     fall = maths.zmf_recentred("co_db", valley - 4, valley) if ratio else maths.zmf("co_db", valley - 4, valley + 2)
     scored = rows.join(surface, ["row", "col"], "left").withColumns({"co_z": fall, "cross_z": maths.zmf("cross_db", -22.0, -14.0)})

@@ -218,6 +218,66 @@ def test_false_water_and_gaps(spark):
     assert left == [(r, c) for r in range(5, 15) for c in range(5, 15)]
 
 
+def test_reach_equals_growth_to_each_level():
+    rng = np.random.default_rng(6)
+    value = rng.normal(-10, 4, (15, 20))
+    value[rng.random(value.shape) < 0.1] = np.nan
+    got = refine.reach(value, -14.0)
+    for to in np.unique(value[~np.isnan(value)])[::20]:
+        taken = value < -14.0
+        while True:
+            wide = taken.copy()
+            wide[1:] |= taken[:-1]
+            wide[:-1] |= taken[1:]
+            wide[:, 1:] |= taken[:, :-1]
+            wide[:, :-1] |= taken[:, 1:]
+            wide = taken | (wide & (value <= max(to, -14.0)))
+            if (wide == taken).all():
+                break
+            taken = wide
+        assert ((got <= max(to, -14.0)) == taken).all()
+
+
+def test_grown_threshold_tries_every_bin(spark):
+    rng = np.random.default_rng(8)
+    value = np.where(np.arange(30)[None] < 15, rng.normal(-20, 1.5, (30, 30)), rng.normal(-8, 1.5, (30, 30)))
+    low, n, step, start, mean, sd, amp = -35.0, 90, 0.5, -20.0, -20.0, 1.5, 0.06
+    reach, base = refine.reach(value, start), 30
+    bins, whole = np.floor((value - low) / step).astype(int), value.size
+    errors = []
+    for level in range(1, n - base):
+        taken = bins[(reach < low + (base + level) * step)]
+        share = np.array([(taken == b).sum() / whole for b in range(base, base + level)])
+        x = low + (np.arange(base, base + level) + 0.5) * step
+        errors.append(((share - amp * np.exp(-(((x - mean) / sd) ** 2) / 2)) ** 2).mean())
+    best = int(np.argmin(errors)) + 1
+    assert best > 6  # beyond what a few levels would find
+    rows = grid(spark, value.tolist(), "v").withColumn("w", F.lit(1))
+    first = spark.createDataFrame([(1, start, mean, sd, amp), (2, None, mean, sd, amp)], "w int, threshold double, mean1 double, std1 double, amp1 double")
+    got = refine.grown_threshold(rows, ["w"], "v", first, low, 10.0, n).collect()
+    assert [(r["w"], round(r["threshold"], 9)) for r in got] == [(1, round((start + low + (base + best) * step) / 2, 9))]
+
+
+def test_masking_takes_dark_land_and_dry_bands_only(spark):
+    rng = np.random.default_rng(9)
+    value = np.full((20, 60), -8.0)
+    value[2:18, 2:58] = -24 + rng.normal(0, 0.3, (16, 56))  # one body, half of it over bare land that is never wet
+    df = grid(spark, value.tolist(), "co_db").withColumns({
+        "cross_db": F.col("co_db") - 2, "hand": F.lit(0.0), "landcover": F.when(F.col("col") < 30, 80).otherwise(60), "occurrence": F.when(F.col("col") < 30, 1.0).otherwise(0.0),
+    })
+    df = df.withColumns({"dark": F.col("co_db") < -14, "water": F.col("occurrence") > 0.97})
+    water = df.where("co_db < -12").select("row", "col")
+    assert cells(refine.mask_stage(df, water, "co_db")) == [(r, c) for r in range(2, 18) for c in range(2, 30)]
+    bands = df.where("row = 3 and (col between 3 and 9 or col between 40 and 49)").select("row", "col")
+    assert cells(refine.dry_bands(bands, df.where("col > 35").select("row", "col"))) == [(3, c) for c in range(40, 50)]
+
+
+def test_no_window_gives_no_water(spark):
+    df = grid(spark, [[-10.0] * 20] * 20, "v").withColumn("known", F.lit(False))
+    out = refine.threshold_stage(df, "v", 5, water="known")
+    assert out.count() == 400 and out.where("water or threshold is not null").count() == 0
+
+
 def test_layers_are_read_by_band_and_lines(spark, tmp_path):
     df = tables.constant_layer(spark, 600, 3, 2.0).select(F.lit("s").alias("scene"), F.explode(F.array(F.lit("co"), F.lit("cross"))).alias("band"), "row", "col", "value")
     tables.write_layer(df, f"file://{tmp_path}/layers")
