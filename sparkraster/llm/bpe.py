@@ -204,46 +204,64 @@ def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: st
     return placed.select("block", "keys", "counts", "order", "payload", "answers").mapInArrow(tidy(_encoded), ENCODED)
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray, list]]:
+    """Rows of blocks to (keys, counts, places, table of id and bytes) of each block, as soon as all of its rows are there."""
+    pending: dict[bytes, dict] = {}
+    for batch in batches:
+        keys, counts, places = (batch.column(c) for c in ("keys", "counts", "ids"))
+        for i, (name, place, number, piece) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("block", "place", "id", "bytes")))):
+            block = pending.setdefault(name, {"table": {}})
+            if place < 0:
+                used = unpack(places[i].as_py())
+                block |= {"head": (keys[i].as_py(), unpack(counts[i].as_py()).astype(np.int64), used), "size": int(used.max()) + 1 if len(used) else 0}
+            else:
+                block["table"][place] = (number, piece)
+            if len(block["table"]) == block.get("size"):
+                yield *block["head"], [block["table"][k] for k in range(block["size"])]
+                del pending[name]
+    if pending:
+        raise ValueError("rows of a block lie in several partitions")
+
+
 def _decoded(with_ids: bool, with_bytes: bool):
-    """(keys, counts, ids, table) to a row per document."""
+    """(block, place, id, bytes, keys, counts, ids) to a row per document."""
     names = "key long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids ints" * with_ids + ", decoded binary" * with_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for keys, counts, ids, table in zip(*(batch.column(i) for i in range(4))):
-                table = sorted(table.as_py(), key=lambda x: x["place"])
-                raw, text, numbers = [x["bytes"] for x in table], [str(x["id"]) for x in table], np.array([x["id"] for x in table], np.int32)
-                counts, place = unpack(counts.as_py()).astype(np.int64), unpack(ids.as_py())
-                ends = np.cumsum(counts)
-                hashes, back, sums = [], [], []
-                for a, b in zip((ends - counts).tolist(), ends.tolist()):
-                    own = place[a:b].tolist()
-                    hashes.append(hashlib.sha256(" ".join([text[i] for i in own]).encode()).hexdigest())
-                    whole = b"".join([raw[i] for i in own])
-                    sums.append(hashlib.sha256(whole).hexdigest())
-                    if with_bytes:
-                        back.append(whole)
-                columns = [pa.array(keys.as_py(), pa.int64()), pa.array(counts), pa.array(hashes, pa.string()), pa.array(sums, pa.string())]
-                if with_ids:
-                    columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(numbers[place])))
+        for keys, counts, place, table in _blocks(batches):
+            raw, text, numbers = [x[1] for x in table], [str(x[0]) for x in table], np.array([x[0] for x in table], np.int32)
+            ends = np.cumsum(counts)
+            hashes, back, sums = [], [], []
+            for a, b in zip((ends - counts).tolist(), ends.tolist()):
+                own = place[a:b].tolist()
+                hashes.append(hashlib.sha256(" ".join([text[i] for i in own]).encode()).hexdigest())
+                whole = b"".join([raw[i] for i in own])
+                sums.append(hashlib.sha256(whole).hexdigest())
                 if with_bytes:
-                    columns.append(pa.array(back, pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, schema=_schema(names))
+                    back.append(whole)
+            columns = [pa.array(keys, pa.int64()), pa.array(counts), pa.array(hashes, pa.string()), pa.array(sums, pa.string())]
+            if with_ids:
+                columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(numbers[place])))
+            if with_bytes:
+                columns.append(pa.array(back, pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, schema=_schema(names))
 
     return run
 
 
-def decode(encoded: DataFrame, table: DataFrame, with_ids: bool = False, with_bytes: bool = False) -> DataFrame:
+def decode(encoded: DataFrame, table: DataFrame, with_ids: bool = False, with_bytes: bool = False, together: bool = False) -> DataFrame:
     """Encoded blocks and the token-byte table to a row per document: key, n_tokens, digests of the ids
-    (decimal, joined by a space) and of the decoded bytes, and on demand the ids and the bytes themselves."""
-    known = encoded.join(F.broadcast(table), "id", "left")  # a row per entry of the vocabulary, whatever the data
-    token = F.when(F.col("place") >= 0, F.struct("place", "id", "bytes"))
-    whole = known.groupBy("block").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("keys", "counts", "ids")], F.collect_list(token).alias("table"))
+    (decimal, joined by a space) and of the decoded bytes, and on demand the ids and the bytes themselves.
+
+    ``together`` says that all rows of a block lie in one partition, as ``encode`` leaves them: the broadcast join doesn't
+    move them, so they aren't shuffled. Rows that lie apart all the same stop the job."""
+    rows = encoded if together else encoded.repartition("block")
+    known = rows.join(F.broadcast(table), "id", "left")  # a row per entry of the vocabulary, whatever the data
     kinds = "key long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids + ", decoded binary" * with_bytes
-    return whole.select("keys", "counts", "ids", "table").mapInArrow(tidy(_decoded(with_ids, with_bytes)), kinds)
+    return known.select("block", "place", "id", "bytes", "keys", "counts", "ids").mapInArrow(tidy(_decoded(with_ids, with_bytes)), kinds)
 
 
 def encode_decode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", with_ids: bool = False, with_bytes: bool = False) -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256) of every row; on demand also the ids and the decoded bytes."""
     encoded = encode(df, path, pattern, key, text)
-    return decode(encoded, token_table(df.sparkSession, path), with_ids, with_bytes).withColumnRenamed("key", key)
+    return decode(encoded, token_table(df.sparkSession, path), with_ids, with_bytes, together=True).withColumnRenamed("key", key)
