@@ -167,11 +167,16 @@ def metrics(df: DataFrame, keys: list[str], value: str, low: float, high: float,
     )
 
 
-def verdict(df: DataFrame, keys: list[str], value: str, low: float, high: float, n: int, separation: float = 1.5, surface: float = 0.1, share: float = 0.7) -> DataFrame:
-    """(keys, bimodal): two of three measures, or far apart, with a fair surface ratio; without a fit the histogram decides."""
+def verdict(df: DataFrame, keys: list[str], value: str, low: float, high: float, n: int, separation: float = 1.5, surface: float = 0.1, share: float = 0.7, coefficient: float | None = 5 / 9) -> DataFrame:
+    """(keys, bimodal): two of three measures, or far apart, with a fair surface ratio; without a fit the histogram decides.
+
+    With ``coefficient`` None the coefficient has no vote, so both other measures must hold.
+    """
     facts = metrics(df, keys, value, low, high, n).join(hist.histogram_bimodality(df, keys, value, low, high, n).select(*keys, F.col("share").alias("hist_share"), F.col("separation").alias("hist_separation")), keys, "left")
     sure = lambda c: F.coalesce(c, F.lit(False))
-    votes = sure(F.col("separation") > separation).cast("int") + sure(F.col("share") > share).cast("int") + sure(F.col("coefficient") > 5 / 9).cast("int")
+    votes = sure(F.col("separation") > separation).cast("int") + sure(F.col("share") > share).cast("int")
+    if coefficient is not None:
+        votes = votes + sure(F.col("coefficient") > coefficient).cast("int")
     by_fit = ((votes >= 2) | sure(F.col("separation") > 3)) & sure(F.col("surface_ratio") > surface)
     by_hist = sure(F.col("hist_share") > share) & sure(F.col("hist_separation") > 1.5)
     return facts.withColumn("bimodal", F.when(F.col("fitted") & (F.col("cells") > 4), by_fit).otherwise(by_hist))

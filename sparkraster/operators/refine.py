@@ -47,19 +47,21 @@ def terrain_eroded(water: DataFrame, height: DataFrame, value: str = "hand", spr
 def split_water(cells: DataFrame, value: str, least: int = 5000, mode: str = "v1", n: int = 64, low: float = -35.0, high: float = 0.0) -> DataFrame:
     """Bands to take out of large, mixed water bodies: (row, col).
 
-    A body of ``least`` cells or more is parted by two thresholds; a band above the lowest goes when its
-    values and those of the band below are not bimodal (``v1``) or are (``v2``).
+    A body of ``least`` cells or more whose values have two fitted modes is parted by two thresholds; a band above
+    the lowest goes when its values and those of the band below have not two modes (``v1``) or have (``v2``). Bodies
+    of one mode stay whole.
     """
     labels = morph.kept(components.label(cells.select("row", "col")), "bodies")
     large = components.stats(labels).where(F.col("size") >= least).select(*COMP)
-    held = labels.join(large, COMP, "left_semi").join(cells.select("row", "col", value), ["row", "col"])
+    held = morph.kept(labels.join(large, COMP, "left_semi").join(cells.select("row", "col", value), ["row", "col"]), "bodies")
+    mixed = bimodal.verdict(held, COMP, value, low, high, n).where("bimodal and cells > 4").select(*COMP)
+    held = morph.kept(held.join(mixed, COMP, "left_semi"), "mixed")
     levels = hist.multi_otsu(held, COMP, value, n)
     band = F.when(F.col(value) < F.col("low_threshold"), 0).when(F.col(value) < F.col("high_threshold"), 1).otherwise(2)
     held = held.join(levels, COMP).withColumn("band", band)
     both = held.withColumn("pair", F.explode(F.array(F.lit(1), F.lit(2)))).where((F.col("band") == F.col("pair")) | (F.col("band") == F.col("pair") - 1))
-    facts = hist.histogram_bimodality(both, [*COMP, "pair"], value, low, high, n)
-    two = (F.col("share") > 0.7) & (F.col("separation") > 1.5)
-    gone = facts.where(two if mode == "v2" else ~two).select(*COMP, F.col("pair").alias("band"))
+    facts = bimodal.verdict(both, [*COMP, "pair"], value, low, high, n, coefficient=None)
+    gone = facts.where(F.col("bimodal") == F.lit(mode == "v2")).select(*COMP, F.col("pair").alias("band"))
     return held.join(gone, [*COMP, "band"], "left_semi").select("row", "col")
 
 

@@ -136,7 +136,7 @@ def workflow(spark: SparkSession, sf: str, ratio: bool) -> DataFrame:
     rows = morph.kept(rows, "filtered")
     known = rows.select("row", "col", "co_db", masks.sure(F.col("occurrence") > 0.5).alias("known"))
     surface = refine.threshold_stage(known, "co_db", water="known", **WINDOW_TESTS).select("row", "col", "threshold", F.col("water").alias("initial"))
-    valley = F.coalesce("threshold", F.lit(-11.0))
+    valley = F.coalesce("threshold", F.lit(-50.0))  # no window passed: no water by this band
     fall = maths.zmf_recentred("co_db", valley - 4, valley) if ratio else maths.zmf("co_db", valley - 4, valley + 2)
     scored = rows.join(surface, ["row", "col"], "left").withColumns({"co_z": fall, "cross_z": maths.zmf("cross_db", -22.0, -14.0)})
     scored = masks.membership(scored).withColumn("fuzzy", F.when(F.col("cross").isNull(), None).when(F.col("hand") > 200, 0.0).otherwise(F.col("membership")))

@@ -272,6 +272,20 @@ def test_masking_takes_dark_land_and_dry_bands_only(spark):
     assert cells(refine.dry_bands(bands, df.where("col > 35").select("row", "col"))) == [(3, c) for c in range(40, 50)]
 
 
+@pytest.mark.parametrize("mode", ["v1", "v2"])
+def test_only_bodies_of_two_modes_are_split(spark, mode):
+    rng = np.random.default_rng(11)
+    value = np.full((30, 70), np.nan)
+    value[1:29, 1:31] = -20 + rng.normal(0, 1.0, (28, 30))  # one mode
+    value[1:29, 35:50] = -24 + rng.normal(0, 0.8, (28, 15))  # two modes in one body
+    value[1:29, 50:65] = -9 + rng.normal(0, 0.8, (28, 15))
+    value[1:5, 67:69] = [[-24, -9]] * 4  # too small
+    rows = [(r, c, float(value[r, c])) for r, c in zip(*(x.tolist() for x in np.nonzero(~np.isnan(value))))]
+    got = cells(refine.split_water(spark.createDataFrame(rows, "row int, col int, v double"), "v", 100, mode))
+    # The thresholds lie between the modes and inside one of them: the upper pair of bands is of one mode there, or the lower one.
+    assert got and {c for _, c in got} <= set(range(35, 65)) and len(got) < 28 * 30
+
+
 def test_no_window_gives_no_water(spark):
     df = grid(spark, [[-10.0] * 20] * 20, "v").withColumn("known", F.lit(False))
     out = refine.threshold_stage(df, "v", 5, water="known")
