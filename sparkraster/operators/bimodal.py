@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.maths import gaussian
+from ..sources.folders import ship
 from . import hist
 
 #: Bounds of a mode: mean, deviation, amplitude.
@@ -21,6 +22,7 @@ LOWEST, HIGHEST = (-40.0, 1e-3, 0.0), (10.0, 10.0, 1.0)
 
 def histogram_apply(bins: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """``fn`` over the bins of every group."""
+    ship(bins.sparkSession)
     return bins.groupBy(*keys).applyInPandas(fn, schema)
 
 

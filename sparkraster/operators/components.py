@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.folders import ship
 from .morph import FOUR, kept, moved
 
 #: Lines and columns of a tile.
@@ -60,6 +61,7 @@ def _tile_runs(mask: DataFrame, group: list[str], pad: int) -> DataFrame:
         out = {g: [v] * len(line) for g, v in zip(group, key)}
         return pd.DataFrame(out | {"row": line, "first": first, "last": last, "comp_row": line[root], "comp_col": first[root]})
 
+    ship(mask.sparkSession)
     kinds = dict(mask.dtypes)
     names = ", ".join([f"{g} {kinds[g]}" for g in group] + [f"{c} int" for c in ("row", "first", "last", "comp_row", "comp_col")])
     tiles = [F.floor(F.col(c) / TILE).alias(f"_{c}") for c in ("row", "col")]
@@ -135,6 +137,7 @@ def portion(labels: DataFrame, mask: DataFrame, group: list[str] | None = None,
 
 def component_apply(labels: DataFrame, layers: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, group: list[str] | None = None) -> DataFrame:
     """``fn`` over the cells of each component with their layers; for fits that need a component's values together."""
+    ship(labels.sparkSession)
     keys = group or []
     return labels.join(layers, [*keys, "row", "col"]).groupBy(*keys, "comp_row", "comp_col").applyInPandas(fn, schema)
 
@@ -146,8 +149,9 @@ def grow(layer: DataFrame, value: str, seed: float, relaxed: float, group: list[
     seeds inside the exclusion stay and pass growth on.
     """
     keys = group or []
-    # Written, since seeds and allowed cells are both read from it.
-    layer = kept(layer.select(*keys, "row", "col", value).where((F.col(value) > seed) | (F.col(value) > relaxed)), "layer")
+    # Written before any filter, since seeds and allowed cells are both read from it: two tests of a value that is still
+    # a whole expression would double the generated code.
+    layer = kept(layer.select(*keys, "row", "col", value), "layer")
     seeds = layer.where(F.col(value) > seed).select(*keys, "row", "col")
     allowed = layer.where(F.col(value) > relaxed).select(*keys, "row", "col")
     return grow_masks(seeds, allowed, keys, excluded)

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.folders import ship
+
 
 def along(df: DataFrame):
     """Windows along lines and along columns, within a scene where the table has scenes."""
@@ -98,6 +100,7 @@ def halo_apply(df: DataFrame, fn: Callable[[np.ndarray], np.ndarray], value: str
         own = frame[(frame["row"] // tile == key[0]) & (frame["col"] // tile == key[1]) & frame["value"].notna()]
         return pd.DataFrame({"row": own["row"].astype("int32"), "col": own["col"].astype("int32"), "filtered": out[own["row"] - r0, own["col"] - c0]})
 
+    ship(df.sparkSession)
     cells = df.select("row", "col", F.col(value).cast("double").alias("value")).withColumn("_r", F.explode(reach("row"))).withColumn("_c", F.explode(reach("col")))
     return cells.groupBy("_r", "_c").applyInPandas(run, "row int, col int, filtered double")
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.maths import gaussian
+from ..sources.folders import ship
 from . import bimodal, components, hist, masks, morph, thresholds
 
 COMP = ["comp_row", "comp_col"]
@@ -192,6 +193,7 @@ def reached(cells: DataFrame, keys: list[str], value: str, start: DataFrame) ->
         image[r, c] = frame[value].to_numpy(float)
         return frame.drop(columns="threshold").assign(reach=reach(image, float(frame["threshold"].iloc[0]))[r, c])
 
+    ship(cells.sparkSession)
     rows = cells.select(*keys, "row", "col", value).join(start.where("threshold is not null").select(*keys, "threshold"), keys)
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"{x} {kinds[x]}" for x in [*keys, "row", "col", value]) + ", reach double"

@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.folders import ship
+
 #: Side of a lattice cell.
 STEP = 50_000.0
 
@@ -121,5 +123,6 @@ def hull(cells: DataFrame, key: str) -> DataFrame:
         ring = half(points)[:-1] + half(points[::-1])[:-1] if len(points) > 2 else points
         return pd.DataFrame({key: [frame[key].iloc[0]] * len(ring), "turn": range(len(ring)), "row": [p[0] for p in ring], "col": [p[1] for p in ring]})
 
+    ship(cells.sparkSession)
     kind = dict(cells.dtypes)[key]
     return ends.groupBy(key).applyInPandas(chain, f"{key} {kind}, turn int, row int, col int")

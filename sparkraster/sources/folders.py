@@ -1,10 +1,12 @@
-"""Folders that driver and executors share."""
+"""Folders that driver and executors share, and the package on executors."""
 
 from __future__ import annotations
 
 import re
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -21,3 +23,15 @@ def scratch(spark: SparkSession, name: str) -> str:
         base = f"file://{tempfile.mkdtemp(prefix='sparkraster-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, as ``--py-files`` would: called before anything that runs Python workers."""
+    context = spark.sparkContext
+    if getattr(context, "_sparkraster_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="sparkraster-")
+    shutil.copytree(package, Path(folder, "in", package.name), ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", f"{folder}/in"))
+    context._sparkraster_shipped = True
