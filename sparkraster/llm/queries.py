@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fingerprint, htmlext, langid, minhash, mixing, sharding, warc, wavelet
+from . import bpe, exact_dedup, fingerprint, htmlext, langid, minhash, mixing, repeats, sharding, warc, wavelet
 from .common import ship
 
 
@@ -127,8 +127,13 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_edits(_table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes that a 100-byte string covers which also starts earlier."""
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_warc": op1_warc, "op2_sharding": op2_sharding, "op3_bpe": op3_bpe, "op4_exact_dedup": op4_exact_dedup, "op5_langid": op5_langid, "op6_html": op6_html, "op7_wavelet": op7_wavelet, "op8_minhash": op8_minhash, "op9_mixing": op9_mixing, "op10_fingerprint": op10_fingerprint}
+    return {"op1_warc": op1_warc, "op2_sharding": op2_sharding, "op3_bpe": op3_bpe, "op4_exact_dedup": op4_exact_dedup, "op5_langid": op5_langid, "op6_html": op6_html, "op7_wavelet": op7_wavelet, "op8_minhash": op8_minhash, "op9_mixing": op9_mixing, "op10_fingerprint": op10_fingerprint, "op11_suffix_array": op11_suffix_array}
 
 
 def oracle_sql() -> dict[str, str]:
