@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fingerprint, htmlext, langid, minhash, mixing, repeats, sharding, warc, wavelet
-from .common import ship
+from . import bpe, exact_dedup, fingerprint, htmlext, langid, minhash, mixing, repeats, runs, sharding, warc, wavelet
+from .common import WORD, ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -132,8 +132,25 @@ def op11_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def _periodic() -> Column:
+    """Texts, of which a tenth is made periodic from some word on: with h = crc32(doc_id), g = h div 10 and n words, from word a = g mod n
+    on the words repeat every p = 1 + (n - a) div (3 + g mod 8)."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words, g = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)), F.floor(h / 10)
+    n = F.size(words)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    word = lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(F.transform(F.sequence(F.lit(0), n - 1), word), " ")).otherwise(F.col("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's runs of words, and its text without what they repeat."""
+    return runs.periodic_runs(_table(spark, sf_dir, "documents").select("doc_id", _periodic().alias("text")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_warc": op1_warc, "op2_sharding": op2_sharding, "op3_bpe": op3_bpe, "op4_exact_dedup": op4_exact_dedup, "op5_langid": op5_langid, "op6_html": op6_html, "op7_wavelet": op7_wavelet, "op8_minhash": op8_minhash, "op9_mixing": op9_mixing, "op10_fingerprint": op10_fingerprint, "op11_suffix_array": op11_suffix_array}
+    return {"op1_warc": op1_warc, "op2_sharding": op2_sharding, "op3_bpe": op3_bpe, "op4_exact_dedup": op4_exact_dedup, "op5_langid": op5_langid, "op6_html": op6_html, "op7_wavelet": op7_wavelet, "op8_minhash": op8_minhash, "op9_mixing": op9_mixing, "op10_fingerprint": op10_fingerprint, "op11_suffix_array": op11_suffix_array, "op12_periodic_runs": op12_periodic_runs}
 
 
 def oracle_sql() -> dict[str, str]:
