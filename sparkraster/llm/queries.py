@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fingerprint, htmlext, langid, minhash, mixing, repeats, runs, sharding, warc, wavelet
+from . import bpe, exact_dedup, fingerprint, htmlext, langid, minhash, mixing, repeats, runs, sharding, warc, wavelet, whitening
 from .common import WORD, ship
 
 
@@ -149,8 +149,13 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.periodic_runs(_table(spark, sf_dir, "documents").select("doc_id", _periodic().alias("text")))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector in whitened coordinates."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_warc": op1_warc, "op2_sharding": op2_sharding, "op3_bpe": op3_bpe, "op4_exact_dedup": op4_exact_dedup, "op5_langid": op5_langid, "op6_html": op6_html, "op7_wavelet": op7_wavelet, "op8_minhash": op8_minhash, "op9_mixing": op9_mixing, "op10_fingerprint": op10_fingerprint, "op11_suffix_array": op11_suffix_array, "op12_periodic_runs": op12_periodic_runs}
+    return {"op1_warc": op1_warc, "op2_sharding": op2_sharding, "op3_bpe": op3_bpe, "op4_exact_dedup": op4_exact_dedup, "op5_langid": op5_langid, "op6_html": op6_html, "op7_wavelet": op7_wavelet, "op8_minhash": op8_minhash, "op9_mixing": op9_mixing, "op10_fingerprint": op10_fingerprint, "op11_suffix_array": op11_suffix_array, "op12_periodic_runs": op12_periodic_runs, "op13_whitening": op13_whitening}
 
 
 def oracle_sql() -> dict[str, str]:
