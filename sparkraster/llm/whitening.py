@@ -4,7 +4,7 @@
 eigenvalues of its scatter about its mean. A row changes the scatter by one rank: the roots of the
 secular equation are the new eigenvalues, and the vectors that they give, the coordinates computed anew from
 the roots so that they stay orthogonal, turn the old basis. Coordinates of no weight and equal eigenvalues are
-deflated first. Equal rows of a batch are one update of their weight.
+deflated first. A batch of rows is turned to its triangular factor first, so it takes as many updates as there are dimensions.
 
 *Combined.* Two parts are one by an update per eigenpair of the second, and one for the distance of their
 means. Sixteen parts meet in a task at a time, until one is left; nothing grows with the data.
@@ -33,6 +33,7 @@ from .common import stored, tidy
 
 #: Parts that meet in a task.
 FAN_IN = 16
+EPS, TINY = float(np.finfo(float).eps), float(np.finfo(float).tiny)
 #: Rows of a batch.
 ROWS = 4096
 #: Fixed-point scale and shift of the entries.
@@ -56,15 +57,16 @@ def secular(poles: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndar
     upper = np.where(above, right, middle) - poles[nearer]
     low_pole, high_pole = poles - poles[nearer], right - poles[nearer]
     x = lower + (upper - lower) / 2
-    below = np.tri(n)
+    below, done = np.tri(n), np.zeros(n, bool)
     for _ in range(60):
         gap = shifted - x[:, None]
-        gap[gap == 0] = np.finfo(float).tiny
+        gap[gap == 0] = TINY
         terms = weights / gap
         slopes = terms / gap
         value, size = 1 + terms.sum(1), 1 + np.abs(terms).sum(1)
         lower, upper = np.where(value < 0, x, lower), np.where(value < 0, upper, x)
-        if (np.abs(value) <= 4 * np.finfo(float).eps * n * size).all() or (upper - lower <= 2 * np.finfo(float).eps * np.abs(x)).all():
+        done |= (np.abs(value) <= EPS * n * size) | (upper - lower <= 2 * EPS * np.abs(x))
+        if done.all():
             break
         before, after = (slopes * below).sum(1), (slopes * (1 - below)).sum(1)
         d1, d2 = low_pole - x, high_pole - x
@@ -75,7 +77,7 @@ def secular(poles: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndar
             step = np.where(a > 0, 2 * b / (a + root), (a - root) / (2 * c))
         new = x + step
         half = ~(np.isfinite(new) & (new > lower) & (new < upper))
-        x = np.where(half, lower + (upper - lower) / 2, new)
+        x = np.where(done, x, np.where(half, lower + (upper - lower) / 2, new))
     return nearer, x
 
 
@@ -85,7 +87,7 @@ def updated(values: np.ndarray, vectors: np.ndarray, row: np.ndarray) -> tuple[n
     norm2 = float(z @ z)
     if norm2 == 0 or not np.isfinite(norm2):
         return values, vectors
-    tiny = 8 * np.finfo(float).eps * max(float(values[-1]), norm2)
+    tiny = 8 * EPS * max(float(values[-1]), norm2)
     # Equal eigenvalues: a reflection leaves one coordinate of weight among them.
     close = np.diff(values) <= tiny
     if close.any():
@@ -130,11 +132,19 @@ class Spectrum:
         self.n, self.sums = 0, np.array([0] * dims, object)
         self.values, self.vectors = np.zeros(dims), np.eye(dims)
 
-    def add(self, x: np.ndarray, weight: int) -> None:
-        """``weight`` equal rows."""
+    def add(self, rows: np.ndarray) -> None:
+        """Some rows: an update for each one, centred at their mean, and one for the distance of that mean.
+
+        More rows than dimensions are turned to their triangular factor first, which has the same scatter in as many rows as dimensions.
+        """
+        own = Spectrum(rows.shape[1])
+        own.n, own.sums = len(rows), rows.sum(0).astype(object)
+        centred = rows - own.mean()
+        for row in np.linalg.qr(centred, mode="r") if len(rows) > rows.shape[1] else centred:
+            self.values, self.vectors = updated(self.values, self.vectors, row)
         if self.n:
-            self._apart(x.astype(float) - self.mean(), self.n * weight / (self.n + weight))
-        self.n, self.sums = self.n + weight, self.sums + x.astype(object) * weight
+            self._apart(own.mean() - self.mean(), self.n * own.n / (self.n + own.n))
+        self.n, self.sums = self.n + own.n, self.sums + own.sums
 
     def mean(self) -> np.ndarray:
         return (self.sums / self.n).astype(float)
@@ -257,12 +267,7 @@ def _rows(df: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def _spectrum_of(dims: int):
-    def take(part: Spectrum, batch: pa.RecordBatch) -> None:
-        rows, counts = np.unique(_vectors(batch, dims), axis=0, return_counts=True)
-        for x, weight in zip(rows, counts.tolist()):
-            part.add(x, weight)
-
-    return _summed(lambda: Spectrum(dims), take)
+    return _summed(lambda: Spectrum(dims), lambda part, batch: part.add(_vectors(batch, dims)))
 
 
 def _moments_of(dims: int, pivot: np.ndarray, basis: np.ndarray):
@@ -306,7 +311,7 @@ def whiten(df: DataFrame, key: str = "vec_id", vector: str = "embedding", compon
     values, basis = np.maximum(values[::-1], 0), (whole.vectors @ turn)[:, ::-1]
     many = min(components, dims)
     total = float(values.sum())
-    there = values[:many] > 64 * np.finfo(float).eps * max(total, np.finfo(float).tiny)
+    there = values[:many] > 64 * EPS * max(total, TINY)
     scaled = basis[:, :many] / np.sqrt(np.where(there, values[:many], 1.0))
     error = 0.0
     if there.any():
