@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import maths
 from ..operators import hist, masks, product
-from ..sources import fixtures, tables
+from ..sources import fixtures, tables, tiles
 from ..sources.fixtures import LAYERS_SQL
 
 QUERIES: dict = {}
@@ -30,7 +30,10 @@ def r6(x):
 
 def db(spark: SparkSession, sf: str) -> DataFrame:
     """Layers with co_db, cross_db, occurrence, and a gentle stand-in slope (dem mod 10)."""
-    rows = fixtures.layers(spark, sf)
+    return scaled(fixtures.layers(spark, sf))
+
+
+def scaled(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"co_db": r6(maths.to_db("co")), "cross_db": r6(maths.to_db("cross")), "occurrence": maths.occurrence_share("refwater"), "slope": F.col("dem") % 10})
 
 
@@ -126,14 +129,20 @@ f AS (SELECT *, CASE WHEN "cross" IS NULL THEN NULL WHEN hand > 200 THEN 0 ELSE
 
 
 def combined(spark: SparkSession, sf: str) -> DataFrame:
+    return scored(db(spark, sf))
+
+
+def scored(rows: DataFrame) -> DataFrame:
     """Membership in ``fuzzy``: 0 above the drainage limit, missing where a band is."""
-    rows = masks.membership(substituted(db(spark, sf)))
+    rows = masks.membership(substituted(rows))
     return rows.withColumn("fuzzy", F.when(F.col("cross").isNull(), None).when(F.col("hand") > 200, 0.0).otherwise(r6("membership")))
 
 
 @query(f"""WITH {COMBINED} SELECT row, col, fuzzy FROM f""")
 def membership_combined(spark, sf):
-    return combined(spark, sf).select("row", "col", "fuzzy")
+    """From stored tiles: the three layers meet by tile, and become cells where they lie."""
+    layers = tiles.to_cells(tiles.join_tiles(list(fixtures.tiled(spark, sf).values())), [c for own in fixtures.TILED.values() for c in own])
+    return scored(scaled(layers.withColumn("landcover", F.col("landcover").cast("int")))).select("row", "col", "fuzzy")
 
 
 @query(f"""WITH {LAYERS_SQL} SELECT row, col, CASE WHEN refwater = 255 THEN CASE WHEN landcover = 80 OR coalesce(hand <= 0.002, FALSE) THEN 100 ELSE 0 END ELSE refwater END::DOUBLE AS repaired FROM l""")

@@ -87,7 +87,7 @@ def resample_nearest(spark, sf):
 SELECT mgrs_tile, floor((ymax - y) / 300)::INT AS row, floor((x - xmin) / 300)::INT AS col, landcover FROM x JOIN t ON x >= xmin AND x < xmax AND y > ymin AND y <= ymax""")
 def cut_tiles(spark, sf):
     rows = fixtures.layers(spark, sf).select("landcover", (500000 + (F.col("col") + 0.5) * 300).alias("x"), (4100000 - (F.col("row") + 0.5) * 300).alias("y"))
-    return resample.cut_to_tiles(rows, fixtures.tiles(spark, sf), 300.0).select("mgrs_tile", "row", "col", "landcover")
+    return resample.cut_to_tiles(rows, fixtures.map_tiles(spark, sf), 300.0).select("mgrs_tile", "row", "col", "landcover")
 
 
 @query(f"""WITH {LAYERS_SQL}, m AS (SELECT max(row) // 32 AS most FROM l), k AS (SELECT unnest(range(most + 1))::INT AS tile_row FROM m)

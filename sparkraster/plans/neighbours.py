@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import maths
-from ..operators import components, focal, morph
-from ..sources import fixtures
+from ..operators import components, focal, morph, tiled
+from ..sources import fixtures, tiles
 from ..sources.fixtures import LAYERS_SQL, PATCH_SQL
 from .cells import COMBINED, DB, combined, db
 
@@ -33,7 +33,8 @@ b AS (SELECT row, col, e - w AS dx, e + 2 * dem + w AS sx FROM a),
 c AS (SELECT row, col, (coalesce(lead(dx) OVER y, lag(dx) OVER y) + 2 * dx + coalesce(lag(dx) OVER y, lead(dx) OVER y)) / 3 / 30 AS gx, (coalesce(lead(sx) OVER y, lag(sx) OVER y) - coalesce(lag(sx) OVER y, lead(sx) OVER y)) / 3 / 30 AS gy FROM b WINDOW y AS (PARTITION BY col ORDER BY row))
 SELECT row, col, round(degrees(atan(sqrt(gx * gx + gy * gy))), 6) AS slope FROM c""")
 def slope(spark, sf):
-    return focal.slope(fixtures.layers(spark, sf), "dem").select("row", "col", _r("slope", 6))
+    """From stored tiles."""
+    return tiles.to_cells(tiled.slope(fixtures.tiled(spark, sf)["terrain"], "dem"), ["slope"]).select("row", "col", _r("slope", 6))
 
 
 BOX = f"""{LAYERS_SQL}, o AS (SELECT i, j FROM range(-1, 2) a(i), range(-1, 2) b(j)),
@@ -50,7 +51,8 @@ def box_stats(spark, sf):
 w AS (SELECT *, CASE WHEN ci IS NULL THEN NULL WHEN ci <= 0.523 THEN 1 WHEN ci >= 1.73 THEN 0 ELSE exp(-(ci - 0.523) / (1.73 - ci)) END AS weight FROM c)
 SELECT row, col, round(CASE WHEN v IS NULL THEN NULL ELSE coalesce(mean * weight + v * (1 - weight), v) END, 10) AS filtered FROM w""")
 def lee_filter(spark, sf):
-    return focal.lee(fixtures.layers(spark, sf), "cross", 3).select("row", "col", _r("filtered", 10))
+    """From stored tiles."""
+    return tiles.to_cells(tiled.lee(fixtures.tiled(spark, sf)["radar"], "cross", 3), ["filtered"]).select("row", "col", _r("filtered", 10))
 
 
 @query(f"""WITH {DB}, o AS (SELECT i, j FROM range(-1, 2) a(i), range(-1, 2) b(j)), q AS (SELECT row, col, coalesce(co_db, 0) AS i0, coalesce(co, 0) AS p0, co FROM d),

@@ -35,7 +35,7 @@ PAIRS = f"""{GRANULES_SQL}, {TILES_SQL}, pr AS (SELECT granule, g.epsg AS ge, mg
 
 @query(f"WITH {PAIRS} SELECT granule, mgrs_tile, area FROM pr")
 def footprint_join(spark, sf):
-    tiles = fixtures.tiles(spark, sf).drop("epsg")
+    tiles = fixtures.map_tiles(spark, sf).drop("epsg")
     pairs = spatial.box_join(_boxes(spark, sf), tiles)
     touch = spatial.rings_touch(spatial.ring_of_box("axmin", "axmax", "aymin", "aymax"), spatial.ring_of_box("xmin", "xmax", "ymin", "ymax"))
     return pairs.where(touch).select("granule", "mgrs_tile", "area")
@@ -43,13 +43,13 @@ def footprint_join(spark, sf):
 
 @query(f"WITH {PAIRS} SELECT granule, mgrs_tile, area FROM pr QUALIFY row_number() OVER (PARTITION BY granule ORDER BY area DESC, mgrs_tile) = 1")
 def largest_overlap(spark, sf):
-    pairs = spatial.box_join(_boxes(spark, sf), fixtures.tiles(spark, sf).drop("epsg"))
+    pairs = spatial.box_join(_boxes(spark, sf), fixtures.map_tiles(spark, sf).drop("epsg"))
     return spatial.largest(pairs, ["granule"], "mgrs_tile").select("granule", "mgrs_tile", "area")
 
 
 @query(f"WITH {PAIRS} SELECT granule, mgrs_tile, area FROM pr WHERE ge = te QUALIFY row_number() OVER (PARTITION BY granule ORDER BY area DESC, mgrs_tile) = 1")
 def largest_overlap_keyed(spark, sf):
-    pairs = spatial.box_join(_boxes(spark, sf), fixtures.tiles(spark, sf), ["epsg"])
+    pairs = spatial.box_join(_boxes(spark, sf), fixtures.map_tiles(spark, sf), ["epsg"])
     return spatial.largest(pairs, ["granule"], "mgrs_tile").select("granule", "mgrs_tile", "area")
 
 
@@ -93,7 +93,7 @@ SELECT mgrs_tile, row, col FROM k WHERE n % 2 = 1""")
 def polygon_cells(spark, sf):
     cells = fixtures.layers(spark, sf).select("row", "col", (500000 + (F.col("col") + 0.5) * 900).alias("x"), (4000000 + (F.col("row") + 0.5) * 900).alias("y"))
     corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
-    rings = fixtures.tiles(spark, sf).withColumn("ring", F.array(corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmin", "ymax")))
+    rings = fixtures.map_tiles(spark, sf).withColumn("ring", F.array(corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmin", "ymax")))
     points = cells.withColumns({"_x": F.floor(F.col("x") / spatial.STEP), "_y": F.floor(F.col("y") / spatial.STEP)})
     pairs = points.join(spatial.lattice(rings, ("xmin", "xmax", "ymin", "ymax")), ["_x", "_y"]).where("x between xmin and xmax and y between ymin and ymax")
     return pairs.where(spatial.inside_ring(F.col("x"), F.col("y"), F.col("ring"))).select("mgrs_tile", "row", "col")
@@ -146,7 +146,7 @@ def tile_code(spark, sf):
 
 @query(f"WITH {TILES_SQL} SELECT mgrs_tile, xmin, xmin + 109800 AS xmax, ymin - 9800 AS ymin, ymin + 100000 AS ymax FROM t")
 def tile_box(spark, sf):
-    return fixtures.tiles(spark, sf).select("mgrs_tile", geo.square_box(F.col("xmin"), F.col("ymin")).alias("b")).select("mgrs_tile", "b.*")
+    return fixtures.map_tiles(spark, sf).select("mgrs_tile", geo.square_box(F.col("xmin"), F.col("ymin")).alias("b")).select("mgrs_tile", "b.*")
 
 
 @query()
@@ -273,7 +273,7 @@ def shoreline_cells(spark, sf):
     """Cells within 5 km of a polygon's edges, on either side."""
     cells = fixtures.layers(spark, sf).select("row", "col", (500000 + (F.col("col") + 0.5) * 900).alias("x"), (4000000 + (F.col("row") + 0.5) * 900).alias("y"))
     corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
-    rings = fixtures.tiles(spark, sf).withColumn("ring", F.array(corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmin", "ymax")))
+    rings = fixtures.map_tiles(spark, sf).withColumn("ring", F.array(corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmin", "ymax")))
     wide = rings.withColumns({"xmin": F.col("xmin") - 5000, "xmax": F.col("xmax") + 5000, "ymin": F.col("ymin") - 5000, "ymax": F.col("ymax") + 5000})
     points = cells.withColumns({"_x": F.floor(F.col("x") / spatial.STEP), "_y": F.floor(F.col("y") / spatial.STEP)})
     pairs = points.join(spatial.lattice(wide, ("xmin", "xmax", "ymin", "ymax")), ["_x", "_y"]).where("x between xmin and xmax and y between ymin and ymax")

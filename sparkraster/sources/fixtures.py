@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import tiles
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -32,6 +36,21 @@ def layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Layers that are stored together.
+TILED = {"radar": ["co", "cross"], "cover": ["landcover", "refwater"], "terrain": ["hand", "dem"]}
+_TILED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def tiled(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The layers as three bucketed tables of tiles, which a session writes once for each folder."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _TILED:
+        name = f"fx_{uuid.uuid4().hex}"
+        whole = tiles.write_tiles(tiles.to_tiles(layers(spark, sf_dir), [c for own in TILED.values() for c in own]), name)
+        _TILED[at] = {k: tiles.write_tiles(whole.select(*tiles.PLACE, *tiles.BOX, "here", *own), f"{name}_{k}") for k, own in TILED.items()}
+    return _TILED[at]
+
+
 LAYERS_SQL = """fx_lines AS (SELECT l_orderkey, sum(round(l_extendedprice * 100)::BIGINT)::DOUBLE / 1e9 AS "cross" FROM lineitem GROUP BY l_orderkey),
 l AS (SELECT (o_orderkey // 100)::INT AS row, (o_orderkey % 100)::INT AS col, o_totalprice / 1e6 AS co, "cross",
   (CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 10 WHEN '2' THEN 30 WHEN '3' THEN 60 WHEN '4' THEN 80 WHEN '5' THEN 90 END)::INT AS landcover,
@@ -94,7 +113,7 @@ g AS (SELECT printf('S%06d', s_suppkey) AS granule, s_suppkey::BIGINT AS key, s_
   FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN fx_times ON s_suppkey = l_suppkey)"""
 
 
-def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def map_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map tiles: a box of 25 km per nation."""
     x = F.expr("cast(500000 + 20000 * (n_nationkey % 5) as double)")
     y = F.expr("cast(4000000 + 20000 * (n_nationkey div 5) as double)")
