@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.maths import gaussian
 from ..sources.folders import ship
 from . import hist
+from .morph import kept
 
 #: Bounds of a mode: mean, deviation, amplitude.
 LOWEST, HIGHEST = (-40.0, 1e-3, 0.0), (10.0, 10.0, 1.0)
@@ -133,24 +134,32 @@ def valley_mode(modes: DataFrame, keys: list[str], low: float, high: float, n: i
     return bins.withColumn("upto", upto).groupBy(*keys).agg(F.coalesce(F.max(F.when(fits, F.col("x"))), F.max("low_peak")).alias("valley"))
 
 
-def coefficient(value: str) -> Column:
-    """Bimodality coefficient from population moments, corrected for the sample size."""
-    n = F.count(value)
-    g1 = F.skewness(value) * F.sqrt(n * (n - 1)) / (n - 2)
-    g2 = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(value) + 6)
-    return F.when(n > 3, (g1 * g1 + 1) / (g2 + 3 * F.pow(n - 1, 2) / ((n - 2) * (n - 3))))
+def coefficient() -> Column:
+    """Bimodality coefficient of a row of ``hist.moments``, corrected for the sample size."""
+    n = F.col("cells").cast("double")
+    g1 = F.col("m3") / F.pow("variance", F.lit(1.5)) * F.sqrt(n * (n - 1)) / (n - 2)
+    g2 = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * (F.col("m4") / F.pow("variance", F.lit(2.0)) - 3) + 6)
+    return F.when((n > 3) & (F.col("variance") > 0), (g1 * g1 + 1) / (g2 + 3 * F.pow(n - 1, F.lit(2.0)) / ((n - 2) * (n - 3))))
 
 
 def metrics(df: DataFrame, keys: list[str], value: str, low: float, high: float, n: int) -> DataFrame:
     """Separation, overlap with the histogram, surface ratio, between-class share at the valley, coefficient."""
+    return metrics_of(kept(hist.halves(df, keys, value, low, high, n), "halves"), keys, low, high, n)
+
+
+def metrics_of(parts: DataFrame, keys: list[str], low: float, high: float, n: int) -> DataFrame:
+    """``metrics`` of half-bins; a sample on the valley's centre counts right of it."""
     step = (high - low) / n
-    bins = hist.histogram(df, keys, value, low, high, n)
+    bins = hist.bins_of(parts, keys, n)
     fitted = fit(bins, keys, low, high, n)
-    full = hist.dense(bins.drop("density"), keys, n).join(fitted, keys)
+    full = hist.dense(bins, keys, n).join(fitted, keys)
     x = F.lit(low) + (F.col("bin") + 0.5) * step
     full = full.withColumn("x", x).withColumn("one", gaussian("x", F.col("mu1"), F.col("sd1"), F.col("amp1"))).withColumn("two", gaussian("x", F.col("mu2"), F.col("sd2"), F.col("amp2")))
     whole = Window.partitionBy(*keys)
-    full = full.withColumns({"all": F.col("one") + F.col("two"), "total": F.sum("n").over(whole), "left_": F.max_by("bin", F.struct("one", -F.col("bin"))).over(whole), "right_": F.max_by("bin", F.struct("two", -F.col("bin"))).over(whole)})
+    full = full.withColumns({
+        "all": F.col("one") + F.col("two"), "total": F.sum("n").over(whole), "left_": F.max_by("bin", F.struct("one", -F.col("bin"))).over(whole),
+        "right_": F.max_by("bin", F.struct("two", -F.col("bin"))).over(whole),
+    })
     between = (F.col("bin") >= F.greatest(F.lit(0), F.col("left_") - 1)) & (F.col("bin") < F.greatest(F.col("right_"), F.col("left_")))
     full = full.withColumn("valley", F.min_by("bin", F.struct(F.when(between, F.col("all")).otherwise(1e9), "bin")).over(whole))
     sums = full.groupBy(*keys).agg(
@@ -158,23 +167,29 @@ def metrics(df: DataFrame, keys: list[str], value: str, low: float, high: float,
         (F.sum(F.when(F.col("bin") <= F.col("valley"), F.col("n"))) / F.max("total")).alias("p1"), (F.sum(F.when(F.col("bin") >= F.col("valley"), F.col("n"))) / F.max("total")).alias("p2"),
         F.max("valley").alias("valley"),
     )
-    held = df.join(sums.select(*keys, (F.lit(low) + (F.col("valley") + 0.5) * step).alias("at")), keys).where(F.col(value).isNotNull())
-    parts = held.groupBy(*keys).agg(F.avg(F.when(F.col(value) <= F.col("at"), F.col(value))).alias("m1"), F.avg(F.when(F.col(value) >= F.col("at"), F.col(value))).alias("m2"), F.var_pop(value).alias("variance"), coefficient(value).alias("coefficient"), F.count("*").alias("cells"))
-    out = fitted.join(sums, keys).join(parts, keys)
+    side = parts.join(sums.select(*keys, "valley"), keys).withColumn("left_", F.col("bin") <= 2 * F.col("valley"))
+    mean = lambda test: F.sum(F.when(test, F.col("s1"))) / F.sum(F.when(test, F.col("n")))
+    sides = side.groupBy(*keys).agg(mean(F.col("left_")).alias("m1"), mean(~F.col("left_")).alias("m2"))
+    out = fitted.join(sums, keys).join(sides, keys).join(hist.moments(parts, keys), keys)
     return out.select(
-        *keys, "cells", "fitted", "mu1", "sd1", "amp1", "mu2", "sd2", "amp2", "overlap", "coefficient",
-        (F.lit(2**0.5) * F.abs(F.col("mu1") - F.col("mu2")) / F.sqrt(F.pow("sd1", 2) + F.pow("sd2", 2))).alias("separation"),
+        *keys, "cells", "fitted", "mu1", "sd1", "amp1", "mu2", "sd2", "amp2", "overlap", coefficient().alias("coefficient"),
+        (F.lit(2**0.5) * F.abs(F.col("mu1") - F.col("mu2")) / F.sqrt(F.pow("sd1", F.lit(2.0)) + F.pow("sd2", F.lit(2.0)))).alias("separation"),
         (F.least("area1", "area2") / F.greatest("area1", "area2")).alias("surface_ratio"),
-        (F.col("p1") * F.col("p2") * F.pow(F.col("m1") - F.col("m2"), 2) / F.col("variance")).alias("share"),
+        F.when(F.col("variance") > 0, F.expr("p1 * p2 * pow(m1 - m2, 2) / variance")).alias("share"),
     )
 
 
-def verdict(df: DataFrame, keys: list[str], value: str, low: float, high: float, n: int, separation: float = 1.5, surface: float = 0.1, share: float = 0.7, coefficient: float | None = 5 / 9) -> DataFrame:
-    """(keys, bimodal): two of three measures, or far apart, with a fair surface ratio; without a fit the histogram decides.
+def verdict(df: DataFrame, keys: list[str], value: str, low: float, high: float, n: int, **limits) -> DataFrame:
+    """(keys, bimodal): two of three measures, or far apart, with a fair surface ratio; without a fit the histogram decides. ``limits`` as for ``verdict_of``."""
+    return verdict_of(kept(hist.halves(df, keys, value, low, high, n), "halves"), keys, low, high, n, **limits)
 
-    With ``coefficient`` None the coefficient has no vote, so both other measures must hold.
-    """
-    facts = metrics(df, keys, value, low, high, n).join(hist.histogram_bimodality(df, keys, value, low, high, n).select(*keys, F.col("share").alias("hist_share"), F.col("separation").alias("hist_separation")), keys, "left")
+
+def verdict_of(
+    parts: DataFrame, keys: list[str], low: float, high: float, n: int, separation: float = 1.5, surface: float = 0.1, share: float = 0.7, coefficient: float | None = 5 / 9
+) -> DataFrame:
+    """``verdict`` of half-bins. With ``coefficient`` None the coefficient has no vote, so both other measures must hold."""
+    shown = hist.bimodality_of(parts, keys, low, high, n).select(*keys, F.col("share").alias("hist_share"), F.col("separation").alias("hist_separation"))
+    facts = metrics_of(parts, keys, low, high, n).join(shown, keys, "left")
     sure = lambda c: F.coalesce(c, F.lit(False))
     votes = sure(F.col("separation") > separation).cast("int") + sure(F.col("share") > share).cast("int")
     if coefficient is not None:

@@ -95,27 +95,56 @@ def minimum_error(df: DataFrame, keys: list[str], value: str, low: float, high:
     return best.withColumn("threshold", F.lit(low) + F.col("bin") * step)
 
 
+def halves(df: DataFrame, keys: list[str], value: str, low: float, high: float, n: int) -> DataFrame:
+    """(keys, bin, n, s1, .., s4): ``2 n`` bins, -1 for what lies below and 2 n for what lies above; count and power sums, about the middle
+    of the range, of the values in each. Rows of groups that become one add up, and everything below works on them."""
+    x = F.col(value).cast("double") - (low + high) / 2
+    at = F.coalesce(bin_of(F.col(value), low, high, 2 * n), F.when(F.col(value) < low, -1).otherwise(2 * n)).alias("bin")
+    rows = df.where(F.col(value).isNotNull()).select(*keys, at, x.alias("_x"))
+    return rows.groupBy(*keys, "bin").agg(F.count("*").alias("n"), *[F.sum(F.pow("_x", F.lit(k)) if k > 1 else F.col("_x")).alias(f"s{k}") for k in (1, 2, 3, 4)])
+
+
+def moments(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, cells, mean, variance, m3, m4) of half-bins, the mean about the middle of the range, central moments of the whole group."""
+    sums = parts.groupBy(*keys).agg(F.sum("n").alias("cells"), *[(F.sum(f"s{k}") / F.sum("n")).alias(f"_{k}") for k in (1, 2, 3, 4)])
+    return sums.select(
+        *keys, "cells", F.col("_1").alias("mean"), F.greatest(F.expr("_2 - _1 * _1"), F.lit(0.0)).alias("variance"), F.expr("_3 - 3 * _1 * _2 + 2 * _1 * _1 * _1").alias("m3"),
+        F.expr("_4 - 4 * _1 * _3 + 6 * _1 * _1 * _2 - 3 * _1 * _1 * _1 * _1").alias("m4"),
+    )
+
+
+def bins_of(parts: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """(keys, bin, n): whole bins from half-bins."""
+    return parts.where(F.col("bin").between(0, 2 * n - 1)).groupBy(*keys, F.expr("bin div 2").cast("int").alias("bin")).agg(F.sum("n").alias("n"))
+
+
 def between_class_share(df: DataFrame, keys: list[str], value: str, low: float, high: float, n: int) -> DataFrame:
-    """(keys, share): the most variance between two parts, split at bin centres, of the whole variance.
+    """(keys, share): the most variance between two parts, split at bin centres, of the whole variance."""
+    return share_of(halves(df, keys, value, low, high, n), keys, n)
 
-    Bins are halved so that samples fall on a side of each centre; the centre's own bin counts for both parts.
-    """
-    binned = df.withColumn("bin", bin_of(F.col(value), low, high, 2 * n))
-    facts = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.var_pop(value).alias("variance"))
-    halves = binned.where("bin is not null").groupBy(*keys, "bin").agg(F.count("*").alias("n"), F.sum(value).alias("s"))
-    halves = dense(halves, keys, 2 * n).na.fill(0.0, ["s"])
+
+def share_of(parts: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """``between_class_share`` of half-bins: samples fall on a side of each centre; the centre's own bin counts for both parts."""
+    facts = moments(parts, keys).select(*keys, "variance")
+    inside = parts.where(F.col("bin").between(0, 2 * n - 1)).select(*keys, "bin", "n", F.col("s1").alias("s"))
+    rows = dense(inside, keys, 2 * n).na.fill(0.0, ["s"])
     order, whole = Window.partitionBy(*keys).orderBy("bin"), Window.partitionBy(*keys)
-    halves = halves.withColumns({"c": F.sum("n").over(prefix(keys)), "t": F.sum("s").over(prefix(keys)), "all_n": F.sum("n").over(whole), "all_s": F.sum("s").over(whole)})
-    halves = halves.withColumns({"upto": F.lead("c").over(order), "below": F.coalesce(F.lag("c").over(order), F.lit(0))})
-    split = halves.where("bin % 2 = 0 and c > 0 and c < all_n").join(facts, keys)
+    rows = rows.withColumns({"c": F.sum("n").over(prefix(keys)), "t": F.sum("s").over(prefix(keys)), "all_n": F.sum("n").over(whole), "all_s": F.sum("s").over(whole)})
+    rows = rows.withColumns({"upto": F.lead("c").over(order), "below": F.coalesce(F.lag("c").over(order), F.lit(0))})
+    split = rows.where("bin % 2 = 0 and c > 0 and c < all_n").join(facts, keys)
     share = F.expr("upto / all_n * ((all_n - below) / all_n) * pow(t / c - (all_s - t) / (all_n - c), 2) / variance")
     return split.where("variance > 0").groupBy(*keys).agg(F.max(share).alias("share"))
 
 
 def histogram_bimodality(df: DataFrame, keys: list[str], value: str, low: float, high: float, n: int) -> DataFrame:
     """(keys, share, separation) from a smoothed histogram alone."""
+    return bimodality_of(halves(df, keys, value, low, high, n), keys, low, high, n)
+
+
+def bimodality_of(parts: DataFrame, keys: list[str], low: float, high: float, n: int) -> DataFrame:
+    """``histogram_bimodality`` of half-bins."""
     step = (high - low) / n
-    bins = dense(histogram(df, keys, value, low, high, n).drop("density"), keys, n)
+    bins = dense(bins_of(parts, keys, n), keys, n)
     order = Window.partitionBy(*keys).orderBy("bin")
     smooth = 0.2261 * F.coalesce(F.lag("n").over(order), F.lit(0)) + 0.5478 * F.col("n") + 0.2261 * F.coalesce(F.lead("n").over(order), F.lit(0))
     bins = bins.withColumn("c", smooth).withColumn("x", F.lit(low) + (F.col("bin") + 0.5) * step).withColumn("m", F.col("c") * F.col("x"))
@@ -125,7 +154,7 @@ def histogram_bimodality(df: DataFrame, keys: list[str], value: str, low: float,
     bins = bins.where("cl > 1e-9 and cr > 1e-9")
     mean = {s: f"(m{s} / c{s})" for s in "lr"}
     deviation = {s: f"(sqrt(greatest(q{s} - 2 * {mean[s]} * m{s} + k{s} * {mean[s]} * {mean[s]}, 0)) / c{s})" for s in "lr"}
-    facts = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.var_samp(value).alias("variance"), F.count("*").alias("cells")).where("cells > 2 and variance > 0")
+    facts = moments(parts, keys).where("cells > 2 and variance > 0").select(*keys, "cells", F.expr("variance * cells / (cells - 1)").alias("variance"))
     share = F.expr(f"cl / all * (cr / all) * pow({mean['l']} - {mean['r']}, 2) / variance")
     apart = F.expr(f"sqrt(2.0D) * abs({mean['l']} - {mean['r']}) / sqrt(pow({deviation['l']}, 2) + pow({deviation['r']}, 2))")
     return bins.join(facts, keys).groupBy(*keys).agg(F.max(share).alias("share"), F.max(apart).alias("separation"))

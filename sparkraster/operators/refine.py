@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.maths import gaussian
 from ..sources.folders import ship
-from . import bimodal, components, hist, masks, morph, thresholds
+from . import bimodal, components, hist, masks, morph, pyramid, thresholds
 
 COMP = ["comp_row", "comp_col"]
 
@@ -226,22 +226,23 @@ def grown_threshold(cells: DataFrame, keys: list[str], value: str, start: DataFr
     return best.select(*keys, ((F.col("b.threshold") + to) / 2).alias("threshold"))
 
 
-def threshold_stage(cells: DataFrame, value: str, block: int = 20, water: str | None = None, **tests) -> DataFrame:
+def threshold_stage(cells: DataFrame, value: str, block: int = 20, water: str | None = None, largest: int | None = None, **tests) -> DataFrame:
     """Windows to thresholds to a surface to initial water: cells with threshold and water.
 
     With ``water``, a column of known water, only windows that pass all tests (``thresholds.selected_by_all``, limits in
-    ``tests``) have a threshold, in squares of two blocks and, as long as too few pass, of one; else all windows have.
-    No window at all gives no threshold and no water.
+    ``tests``) have a threshold: of ``largest`` (eight blocks) and, as long as too few pass, of half that size down to a block; else
+    all windows of two blocks have. No window at all gives no threshold and no water.
     """
-    keys = ["window_size", "window_row", "window_col"]
+    keys = pyramid.KEYS
     rows = cells.select("row", "col", value)
-    windowed = thresholds.windows(rows, 2 * block)
     if water is not None:
         linear = cells.select("row", "col", F.pow(F.lit(10.0), F.col(value) / 10).alias("_p"), F.col(water).alias("_w"))
-        sizes = (2 * block, block)
-        chosen = thresholds.selected_by_all(thresholds.window_stats(linear, "_p", sizes, "_w"), rows, value, (-35.0, 10.0, 90), **tests)
-        chosen = morph.kept(chosen.select(*keys), "windows")
-        windowed = windowed.unionByName(thresholds.windows(rows, block)).join(chosen, keys, "left_semi")
+        sizes, bins = pyramid.halved(largest or 8 * block, block), (-35.0, 10.0, 90)
+        stats = morph.kept(thresholds.window_stats(linear, "_p", sizes, "_w"), "stats")
+        chosen = thresholds.selected_by_all(stats, pyramid.halves(rows, value, sizes, *bins), bins, **tests)
+        windowed = pyramid.cells_of(rows, morph.kept(chosen.select(*keys), "windows"), min(sizes) // 2)
+    else:
+        windowed = thresholds.windows(rows, 2 * block)
     points = morph.kept(window_thresholds(morph.kept(windowed, "windowed"), keys, value, (-28.0, -3.0)), "points")
     at = lambda c: F.floor(F.col(f"window_{c}") * F.col("window_size") / 2 / block).cast("int").alias(c)
     points = thresholds.block_median(points.select(at("row"), at("col"), F.col("threshold").alias("value")), ["row", "col"], "value")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.maths import normal_cdf
-from . import bimodal, hist
+from . import bimodal, hist, pyramid
 from .morph import kept
 
 
@@ -22,18 +22,14 @@ def windows(df: DataFrame, size: int) -> DataFrame:
 
 
 def window_stats(df: DataFrame, value: str, sizes: tuple[int, ...], water: str) -> DataFrame:
-    """Mean, deviation, variation and ratio to the global mean of every window, with its valid share and water share."""
+    """Mean, deviation, variation and ratio to the global mean of every window of more than a third valid cells, with its water share.
+
+    ``sizes`` are halves of each other; cells are counted once, whatever their number (``pyramid``).
+    """
     overall = df.agg(F.avg(value).alias("overall"))  # one row
-    parts = None
-    for size in sizes:
-        part = windows(df, size)
-        parts = part if parts is None else parts.unionByName(part)
-    keys = ["window_size", "window_row", "window_col"]
-    stats = parts.groupBy(*keys).agg(
-        F.avg(value).alias("mean"), F.stddev_pop(value).alias("deviation"), F.count(value).alias("valid"), F.avg(F.col(water).cast("double")).alias("water")
-    )
-    stats = stats.crossJoin(F.broadcast(overall)).where("valid > window_size * window_size / 3")
-    return stats.withColumns({"variation": F.col("deviation") / F.col("mean"), "ratio": F.col("mean") / F.col("overall")}).drop("overall")
+    found = pyramid.moments(df, value, sizes, water).where("valid > window_size * window_size / 3")
+    found = found.select(*pyramid.KEYS, "mean", F.expr("sqrt(m2 / valid)").alias("deviation"), "valid", F.expr("wet / cells").alias("water")).crossJoin(F.broadcast(overall))
+    return found.withColumns({"variation": F.col("deviation") / F.col("mean"), "ratio": F.col("mean") / F.col("overall")}).drop("overall")
 
 
 def selected(stats: DataFrame, wanted: int = 20, least: int = 40, variation: float = 0.09, low: float = 0.8, high: float = 0.97, water: tuple[float, float] = (0.02, 0.98)) -> DataFrame:
@@ -47,30 +43,16 @@ def selected(stats: DataFrame, wanted: int = 20, least: int = 40, variation: flo
     return hits.join(F.broadcast(sizes.select("window_size")), "window_size")
 
 
-def bimodal_windows(cells: DataFrame, value: str, sizes: tuple[int, ...], low: float, high: float, n: int) -> DataFrame:
-    """(window_size, window_row, window_col, bimodal): whether each window's values have two modes."""
-    parts = [windows(cells, size) for size in sizes]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    keys = ["window_size", "window_row", "window_col"]
-    return bimodal.verdict(rows.where(F.col(value).isNotNull()), keys, value, low, high, n).select(*keys, "bimodal")
-
-
-def selected_by_all(stats: DataFrame, cells: DataFrame, value: str, bins: tuple[float, float, int], share: float = 0.7, **tests) -> DataFrame:
+def selected_by_all(stats: DataFrame, parts: DataFrame, bins: tuple[float, float, int], share: float = 0.7, **tests) -> DataFrame:
     """Windows that pass the tests of ``selected``, have two modes and a large share of variance between two classes.
 
-    The tests are joined before sizes are chosen, so windows are halved for as long as too few pass all of them.
-    ``bins`` are the range and the number of bins of the histograms, ``tests`` the limits of ``selected``.
+    The tests are joined before sizes are chosen, so windows are halved for as long as too few pass all of them. ``parts`` are the half-bins of
+    the windows (``pyramid.halves``) over ``bins``, range and number; ``tests`` are the limits of ``selected``.
     """
-    sizes = tuple(sorted({r[0] for r in stats.select("window_size").distinct().collect()}, reverse=True))  # a row per size
-    keys = ["window_size", "window_row", "window_col"]
-    modes = bimodal_windows(cells, value, sizes, *bins).where("bimodal").select(*keys)
-    rows = None
-    for size in sizes:
-        part = windows(cells, size)
-        rows = part if rows is None else rows.unionByName(part)
-    apart = hist.between_class_share(rows, keys, value, *bins).where(F.col("share") > share).select(*keys)
+    keys = pyramid.KEYS
+    parts = kept(parts.join(stats.select(*keys), keys, "left_semi"), "parts")
+    modes = bimodal.verdict_of(parts, keys, *bins).where("bimodal").select(*keys)
+    apart = hist.share_of(parts, keys, bins[2]).where(F.col("share") > share).select(*keys)
     return selected(stats.join(modes, keys, "left_semi").join(apart, keys, "left_semi"), **tests)
 
 

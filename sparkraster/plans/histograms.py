@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import hist, thresholds
+from ..operators import hist, morph, pyramid, thresholds
 from ..sources import fixtures
 from ..sources.fixtures import LAYERS_SQL, PATCH_SQL
 from .cells import DB, db
@@ -112,7 +112,7 @@ def _windows(size: int) -> str:
     return f"""SELECT {size} AS window_size, (row // {h} - i)::INT AS window_row, (col // {h} - j)::INT AS window_col, u, water FROM y, range(2) a(i), range(2) b(j) WHERE row // {h} >= i AND col // {h} >= j"""
 
 
-STATS = f"""{DB}, y AS (SELECT row, col, round(co * 1e8)::BIGINT AS u, coalesce(co_db < -11, FALSE) AS water FROM d), z AS ({_windows(20)} UNION ALL {_windows(10)}),
+STATS = f"""{DB}, y AS (SELECT row, col, round(co * 1e8)::BIGINT AS u, coalesce(co_db < -11, FALSE) AS water FROM d), z AS ({_windows(40)} UNION ALL {_windows(20)} UNION ALL {_windows(10)}),
 o AS (SELECT avg(u) AS overall FROM y),
 st AS (SELECT window_size, window_row, window_col, avg(u) AS mean, stddev_pop(u) AS deviation, count(u) AS valid, avg(water::INT) AS water FROM z GROUP BY ALL),
 w AS (SELECT st.*, deviation / mean AS variation, mean / overall AS ratio FROM st, o WHERE valid > window_size * window_size / 3)"""
@@ -120,7 +120,7 @@ w AS (SELECT st.*, deviation / mean AS variation, mean / overall AS ratio FROM s
 
 def _stats(spark, sf):
     rows = db(spark, sf).select("row", "col", F.round(F.col("co") * 1e8).cast("long").alias("u"), F.coalesce(F.col("co_db") < -11, F.lit(False)).alias("water"))
-    return thresholds.window_stats(rows, "u", (20, 10), "water")
+    return thresholds.window_stats(rows, "u", (40, 20, 10), "water")
 
 
 @query(f"""WITH {STATS} SELECT window_size, window_row, window_col, valid, round(mean, 3) AS mean, round(deviation, 3) AS deviation, round(variation, 6) AS variation, round(ratio, 6) AS ratio, round(water, 6) AS water FROM w""")
@@ -244,5 +244,6 @@ def valley_mode(spark, sf):
 def window_select_all(spark, sf):
     """Windows that pass all tests: mixture, variation, two modes, variance between classes. No SQL: modes are fitted."""
     cells = db(spark, sf).select("row", "col", F.round(F.col("co_db"), 6).alias("u"), F.coalesce(F.col("co_db") < -11, F.lit(False)).alias("water"))
-    stats = thresholds.window_stats(cells.withColumn("u", F.pow(F.lit(10.0), F.col("u") / 10)), "u", (20, 10), "water")
-    return thresholds.selected_by_all(stats, cells, "u", (-35.0, 0.0, 70), 0.5, low=0.2, high=2.0)
+    sizes, bins = (40, 20, 10), (-35.0, 0.0, 70)
+    stats = morph.kept(thresholds.window_stats(cells.withColumn("u", F.pow(F.lit(10.0), F.col("u") / 10)), "u", sizes, "water"), "stats")
+    return thresholds.selected_by_all(stats, pyramid.halves(cells, "u", sizes, *bins), bins, 0.5, low=0.2, high=2.0)
