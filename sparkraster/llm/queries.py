@@ -114,11 +114,15 @@ l AS (SELECT *, ((sum(source_size) OVER ())::BIGINT * 1.5::DOUBLE - coalesce(sum
         / sum(weight) OVER (ORDER BY most / weight, turn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
 f AS (SELECT *, min_by(level, (most / weight, turn)) FILTER (WHERE weight * level <= most) OVER () AS final FROM l),
 a AS (SELECT source, source_size, least(most, coalesce(weight * final, most)) AS target FROM f),
-r AS (SELECT t.doc_id, t.size, a.source_size, a.target, row_number() OVER (PARTITION BY t.source ORDER BY t.size, t.doc_id % 64, t.doc_id) AS rank,
+q AS (SELECT t.doc_id, t.source, t.size, a.source_size, a.target, row_number() OVER (PARTITION BY t.source ORDER BY t.size, t.doc_id % 64, t.doc_id) AS rank, count(*) OVER (PARTITION BY t.source) AS n,
         CASE WHEN a.source_size > 0 THEN a.target / a.source_size ELSE 0.0::DOUBLE END AS each
-      FROM t JOIN a ON t.source IS NOT DISTINCT FROM a.source)
-SELECT doc_id, size, source_size, target,
-  (least(floor(rank * each + {mixing.offset(7)!r}::DOUBLE) - floor((rank - 1) * each + {mixing.offset(7)!r}::DOUBLE), 2) * size)::BIGINT AS taken FROM r
+      FROM t JOIN a ON t.source IS NOT DISTINCT FROM a.source),
+r AS (SELECT *, CASE WHEN 2 * rank > n THEN 2 * (n - rank) + 1 ELSE 2 * rank END AS spot FROM q),
+o AS (SELECT k, (k + {mixing.offset(7)!r}::DOUBLE) / {mixing.OFFSETS}::DOUBLE AS u FROM range({mixing.OFFSETS}) x(k)),
+c AS (SELECT source, target, k, u, sum((floor(spot * each + u) - floor((spot - 1) * each + u)) * size) AS words FROM r, o GROUP BY ALL),
+b AS (SELECT source, arg_min(u, (abs(words - target), k)) AS u FROM c GROUP BY source)
+SELECT r.doc_id, r.size, r.source_size, r.target,
+  (least(floor(spot * each + u) - floor((spot - 1) * each + u), 2) * size)::BIGINT AS taken FROM r JOIN b ON r.source IS NOT DISTINCT FROM b.source
 """
 
 
@@ -132,21 +136,23 @@ def op11_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
-def _periodic() -> Column:
-    """Texts, of which a tenth is made periodic from some word on: with h = crc32(doc_id), g = h div 10 and n words, from word a = g mod n
-    on the words repeat every p = 1 + (n - a) div (3 + g mod 8)."""
+def _periodic(docs: DataFrame) -> DataFrame:
+    """Documents, of whose texts a tenth is made periodic from some word on: with h = crc32(doc_id), g = h div 10 and n words, from word
+    a = g mod n on the words repeat every p = 1 + (n - a) div (3 + g mod 8)."""
     h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    words, g = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)), F.floor(h / 10)
-    n = F.size(words)
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    word = lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(F.transform(F.sequence(F.lit(0), n - 1), word), " ")).otherwise(F.col("text"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
+    # Columns of their own, so that words are taken once.
+    docs = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    docs = docs.withColumn("n", F.coalesce(F.size("words"), F.lit(0))).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    docs = docs.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")))
+    changed = F.slice(F.concat(F.slice("words", F.lit(1), F.col("a")), again), F.lit(1), F.col("n"))
+    return docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
 
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's runs of words, and its text without what they repeat."""
-    return runs.periodic_runs(_table(spark, sf_dir, "documents").select("doc_id", _periodic().alias("text")))
+    return runs.periodic_runs(_periodic(_table(spark, sf_dir, "documents")))
 
 
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
