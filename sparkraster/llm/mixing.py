@@ -1,10 +1,14 @@
 """Mixing sources to target weights by systematic sampling.
 
 Within a source every document expects ``target / source_size`` copies (2 at
-most). Documents stand in the order (size, id mod 64, id); the running sum of the
-expected copies, shifted by one offset in [0, 1), emits a copy each time it
-crosses an integer. Neighbours in that order have nearly equal sizes, so the
-words taken stay within about one longest document of the target.
+most). The running sum of the expected copies, shifted by one offset in [0, 1), emits a
+copy each time it crosses an integer. Documents stand in the order largest, smallest,
+next largest, next smallest .., so that what large ones take is made up for at once.
+
+Which of a source's documents an offset takes is chance, and in a small source so is the number of
+words. So the offset is one of 256 that the seed stands for: the one whose words come nearest
+to the source's target (of equally near ones the smallest). A document's copies change at two of
+them at most, so what each would take is a sum of changes, a few hundred rows per source.
 
 The running sum needs each row's rank in its source. No window sees a whole
 source: ranks are added up over the digits of the size (words div 256, words div
@@ -22,7 +26,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, aside, stored, text_or_empty
@@ -32,6 +36,8 @@ WEIGHTS = (5, 2, 1)
 #: The mix takes this share of all words, and of a source at most ``MOST`` times its words.
 SHARE, MOST = 1.5, 2.0
 OUTPUTS = ("size", "source_size", "target", "copies", "taken")
+#: Offsets that a source may have.
+OFFSETS = 256
 #: Parts that rows of one size are dealt to.
 PARTS = 64
 
@@ -41,6 +47,35 @@ def offset(seed: int) -> float:
     return int.from_bytes(hashlib.sha256(str(seed).encode()).digest()[:4], "big") / 2**32
 
 
+def place(rank: Column, rows: Column) -> Column:
+    """Place of the ``rank``-th smallest of a source's documents in the order largest, smallest, next largest, .."""
+    return F.when(2 * rank > rows, 2 * (rows - rank) + 1).otherwise(2 * rank)
+
+
+def offsets(cells: DataFrame, seed: int) -> DataFrame:
+    """(name, none, u): each source's offset. ``cells`` has name, none, size, rows of that size, those ahead of them, all_rows, each and target."""
+    shift = offset(seed)
+    at = lambda k: (k + F.lit(shift)) / OFFSETS
+    held = cells.where("size > 0").select("name", "none", "size", "all_rows", "each", "target", F.explode(F.sequence(F.col("ahead") + 1, F.col("ahead") + F.col("rows"))).alias("rank"))
+    held = held.withColumn("b", place(F.col("rank"), F.col("all_rows")) * F.col("each")).withColumn("a", (place(F.col("rank"), F.col("all_rows")) - 1) * F.col("each"))
+
+    def crossing(x: Column) -> Column:
+        """The first offset that lifts x over an integer."""
+        over = lambda k: F.floor(x + at(k)) > F.floor(x)
+        guess = F.ceil((1 - (x - F.floor(x))) * OFFSETS - shift)
+        return F.when(over(guess - 1), guess - 1).when(over(guess), guess).otherwise(guess + 1)
+
+    changes = F.array(
+        F.struct(F.lit(0).cast("long").alias("k"), ((F.floor("b") - F.floor("a")) * F.col("size")).alias("words")),
+        F.struct(crossing(F.col("b")).alias("k"), F.col("size").alias("words")), F.struct(crossing(F.col("a")).alias("k"), (-F.col("size")).alias("words")),
+    )
+    sums = held.select("name", "none", "target", F.explode(changes).alias("c")).where(F.col("c.k") < OFFSETS)
+    sums = sums.groupBy("name", "none", F.greatest(F.col("c.k"), F.lit(0)).alias("k")).agg(F.sum("c.words").alias("words"), F.max("target").alias("target"))
+    taken = F.sum("words").over(Window.partitionBy("name", "none").orderBy("k").rowsBetween(Window.unboundedPreceding, 0))
+    near = sums.withColumn("taken", taken).groupBy("name", "none").agg(F.min_by("k", F.struct(F.abs(F.col("taken") - F.col("target")), F.col("k"))).alias("k"))
+    return near.select("name", "none", at(F.col("k")).alias("u"))
+
+
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """(source, source_size) to (source, source_size, target): one row per source.
 
@@ -78,9 +113,11 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     cells = cells.withColumns({"high": F.floor(F.col("size") / 4), "top": F.floor(F.col("size") / 256)})
     highs = cells.groupBy(*high, "top").agg(F.sum("rows").alias("rows"), F.sum(F.col("rows") * F.col("size")).alias("words"))
     tops = highs.groupBy(*top).agg(F.sum("rows").alias("rows"), F.sum("words").alias("words"))
-    totals = tops.groupBy("name", "none").agg(F.sum("words").alias("source_size"))
+    totals = tops.groupBy("name", "none").agg(F.sum("words").alias("source_size"), F.sum("rows").alias("all_rows"))
     targets = source_targets(totals.select(F.when(~F.col("none"), F.col("name")).alias("source"), "source_size"), weights, share, most)
     targets = targets.select(F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNull().alias("none"), "source_size", "target")
+    each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    targets = targets.join(totals.drop("source_size"), ["name", "none"]).withColumn("each", each)
 
     def earlier(order: list[str], within: list[str]):
         window = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -89,13 +126,13 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     tops = tops.withColumn("ahead", earlier(["top"], ["name", "none"])).drop("rows", "words").join(targets, ["name", "none"])
     highs = highs.withColumn("more", earlier(["high"], top)).drop("rows", "words").join(tops, top)
     highs = highs.withColumn("ahead", F.col("ahead") + F.col("more")).drop("more", "top")
-    cells = cells.withColumn("more", earlier(["size", "part"], high)).drop("rows", "top").join(highs, high)
-    cells = cells.withColumn("ahead", F.col("ahead") + F.col("more")).drop("more", "high")
+    cells = cells.withColumn("more", earlier(["size", "part"], high)).drop("top").join(highs, high)
+    cells = stored(cells.withColumn("ahead", F.col("ahead") + F.col("more")).drop("more", "high"), "ranks")
+    cells = cells.join(offsets(cells, seed), ["name", "none"], "left").drop("rows").na.fill(0.0, ["u"])  # a source without words has no offset
 
     numbered = rows.withColumn("at", F.row_number().over(Window.partitionBy(*one).orderBy(key, "mark")))
     out = numbered.join(cells, one).withColumn("rank", F.col("ahead") + F.col("at"))
-    each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    u = F.lit(offset(seed))
-    copies = F.floor(F.col("rank") * each + u) - F.floor((F.col("rank") - 1) * each + u)
+    at = place(F.col("rank"), F.col("all_rows"))
+    copies = F.floor(at * F.col("each") + F.col("u")) - F.floor((at - 1) * F.col("each") + F.col("u"))
     out = out.withColumn("copies", F.least(copies, F.lit(int(most))).cast("long")).withColumn("taken", F.col("copies") * F.col("size"))
     return out.select(*given, *OUTPUTS)

@@ -2,11 +2,12 @@
 
 Records hash into a fixed number of virtual slots (thousands, however large the
 table). Bytes are aggregated per slot, and a small versioned map sends slots to
-shards: version 1 balances bytes, later versions are edits of the one before, so
+shards: version 1 deals whole slots, later versions are edits of the one before, so
 a rebalance moves whole slots and never rehashes records.
 
 Everything that grows with the data is a DataFrame aggregate keyed by slot; the
 map has ``slots`` rows whatever the input, which bounds its broadcast.
+Rebalancing (``rebalanced_map``) and growth (``grown_map``) write the next version.
 
 Cases: null text has no bytes and still takes ``overhead``; null keys share one
 slot; repeated rows are placed each for itself; an empty table gives an empty
@@ -16,7 +17,7 @@ version) are replaced, others never clash.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import aside, shared_dir, stored, text_or_empty
@@ -41,24 +42,46 @@ def slot_bytes(sized: DataFrame, slots: int = SLOTS) -> DataFrame:
     return every.join(F.broadcast(used), "virtual_slot", "left").na.fill(0)  # used has ``slots`` rows at most
 
 
-def first_map(stats: DataFrame, shards: int) -> DataFrame:
-    """Version 1: the largest slot first, each to the shard with the fewest bytes so far.
+def _by_weight(stats: DataFrame, weight: str) -> Column:
+    """All slots as one array, the heaviest first: ``slots`` entries, a size that does not depend on the data."""
+    own = [F.col("own")] if "own" in stats.columns else []
+    return F.array_sort(F.collect_list(F.struct((-F.col(weight)).alias("less"), "virtual_slot", *own)))
+
+
+def _exploded(placed: DataFrame, version: Column) -> DataFrame:
+    pairs = placed.select(version.alias("version"), F.explode(F.arrays_zip(F.col("slots.virtual_slot").alias("virtual_slot"), F.col("to"))).alias("p"))
+    return pairs.select("version", F.col("p.virtual_slot").alias("virtual_slot"), F.col("p.to").alias("shard"))
 
-    The fold runs over one array of ``slots`` entries, a size that does not depend on the data.
-    """
-    order = F.array_sort(F.collect_list(F.struct((-F.col("slot_bytes")).alias("less"), "virtual_slot")))
-    start = F.struct(
-        F.array_repeat(F.lit(0).cast("long"), shards).alias("load"), F.array().cast("array<int>").alias("to")
-    )
+
+def first_map(stats: DataFrame, shards: int, weight: str = "slot_bytes") -> DataFrame:
+    """Version 1: the heaviest slot first, each to the shard with the least so far."""
+    start = F.struct(F.array_repeat(F.lit(0).cast("long"), shards).alias("load"), F.array().cast("array<int>").alias("to"))
 
     def place(state, slot):
         least = F.array_position(state["load"], F.array_min(state["load"])).cast("int") - 1
         load = F.transform(state["load"], lambda x, i: F.when(i == least, x - slot["less"]).otherwise(x))
         return F.struct(load.alias("load"), F.concat(state["to"], F.array(least)).alias("to"))
 
-    placed = stats.agg(order.alias("by_size")).withColumn("to", F.aggregate("by_size", start, place)["to"])
-    pairs = placed.select(F.explode(F.arrays_zip(F.col("by_size.virtual_slot").alias("virtual_slot"), F.col("to"))).alias("p"))
-    return pairs.select(F.lit(1).alias("version"), F.col("p.virtual_slot").alias("virtual_slot"), F.col("p.to").alias("shard"))
+    placed = stats.agg(_by_weight(stats, weight).alias("slots")).withColumn("to", F.aggregate("slots", start, place)["to"])
+    return _exploded(placed, F.lit(1))
+
+
+def rebalanced_map(current: DataFrame, stats: DataFrame, shards: int) -> DataFrame:
+    """The next version, edited for even bytes: a slot stays where it is, the heaviest first, for as long as its shard has not more than the
+    mean; the others move to the shard with the least so far."""
+    sized = stats.join(F.broadcast(current.select("virtual_slot", "version", F.col("shard").alias("own"))), "virtual_slot")  # ``slots`` rows
+    start = F.struct(F.array_repeat(F.lit(0).cast("long"), shards).alias("load"), F.array().cast("array<int>").alias("to"))
+    whole = sized.agg(_by_weight(sized, "slot_bytes").alias("slots"), F.sum("slot_bytes").alias("all"), F.max("version").alias("version"))
+
+    def place(state, slot):
+        least = F.array_position(state["load"], F.array_min(state["load"])).cast("int") - 1
+        stays = (F.get(state["load"], slot["own"]) - slot["less"]) * shards <= F.col("all")
+        to = F.when(stays, slot["own"]).otherwise(least)
+        load = F.transform(state["load"], lambda x, i: F.when(i == to, x - slot["less"]).otherwise(x))
+        return F.struct(load.alias("load"), F.concat(state["to"], F.array(to)).alias("to"))
+
+    placed = whole.withColumn("to", F.aggregate("slots", start, place)["to"])
+    return _exploded(placed, F.col("version") + 1)
 
 
 def grown_map(current: DataFrame, stats: DataFrame) -> DataFrame:
@@ -110,9 +133,13 @@ def placed(sized: DataFrame, slot_map: DataFrame, stats: DataFrame, key: str = "
 
 
 def shard_by_bytes(df: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
-    """Place every row of ``df`` so that shards have nearly equal bytes; sums and map are stored, then used as stored."""
+    """Place every row of ``df`` so that shards have nearly equal bytes; sums and both versions of the map are stored, then used as stored.
+
+    Version 1 deals the slots by rows, as one does before sizes are known; version 2 is its edit for even bytes, which places the rows.
+    """
     sized = with_slot(df.drop("shard", "slot", "version"), key, text, slots)
     stats = stored(slot_bytes(sized, slots), "slot-bytes")
     path = shared_dir(df.sparkSession, "slot-map")
-    save_map(first_map(stats, shards), path)
+    save_map(first_map(stats, shards, "slot_rows"), path)
+    save_map(rebalanced_map(load_map(df.sparkSession, path, 1), stats, shards), path)
     return placed(sized, load_map(df.sparkSession, path), stats, key)

@@ -75,6 +75,15 @@ def test_encodings_as_registered(result, documents):
         start += len(ids)
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_sources_of_fifty_documents_meet_their_targets(spark):
+    sums = {}
+    for r in entry.queries()["op9_mixing"](spark, "/root/testdata/sf0.01").collect():
+        target, taken = sums.get(r["source_size"], (r["target"], 0))
+        sums[r["source_size"]] = (target, taken + r["taken"])
+    assert len(sums) == 20 and all(abs(taken - target) <= 0.01 * target for target, taken in sums.values())
+
+
 def test_held_out_accuracy_on_documents(result, documents):
     got, hits = result("op5_langid"), []
     for d in documents:

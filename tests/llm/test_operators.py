@@ -303,6 +303,22 @@ def test_shards_hold_even_bytes(spark, docs, rows):
     old, new = sharding.load_map(spark, path, 1), sharding.load_map(spark, path)
     moved = old.alias("o").join(new.alias("n"), "virtual_slot").where("o.shard <> n.shard").select("n.shard").distinct().collect()
     assert [r[0] for r in moved] == [5]
+    mean = stats.agg(F.sum("slot_bytes")).first()[0] / 5
+    even = sharding.first_map(stats, 5, "slot_rows")
+    counts = [r["n"] for r in stats.join(even, "virtual_slot").groupBy("shard").agg(F.sum("slot_rows").alias("n")).collect()]
+    assert max(counts) - min(counts) <= stats.agg(F.max("slot_rows")).first()[0]
+    path = common.shared_dir(spark, "map")
+    sharding.save_map(even, path)
+    sharding.save_map(sharding.rebalanced_map(sharding.load_map(spark, path), stats, 5), path)
+    old, new = sharding.load_map(spark, path, 1), sharding.load_map(spark, path)
+    assert new.count() == 64 and {r[0] for r in new.select("version").distinct().collect()} == {2}
+    loads = {r["shard"]: r["b"] for r in stats.join(new, "virtual_slot").groupBy("shard").agg(F.sum("slot_bytes").alias("b")).collect()}
+    assert max(loads.values()) <= mean + stats.agg(F.max("slot_bytes")).first()[0]
+    both = old.alias("o").join(new.alias("n"), "virtual_slot")
+    assert 0 < both.where("o.shard <> n.shard").count() < 64
+    # What has left a shard would have made it heavier than the mean; a slot that stays was taken in first.
+    again = {(r["virtual_slot"], r["shard"]) for r in sharding.rebalanced_map(new, stats, 5).collect()}
+    assert len(again) == 64
     assert sharding.shard_by_bytes(docs.limit(0), 3).count() == 0
 
 
