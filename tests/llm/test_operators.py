@@ -487,7 +487,8 @@ def test_copies_in_several_shapes_are_no_template(spark):
 
 
 def texts_of(page):
-    return [t for t, _, _ in htmlext.blocks(htmlext.parse(page)[0])[0]]
+    root, _, marked = htmlext.parse(page)
+    return [t for t, _, _ in htmlext.blocks(root, marked)[0]]
 
 
 @pytest.mark.parametrize("around", ["<div>", "<font>", "<div><font>", "<section><span class=x>"])
@@ -564,6 +565,40 @@ def test_words_alone_take_no_article_away():
     assert texts_of("<main> <nav>Menu</nav></main><div><p>Outside</div>") == ["Outside"]
 
 
+LONG = "A sentence of the story that goes on for a while, with {t} in it and no end in sight. " * 3
+#: Bodies around an article, and what stays of them.
+HOSTS = {
+    "form": ('<form id="aspnetForm"><nav>Menu {t}</nav><div class="story"><h1>{t}</h1><p>' + LONG + '</p></div><input name=q><button>Go</button></form>', "{t}\n" + LONG),
+    "teaser": ('<div class="story"><h1>{t}</h1><p>' + LONG + '</p></div><div class="more"><article class="card"><p><a href=x>Read also {t}</a></p></article></div>', None),
+    "comments": ('<div class="story"><h1>{t}</h1><p>' + LONG + '</p></div><div class="post-comments"><div class="user-comment"><b>Ann {t}</b><p>' + LONG + LONG + '</p></div></div><div class="google-ad">Buy {t}</div>', "{t}\n" + LONG),
+    "reply": ('<nav>Menu {t}</nav><div class="reply"><p>' + LONG + "</p></div>", LONG),
+    "alert": ('<nav>Menu {t}</nav><div class="alert"><p>' + LONG + "</p></div>", LONG),
+    "login": ('<nav>Menu {t}</nav><div id="login"><p>' + LONG + "</p></div>", LONG),
+    "small boxes": ('<div class="alert">Note {t}</div><form>Search {t}</form><dialog open>Accept {t}?</dialog><div class="story"><p>' + LONG + '</p></div><div id="respond">Say {t}</div>', LONG),
+    "dialog": ("<dialog open><p>" + LONG + "</p></dialog><footer>{t}</footer>", LONG),
+    "hidden": ('<p>' + LONG + '</p><p style="color: red; display:none">hidden {t}</p><div style="visibility : hidden"><p>too {t}</div>', LONG),
+    "standfirst": ("<header><p>{t} today</p><h1>{t}</h1><p>What {t} is about</p></header><div><p>" + LONG + "</p></div>", "{t}\nWhat {t} is about\n" + LONG),
+    "marked": ('<main><p>' + LONG + '</p></main><div><p>Not of {t}</p></div>', LONG),
+    "state": ('<div class="has-comments with-ads"><h2>{t}</h2><p>' + LONG + "</p></div>", "{t}\n" + LONG),
+}
+
+
+def test_boxes_are_judged_by_what_they_hold(spark):
+    """Whole hosts, made by hand, against what a reader would take out of them."""
+    pages, wanted = [], {}
+    for h, (name, (body, text)) in enumerate(HOSTS.items()):
+        for i in range(6):
+            title = f"title {h} {i}"
+            pages.append((10 * h + i, f"http://{name.replace(' ', '-')}.example/{i}", f"<html><head><title>{title}</title></head><body>{body.format(t=title)}</body></html>"))
+            wanted[10 * h + i] = None if text is None else "\n".join(" ".join(line.split()) for line in text.format(t=title).split("\n"))
+    got = by_id(htmlext.extract(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)), "page_id")
+    for k, text in wanted.items():
+        if text is None:
+            assert got[k]["text"].startswith(f"title {k // 10} {k % 10}\nA sentence of the story")
+        else:
+            assert got[k]["text"] == text, (k, list(HOSTS)[k // 10])
+
+
 def test_a_headline_in_the_header_stays_if_it_varies(spark):
     page = "<html><head><title>{t}</title></head><body><header><h1><a href=/>{h}</a></h1><p>Motto</p></header><div><p>Text of {t}.</p></div></body></html>"
     pages = [(i, "http://own.example/", page.format(t=f"t{i}", h=f"Head {i}")) for i in range(5)]
