@@ -8,15 +8,17 @@ written to the shared folder. Components that touch no border take no part.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.folders import ship
-from .morph import FOUR, kept, moved
+from ..sources.tiles import groups, sorted_apply, whole
+from .morph import kept, line_runs
 
 #: Lines and columns of a tile.
 TILE = 512
@@ -166,23 +168,97 @@ def grow_masks(seeds: DataFrame, allowed: DataFrame, keys: list[str], excluded:
     return labels.join(found, [*keys, "comp_row", "comp_col"], "left_semi").select(*keys, "row", "col")
 
 
+#: A component's runs and what reaches it from other tiles (kind 0), or the runs of allowed cells (kind 1), by tile.
+_SPREAD = "kind int, comp_row int, comp_col int, row int, col int, d int, margin int"
+
+
+def _spread_in_tiles(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Tiles of allowed runs and of entries (runs at a distance) to cells within each component's margin, kind 0, and what its
+    neighbours get, kind 1."""
+    kinds = pa.schema([(c, pa.int32()) for c in ("kind", "comp_row", "comp_col", "row", "col", "d", "margin")])
+    column = {c: whole(table.column(c)).to_numpy(zero_copy_only=False) for c in ("tile_row", "tile_col", "kind", "comp_row", "comp_col", "row", "first", "last", "d", "margin")}
+    for a, b in groups(table, ["tile_row", "tile_col"]):
+        own = {c: v[a:b] for c, v in column.items()}
+        top, left = int(own["tile_row"][0]) * TILE, int(own["tile_col"][0]) * TILE
+        # A frame of cells that are never allowed saves all tests of bounds.
+        allowed = np.zeros((TILE + 2, TILE + 2), bool)
+        for i in np.flatnonzero(own["kind"] == 1):
+            allowed[own["row"][i] - top + 1, own["first"][i] - left + 1 : own["last"][i] - left + 2] = True
+        wide, flat = TILE + 2, allowed.ravel()
+        entry = np.flatnonzero(own["kind"] == 0)
+        entry = entry[np.lexsort((own["comp_col"][entry], own["comp_row"][entry]))]
+        number = own["comp_row"][entry].astype(np.int64) * (1 << 32) + own["comp_col"][entry]
+        cuts = np.flatnonzero(np.append(True, number[1:] != number[:-1])) if len(entry) else np.zeros(0, int)
+        distance = np.full(wide * wide, np.iinfo(np.int32).max, np.int32)
+        for x, y in zip(cuts.tolist(), [*cuts[1:].tolist(), len(entry)]):
+            some = entry[x:y]
+            margin = int(own["margin"][some[0]])
+            n = own["last"][some] - own["first"][some] + 1
+            at = np.repeat((own["row"][some] - top + 1) * wide + own["first"][some] - left + 1 - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            d = np.repeat(own["d"][some], n)
+            known = (d == 0) | flat[at]
+            at, d = at[known], d[known]
+            order = np.argsort(-d, kind="stable")
+            distance[at[order]] = d[order]  # the least is written last
+            seen = [np.unique(at)]
+            waiting = seen[0]
+            levels = distance[waiting]
+            front = waiting[levels == levels.min()] if len(waiting) else waiting
+            level = int(levels.min()) if len(waiting) else margin
+            while level < margin and (len(front) or (levels > level).any()):
+                around = np.unique((front[:, None] + np.array([1, -1, wide, -wide])).ravel())
+                new = around[flat[around] & (distance[around] > level + 1)]
+                distance[new] = level + 1
+                seen.append(new)
+                level += 1
+                front = np.union1d(new, waiting[(levels == level) & (distance[waiting] == level)])
+            cells = np.unique(np.concatenate(seen))
+            found = distance[cells]
+            distance[cells] = np.iinfo(np.int32).max
+            row, col = cells // wide - 1, cells % wide - 1
+            ring = found > 0
+            out = [(0, row[ring], col[ring], found[ring])]
+            for dr, dc, edge in ((-1, 0, row == 0), (1, 0, row == TILE - 1), (0, -1, col == 0), (0, 1, col == TILE - 1)):
+                goes = edge & (found < margin)
+                out.append((1, row[goes] + dr, col[goes] + dc, found[goes] + 1))
+            for kind, r, c, k in out:
+                if len(r):
+                    m = len(r)
+                    values = (np.full(m, kind), np.full(m, own["comp_row"][some[0]]), np.full(m, own["comp_col"][some[0]]), r + top, c + left, k, np.full(m, margin))
+                    yield pa.RecordBatch.from_arrays([pa.array(v.astype(np.int32)) for v in values], schema=kinds)
+
+
 def rings(labels: DataFrame, allowed: DataFrame, least: int = 1) -> DataFrame:
     """(comp_row, comp_col, row, col): each component's surroundings inside ``allowed``, as wide as its margin, ``least`` cells at least.
 
-    All components widen together, a step at a time, and each step meets only the two before it.
+    Distances from a component, by steps to 4-neighbours over allowed cells, are found within tiles at once; what reaches a tile's border
+    goes on in the next tile, in rounds, until nothing comes nearer. So the rounds are the tiles that a path crosses, not its cells.
+    ``allowed`` holds no cell of a component.
     """
-    comp = ["comp_row", "comp_col"]
-    margins = stats(labels).select(*comp, F.greatest(F.col("margin"), F.lit(least)).alias("margin"))
-    most = margins.agg(F.max("margin")).first()[0] or 0
-    own = labels.select(*comp, "row", "col")
-    frontier, before = own, own.limit(0)
-    found = None
-    for step in range(most):
-        wide = frontier.join(margins.where(F.col("margin") > step).select(*comp), comp, "left_semi")
-        nxt = moved(wide.select("row", "col", *comp), FOUR).join(allowed.select("row", "col"), ["row", "col"], "left_semi").join(frontier.unionByName(before), [*comp, "row", "col"], "left_anti")
-        before, frontier = frontier, kept(nxt.select(*comp, "row", "col"), "ring")
-        found = frontier if found is None else found.unionByName(frontier)
-    return found if found is not None else own.limit(0)
+    comp, tile = ["comp_row", "comp_col"], ["tile_row", "tile_col"]
+    inner = lambda df: df.withColumns({f"tile_{c}": F.expr(f"cast(floor({c} / {TILE}) as int)") for c in ("row", "col")})
+    margins = stats(labels).select(*comp, F.greatest(F.col("margin"), F.lit(least)).cast("int").alias("margin"))
+    runs = lambda df, keys: line_runs(inner(df), [*tile, *keys])
+    number = lambda v: F.lit(v).cast("int")
+    entries = runs(labels.select(*comp, "row", "col"), comp).join(margins, comp).withColumns({"kind": number(0), "d": number(0)})
+    ground = runs(allowed.select("row", "col"), []).withColumns({"kind": number(1), **{c: number(0) for c in (*comp, "d", "margin")}})
+    names = [*tile, "kind", *comp, "row", "first", "last", "d", "margin"]
+    entries, ground = kept(entries.select(names), "entries"), kept(ground.select(names), "ground")
+    found, turn = None, entries
+    while True:
+        touched = ground.join(turn.select(*tile).distinct(), tile, "left_semi")
+        out = kept(sorted_apply(touched.unionByName(turn), tile, _spread_in_tiles, _SPREAD), "ring")
+        cells = out.where("kind = 0").select(*comp, "row", "col", "d")
+        found = cells if found is None else found.unionByName(cells)
+        # What comes nearer than all that is known there.
+        known = found.unionByName(entries.where("d > 0").select(*comp, "row", F.col("first").alias("col"), "d")).groupBy(*comp, "row", "col").agg(F.min("d").alias("before"))
+        news = out.where("kind = 1").groupBy(*comp, "row", "col").agg(F.min("d").alias("d"), F.max("margin").alias("margin"))
+        news = news.join(known, [*comp, "row", "col"], "left").where("before is null or d < before")
+        news = kept(inner(news).withColumns({"kind": number(0), "first": F.col("col"), "last": F.col("col")}).select(names), "news")
+        if not news.limit(1).count():
+            return found.select(*comp, "row", "col").distinct()
+        entries = kept(entries.unionByName(news), "entries")
+        turn = entries.join(news.select(*tile, *comp).distinct(), [*tile, *comp], "left_semi")
 
 
 def grow_steps(layer: DataFrame, value: str, seed: float, relaxed: float, steps: int) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -168,20 +166,46 @@ def window_thresholds(cells: DataFrame, keys: list[str], value: str, bound: tupl
 def reach(value: np.ndarray, start: float) -> np.ndarray:
     """Of every cell of a grid the least value up to which growth from cells below ``start`` must be allowed to take it in.
 
-    Seeds have their own value; cells without one, and what growth can't reach, are infinite. Cells are settled by rising value.
+    Seeds have their own value; cells without one, and what growth can't reach, are infinite. A component tree in arrays:
+    all components without a seed join, at once and again and again, the neighbour that they meet at the least value, the greater of two
+    cells'. What a component joins at is no less than what its neighbour joins at, so a cell needs the greatest of its components' values.
     """
     rows, cols = value.shape
-    held = np.where(np.isnan(value), np.inf, value)
-    best = np.where(held < start, held, np.inf)
-    heap = [(best[r, c], r, c) for r, c in zip(*np.nonzero(best < np.inf))]
-    heapq.heapify(heap)
-    while heap:
-        v, r, c = heapq.heappop(heap)
-        for y, x in ((r - 1, c), (r + 1, c), (r, c - 1), (r, c + 1)):
-            if 0 <= y < rows and 0 <= x < cols and max(v, held[y, x]) < best[y, x]:
-                best[y, x] = max(v, held[y, x])
-                heapq.heappush(heap, (best[y, x], y, x))
-    return best
+    held = np.where(np.isnan(value), np.inf, value).ravel()
+    seed, best = held < start, np.full(rows * cols, -np.inf)
+    at = np.arange(rows * cols).reshape(rows, cols)
+    a, b = (np.concatenate([x.ravel(), y.ravel()]) for x, y in ((at[:, :-1], at[:-1]), (at[:, 1:], at[1:])))
+    weight = np.maximum(held[a], held[b])
+    order = np.argsort(weight, kind="stable")
+    order = order[np.isfinite(weight[order])]
+    a, b, weight = a[order], b[order], weight[order]  # by rising value: the first edge of a component is its least
+    component = np.arange(rows * cols)
+    while True:
+        ca, cb = component[a], component[b]
+        between = (ca != cb) & ~(seed[ca] & seed[cb])
+        a, b, weight, ca, cb = (x[between] for x in (a, b, weight, ca, cb))
+        if not len(a):
+            break
+        least = np.full(rows * cols, -1)
+        both, edge = np.stack([ca, cb], 1).ravel(), np.repeat(np.arange(len(a)), 2)
+        least[both[::-1]] = edge[::-1]
+        least[seed] = -1
+        joins = np.flatnonzero(least >= 0)
+        e = least[joins]
+        other = np.where(ca[e] == joins, cb[e], ca[e])
+        to = np.arange(rows * cols)
+        to[joins] = other
+        mutual = (to[other] == joins) & (joins < other)
+        to[joins[mutual]] = joins[mutual]  # the lower of two that join each other stays
+        gain = np.full(rows * cols, -np.inf)
+        gain[joins] = weight[e]
+        best = np.maximum(best, gain[component])
+        while not np.array_equal(to, to[to]):
+            to = to[to]
+        component = to[component]
+    best = np.where(seed[component], best, np.inf)
+    own = held < start
+    return np.where(own, held, best).reshape(rows, cols)
 
 
 def reached(cells: DataFrame, keys: list[str], value: str, start: DataFrame) -> DataFrame:
@@ -226,12 +250,26 @@ def grown_threshold(cells: DataFrame, keys: list[str], value: str, start: DataFr
     return best.select(*keys, ((F.col("b.threshold") + to) / 2).alias("threshold"))
 
 
-def threshold_stage(cells: DataFrame, value: str, block: int = 20, water: str | None = None, largest: int | None = None, **tests) -> DataFrame:
+def thresholds_by(cells: DataFrame, keys: list[str], value: str, bound: tuple[float, float] = (-28.0, -3.0), method: str = "ki", low: float = -35.0, high: float = 10.0, n: int = 450) -> DataFrame:
+    """(keys, threshold) of every window by the method of that name: ``ki`` minimum error, ``otsu`` equal variance, ``rg`` growth from the latter."""
+    if method in ("ki", "otsu"):
+        return window_thresholds(cells, keys, value, bound, low, high, n, method).select(*keys, "threshold")
+    if method != "rg":
+        raise ValueError(f"no method {method}")
+    even = window_thresholds(cells, keys, value, bound, low, high, n, "otsu").select(*keys, "threshold")
+    modes = bimodal.fit(hist.histogram(cells, keys, value, low, high, n), keys, low, high, n).select(*keys, F.col("mu1").alias("mean1"), F.col("sd1").alias("std1"), F.col("amp1"))
+    even = morph.kept(even.join(modes, keys), "even")
+    # A window that can't grow, having no fitted mode, keeps its threshold.
+    grown = grown_threshold(cells, keys, value, even, low, high, n).withColumnRenamed("threshold", "_grown")
+    return even.join(grown, keys, "left").select(*keys, F.coalesce("_grown", "threshold").alias("threshold"))
+
+
+def threshold_stage(cells: DataFrame, value: str, block: int = 20, water: str | None = None, largest: int | None = None, method: str = "ki", **tests) -> DataFrame:
     """Windows to thresholds to a surface to initial water: cells with threshold and water.
 
     With ``water``, a column of known water, only windows that pass all tests (``thresholds.selected_by_all``, limits in
     ``tests``) have a threshold: of ``largest`` (eight blocks) and, as long as too few pass, of half that size down to a block; else
-    all windows of two blocks have. No window at all gives no threshold and no water.
+    all windows of two blocks have. No window at all gives no threshold and no water. ``method`` as for ``thresholds_by``.
     """
     keys = pyramid.KEYS
     rows = cells.select("row", "col", value)
@@ -243,7 +281,7 @@ def threshold_stage(cells: DataFrame, value: str, block: int = 20, water: str |
         windowed = pyramid.cells_of(rows, morph.kept(chosen.select(*keys), "windows"), min(sizes) // 2)
     else:
         windowed = thresholds.windows(rows, 2 * block)
-    points = morph.kept(window_thresholds(morph.kept(windowed, "windowed"), keys, value, (-28.0, -3.0)), "points")
+    points = morph.kept(thresholds_by(morph.kept(windowed, "windowed"), keys, value, method=method), "points")
     at = lambda c: F.floor(F.col(f"window_{c}") * F.col("window_size") / 2 / block).cast("int").alias(c)
     points = thresholds.block_median(points.select(at("row"), at("col"), F.col("threshold").alias("value")), ["row", "col"], "value")
     blocks = cells.select(F.floor(F.col("row") / block).cast("int").alias("row"), F.floor(F.col("col") / block).cast("int").alias("col")).distinct()
