@@ -11,8 +11,9 @@ anchor has a second occurrence anywhere. Only those segments travel.
 *Order.* Segments with one anchor meet in a lane. Equal ones count once, at their earliest place;
 the suffix array of a lane (``suffix``) puts equal windows side by side, and all but the earliest of
 them are repeats. A lane holds about 64 occurrences: an anchor with more has several lanes, dealt by
-block, whose earliest windows are then compared across lanes by digest. So no lane grows with a
-passage's number of copies.
+block, whose earliest windows are then compared by digest, up to 64 lanes at a time and the earliest of those again. So no lane, and
+no comparison, grows with a passage's number of copies. A lane of one segment has nothing to order: its windows differ, since
+each has the anchor at another offset.
 
 *Removal.* Repeats go back to their blocks as ranges of bytes, whose union is removed.
 
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,15 +45,17 @@ from .suffix import _ranges, _turns, suffix_arrays
 #: Bytes of a repeat, and of an anchor.
 WINDOW, ANCHOR = 100, 48
 #: Bytes of text in a block (a longer text is a block of its own); occurrences of an anchor in a lane; symbols sorted at once.
-BLOCK, LANE, BATCH = 4_000_000, 64, 1_000_000
+BLOCK, LANE, BATCH = 4_000_000, 64, 500_000
 LEVEL = 3
+#: Lanes whose earliest windows are compared at once.
+TOGETHER = 64
 #: Kinds of rows: a block's text, its request to a hash range, segments for a lane range, ranges of bytes to remove, an earliest window of a lane.
 TEXT, REQUEST, SEGMENTS, REMOVED, EARLIEST = range(5)
 
 _SHUFFLED = "part binary, kind int, block binary, place int, payload binary, keys array<long>"
 _FIELDS = [("part", pa.binary()), ("kind", pa.int32()), ("block", pa.binary()), ("place", pa.int32()), ("payload", pa.binary()), ("keys", pa.list_(pa.int64()))]
-_FOUND = "part binary, kind int, block binary, payload binary, at int, absent boolean, key long, doc int"
-_FOUND_FIELDS = [*[f for f in _FIELDS if f[0] in ("part", "kind", "block", "payload")], ("at", pa.int32()), ("absent", pa.bool_()), ("key", pa.int64()), ("doc", pa.int32())]
+_FOUND = "part binary, kind int, block binary, payload binary, at int, absent boolean, key long, doc int, again boolean"
+_FOUND_FIELDS = [*[f for f in _FIELDS if f[0] in ("part", "kind", "block", "payload")], ("at", pa.int32()), ("absent", pa.bool_()), ("key", pa.int64()), ("doc", pa.int32()), ("again", pa.bool_())]
 
 
 def _batch(rows: list[dict], fields: list) -> pa.RecordBatch:
@@ -197,7 +201,7 @@ def _removed(name: bytes, starts: np.ndarray, ends: np.ndarray) -> dict:
     return {"part": name, "kind": REMOVED, "block": name, "payload": _bundle([pack(starts), pack(ends - starts)])}
 
 
-def _sent(ranges: int):
+def _sent(ranges: int, together: int):
     """Blocks with their answers to segments of repeated anchors, a bundle per lane range; of equal ones in a block the earliest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,15 +239,17 @@ def _sent(ranges: int):
                 many = lanes[which[kept]].astype(np.uint64)
                 salt = np.uint64(int.from_bytes(name[:8])) % many
                 lane = mix64(hashes[kept] + salt * random_words(23, 1)[0])
+                # 0 for an anchor of one lane; else 1 + twice the lanes that are compared with this one, and 1 more if there are others.
+                split = np.where(many > 1, np.uint64(1) + np.uint64(2) * (salt // np.uint64(together)) + (many > together), 0).astype(np.int64)
                 order = np.argsort(lane, kind="stable")
-                kept, lane, many = kept[order], lane[order], many[order]
+                kept, lane, split = kept[order], lane[order], split[order]
                 cuts = np.searchsorted(_ranged(lane, ranges), np.arange(ranges + 1)).tolist()
                 for r, (x, y) in enumerate(zip(cuts, cuts[1:])):
                     if y > x:
                         own = kept[x:y]
                         a, b, d = first[own], last[own] + WINDOW, doc[own]
                         data = np.concatenate([raw[i:j] for i, j in zip(a.tolist(), b.tolist())])
-                        parts = [*_split(lane[x:y]), pack(many[x:y] > 1), pack(a), pack(b - a), pack(d), _squeeze(data.tobytes())]
+                        parts = [*_split(lane[x:y]), pack(split[x:y]), pack(a), pack(b - a), pack(d), _squeeze(data.tobytes())]
                         rows.append({"part": r.to_bytes(4), "kind": SEGMENTS, "block": name, "payload": _bundle(parts), "keys": [keys[i] for i in d.tolist()]})
                 if rows:
                     yield _batch(rows, _FIELDS)
@@ -306,7 +312,8 @@ def _lanes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return
     lane, split, at, length, doc = (np.concatenate(x) for x in ([_merge(x[0], x[1]) for x in bundles], *[[unpack(x[i]) for x in bundles] for i in (2, 3, 4, 5)]))
     at, length, doc = at.astype(np.int64), length.astype(np.int64), doc.astype(np.int64)
-    data = np.frombuffer(b"".join(_loosen(x[6]) for x in bundles), np.uint8)
+    text = b"".join(_loosen(x[6]) for x in bundles)
+    data = np.frombuffer(text, np.uint8)
     sizes = [len(unpack(x[2])) for x in bundles]
     del bundles
     block = np.repeat(np.arange(len(blocks)), sizes)
@@ -317,15 +324,22 @@ def _lanes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     # Lane by lane, in order of place; a number is an order from here on.
     order = np.lexsort((at, doc, name, key, absent, lane))
     lane, split, at, length, doc, block, absent, key, begin = (x[order] for x in (lane, split, at, length, doc, block, absent, key, begin))
-    text, seen = data.tobytes(), {}
-    first = np.ones(len(lane), bool)
-    for i, (number, a, n) in enumerate(zip(lane.tolist(), begin.tolist(), length.tolist())):
-        first[i] = seen.setdefault((number, text[a : a + n]), i) == i
-    del seen
+    first, seen = np.ones(len(lane), bool), set()
+    new = np.append(True, lane[1:] != lane[:-1])
+    for i, (opens, a, n) in enumerate(zip(new.tolist(), begin.tolist(), length.tolist())):
+        if opens:
+            seen.clear()
+        piece = text[a : a + n]
+        first[i] = piece not in seen
+        seen.add(piece)
     segment = np.flatnonzero(first)
+    alone = np.bincount(np.cumsum(new)[segment])[np.cumsum(new)[segment]] == 1
     held, starts, ends = [np.flatnonzero(~first)], [at[~first]], [(at + length)[~first]]
-    for own, offset, repeats in _earliest(data, begin[segment], length[segment], lane[segment]):
-        own = segment[own]
+    several = segment[~alone]
+    single = segment[alone & (split[segment] > 0)]
+    windows = length[single] - WINDOW + 1
+    found = [(np.repeat(single, windows), _ranges(0 * windows, windows), np.zeros(int(windows.sum()), bool))]
+    for own, offset, repeats in chain(found, ((several[x], y, z) for x, y, z in _earliest(data, begin[several], length[several], lane[several]))):
         by = np.lexsort((offset, own))
         own, offset, repeats = own[by], offset[by], repeats[by]
         hit, shift = own[repeats], offset[repeats]
@@ -338,8 +352,8 @@ def _lanes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = []
             for i, o in zip(own[open_[some : some + 10_000]].tolist(), offset[open_[some : some + 10_000]].tolist()):
                 digest = hashlib.blake2b(text[begin[i] + o : begin[i] + o + WINDOW], digest_size=16).digest()
-                row = {"part": digest, "kind": EARLIEST, "block": blocks[block[i]], "at": int(at[i]) + o, "absent": bool(absent[i]), "key": int(key[i]), "doc": int(doc[i])}
-                rows.append(row)
+                row = {"part": digest + int(split[i] // 2).to_bytes(4), "kind": EARLIEST, "block": blocks[block[i]], "at": int(at[i]) + o}
+                rows.append(row | {"absent": bool(absent[i]), "key": int(key[i]), "doc": int(doc[i]), "again": split[i] % 2 == 0})
             yield _batch(rows, _FOUND_FIELDS)
     held, starts, ends = np.concatenate(held), np.concatenate(starts), np.concatenate(ends)
     owner = block[held]
@@ -360,6 +374,29 @@ def _of_kind(kind: int, names: list[str]):
     return run
 
 
+def _compared(again: bool):
+    """Earliest windows of up to ``TOGETHER`` lanes, all in one partition: those that aren't the earliest of them or, with ``again``, the
+    earliest of those that are to be compared with other lanes."""
+    names = [("window", pa.binary()), ("block", pa.binary()), ("at", pa.int32()), ("absent", pa.bool_()), ("key", pa.int64()), ("doc", pa.int32())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b.filter(pa.compute.equal(b.column("kind"), EARLIEST)) for b in batches]
+        table = pa.Table.from_batches([b.drop_columns(["kind", "payload"]) for b in held if b.num_rows])
+        table = table.sort_by([(c, "ascending") for c in ("part", "absent", "key", "block", "doc", "at")])
+        code = table.column("part").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        first = np.ones(len(code), bool)
+        first[1:] = code[1:] != code[:-1]
+        chosen = table.filter(pa.array(first & table.column("again").to_numpy() if again else ~first))
+        chosen = chosen.append_column("window", pa.compute.binary_slice(chosen.column("part").combine_chunks(), 0, 16)).select([n for n, _ in names])
+        yield from chosen.cast(pa.schema(names)).to_batches()
+
+    def guarded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some = [b for b in batches if pa.compute.any(pa.compute.equal(b.column("kind"), EARLIEST)).as_py()]
+        return run(iter(some)) if some else iter(())
+
+    return guarded
+
+
 def _left(with_kept: bool):
     """Blocks with what is removed of them to a row per document."""
     names = [("key", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
@@ -401,19 +438,21 @@ def _left(with_kept: bool):
     return run
 
 
-def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", with_kept: bool = False, block: int = BLOCK, lane: int = LANE) -> DataFrame:
+def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", with_kept: bool = False, block: int = BLOCK, lane: int = LANE, together: int = TOGETHER) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256) of every row: what is left of a text without the bytes that a
-    100-byte string covers which also starts earlier; on demand also the bytes left and the removed ranges [start, end). ``block`` and ``lane`` are the sizes of blocks and lanes."""
+    100-byte string covers which also starts earlier; on demand also the bytes left and the removed ranges [start, end). ``block``, ``lane`` and ``together`` are the sizes of blocks, lanes, and lanes compared at once."""
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     blocks = docs.mapInArrow(tidy(_blocks(ranges, block)), _SHUFFLED).repartition(ranges, "part")
     answers = blocks.mapInArrow(tidy(_repeated(lane)), "part binary, place int, payload binary")
     answers = answers.groupBy("part").agg(F.collect_list(F.struct("place", "payload")).alias("answers"))
-    sent = blocks.join(answers, "part", "left").mapInArrow(tidy(_sent(ranges)), _SHUFFLED).repartition(ranges, "part")
+    sent = blocks.join(answers, "part", "left").mapInArrow(tidy(_sent(ranges, together)), _SHUFFLED).repartition(ranges, "part")
     found = sent.mapInArrow(tidy(_lanes), _FOUND).repartition(ranges, "part")
     whole = found.mapInArrow(_of_kind(REMOVED, ["part", "payload"]), "part binary, payload binary").groupBy("part").agg(F.collect_list("payload").alias("ranges"))
-    windows = found.mapInArrow(_of_kind(EARLIEST, ["part", "block", "at", "absent", "key", "doc"]), "window binary, block binary, at int, absent boolean, key long, doc int")
-    windows = group_first(windows.withColumn("place", F.struct("absent", "key", "block", "doc", "at")), ["window"], "place", "first")
-    single = windows.where("place != first").groupBy(F.col("block").alias("part")).agg(F.collect_list("at").alias("windows"))
+    names = "window binary, block binary, at int, absent boolean, key long, doc int"
+    later = found.mapInArrow(tidy(_compared(False)), names).select("block", "at")
+    again = found.mapInArrow(tidy(_compared(True)), names).select("window", F.struct("absent", "key", "block", "doc", "at").alias("place"))
+    again = group_first(again, ["window"], "place", "first").where("place != first").select("place.block", "place.at")
+    single = later.unionByName(again).groupBy(F.col("block").alias("part")).agg(F.collect_list("at").alias("windows"))
     kinds = "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, spans array<array<long>>" * with_kept
     return blocks.join(whole, "part", "left").join(single, "part", "left").mapInArrow(tidy(_left(with_kept)), kinds).withColumnRenamed("key", key)

@@ -76,12 +76,12 @@ def odd_rows():
     return rows
 
 
-@pytest.mark.parametrize("lane, block", [(64, 4_000_000), (3, 700)])
-def test_equals_brute_force(spark, lane, block):
+@pytest.mark.parametrize("lane, block, together", [(64, 4_000_000, 64), (3, 700, 64), (2, 400, 2)])
+def test_equals_brute_force(spark, lane, block, together):
     ship(spark)
     rows = odd_rows()
     docs = stored(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), "docs")
-    got = repeats.remove_repeats(docs, with_kept=True, block=block, lane=lane).collect()
+    got = repeats.remove_repeats(docs, with_kept=True, block=block, lane=lane, together=together).collect()
     assert sorted(str((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])) for r in got) == brute(rows)
     for r in got:
         assert r["n_spans"] == len(r["spans"]) and sum(b - a for a, b in r["spans"]) == r["n_removed"]
