@@ -22,6 +22,8 @@ from .morph import kept, line_runs
 
 #: Lines and columns of a tile.
 TILE = 512
+#: Edges between tiles' components, both ways, that one task joins; more are joined in rounds.
+AT_ONCE = 200_000
 
 
 def _joined(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -56,19 +58,27 @@ def label_runs(row: np.ndarray, col: np.ndarray, pad: int) -> tuple[np.ndarray,
 
 
 def _tile_runs(mask: DataFrame, group: list[str], pad: int) -> DataFrame:
-    """(group, row, first, last, tile_row, tile_col, comp_row, comp_col): runs inside tiles, with their tile's component."""
-
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        line, first, last, root = label_runs(frame["row"].to_numpy(), frame["col"].to_numpy(), pad)
-        out = {g: [v] * len(line) for g, v in zip(group, key)}
-        return pd.DataFrame(out | {"row": line, "first": first, "last": last, "comp_row": line[root], "comp_col": first[root]})
-
-    ship(mask.sparkSession)
-    kinds = dict(mask.dtypes)
+    """(group, row, first, last, comp_row, comp_col): runs inside tiles, with their tile's component. Many small scenes are labelled in one call."""
+    kinds, gap = dict(mask.dtypes), TILE + 2
     names = ", ".join([f"{g} {kinds[g]}" for g in group] + [f"{c} int" for c in ("row", "first", "last", "comp_row", "comp_col")])
-    tiles = [F.floor(F.col(c) / TILE).alias(f"_{c}") for c in ("row", "col")]
-    cells = mask.select(*group, F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col")).distinct()
-    return cells.groupBy(*group, *tiles).applyInPandas(run, names)
+    keys = [*group, "_row", "_col"]
+
+    def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        spans = groups(table, keys)
+        starts = np.array([a for a, _ in spans])
+        which = np.repeat(np.arange(len(spans)), [b - a for a, b in spans])
+        row, col, tile = (whole(table.column(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("row", "col", "_row"))
+        # Groups stand below each other, two lines apart.
+        line, first, last, root = label_runs(row - tile * TILE + which * gap, col, pad)
+        own = line // gap
+        line = line % gap + tile[starts[own]] * TILE
+        parts = [whole(table.column(g)).take(pa.array(starts[own])) for g in group]
+        parts += [pa.array(x.astype(np.int32)) for x in (line, first, last, line[root], first[root])]
+        yield pa.RecordBatch.from_arrays(parts, [*group, "row", "first", "last", "comp_row", "comp_col"])
+
+    tiles = [F.floor(F.col(c) / TILE).cast("int").alias(f"_{c}") for c in ("row", "col")]
+    cells = mask.select(*group, F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), *tiles)
+    return sorted_apply(cells, keys, run, names)
 
 
 def label(mask: DataFrame, group: list[str] | None = None, connect: int = 8) -> DataFrame:
@@ -89,13 +99,37 @@ def label(mask: DataFrame, group: list[str] | None = None, connect: int = 8) ->
     edges = here.withColumn("_b", span(1)).join(there, [*group, "row", "_b"]).where((beside | below) & (F.col("a") != F.col("b")))
     edges = edges.select("a", "b").distinct()
     edges = kept(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    if edges.limit(1).count():
-        whole = _spread(edges).select(F.col("node.comp_row").alias("comp_row"), F.col("node.comp_col").alias("comp_col"), *[F.col(f"node.{g}").alias(g) for g in group], "label")
-        every = every.join(whole, [*group, "comp_row", "comp_col"], "left")
+    many = edges.count()
+    if many:
+        spread = _spread_at_once(edges) if many <= AT_ONCE else _spread(edges)
+        found = spread.select(F.col("node.comp_row").alias("comp_row"), F.col("node.comp_col").alias("comp_col"), *[F.col(f"node.{g}").alias(g) for g in group], "label")
+        every = every.join(found, [*group, "comp_row", "comp_col"], "left")
         every = every.withColumns({c: F.coalesce(F.col(f"label.{c}"), F.col(c)) for c in ("comp_row", "comp_col")})
     return every.select(*group, "row", F.explode(F.sequence("first", "last")).alias("col"), "comp_row", "comp_col")
 
 
+def _spread_at_once(edges: DataFrame) -> DataFrame:
+    """``_spread`` in one task, for a number of edges that was checked."""
+    ship(edges.sparkSession)
+    kind = dict(edges.dtypes)["a"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        pairs = [[tuple(x.values()) for b in held for x in b.column(c).to_pylist()] for c in ("a", "b")]
+        nodes = sorted(set(pairs[0]), key=lambda node: tuple((v is not None, v) for v in node))
+        place = {node: i for i, node in enumerate(nodes)}
+        least = _joined(*(np.array([place[x] for x in p]) for p in pairs), len(nodes))
+        structs = [dict(zip(held[0].column("a").type.names, node)) for node in nodes]
+        for a in range(0, len(nodes), 10_000):
+            some = range(a, min(a + 10_000, len(nodes)))
+            columns = [pa.array([structs[i] for i in order], held[0].column("a").type) for order in (some, [int(least[i]) for i in some])]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "label"])
+
+    return edges.coalesce(1).mapInArrow(run, f"node {kind}, label {kind}")
+
+
 def _spread(edges: DataFrame) -> DataFrame:
     """(node, label): the least node that each one is linked with, over edges given in both directions."""
     labels = kept(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("label")), "labels")
