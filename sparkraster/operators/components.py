@@ -202,15 +202,14 @@ def grow_masks(seeds: DataFrame, allowed: DataFrame, keys: list[str], excluded:
     return labels.join(found, [*keys, "comp_row", "comp_col"], "left_semi").select(*keys, "row", "col")
 
 
-#: A component's runs and what reaches it from other tiles (kind 0), or the runs of allowed cells (kind 1), by tile.
-_SPREAD = "kind int, comp_row int, comp_col int, row int, col int, d int, margin int"
+#: Cells that a part of a component reaches (kind 0), and what its neighbour tiles get (kind 1).
+_SPREAD = "kind int, comp_row int, comp_col int, part int, row int, col int, d int, margin int"
 
 
 def _spread_in_tiles(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Tiles of allowed runs and of entries (runs at a distance) to cells within each component's margin, kind 0, and what its
-    neighbours get, kind 1."""
-    kinds = pa.schema([(c, pa.int32()) for c in ("kind", "comp_row", "comp_col", "row", "col", "d", "margin")])
-    column = {c: whole(table.column(c)).to_numpy(zero_copy_only=False) for c in ("tile_row", "tile_col", "kind", "comp_row", "comp_col", "row", "first", "last", "d", "margin")}
+    """Tiles of entries (runs at a distance, kind 0), of allowed runs (1) and of runs allowed to their own component (2) to ``_SPREAD``."""
+    kinds = pa.schema([(c, pa.int32()) for c in ("kind", "comp_row", "comp_col", "part", "row", "col", "d", "margin")])
+    column = {c: whole(table.column(c)).to_numpy(zero_copy_only=False) for c in ("tile_row", "tile_col", "kind", "comp_row", "comp_col", "part", "row", "first", "last", "d", "margin")}
     for a, b in groups(table, ["tile_row", "tile_col"]):
         own = {c: v[a:b] for c, v in column.items()}
         top, left = int(own["tile_row"][0]) * TILE, int(own["tile_col"][0]) * TILE
@@ -220,9 +219,12 @@ def _spread_in_tiles(table: pa.Table) -> Iterator[pa.RecordBatch]:
             allowed[own["row"][i] - top + 1, own["first"][i] - left + 1 : own["last"][i] - left + 2] = True
         wide, flat = TILE + 2, allowed.ravel()
         entry = np.flatnonzero(own["kind"] == 0)
-        entry = entry[np.lexsort((own["comp_col"][entry], own["comp_row"][entry]))]
-        number = own["comp_row"][entry].astype(np.int64) * (1 << 32) + own["comp_col"][entry]
-        cuts = np.flatnonzero(np.append(True, number[1:] != number[:-1])) if len(entry) else np.zeros(0, int)
+        entry = entry[np.lexsort((own["part"][entry], own["comp_col"][entry], own["comp_row"][entry]))]
+        number = np.stack([own[c][entry] for c in ("comp_row", "comp_col", "part")], 1)
+        cuts = np.flatnonzero(np.append(True, (number[1:] != number[:-1]).any(1))) if len(entry) else np.zeros(0, int)
+        private: dict[tuple[int, int], list[int]] = {}
+        for i in np.flatnonzero(own["kind"] == 2).tolist():
+            private.setdefault((int(own["comp_row"][i]), int(own["comp_col"][i])), []).append(i)
         distance = np.full(wide * wide, np.iinfo(np.int32).max, np.int32)
         for x, y in zip(cuts.tolist(), [*cuts[1:].tolist(), len(entry)]):
             some = entry[x:y]
@@ -230,6 +232,10 @@ def _spread_in_tiles(table: pa.Table) -> Iterator[pa.RecordBatch]:
             n = own["last"][some] - own["first"][some] + 1
             at = np.repeat((own["row"][some] - top + 1) * wide + own["first"][some] - left + 1 - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
             d = np.repeat(own["d"][some], n)
+            mine = np.array(private.get((int(own["comp_row"][some[0]]), int(own["comp_col"][some[0]])), []), int)
+            m = own["last"][mine] - own["first"][mine] + 1
+            opened = np.repeat((own["row"][mine] - top + 1) * wide + own["first"][mine] - left + 1 - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))
+            flat[opened] = True
             known = (d == 0) | flat[at]
             at, d = at[known], d[known]
             order = np.argsort(-d, kind="stable")
@@ -249,6 +255,7 @@ def _spread_in_tiles(table: pa.Table) -> Iterator[pa.RecordBatch]:
             cells = np.unique(np.concatenate(seen))
             found = distance[cells]
             distance[cells] = np.iinfo(np.int32).max
+            flat[opened] = False
             row, col = cells // wide - 1, cells % wide - 1
             ring = found > 0
             out = [(0, row[ring], col[ring], found[ring])]
@@ -258,26 +265,32 @@ def _spread_in_tiles(table: pa.Table) -> Iterator[pa.RecordBatch]:
             for kind, r, c, k in out:
                 if len(r):
                     m = len(r)
-                    values = (np.full(m, kind), np.full(m, own["comp_row"][some[0]]), np.full(m, own["comp_col"][some[0]]), r + top, c + left, k, np.full(m, margin))
+                    values = (np.full(m, kind), np.full(m, own["comp_row"][some[0]]), np.full(m, own["comp_col"][some[0]]), np.full(m, own["part"][some[0]]), r + top, c + left, k, np.full(m, margin))
                     yield pa.RecordBatch.from_arrays([pa.array(v.astype(np.int32)) for v in values], schema=kinds)
 
 
-def rings(labels: DataFrame, allowed: DataFrame, least: int = 1) -> DataFrame:
-    """(comp_row, comp_col, row, col): each component's surroundings inside ``allowed``, as wide as its margin, ``least`` cells at least.
+def rings(labels: DataFrame, allowed: DataFrame, least: int = 1, private: DataFrame | None = None) -> DataFrame:
+    """(comp_row, comp_col, part, row, col): each component's surroundings inside ``allowed``, as wide as its margin, ``least`` cells at least.
 
     Distances from a component, by steps to 4-neighbours over allowed cells, are found within tiles at once; what reaches a tile's border
     goes on in the next tile, in rounds, until nothing comes nearer. So the rounds are the tiles that a path crosses, not its cells.
-    ``allowed`` holds no cell of a component.
+    ``allowed`` holds no cell of a component. With a column ``part``, parts of a component have surroundings of their own, which may
+    take in the cells of ``private`` (comp_row, comp_col, row, col) that belong to their component.
     """
-    comp, tile = ["comp_row", "comp_col"], ["tile_row", "tile_col"]
+    comp, tile = ["comp_row", "comp_col", "part"], ["tile_row", "tile_col"]
+    labels = labels if "part" in labels.columns else labels.withColumn("part", F.lit(0))
     inner = lambda df: df.withColumns({f"tile_{c}": F.expr(f"cast(floor({c} / {TILE}) as int)") for c in ("row", "col")})
-    margins = stats(labels).select(*comp, F.greatest(F.col("margin"), F.lit(least)).cast("int").alias("margin"))
+    margin = F.greatest(F.lit(least), F.lit(1), F.floor((2**0.5 - 1.2) * F.sqrt(F.count("*"))))
+    margins = labels.groupBy(*comp).agg(margin.cast("int").alias("margin"))
     runs = lambda df, keys: line_runs(inner(df), [*tile, *keys])
     number = lambda v: F.lit(v).cast("int")
-    entries = runs(labels.select(*comp, "row", "col"), comp).join(margins, comp).withColumns({"kind": number(0), "d": number(0)})
-    ground = runs(allowed.select("row", "col"), []).withColumns({"kind": number(1), **{c: number(0) for c in (*comp, "d", "margin")}})
     names = [*tile, "kind", *comp, "row", "first", "last", "d", "margin"]
-    entries, ground = kept(entries.select(names), "entries"), kept(ground.select(names), "ground")
+    entries = runs(labels.select(*comp, "row", "col"), comp).join(margins, comp).withColumns({"kind": number(0), "d": number(0)})
+    ground = runs(allowed.select("row", "col"), []).withColumns({"kind": number(1), **{c: number(0) for c in (*comp, "d", "margin")}}).select(names)
+    if private is not None:
+        own = runs(private.select("comp_row", "comp_col", "row", "col"), ["comp_row", "comp_col"])
+        ground = ground.unionByName(own.withColumns({"kind": number(2), **{c: number(0) for c in ("part", "d", "margin")}}).select(names))
+    entries, ground = kept(entries.select(names), "entries"), kept(ground, "ground")
     found, turn = None, entries
     while True:
         touched = ground.join(turn.select(*tile).distinct(), tile, "left_semi")

@@ -74,6 +74,11 @@ def combined(tests: list[tuple[Column, int]], how: str = "and") -> Column:
     return reduce((lambda a, b: a & b) if how == "and" else (lambda a, b: a | b), hits)
 
 
+def not_water(cover: Column, missing: int = 0) -> Column:
+    """All land cover that is known but permanent water."""
+    return sure((cover != LANDCOVER["Permanent water bodies"]) & (cover != missing))
+
+
 def vegetation_class(glad: Column, cover: Column) -> Column:
     """1 for a vegetation code, 2 where the code is missing and the other map says wetland, else 0."""
     codes = parse_ranges(F.array(*[F.lit(x) for x in VEGETATION_RANGES]))

@@ -43,31 +43,58 @@ def terrain_eroded(water: DataFrame, height: DataFrame, value: str = "hand", spr
     return labels.join(lost, ["row", "col"], "left_anti").select("row", "col")
 
 
-def split_water(cells: DataFrame, value: str, least: int = 5000, mode: str = "v1", n: int = 64, low: float = -35.0, high: float = 0.0) -> DataFrame:
+#: Tests of the bands between two thresholds: the darker and the brighter side of each, with the shares that bound their histograms.
+BAND_TESTS = ((0, 0.01), (1, 0.02), (1, 0.01), (2, 0.02))
+#: Fewer values than this are not judged by the second variant; its edge is as many cells wide.
+FEW, EDGE = 64, 3
+
+
+def split_water(water: DataFrame, cells: DataFrame, value: str, least: int = 5000, mode: str = "v1", n: int = 64, low: float = -35.0, high: float = 0.0) -> DataFrame:
     """Bands to take out of large, mixed water bodies: (row, col).
 
-    A body of ``least`` cells or more whose values have two fitted modes is parted by two thresholds; a band above
-    the lowest goes when its values and those of the band below have not two modes (``v1``) or have (``v2``). Bodies
-    of one mode stay whole.
+    A body of ``least`` cells or more whose values have two fitted modes is parted by two thresholds into three bands. A band is judged
+    together with what surrounds it, as wide as its margin. ``v1``: it goes when its values and those around it, in its own body or on dry
+    land, have not two modes. ``v2``: only its cells at the body's edge are judged, with the dry land around them, and it goes when
+    they have two modes. A middle band is judged twice, and goes if either test says so. ``cells`` has the values of water and land.
     """
-    labels = morph.kept(components.label(cells.select("row", "col")), "bodies")
-    large = components.stats(labels).where(F.col("size") >= least).select(*COMP)
-    held = morph.kept(labels.join(large, COMP, "left_semi").join(cells.select("row", "col", value), ["row", "col"]), "bodies")
+    bodies = morph.kept(components.label(water.select("row", "col")), "bodies")
+    values = cells.where(F.col(value).isNotNull()).select("row", "col", value)
+    large = components.stats(bodies).where(F.col("size") >= least).select(*COMP)
+    held = morph.kept(bodies.join(large, COMP, "left_semi").join(values, ["row", "col"]), "bodies")
     mixed = bimodal.verdict(held, COMP, value, low, high, n).where("bimodal and cells > 4").select(*COMP)
     held = morph.kept(held.join(mixed, COMP, "left_semi"), "mixed")
-    levels = hist.multi_otsu(held, COMP, value, n)
+    levels = hist.multi_otsu(held, COMP, value, 100 if mode == "v1" else 64)
     band = F.when(F.col(value) < F.col("low_threshold"), 0).when(F.col(value) < F.col("high_threshold"), 1).otherwise(2)
-    held = held.join(levels, COMP).withColumn("band", band)
-    both = held.withColumn("pair", F.explode(F.array(F.lit(1), F.lit(2)))).where((F.col("band") == F.col("pair")) | (F.col("band") == F.col("pair") - 1))
-    facts = bimodal.verdict(both, [*COMP, "pair"], value, low, high, n, coefficient=None)
-    gone = facts.where(F.col("bimodal") == F.lit(mode == "v2")).select(*COMP, F.col("pair").alias("band"))
-    return held.join(gone, [*COMP, "band"], "left_semi").select("row", "col")
+    held = morph.kept(held.join(levels, COMP).select(*COMP, "row", "col", value, band.alias("part")), "bands")
+    dry = values.select("row", "col").join(water.select("row", "col"), ["row", "col"], "left_anti")
+    if mode == "v1":
+        judged, private = held, held.select(*COMP, "row", "col")
+    else:
+        judged, private = held.join(morph.erode(held.select("row", "col"), EDGE), ["row", "col"], "left_anti"), None
+    judged = morph.kept(judged.select(*COMP, "part", "row", "col"), "judged")
+    around = components.rings(judged, dry, private=private)
+    area = judged.unionByName(around).distinct().join(values, ["row", "col"])
+    tests = F.explode(F.array(*[F.struct(F.lit(i).alias("test"), F.lit(b).alias("band"), F.lit(s).alias("share")) for i, (b, s) in enumerate(BAND_TESTS if mode == "v1" else [(b, 0.02) for b in range(3)])]))
+    tested = area.withColumn("t", tests).where("t.band = part").select(*COMP, "part", "t.test", "t.share", value)
+    # Both ends are within a ten-thousandth of the share asked for, in bounded memory.
+    keys = [*COMP, "part", "test"]
+    ends = tested.groupBy(*keys, "share").agg(F.percentile_approx(value, [0.01, 0.02, 0.98, 0.99], 10_000).alias("e"), F.count("*").alias("many"))
+    first = F.when(F.col("share") == 0.01, F.col("e")[0]).otherwise(F.col("e")[1])
+    last = F.when(F.col("share") == 0.01, F.col("e")[3]).otherwise(F.col("e")[2])
+    ends = ends.select(*keys, first.alias("first"), last.alias("last"), "many").where("last > first")
+    # In units of its own range, a band's histogram has one grid with all others; no measure depends on the unit.
+    scaled = tested.join(ends, keys).withColumn("_u", (F.col(value) - F.col("first")) / (F.col("last") - F.col("first")))
+    facts = bimodal.verdict(scaled, keys, "_u", 0.0, 1.0, n, coefficient=None)
+    judged_bands = tested.select(*keys).distinct().join(facts.select(*keys, "bimodal", "cells"), keys, "left")
+    two = masks.sure(F.col("bimodal"))
+    gone = judged_bands.where(~two if mode == "v1" else two & (F.col("cells") >= FEW)).select(*COMP, "part").distinct()
+    return held.join(gone, [*COMP, "part"], "left_semi").select("row", "col")
 
 
 def _with_rings(labels: DataFrame, allowed: DataFrame, values: DataFrame, value: str, least: int = 1) -> DataFrame:
     """Cells of components and of their rings, ``least`` cells wide at least, with their values: columns core (1 or 0) and the value."""
     core = labels.select(*COMP, "row", "col").withColumn("core", F.lit(1))
-    around = components.rings(labels, allowed, least).withColumn("core", F.lit(0))
+    around = components.rings(labels, allowed, least).drop("part").withColumn("core", F.lit(0))
     return morph.kept(core.unionByName(around).join(values.select("row", "col", value), ["row", "col"]), "around")
 
 
@@ -90,13 +117,12 @@ def false_water(water: DataFrame, cells: DataFrame, value: str, least: int = 40,
     return labels.join(keep.select(*COMP), COMP, "left_semi").select("row", "col")
 
 
-def filled_gaps(water: DataFrame, cells: DataFrame, value: str, most: int = 500, low: float = -35.0, high: float = 0.0, n: int = 64) -> DataFrame:
-    """Bright gaps to be filled: dry components of at most ``most`` cells, all but a hundredth reference water, that are of one mode with their surroundings."""
+def filled_gaps(water: DataFrame, cells: DataFrame, value: str, low: float = -35.0, high: float = 0.0, n: int = 64) -> DataFrame:
+    """Bright gaps to be filled: dry components of any size, all but a hundredth reference water, that are of one mode with their surroundings."""
     dry = cells.join(water.select("row", "col"), ["row", "col"], "left_anti")
     labels = morph.kept(components.label(dry.select("row", "col")), "gaps")
-    small = components.stats(labels).where(F.col("size") <= most).select(*COMP)
     wet = components.portion(labels, cells.where("reference = 1"), share=0.99).where("flag = 1").select(*COMP)
-    gaps = morph.kept(labels.join(small, COMP, "left_semi").join(wet, COMP, "left_semi"), "gaps")
+    gaps = morph.kept(labels.join(wet, COMP, "left_semi"), "gaps")
     both = _with_rings(gaps, water, cells, value, 5)
     two = hist.histogram_bimodality(both, COMP, value, low, high, n).where((F.col("share") > 0.7) & (F.col("separation") > 1.5)).select(*COMP)
     return gaps.join(two, COMP, "left_anti").select("row", "col")
@@ -126,7 +152,7 @@ def mask_stage(
     dark = marked.where(masks.dark_land(F.col("_land"), F.col("occurrence"), F.col("co_db"), F.col("cross_db"))).select("row", "col")
     lasting = morph.dilate(marked.where(F.col("occurrence") >= persistent).select("row", "col"), 3)
     dry = morph.kept(marked.where("_land").select("row", "col").join(lasting, ["row", "col"], "left_anti"), "dry")
-    bands = split_water(water.join(cells.select("row", "col", value), ["row", "col"]), value, large, mode)
+    bands = split_water(water, cells, value, large, mode)
     left = water.join(dark, ["row", "col"], "left_anti").join(dry_bands(bands, dry), ["row", "col"], "left_anti")
     return terrain_eroded(left, cells, "hand", spread)
 

@@ -36,7 +36,7 @@ def cells(spark: SparkSession, sf: str) -> DataFrame:
     rows = db(spark, sf)
     return rows.withColumns({
         "dark": masks.sure(F.col("co_db") < -6), "water": masks.sure(F.col("occurrence") > 0.97),
-        "land": masks.landcover_mask(F.col("landcover"), [60, 30, 10]).cast("int"), "reference": masks.reference_water(F.col("refwater"), 0.4).cast("int"),
+        "land": masks.not_water(F.col("landcover")).cast("int"), "reference": masks.reference_water(F.col("refwater"), 0.4).cast("int"),
     })
 
 
@@ -106,9 +106,9 @@ def terrain_erode(spark, sf):
 @query
 def split_water(spark, sf):
     """Bands taken out of large bodies, in both modes."""
-    rows = dark(spark, sf).join(cells(spark, sf).select("row", "col", "co_db"), ["row", "col"])
-    one = refine.split_water(rows, "co_db", 20).withColumn("mode", F.lit("v1"))
-    return one.unionByName(refine.split_water(rows, "co_db", 20, "v2").withColumn("mode", F.lit("v2")))
+    water, rows = dark(spark, sf), cells(spark, sf)
+    one = refine.split_water(water, rows, "co_db", 20).withColumn("mode", F.lit("v1"))
+    return one.unionByName(refine.split_water(water, rows, "co_db", 20, "v2").withColumn("mode", F.lit("v2")))
 
 
 @query
@@ -118,6 +118,13 @@ def threshold_stage(spark, sf):
     return refine.threshold_stage(rows, "co_db", water="known", **WINDOW_TESTS)
 
 
+@query
+def threshold_stage_growth(spark, sf):
+    """The same with thresholds relaxed by growth."""
+    rows = db(spark, sf).select("row", "col", "co_db", masks.sure(F.col("occurrence") > 0.5).alias("known"))
+    return refine.threshold_stage(rows, "co_db", water="known", method="rg", **WINDOW_TESTS)
+
+
 @query
 def mask_stage(spark, sf):
     return refine.mask_stage(cells(spark, sf), dark(spark, sf), "co_db")
@@ -143,7 +150,7 @@ def workflow(spark: SparkSession, sf: str, ratio: bool) -> DataFrame:
     scored = morph.kept(scored, "scored")
     grown = morph.kept(components.grow(scored, "fuzzy", 0.6, 0.45), "grown")
     layers = scored.withColumns({
-        "dark": masks.sure(F.col("co_db") < -6), "water": masks.sure(F.col("occurrence") > 0.97), "land": masks.landcover_mask(F.col("landcover"), [60, 30]).cast("int"),
+        "dark": masks.sure(F.col("co_db") < -6), "water": masks.sure(F.col("occurrence") > 0.97), "land": masks.not_water(F.col("landcover")).cast("int"),
         "reference": masks.reference_water(F.col("refwater")).cast("int"),
     })
     final = refine.refine_stage(layers, morph.kept(refine.mask_stage(layers, grown, "co_db"), "masked"), "co_db")

@@ -34,7 +34,7 @@ def test_rings_equal_a_search(spark):
         least = (1, 5, 30)[turn]
         margins = {k: max(least, 1, int((2**0.5 - 1.2) * len(v) ** 0.5)) for k, v in held.items()}
         allowed = {(int(r) + low, int(c) + low) for r, c in zip(*np.nonzero(open_))}
-        got = components.rings(labels, spark.createDataFrame(sorted(allowed), "row int, col int"), least).collect()
+        got = components.rings(labels, spark.createDataFrame(sorted(allowed), "row int, col int"), least).drop("part").collect()
         assert len(got) == len(set(map(tuple, got)))
         assert {(r["comp_row"], r["comp_col"], r["row"], r["col"]) for r in got} == searched(held, allowed, margins)
 
@@ -68,3 +68,27 @@ def test_no_components_no_rings(spark):
     some = spark.createDataFrame([(1, 1)], "row int, col int")
     assert components.rings(none, some).count() == 0
     assert components.rings(spark.createDataFrame([(1, 1, 1, 1)], none.schema), some.limit(0)).count() == 0
+
+
+def test_parts_may_enter_their_own_component(spark):
+    low = components.TILE - 6
+    # Two bodies of three parts each, a lane of land between them.
+    labels = {}
+    for body, left in ((0, 0), (1, 9)):
+        for r in range(12):
+            for c in range(8):
+                labels[low + r, low + left + c] = (low, low + left, 0 if c < 3 else 1 if c < 6 else 2)
+    land = {(low + r, low + 8) for r in range(12)}
+    rows = [(cr, cc, part, r, c) for (r, c), (cr, cc, part) in labels.items()]
+    df = spark.createDataFrame(rows, "comp_row int, comp_col int, part int, row int, col int")
+    ground = spark.createDataFrame(sorted(land), "row int, col int")
+    for least in (1, 2, 5, 20):
+        for private in (None, df):
+            got = {tuple(r) for r in components.rings(df, ground, least, private).collect()}
+            want = set()
+            for key in set(labels.values()):
+                own = {cell for cell, k in labels.items() if k == key}
+                allowed = land | ({cell for cell, k in labels.items() if k[:2] == key[:2]} if private is not None else set())
+                margin = max(least, 1, int((2**0.5 - 1.2) * len(own) ** 0.5))
+                want |= {(*key, r, c) for _, _, r, c in searched({key[:2]: own}, allowed - own, {key[:2]: margin})}
+            assert got == want
