@@ -36,3 +36,18 @@ def tag_differences(left: DataFrame, right: DataFrame, skip: Column | tuple[str,
         return tags.where(~test(skip)).select("key", F.when(test(lists), ordered).otherwise(F.col("value")).alias(name))
 
     return plain(left, "left_value").join(plain(right, "right_value"), "key", "full_outer").where(~F.col("left_value").eqNullSafe(F.col("right_value")))
+
+
+def grid_differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(product, what, left_value, right_value): products (product, bands, x0, y0, step, epsg) that one side lacks, or whose numbers of
+    bands, geotransforms (to a thousandth) or projections differ."""
+
+    def facts(df: DataFrame, name: str) -> DataFrame:
+        place = F.format_string("%.3f %.3f %.3f", "x0", "y0", "step")
+        return df.select("product", F.struct(F.col("bands").cast("string").alias("bands"), place.alias("geotransform"), F.col("epsg").cast("string").alias("projection"), F.lit("there").alias("product")).alias(name))
+
+    both = facts(left, "l").join(facts(right, "r"), "product", "full_outer")
+    rows = [F.struct(F.lit(what).alias("what"), F.col(f"l.{what}").alias("left_value"), F.col(f"r.{what}").alias("right_value")) for what in ("bands", "geotransform", "projection", "product")]
+    apart = both.select("product", F.explode(F.array(*rows)).alias("d"), (F.col("l").isNull() | F.col("r").isNull()).alias("_lacks")).select("product", "d.*", "_lacks")
+    differs = ~F.col("left_value").eqNullSafe(F.col("right_value"))
+    return apart.where(differs & (~F.col("_lacks") | (F.col("what") == "product"))).drop("_lacks")

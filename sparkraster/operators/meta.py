@@ -85,6 +85,35 @@ def tags(df: DataFrame, columns: dict[str, Column], key: str) -> DataFrame:
     return df.select(F.col(key).alias("product"), F.explode(entries).alias("t")).select("product", "t.key", "t.value")
 
 
+#: Display names of threshold methods, and the tag that has one. Fixed values.
+METHODS = {"ki": "Kittler-Illingworth", "otsu": "Otsu", "rg": "Region-growing based approach"}
+METHOD_TAG = "PROCESSING_INFORMATION_THRESHOLDING"
+#: Tags of a run's parameters and the paths of their values; several values become a list. Fixed values.
+PARAMETER_TAGS = {"POLARIZATION": ("processing.polarizations",)} | {
+    f"PROCESSING_INFORMATION_{name}": paths
+    for name, paths in {
+        "FILTER": ("filter.method",), "FILTER_ENABLED": ("filter.enabled",), "FILTER_OPTION": ("filter.window",), "THRESHOLDING": ("threshold.method",), "THRESHOLD_TILE_SELECTION": ("threshold.selection",),
+        "THRESHOLD_TILE_AVERAGE": ("threshold.average",), "THRESHOLD_MULTI_THRESHOLD": ("threshold.multi",), "THRESHOLD_BIMODALITY": ("threshold.bimodality",), "THRESHOLD_TWELE": ("threshold.twele",),
+        "THRESHOLD_BOUNDS": ("threshold.bounds.co", "threshold.bounds.cross"), "REGION_GROWING_INITIAL_SEED": ("growing.initial",), "REGION_GROWING_RELAXED_THRESHOLD": ("growing.relaxed",),
+        "MASKING_ANCILLARY_CO_POL_THRESHOLD": ("masking.co",), "MASKING_ANCILLARY_CROSS_POL_THRESHOLD": ("masking.cross",), "MASKING_ANCILLARY_WATER_THRESHOLD": ("masking.water",),
+        "FUZZY_VALUE_HAND": ("fuzzy.hand.min", "fuzzy.hand.max"), "FUZZY_VALUE_SLOPE": ("fuzzy.slope.min", "fuzzy.slope.max"), "FUZZY_VALUE_REFERENCE_WATER": ("fuzzy.reference.min", "fuzzy.reference.max"),
+        "FUZZY_VALUE_AREA": ("fuzzy.area.min", "fuzzy.area.max"), "FUZZY_VALUE_DARK_AREA": ("fuzzy.dark.land", "fuzzy.dark.water"), "FUZZY_VALUE_HIGH_FREQUENT_AREA": ("fuzzy.frequent.min", "fuzzy.frequent.max"),
+        "REFINE_BIMODALITY_MINIMUM_PIXEL": ("refine.minimum",), "REFINE_BIMODALITY_THRESHOLD": ("refine.ashman", "refine.bhattacharyya", "refine.bm", "refine.surface"), "INUNDATED_VEGETATION": ("vegetation.enabled",),
+        "INUNDATED_VEGETATION_DUAL_POL_RATIO_MAX": ("vegetation.ratio.max",), "INUNDATED_VEGETATION_DUAL_POL_RATIO_MIN": ("vegetation.ratio.min",), "INUNDATED_VEGETATION_DUAL_POL_RATIO_THRESHOLD": ("vegetation.ratio.threshold",),
+        "INUNDATED_VEGETATION_CROSS_POL_MIN": ("vegetation.cross",), "INUNDATED_VEGETATION_AREA_DATA_TYPE": ("vegetation.source",), "INUNDATED_VEGETATION_TARGET_CLASS": ("vegetation.classes",), "INUNDATED_VEGETATION_FILTER": ("vegetation.filter",),
+    }.items()
+}
+
+
+def parameter_tags(df: DataFrame, parameters: str, key: str) -> DataFrame:
+    """A map of parameters by path as (product, key, value) rows, one per tag; the threshold method by its display name."""
+    one = lambda path: F.col(parameters)[F.lit(path)]
+    listed = lambda paths: F.concat(F.lit("["), F.concat_ws(", ", *map(one, paths)), F.lit("]"))
+    values = {tag: one(paths[0]) if len(paths) == 1 else listed(paths) for tag, paths in PARAMETER_TAGS.items()}
+    shown = F.create_map(*[F.lit(x) for pair in METHODS.items() for x in pair])
+    return tags(df, values | {METHOD_TAG: shown[values[METHOD_TAG]]}, key)
+
+
 def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
     """``df`` with ``name``, each row's place in the order of a column from 1.
 

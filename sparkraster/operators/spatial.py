@@ -54,6 +54,44 @@ def rings_touch(a: Column, b: Column) -> Column:
     return ~parted(a, b) & ~parted(b, a)
 
 
+def clipped(ring: Column, by: Column) -> Column:
+    """The common part of two convex counter-clockwise rings, as a ring: the first one cut along each edge of the other in turn."""
+
+    def cut(left: Column, e: Column) -> Column:
+        p, q = e["p"], e["q"]
+        side = lambda r: (q["x"] - p["x"]) * (r["y"] - p["y"]) - (q["y"] - p["y"]) * (r["x"] - p["x"])
+
+        def kept(f: Column) -> Column:
+            a, b = f["p"], f["q"]
+            share = side(a) / (side(a) - side(b))
+            between = F.struct((a["x"] + share * (b["x"] - a["x"])).alias("x"), (a["y"] + share * (b["y"] - a["y"])).alias("y"))
+            none = F.slice(F.array(a), F.lit(1), F.lit(0))
+            return F.concat(F.when(side(a) >= 0, F.array(a)).otherwise(none), F.when((side(a) >= 0) != (side(b) >= 0), F.array(between)).otherwise(none))
+
+        return F.flatten(F.transform(_edges(left), kept))
+
+    return F.aggregate(_edges(by), ring, cut)
+
+
+def ring_area(ring: Column) -> Column:
+    """Area of a ring, counter-clockwise above 0; 0 of fewer than three corners."""
+    twice = F.aggregate(_edges(ring), F.lit(0.0), lambda total, e: total + (e["p"]["x"] * e["q"]["y"] - e["q"]["x"] * e["p"]["y"]))
+    return twice / 2
+
+
+def ring_join(left: DataFrame, right: DataFrame, a: str, b: str, on: list[str] | None = None) -> DataFrame:
+    """Pairs of convex rings ``a`` and ``b`` that share an area, with it; rings meet on lattice cells by their boxes."""
+
+    def boxed(df: DataFrame, ring: str, names: tuple[str, str, str, str]) -> DataFrame:
+        x, y = F.transform(ring, lambda r: r["x"]), F.transform(ring, lambda r: r["y"])
+        return df.withColumns(dict(zip(names, [F.array_min(x), F.array_max(x), F.array_min(y), F.array_max(y)])))
+
+    pairs = box_join(boxed(left, a, ("axmin", "axmax", "aymin", "aymax")), boxed(right, b, ("xmin", "xmax", "ymin", "ymax")), on)
+    # About the corner of the pair's own box, so that little is lost to large coordinates.
+    moved = lambda ring: F.transform(ring, lambda r: F.struct((r["x"] - F.col("xmin")).alias("x"), (r["y"] - F.col("ymin")).alias("y")))
+    return pairs.withColumn("area", ring_area(clipped(moved(a), moved(b)))).where("area > 0")
+
+
 def inside_ring(x: Column, y: Column, ring: Column) -> Column:
     """Even-odd rule: an odd number of edges cross the ray to the right."""
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import meta, spatial
+from ..operators import compare, meta, spatial
 from ..sources import fixtures
 from ..sources.fixtures import GRANULES_SQL, LAYERS_SQL, TILE_SETS_SQL, TILES_SQL
 
@@ -41,16 +41,50 @@ def footprint_join(spark, sf):
     return pairs.where(touch).select("granule", "mgrs_tile", "area")
 
 
-@query(f"WITH {PAIRS} SELECT granule, mgrs_tile, area FROM pr QUALIFY row_number() OVER (PARTITION BY granule ORDER BY area DESC, mgrs_tile) = 1")
+#: Footprints turn by angles whose sine and cosine are exact enough to be the same everywhere.
+TURNS = ((1.0, 0.0), (0.8, 0.6), (0.6, 0.8), (0.96, 0.28))
+
+
+def _footprints(spark, sf):
+    """Scenes with their turned squares, counter-clockwise."""
+    cos, sin = (F.element_at(F.array(*[F.lit(t[i]) for t in TURNS]), (F.col("key") % len(TURNS) + 1).cast("int")) for i in (0, 1))
+    half = F.col("side") / 2
+    corner = lambda x, y: F.struct((F.col("x0") + half + half * (x * cos - y * sin)).alias("x"), (F.col("y0") + half + half * (x * sin + y * cos)).alias("y"))
+    return fixtures.granules(spark, sf).select("granule", "epsg", F.array(corner(-1, -1), corner(1, -1), corner(1, 1), corner(-1, 1)).alias("footprint"))
+
+
+def _clip_sql(source: str, name: str, side: str) -> str:
+    """One cut of ``ring`` in DuckDB; ``side`` says how far inside a corner {{p}} is."""
+    a, b = side.format(p="ring[i]"), side.format(p="ring[i % len(ring) + 1]")
+    cut = "{'x': ring[i].x + A / (A - B) * (ring[i % len(ring) + 1].x - ring[i].x), 'y': ring[i].y + A / (A - B) * (ring[i % len(ring) + 1].y - ring[i].y)}".replace("A", f"({a})").replace("B", f"({b})")
+    return f"""{name} AS (SELECT * REPLACE (flatten(list_transform(range(1, len(ring) + 1), lambda i: list_concat(CASE WHEN {a} >= 0 THEN [ring[i]] ELSE [] END, CASE WHEN ({a} >= 0) <> ({b} >= 0) THEN [{cut}] ELSE [] END))) AS ring) FROM {source})"""
+
+
+def _corner_sql(x: int, y: int) -> str:
+    return f"{{'x': x0 + side / 2 + side / 2 * ({x} * co - {y} * si) - xmin, 'y': y0 + side / 2 + side / 2 * ({x} * si + {y} * co) - ymin}}"
+
+
+TURNED = f"""{GRANULES_SQL}, {TILES_SQL}, tg AS (SELECT *, list_extract({[t[0] for t in TURNS]}, key % {len(TURNS)} + 1)::DOUBLE AS co, list_extract({[t[1] for t in TURNS]}, key % {len(TURNS)} + 1)::DOUBLE AS si FROM g),
+c0 AS (SELECT granule, tg.epsg AS ge, mgrs_tile, t.epsg AS te, xmax - xmin AS wide, ymax - ymin AS high, [{_corner_sql(-1, -1)}, {_corner_sql(1, -1)}, {_corner_sql(1, 1)}, {_corner_sql(-1, 1)}] AS ring FROM tg, t),
+{_clip_sql("c0", "c1", "({p}.y)")}, {_clip_sql("c1", "c2", "(wide - {p}.x)")}, {_clip_sql("c2", "c3", "(high - {p}.y)")}, {_clip_sql("c3", "c4", "({p}.x)")},
+pt AS (SELECT granule, ge, mgrs_tile, te, round(coalesce(list_sum(list_transform(range(1, len(ring) + 1), lambda i: ring[i].x * ring[i % len(ring) + 1].y - ring[i % len(ring) + 1].x * ring[i].y)), 0) / 2, 2) AS area FROM c4)"""
+
+
+def _turned_pairs(spark, sf, on=None):
+    tiles = fixtures.map_tiles(spark, sf).withColumn("ring", spatial.ring_of_box("xmin", "xmax", "ymin", "ymax")).drop("xmin", "xmax", "ymin", "ymax")
+    pairs = spatial.ring_join(_footprints(spark, sf), tiles if on else tiles.drop("epsg"), "footprint", "ring", on)
+    return pairs.withColumn("area", F.round("area", 2)).where("area > 0")
+
+
+@query(f"WITH {TURNED} SELECT granule, mgrs_tile, area FROM pt WHERE area > 0 QUALIFY row_number() OVER (PARTITION BY granule ORDER BY area DESC, mgrs_tile) = 1")
 def largest_overlap(spark, sf):
-    pairs = spatial.box_join(_boxes(spark, sf), fixtures.map_tiles(spark, sf).drop("epsg"))
-    return spatial.largest(pairs, ["granule"], "mgrs_tile").select("granule", "mgrs_tile", "area")
+    """By the area of turned footprints, not of their boxes."""
+    return spatial.largest(_turned_pairs(spark, sf), ["granule"], "mgrs_tile").select("granule", "mgrs_tile", "area")
 
 
-@query(f"WITH {PAIRS} SELECT granule, mgrs_tile, area FROM pr WHERE ge = te QUALIFY row_number() OVER (PARTITION BY granule ORDER BY area DESC, mgrs_tile) = 1")
+@query(f"WITH {TURNED} SELECT granule, mgrs_tile, area FROM pt WHERE area > 0 AND ge = te QUALIFY row_number() OVER (PARTITION BY granule ORDER BY area DESC, mgrs_tile) = 1")
 def largest_overlap_keyed(spark, sf):
-    pairs = spatial.box_join(_boxes(spark, sf), fixtures.map_tiles(spark, sf), ["epsg"])
-    return spatial.largest(pairs, ["granule"], "mgrs_tile").select("granule", "mgrs_tile", "area")
+    return spatial.largest(_turned_pairs(spark, sf, ["epsg"]), ["granule"], "mgrs_tile").select("granule", "mgrs_tile", "area")
 
 
 @query(f"""WITH {GRANULES_SQL}, {TILE_SETS_SQL}, k AS (SELECT key % 7 AS pass, list(DISTINCT burst_id) AS bursts FROM g GROUP BY ALL),
@@ -244,6 +278,52 @@ def tags_flat(spark, sf):
     return meta.tags(fixtures.granules(spark, sf), {"TRACK": F.col("track"), "ZONE": F.col("epsg"), "RFI": F.col("rfi_available"), "METHOD": method}, "granule")
 
 
+#: Parameters of a run by their path: expressions that both engines read.
+PARAMETERS = {
+    "processing.polarizations": "concat('[', CASE WHEN key % 2 = 0 THEN 'HH, HV' ELSE 'VV, VH' END, ']')", "filter.method": "'lee'", "filter.enabled": "'True'", "filter.window": "cast(3 + key % 3 * 2 as string)",
+    "threshold.method": "CASE track % 3 WHEN 0 THEN 'ki' WHEN 1 THEN 'otsu' ELSE 'rg' END", "threshold.selection": "'combined'", "threshold.average": "'True'", "threshold.multi": "'True'", "threshold.bimodality": "'0.7'",
+    "threshold.twele": "'[0.09, 0.8, 0.97]'", "threshold.bounds.co": "'[-28, -11]'", "threshold.bounds.cross": "'[-28, -18]'", "growing.initial": "'0.81'", "growing.relaxed": "'0.51'",
+    "masking.co": "cast(-14 - key % 2 as string)", "masking.cross": "'-26'", "masking.water": "'0.05'", "fuzzy.hand.min": "'0'", "fuzzy.hand.max": "'15'", "fuzzy.slope.min": "'0.5'", "fuzzy.slope.max": "'15'",
+    "fuzzy.reference.min": "'0.8'", "fuzzy.reference.max": "'0.95'", "fuzzy.area.min": "'0'", "fuzzy.area.max": "'40'", "fuzzy.dark.land": "'-18'", "fuzzy.dark.water": "'-24'", "fuzzy.frequent.min": "'0.1'",
+    "fuzzy.frequent.max": "'0.9'", "refine.minimum": "cast(4 + 36 * (key % 2) as string)", "refine.ashman": "'1.5'", "refine.bhattacharyya": "'0.97'", "refine.bm": "'0.7'", "refine.surface": "'0.1'", "vegetation.enabled": "'True'",
+    "vegetation.ratio.max": "'12'", "vegetation.ratio.min": "'7'", "vegetation.ratio.threshold": "'8'", "vegetation.cross": "'-26'", "vegetation.source": "'auto'", "vegetation.classes": "'[112-124, 200-207]'", "vegetation.filter": "'lee'",
+}
+
+
+def _parameter_sql() -> str:
+    names, values = [], []
+    for tag, paths in meta.PARAMETER_TAGS.items():
+        own = [f"({PARAMETERS[x]})" for x in paths]
+        value = own[0] if len(own) == 1 else "concat('[', " + ", ', ', ".join(own) + ", ']')"
+        if tag == meta.METHOD_TAG:
+            value = f"CASE {value} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in meta.METHODS.items()) + " END"
+        names.append(f"'{tag}'")
+        values.append(value)
+    return f"WITH {GRANULES_SQL} SELECT granule AS product, unnest([{', '.join(names)}]) AS key, unnest([{', '.join(values)}]) AS value FROM g"
+
+
+@query(_parameter_sql())
+def parameter_tags(spark, sf):
+    """All parameters of each scene's run as flat tags."""
+    values = F.map_from_arrays(F.array(*[F.lit(k) for k in PARAMETERS]), F.array(*[F.expr(v) for v in PARAMETERS.values()]))
+    return meta.parameter_tags(fixtures.granules(spark, sf).withColumn("parameters", values), "parameters", "granule")
+
+
+@query(f"""WITH {GRANULES_SQL}, a AS (SELECT granule AS product, len(pols) AS bands, x0, y0, spacing_a AS step, epsg FROM g),
+b AS (SELECT product, bands + (product LIKE '%1')::INT AS bands, x0 + CASE WHEN product LIKE '%2' THEN step / 2 ELSE 0 END AS x0, y0, step, epsg + (product LIKE '%3')::INT AS epsg FROM a WHERE product NOT LIKE '%4'),
+j AS (SELECT a.product, unnest(['bands', 'geotransform', 'projection', 'product']) AS what,
+  unnest([a.bands::VARCHAR, printf('%.3f %.3f %.3f', a.x0, a.y0, a.step), a.epsg::VARCHAR, 'there']) AS left_value, unnest([b.bands::VARCHAR, printf('%.3f %.3f %.3f', b.x0, b.y0, b.step), b.epsg::VARCHAR, CASE WHEN b.product IS NOT NULL THEN 'there' END]) AS right_value, b.product IS NULL AS lacks
+  FROM a LEFT JOIN b USING (product))
+SELECT product, what, left_value, right_value FROM j WHERE (lacks AND what = 'product') OR (NOT lacks AND left_value <> right_value)""")
+def grid_diff(spark, sf):
+    """Band counts, geotransforms and projections of all scenes in two versions."""
+    rows = fixtures.granules(spark, sf)
+    left = rows.select(F.col("granule").alias("product"), F.size(F.col("freqs")[0]["pols"]).alias("bands"), "x0", "y0", F.col("freqs")[0]["spacing"].alias("step"), "epsg")
+    ends = lambda d: F.col("product").endswith(d)
+    right = left.where(~ends("4")).withColumns({"bands": F.col("bands") + ends("1").cast("int"), "x0": F.col("x0") + F.when(ends("2"), F.col("step") / 2).otherwise(0), "epsg": F.col("epsg") + ends("3").cast("int")})
+    return compare.grid_differences(left, right)
+
+
 @query(f"WITH {GRANULES_SQL} SELECT granule, x0 - spacing_a / 2 AS corner_x, y0 + side + spacing_a / 2 AS corner_y, row_number() OVER (ORDER BY granule)::INT AS turn, (side / spacing_a)::INT AS width FROM g")
 def granule_geo(spark, sf):
     rows = fixtures.granules(spark, sf).withColumn("s", F.col("freqs")[0]["spacing"])
