@@ -74,6 +74,10 @@ def combined(tests: list[tuple[Column, int]], how: str = "and") -> Column:
     return reduce((lambda a, b: a & b) if how == "and" else (lambda a, b: a | b), hits)
 
 
+#: Codes of the vegetation map that count as land in masking, and those of possible water. Fixed values.
+LAND_CODES, WATER_CODES = (1, 24), (100, 230)
+
+
 def not_water(cover: Column, missing: int = 0) -> Column:
     """All land cover that is known but permanent water."""
     return sure((cover != LANDCOVER["Permanent water bodies"]) & (cover != missing))

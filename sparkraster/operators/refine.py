@@ -27,6 +27,20 @@ def extended_land(cells: DataFrame, seeds: list, targets: list, least: int = 3,
     return components.grow(marked.withColumn("land", value), "land", seed, relaxed)
 
 
+def extended_land_from(cells: DataFrame, targets: list, least: int = 3, buffer: int = 10, seed: float = 0.9, relaxed: float = 0.7) -> DataFrame:
+    """Land grown from given cells, the second variant: ``cells`` has row, col, landcover, seed and barred (bools).
+
+    Seeds in components above ``least`` cells grow over all cells of the ``targets``, not into barred ones; a seed of a target class is a
+    cell to grow over only. ``buffer`` cells around permanent water take no part.
+    """
+    wet = cells.where(F.col("landcover") == masks.LANDCOVER["Permanent water bodies"]).select("row", "col")
+    near = morph.dilate(wet, buffer).withColumn("_near", F.lit(1))
+    first = components.larger_than(components.label(cells.where("seed").select("row", "col")), least).select("row", "col").withColumn("_seed", F.lit(1))
+    value = F.when(F.col("_near") == 1, 0.0).when(masks.landcover_mask(F.col("landcover"), targets), 0.75).when(F.col("_seed") == 1, 1.0).otherwise(0.0)
+    marked = cells.join(near, ["row", "col"], "left").join(first, ["row", "col"], "left").withColumn("land", value)
+    return components.grow(marked, "land", seed, relaxed, excluded=cells.where("barred").select("row", "col"))
+
+
 def terrain_eroded(water: DataFrame, height: DataFrame, value: str = "hand", spread: float = 2.5) -> DataFrame:
     """Water without boundary cells higher than their component's boundary median plus deviation, until none is left.
 
@@ -137,7 +151,7 @@ def dry_bands(bands: DataFrame, dry: DataFrame, share: float = 0.5) -> DataFrame
 
 def mask_stage(
     cells: DataFrame, water: DataFrame, value: str, spread: float = 2.5, classes: tuple = ("Bare sparse vegetation", "Urban", "Moss and lichen"), further: tuple = ("Grassland", "Shrubs"),
-    mode: str = "v1", large: int = 5000, persistent: float = 0.1,
+    mode: str = "v1", large: int = 5000, persistent: float = 0.1, vegetation: str | None = None,
 ) -> DataFrame:
     """Water without dark land, without dry bands of large bodies and without cells above their banks.
 
@@ -145,9 +159,19 @@ def mask_stage(
     the value. Dark land are cells of the classes, grown over the further ones, that are rarely water and dark in both
     bands. Bodies of ``large`` cells are split; of the bands that come off, components that are mostly dry land go. Dry
     land keeps three cells away from what is water for ``persistent`` of the time.
+
+    With ``vegetation``, a column of codes of a second map, masking is that of the second sensor: its land codes count as land, too, land is
+    grown from what of both is dark and rarely water, and growth keeps out of its codes for possible water and of what is often water.
     """
-    land = extended_land(cells, list(classes), list(further)).withColumn("_land", F.lit(True))
-    marked = cells.join(land, ["row", "col"], "left").withColumn("_land", masks.sure(F.col("_land")) | masks.landcover_mask(F.col("landcover"), list(classes)))
+    own = masks.landcover_mask(F.col("landcover"), list(classes))
+    if vegetation is None:
+        land = extended_land(cells, list(classes), list(further))
+    else:
+        either = own | masks.sure(F.col(vegetation).between(*masks.LAND_CODES))
+        seed = masks.dark_land(either, F.col("occurrence"), F.col("co_db"), F.col("cross_db"))
+        barred = masks.sure(F.col("occurrence") > persistent) | masks.sure(F.col(vegetation).between(*masks.WATER_CODES))
+        land = extended_land_from(cells.select("row", "col", "landcover", masks.sure(seed).alias("seed"), barred.alias("barred")), list(further))
+    marked = cells.join(land.withColumn("_land", F.lit(True)), ["row", "col"], "left").withColumn("_land", masks.sure(F.col("_land")) | own)
     marked = morph.kept(marked.select("row", "col", "_land", "occurrence", "co_db", "cross_db"), "land")
     dark = marked.where(masks.dark_land(F.col("_land"), F.col("occurrence"), F.col("co_db"), F.col("cross_db"))).select("row", "col")
     lasting = morph.dilate(marked.where(F.col("occurrence") >= persistent).select("row", "col"), 3)
@@ -157,9 +181,9 @@ def mask_stage(
     return terrain_eroded(left, cells, "hand", spread)
 
 
-def refine_stage(cells: DataFrame, water: DataFrame, value: str) -> DataFrame:
-    """False water taken out, then gaps filled."""
-    real = morph.kept(false_water(water, cells, value), "real")
+def refine_stage(cells: DataFrame, water: DataFrame, value: str, least: int = 40) -> DataFrame:
+    """False water taken out, then gaps filled; ``least`` as for ``false_water``."""
+    real = morph.kept(false_water(water, cells, value, least), "real")
     return real.unionByName(filled_gaps(real, cells, value)).distinct()
 
 

@@ -123,3 +123,18 @@ def upper_bound(df: DataFrame, value: str, inside: str) -> DataFrame:
     stats = chosen.agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("deviation"))  # one row each
     tall = hist.quantiles(chosen, value, [0.995]).agg(F.max("quantile").alias("p"))
     return stats.crossJoin(F.broadcast(tall)).select((F.greatest("p", "mean") + 2 * F.col("deviation")).alias("bound"))
+
+
+def upper_bound_by_modes(df: DataFrame, value: str, inside: str, low: float = -35.0, high: float = 10.0, n: int = 450) -> DataFrame:
+    """(bound, bimodal, mean, deviation): as ``upper_bound``, from one mode where the reference water has two: the fitted lower one, or
+    without a fit what lies above the threshold between them."""
+    chosen = kept(df.where(inside).where(F.col(value).isNotNull()).select(F.lit(1).alias("_all"), F.col(value).alias("v")), "reference")
+    found = bimodal.verdict(chosen, ["_all"], "v", low, high, n).select("_all", "bimodal", "fitted", "mu1", "sd1")
+    parted = chosen.join(hist.otsu(chosen, ["_all"], "v"), "_all", "left")
+    brighter = F.when(F.col("v") > F.col("threshold"), F.col("v"))
+    stats = parted.groupBy("_all").agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("s"), F.avg(brighter).alias("bm"), F.stddev_pop(brighter).alias("bs"))
+    tall = hist.quantiles(chosen, "v", [0.995]).agg(F.max("quantile").alias("p"))  # one row
+    two, fitted = F.coalesce("bimodal", F.lit(False)), F.coalesce("fitted", F.lit(False))
+    pick = lambda mode, above, whole: F.when(two & fitted, F.col(mode)).when(two, F.col(above)).otherwise(F.col(whole))
+    rows = stats.join(found, "_all", "left").crossJoin(F.broadcast(tall)).withColumns({"mean": pick("mu1", "bm", "m"), "deviation": pick("sd1", "bs", "s")})
+    return rows.select((F.greatest("p", "mean") + 2 * F.col("deviation")).alias("bound"), two.alias("bimodal"), "mean", "deviation")

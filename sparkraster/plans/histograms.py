@@ -247,3 +247,9 @@ def window_select_all(spark, sf):
     sizes, bins = (40, 20, 10), (-35.0, 0.0, 70)
     stats = morph.kept(thresholds.window_stats(cells.withColumn("u", F.pow(F.lit(10.0), F.col("u") / 10)), "u", sizes, "water"), "stats")
     return thresholds.selected_by_all(stats, pyramid.halves(cells, "u", sizes, *bins), bins, 0.5, low=0.2, high=2.0)
+
+
+@query()
+def upper_bound_by_modes(spark, sf):
+    """Upper bounds from one mode of the reference water where it has two. No SQL: modes are fitted."""
+    return thresholds.upper_bound_by_modes(db(spark, sf), "co_db", "if(refwater = 255, 100, refwater) / 100 > 0.9")

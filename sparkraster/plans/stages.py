@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import maths
 from ..operators import bimodal, components, focal, hist, masks, morph, product, refine, thresholds
 from ..sources import fixtures
-from .cells import DB, db, vegetated
+from .cells import DB, SUBSTITUTED, db, smf, substituted, vegetated, zmf
 from .neighbours import FOUR
 
 #: Window tests that the layers' wide distributions can pass.
@@ -77,6 +77,43 @@ def extend_land(spark, sf):
     return refine.extended_land(cells(spark, sf), ["Bare sparse vegetation"], ["Grassland", "Herbaceous wetland"], least=1, buffer=1)
 
 
+#: Least cells that dark ones are linked with, spread until nothing changes.
+BODIES = f"""{DB}, w AS MATERIALIZED (SELECT row, col, hand, row * 100000 + col AS k FROM d WHERE co_db < -5),
+nb AS MATERIALIZED (SELECT w.k AS a, x.k AS b FROM w, {EIGHT} JOIN w x ON x.row = w.row + o.i AND x.col = w.col + o.j),
+lb(k, comp) USING KEY (k) AS (SELECT k, k FROM w UNION (SELECT DISTINCT ON (old.k) old.k, lb.comp FROM lb JOIN nb ON nb.a = lb.k JOIN recurring.lb old ON old.k = nb.b WHERE lb.comp < old.comp ORDER BY old.k, lb.comp))"""
+
+
+@query(f"""WITH RECURSIVE {DB}, c AS (SELECT row, col, landcover, coalesce((landcover = 60 OR glad BETWEEN 1 AND 24) AND occurrence < 0.2 AND co_db < -6 AND cross_db < -16, FALSE) AS seed,
+  coalesce(occurrence > 0.5, FALSE) OR coalesce(glad BETWEEN 100 AND 230, FALSE) AS barred FROM d),
+s AS (SELECT row, col FROM c WHERE seed), big AS (SELECT DISTINCT s.row, s.col FROM s, {EIGHT} JOIN s t ON t.row = s.row + o.i AND t.col = s.col + o.j),
+near AS (SELECT row, col FROM c WHERE landcover = 80 UNION SELECT row + i, col + j FROM c, {FOUR} WHERE landcover = 80),
+v AS (SELECT row, col, barred, CASE WHEN near.row IS NOT NULL THEN 0 WHEN landcover IN (30, 90) THEN 0.75 WHEN big.row IS NOT NULL THEN 1 ELSE 0 END AS v FROM c LEFT JOIN near USING (row, col) LEFT JOIN big USING (row, col)),
+r AS (SELECT row, col FROM v WHERE v > 0.9 UNION SELECT a.row, a.col FROM r, {FOUR} JOIN v a ON a.row = r.row + o.i AND a.col = r.col + o.j WHERE a.v > 0.9 OR (a.v > 0.7 AND NOT a.barred)) SELECT row, col FROM r""")
+def extend_land_from(spark, sf):
+    """Land grown from dark cells of either map, kept out of possible water."""
+    rows = db(spark, sf)
+    either = masks.landcover_mask(F.col("landcover"), [60]) | masks.sure(F.col("glad").between(*masks.LAND_CODES))
+    seed = masks.dark_land(either, F.col("occurrence"), F.col("co_db"), F.col("cross_db"), 0.2, -6, -16)
+    barred = masks.sure(F.col("occurrence") > 0.5) | masks.sure(F.col("glad").between(*masks.WATER_CODES))
+    marked = morph.kept(rows.select("row", "col", "landcover", masks.sure(seed).alias("seed"), barred.alias("barred")), "marked")
+    return refine.extended_land_from(marked, ["Grassland", "Herbaceous wetland"], least=1, buffer=1)
+
+
+SIZES = BODIES + ", sz AS (SELECT lb.k, count(*) OVER (PARTITION BY comp) AS area FROM lb)"
+AREA = SUBSTITUTED[len(DB) :]
+
+
+@query(f"""WITH RECURSIVE {SIZES}{AREA}, q AS (SELECT z.*, coalesce(sz.area, 0)::DOUBLE AS area FROM z LEFT JOIN sz ON sz.k = z.row * 100000 + z.col)
+SELECT row, col, round(0.5 * CASE WHEN cross_z IS NULL THEN co_z WHEN co_z IS NULL THEN cross_z ELSE (co_z + cross_z) / 2 END
+  + 0.5 * (({zmf('coalesce(hand, 0)', 0.0, 15.0)} + {zmf('slope', 0.5, 15.0)} + {smf('area', 0.0, 40.0)}) / 3), 6) AS membership FROM q""")
+def membership_area(spark, sf):
+    """Memberships with the size of a cell's dark body in place of its occurrence."""
+    labels = morph.kept(components.label(dark(spark, sf)), "bodies")
+    sizes = components.with_attributes(labels, components.stats(labels)).select("row", "col", F.col("size").cast("double").alias("area"))
+    rows = substituted(db(spark, sf)).join(sizes, ["row", "col"], "left").na.fill(0.0, ["area"])
+    return masks.membership(rows, weights_area=True).select("row", "col", F.round("membership", 6).alias("membership"))
+
+
 @query
 def false_water(spark, sf):
     return refine.false_water(dark(spark, sf), cells(spark, sf), "co_db")
@@ -87,12 +124,6 @@ def fill_bright(spark, sf):
     return refine.filled_gaps(dark(spark, sf), cells(spark, sf), "co_db")
 
 
-#: Least cells that dark ones are linked with, spread until nothing changes.
-BODIES = f"""{DB}, w AS MATERIALIZED (SELECT row, col, hand, row * 100000 + col AS k FROM d WHERE co_db < -5),
-n AS MATERIALIZED (SELECT w.k AS a, x.k AS b FROM w, {EIGHT} JOIN w x ON x.row = w.row + o.i AND x.col = w.col + o.j),
-lb(k, comp) USING KEY (k) AS (SELECT k, k FROM w UNION (SELECT DISTINCT ON (old.k) old.k, lb.comp FROM lb JOIN n ON n.a = lb.k JOIN recurring.lb old ON old.k = n.b WHERE lb.comp < old.comp ORDER BY old.k, lb.comp))"""
-
-
 @query(f"""WITH RECURSIVE {BODIES}, c AS (SELECT w.*, comp FROM w JOIN lb USING (k)),
 e AS (SELECT c.k FROM c, {FOUR} JOIN c x ON x.row = c.row + o.i AND x.col = c.col + o.j GROUP BY c.k HAVING count(*) = 4),
 f AS (SELECT comp, stddev_pop(hand) AS s, quantile_cont(hand, 0.5) AS m FROM c ANTI JOIN e USING (k) GROUP BY comp HAVING stddev_pop(hand) > 2.5),
@@ -130,6 +161,12 @@ def mask_stage(spark, sf):
     return refine.mask_stage(cells(spark, sf), dark(spark, sf), "co_db")
 
 
+@query
+def mask_stage_two(spark, sf):
+    """The masking of the second sensor."""
+    return refine.mask_stage(cells(spark, sf), dark(spark, sf), "co_db", mode="v2", vegetation="glad")
+
+
 @query
 def refine_stage(spark, sf):
     return refine.refine_stage(cells(spark, sf), dark(spark, sf), "co_db")
@@ -153,7 +190,9 @@ def workflow(spark: SparkSession, sf: str, ratio: bool) -> DataFrame:
         "dark": masks.sure(F.col("co_db") < -6), "water": masks.sure(F.col("occurrence") > 0.97), "land": masks.not_water(F.col("landcover")).cast("int"),
         "reference": masks.reference_water(F.col("refwater")).cast("int"),
     })
-    final = refine.refine_stage(layers, morph.kept(refine.mask_stage(layers, grown, "co_db"), "masked"), "co_db")
+    # The second sensor masks by its vegetation map too, judges bodies at their edges and refines from 4 cells on.
+    masked = refine.mask_stage(layers, grown, "co_db", mode="v2", vegetation="glad") if ratio else refine.mask_stage(layers, grown, "co_db")
+    final = refine.refine_stage(layers, morph.kept(masked, "masked"), "co_db", 4 if ratio else 40)
     out = vegetated(scored).join(final.withColumn("is_water", F.lit(True)), ["row", "col"], "left")
     code = product.classified(
         F.col("is_water"), inundated_vegetation=F.col("veg") == 2, hand_mask=F.col("hand") > 200, layover_shadow_mask=F.col("shadow") > 0, no_data=F.col("cross").isNull()

@@ -438,3 +438,24 @@ def test_dividers_part_a_histogram_best():
         assert between(bimodal.dividers(y, 2)) == pytest.approx(max(between([i]) for i in range(13)))
         assert between(bimodal.dividers(y, 3)) == pytest.approx(max(between([i, j]) for i in range(13) for j in range(i + 1, 13)))
     assert len(bimodal.dividers(np.array([0.0, 3.0, 0.0]), 3)) == 2
+
+
+def test_upper_bounds_by_modes(spark):
+    rng = np.random.default_rng(3)
+    one = [(float(v),) for v in rng.normal(-15, 1, 3000)]
+    two = [(float(v),) for v in np.concatenate([rng.normal(-22, 1, 3000), rng.normal(-10, 1, 1500)])]
+    from sparkraster.operators import thresholds
+
+    got = thresholds.upper_bound_by_modes(spark.createDataFrame(one, "v double"), "v", "true").first()
+    assert not got["bimodal"] and abs(got["mean"] + 15) < 0.1 and abs(got["bound"] - (np.percentile([v for v, in one], 99.5) + 2 * got["deviation"])) < 1e-6
+    got = thresholds.upper_bound_by_modes(spark.createDataFrame(two, "v double"), "v", "true").first()
+    assert got["bimodal"] and abs(got["mean"] + 22) < 0.3 and abs(got["deviation"] - 1) < 0.3
+    assert thresholds.upper_bound_by_modes(spark.createDataFrame(two, "v double"), "v", "v > 100").count() == 0
+
+
+def test_second_masking_keeps_out_of_possible_water(spark):
+    df = grid(spark, [[-8.0] * 30] * 12, "v").withColumns({"landcover": F.when(F.col("col") < 5, 60).when(F.col("col") < 20, 30).otherwise(80), "seed": F.col("col") < 5, "barred": F.col("col") == 9})
+    got = cells(refine.extended_land_from(df.drop("v"), ["Grassland"], 3, 0))
+    assert got == [(r, c) for r in range(12) for c in range(9)]
+    got = cells(refine.extended_land_from(df.drop("v").withColumn("barred", F.lit(False)), ["Grassland"], 3, 4))
+    assert got == [(r, c) for r in range(12) for c in range(16)]
