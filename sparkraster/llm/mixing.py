@@ -128,7 +128,9 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     highs = highs.withColumn("ahead", F.col("ahead") + F.col("more")).drop("more", "top")
     cells = cells.withColumn("more", earlier(["size", "part"], high)).drop("top").join(highs, high)
     cells = stored(cells.withColumn("ahead", F.col("ahead") + F.col("more")).drop("more", "high"), "ranks")
-    cells = cells.join(offsets(cells, seed), ["name", "none"], "left").drop("rows").na.fill(0.0, ["u"])  # a source without words has no offset
+    # Offsets go to every part, so that a hot source isn't joined in one task; a source without words has none.
+    each_part = offsets(cells, seed).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    cells = cells.join(each_part, ["name", "none", "part"], "left").drop("rows").na.fill(0.0, ["u"])
 
     numbered = rows.withColumn("at", F.row_number().over(Window.partitionBy(*one).orderBy(key, "mark")))
     out = numbered.join(cells, one).withColumn("rank", F.col("ahead") + F.col("at"))
