@@ -5,20 +5,24 @@ Only the fit itself runs in Python, on the bins of a group; all measures are col
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.maths import gaussian
 from ..sources.folders import ship
+from ..sources.tiles import groups, sorted_apply, whole
 from . import hist
 from .morph import kept
 
 #: Bounds of a mode: mean, deviation, amplitude.
 LOWEST, HIGHEST = (-40.0, 1e-3, 0.0), (10.0, 10.0, 1.0)
+#: Histograms that are fitted at once.
+TOGETHER = 256
 
 
 def histogram_apply(bins: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
@@ -61,6 +65,39 @@ def least_squares(x: np.ndarray, y: np.ndarray, start: np.ndarray, low: np.ndarr
     return p, error
 
 
+def least_squares_many(x: np.ndarray, y: np.ndarray, start: np.ndarray, low: np.ndarray, high: np.ndarray, steps: int = 80) -> tuple[np.ndarray, np.ndarray]:
+    """``least_squares`` of many histograms over one grid at once: parameters (groups, parameters) and remaining squared errors."""
+
+    def modes(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        m, s, h = (p[:, k::3, None] for k in range(3))
+        e = np.exp(-((x - m) ** 2) / 2 / s**2)
+        slopes = np.stack([h * e * (x - m) / s**2, h * e * (x - m) ** 2 / s**3, e], 2)
+        return (h * e).sum(1), slopes.reshape(len(p), -1, len(x))
+
+    p = np.clip(start, low, high)
+    error = ((y - modes(p)[0]) ** 2).sum(1)
+    damping, open_ = np.full(len(p), 1e-3), np.arange(len(p))
+    for _ in range(steps):
+        if not len(open_):
+            break
+        now = p[open_]
+        value, j = modes(now)
+        normal = j @ j.transpose(0, 2, 1)
+        diagonal = np.einsum("gii->gi", normal)
+        damped = normal.copy()
+        np.einsum("gii->gi", damped)[:] += damping[open_, None] * (diagonal + 1e-12)
+        step = (np.linalg.pinv(damped, hermitian=True) @ (j @ (y[open_] - value)[:, :, None]))[:, :, 0]
+        new = np.clip(now + step, low, high)
+        new_error = ((y[open_] - modes(new)[0]) ** 2).sum(1)
+        old = error[open_]
+        better = new_error < old
+        done = np.where(better, old - new_error < 1e-12 * np.maximum(old, 1e-30), damping[open_] * 4 > 1e9)
+        p[open_[better]], error[open_[better]] = new[better], new_error[better]
+        damping[open_] = np.where(better, np.maximum(damping[open_] / 3, 1e-9), damping[open_] * 4)
+        open_ = open_[~done]
+    return p, error
+
+
 def dividers(y: np.ndarray, parts: int) -> list[int]:
     """Ends of the parts of a histogram with the most variance between them, parts of equal weight where it has too few bins in use."""
     used = np.flatnonzero(y)
@@ -101,26 +138,36 @@ def fit(bins: DataFrame, keys: list[str], low: float, high: float, n: int, modes
     """(keys, mu1, sd1, amp1, .., fitted, error): modes by ascending mean, fitted to the bins' shares.
 
     Starts from the parts of the histogram between the dividers of most variance; a group of fewer than 3 cells isn't
-    fitted. Only the bins of a group are in Python, however many cells it has.
+    fitted. Only bins are in Python, however many cells a group has, and many groups are fitted at once.
     """
     step = (high - low) / n
     names = [f"{c}{i + 1}" for i in range(modes) for c in ("mu", "sd", "amp")]
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        y = np.zeros(n)
-        y[frame["bin"].to_numpy(int)] = frame["n"].to_numpy(float)
-        total = y.sum()
-        row = {k: [frame[k].iloc[0]] for k in keys}
-        if total < 3:
-            return pd.DataFrame(row | {c: [None] for c in names} | {"fitted": [False], "error": [None]}).astype({c: "float64" for c in [*names, "error"]})
-        y, x = y / total, low + (np.arange(n) + 0.5) * step
-        p, error = least_squares(x, y, start_values(x, y, modes, step), np.tile(LOWEST, modes), np.tile(HIGHEST, modes))
-        p = p.reshape(-1, 3)[np.argsort(p.reshape(-1, 3)[:, 0], kind="stable")].ravel()
-        return pd.DataFrame(row | {c: [float(v)] for c, v in zip(names, p)} | {"fitted": [True], "error": [error]})
+    x = low + (np.arange(n) + 0.5) * step
+
+    def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        spans = groups(table, keys)
+        at, count = (whole(table.column(c)).to_numpy(zero_copy_only=False) for c in ("bin", "n"))
+        for some in range(0, len(spans), TOGETHER):
+            own = spans[some : some + TOGETHER]
+            a, b = own[0][0], own[-1][1]
+            y = np.zeros((len(own), n))
+            y[np.repeat(np.arange(len(own)), [v - u for u, v in own]), at[a:b]] = count[a:b]
+            total = y.sum(1)
+            enough = np.flatnonzero(total >= 3)
+            p, error = np.full((len(own), 3 * modes), np.nan), np.full(len(own), np.nan)
+            if len(enough):
+                shares = y[enough] / total[enough, None]
+                start = np.stack([start_values(x, row, modes, step) for row in shares])
+                found, error[enough] = least_squares_many(x, shares, start, np.tile(LOWEST, modes), np.tile(HIGHEST, modes))
+                found = found.reshape(len(enough), modes, 3)
+                p[enough] = np.take_along_axis(found, np.argsort(found[:, :, :1], axis=1, kind="stable"), 1).reshape(len(enough), -1)
+            parts = [whole(table.column(k)).take(pa.array([u for u, _ in own])) for k in keys]
+            parts += [pa.array(p[:, i], from_pandas=True) for i in range(3 * modes)]
+            yield pa.RecordBatch.from_arrays([*parts, pa.array(total >= 3), pa.array(error, from_pandas=True)], [*keys, *names, "fitted", "error"])
 
     kinds = dict(bins.dtypes)
     schema = ", ".join([f"{k} {kinds[k]}" for k in keys] + [f"{c} double" for c in names] + ["fitted boolean", "error double"])
-    return histogram_apply(bins.select(*keys, "bin", "n"), keys, run, schema)
+    return sorted_apply(bins.select(*keys, "bin", F.col("n").cast("double").alias("n")), keys, run, schema)
 
 
 def valley_mode(modes: DataFrame, keys: list[str], low: float, high: float, n: int, share: float = 0.03) -> DataFrame:
