@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.maths import normal_cdf
+from ..sources.tiles import floats, groups, sorted_apply
 from . import bimodal, hist, pyramid
 from .morph import kept
 
@@ -74,7 +79,7 @@ def block_median(points: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def inverse_distance(blocks: DataFrame, points: DataFrame, radius: int = 2, power: float = 0.5, smoothing: float = 1.0) -> DataFrame:
-    """A value for every block (row, col) from points within ``radius``; where there is none, the nearest point's.
+    """A value for every block (row, col) from points within ``radius``; where there is none, linear between points or the nearest's (``filled_points``).
 
     Points are spread to the blocks they reach, so that blocks and points meet by an equi-join.
     """
@@ -87,7 +92,99 @@ def inverse_distance(blocks: DataFrame, points: DataFrame, radius: int = 2, powe
     missing = kept(blocks.select("row", "col").join(found, ["row", "col"], "left_anti"), "blocks")
     if not missing.limit(1).count() or not points.limit(1).count():
         return found
-    return found.unionByName(nearest_points(missing, points.select(F.col("row").alias("pr"), F.col("col").alias("pc"), "value"), 2 * radius))
+    return found.unionByName(filled_points(missing, kept(points.select(F.col("row").alias("pr"), F.col("col").alias("pc"), "value"), "points"), 2 * radius))
+
+
+def triangle_of(q: np.ndarray, points: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """The Delaunay triangle around ``q``, as places in ``points`` and shares of its corners; None outside all points.
+
+    Over the points lifted to their squares the triangle is the lowest one above ``q``: a linear programme with three unknowns,
+    solved by exchanging one corner at a time for the point that lies lowest under the triangle's plane.
+    """
+    far = 4 * (np.abs(points - q).max() + 1)
+    corners = q + far * np.array([[0.0, 2.0], [-2.0, -1.0], [2.0, -1.0]])  # of no point: they go first
+    at = np.concatenate([points, corners])
+    height = np.concatenate([weights, np.full(3, 1e3 * (far * far + (np.abs(weights).max() if len(weights) else 0) + 1))])
+    basis = np.arange(len(points), len(points) + 3)
+    for _ in range(20 * len(at)):
+        matrix = np.column_stack([at[basis], np.ones(3)]).T
+        shares = np.linalg.solve(matrix, np.append(q, 1.0))
+        plane = np.linalg.solve(matrix.T, height[basis])
+        under = height - at @ plane[:2] - plane[2]
+        under[basis] = 0
+        new = int(under.argmin())
+        if under[new] > -1e-9 * max(1.0, np.abs(height[basis]).max() if basis.max() < len(points) else 1.0):
+            break
+        change = np.linalg.solve(matrix, np.append(at[new], 1.0))
+        ratio = np.where(change > 1e-12, shares / np.where(change > 1e-12, change, 1), np.inf)
+        basis[int(ratio.argmin())] = new
+    return None if basis.max() >= len(points) else (basis, shares)
+
+
+def filled_points(blocks: DataFrame, points: DataFrame, reach: int) -> DataFrame:
+    """A value for every block from points (pr, pc, value): linear in the Delaunay triangle around it, outside all points the nearest's.
+
+    Squares of ``reach`` meet with their neighbours; a triangle whose circle lies inside what was met is that of all points. Blocks
+    without one are tried again with twice the reach, until all points were met.
+    """
+    ends = points.agg(F.min("pr"), F.max("pr"), F.min("pc"), F.max("pc"), F.avg("pr"), F.avg("pc")).first()  # one row
+    out, outside = None, None
+    while True:
+        found = kept(_in_squares(blocks, points, reach, tuple(ends)), "linear")
+        good, bad = found.where("state = 0").select("row", "col", "value"), found.where("state = 2").select("row", "col")
+        out = good if out is None else out.unionByName(good)
+        outside = bad if outside is None else outside.unionByName(bad)
+        blocks = found.where("state = 1").select("row", "col")
+        if not blocks.limit(1).count():
+            break
+        reach *= 2
+    outside = kept(outside, "outside")
+    return out.unionByName(nearest_points(outside, points, reach)) if outside.limit(1).count() else out
+
+
+def _in_squares(blocks: DataFrame, points: DataFrame, reach: int, ends: tuple) -> DataFrame:
+    """(row, col, value, state): 0 with a value, 1 not settled by the points met, 2 outside all points."""
+    kinds = pa.schema([("row", pa.int32()), ("col", pa.int32()), ("value", pa.float64()), ("state", pa.int32())])
+
+    def spread(x: np.ndarray) -> np.ndarray:
+        """A small number of each place, so that no four points lie on one circle."""
+        return 1e-5 * np.modf(np.abs(np.sin(x[:, 0] * 12.9898 + x[:, 1] * 78.233)) * 43758.5453)[0]
+
+    def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        column = {c: floats(table.column(c)) for c in ("_r", "_c", "kind", "y", "x", "value")}
+        rows = []
+        for a, b in groups(table, ["_r", "_c"]):
+            own = {c: v[a:b] for c, v in column.items()}
+            met = own["kind"] == 1
+            at, value = np.stack([own["y"][met], own["x"][met]], 1), own["value"][met]
+            low = np.array([own["_r"][0] * reach, own["_c"][0] * reach]) - reach
+            high = low + 3 * reach - 1
+            whole_ = low[0] <= ends[0] and high[0] >= ends[1] and low[1] <= ends[2] and high[1] >= ends[3]
+            for y, x in zip(own["y"][~met], own["x"][~met]):
+                # Next to nothing off towards the middle of all points: no block lies on their outline, and hardly one on an edge.
+                q = np.array([y, x]) + 1e-7 * (np.array(ends[4:]) - (y, x)) + np.array([1.3e-11, 0.7e-11])
+                found = triangle_of(q - (y, x), at - (y, x), ((at - (y, x)) ** 2).sum(1) + spread(at)) if len(at) else None
+                state, level = (2 if whole_ else 1), None
+                if found is not None:
+                    corner = at[found[0]]
+                    left = np.column_stack([2 * (corner[1:] - corner[0])])
+                    centre = np.linalg.solve(left, (corner[1:] ** 2).sum(1) - (corner[0] ** 2).sum())
+                    radius = np.sqrt(((corner[0] - centre) ** 2).sum()) + 1e-3
+                    if whole_ or ((centre - radius >= low) & (centre + radius <= high)).all():
+                        state, level = 0, float(found[1] @ value[found[0]])
+                rows.append({"row": int(y), "col": int(x), "value": level, "state": state})
+            if len(rows) > 5000:
+                yield pa.RecordBatch.from_pylist(rows, kinds)
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, kinds)
+
+    square = lambda c: F.floor(F.col(c) / reach).cast("int")
+    asked = blocks.select(square("row").alias("_r"), square("col").alias("_c"), F.lit(0).alias("kind"), F.col("row").alias("y"), F.col("col").alias("x"), F.lit(None).cast("double").alias("value"))
+    around = F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r in (-1, 0, 1) for c in (-1, 0, 1)]))
+    near = points.withColumn("_o", around).select((square("pr") + F.col("_o.r")).alias("_r"), (square("pc") + F.col("_o.c")).alias("_c"), F.lit(1).alias("kind"), F.col("pr").alias("y"), F.col("pc").alias("x"), "value")
+    near = near.join(asked.select("_r", "_c").distinct(), ["_r", "_c"], "left_semi")
+    return sorted_apply(asked.unionByName(near), ["_r", "_c"], run, "row int, col int, value double, state int")
 
 
 def nearest_points(blocks: DataFrame, points: DataFrame, reach: int) -> DataFrame:

@@ -155,13 +155,12 @@ def threshold_walk(spark, sf):
 
 
 #: Over all cells; holes are where data are missing.
-MEDIANS = f"""{DB}, md AS (SELECT (row // 10)::INT AS row, (col // 10)::INT AS col, quantile_cont(co_db, 0.5) AS value FROM d WHERE co_db IS NOT NULL GROUP BY row // 10, col // 10 HAVING count(*) > 14)"""
+MEDIANS = f"""{DB}, md AS (SELECT (row // 10)::INT AS row, (col // 10)::INT AS col, quantile_cont(co_db, 0.5) AS value FROM d WHERE co_db IS NOT NULL GROUP BY row // 10, col // 10)"""
 
 
 def _medians(spark, sf):
     rows = db(spark, sf).where("co_db is not null").select(F.floor(F.col("row") / 10).cast("int").alias("row"), F.floor(F.col("col") / 10).cast("int").alias("col"), F.col("co_db").alias("value"))
-    some = rows.groupBy("row", "col").agg(F.count("*").alias("n")).where("n > 14").drop("n")
-    return thresholds.block_median(rows.join(some, ["row", "col"], "left_semi"), ["row", "col"], "value")
+    return thresholds.block_median(rows, ["row", "col"], "value")
 
 
 @query(f"""WITH {MEDIANS} SELECT row, col, round(value, 8) AS value FROM md""")
@@ -253,3 +252,14 @@ def window_select_all(spark, sf):
 def upper_bound_by_modes(spark, sf):
     """Upper bounds from one mode of the reference water where it has two. No SQL: modes are fitted."""
     return thresholds.upper_bound_by_modes(db(spark, sf), "co_db", "if(refwater = 255, 100, refwater) / 100 > 0.9")
+
+
+@query()
+def linear_surface(spark, sf):
+    """A threshold for every block from those blocks that hold both water and land: linear between them, the nearest's outside."""
+    block = [F.floor(F.col(c) / 10).cast("int").alias(c) for c in ("row", "col")]
+    rows = db(spark, sf).select(*block, "co_db").groupBy("row", "col").agg(F.avg("co_db").alias("value"), F.stddev_pop("co_db").alias("spread"))
+    rows = morph.kept(rows, "blocks")
+    points = rows.join(F.broadcast(rows.agg(F.avg("spread").alias("usual"))), F.col("spread") > F.col("usual"))  # one row
+    points = morph.kept(points.select(F.col("row").alias("pr"), F.col("col").alias("pc"), "value"), "points")
+    return thresholds.filled_points(rows.select("row", "col"), points, 4)
