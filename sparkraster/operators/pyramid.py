@@ -64,16 +64,17 @@ def _merged_moments(rows: DataFrame, keys: list[str]) -> DataFrame:
             n.alias("valid"), (a["wet"] + b["wet"]).alias("wet"), (a["cells"] + b["cells"]).alias("cells"),
         )
 
-    whole = rows.groupBy(*keys).agg(F.aggregate(F.array_sort(F.collect_list(part)), start, add).alias("m"))
-    return whole.select(*keys, "m.*")
+    whole = rows.groupBy(*keys).agg(F.aggregate(F.array_sort(F.collect_list(part)), start, add).alias("m"), F.sum("total").alias("total"))
+    return whole.select(*keys, "m.*", "total")
 
 
 def moments(cells: DataFrame, value: str, sizes: tuple[int, ...], water: str) -> DataFrame:
-    """(window_size, window_row, window_col, mean, m2, valid, wet, cells): moments of the values that are there, and cells of known water, counted once a cell."""
+    """(window_size, window_row, window_col, mean, m2, valid, wet, cells, total): moments of the values that are there, and cells of known
+    water, counted once a cell. Sums of whole numbers are exact."""
     placed = blocks(cells, min(sizes) // 2)
     own = placed.groupBy("block_row", "block_col").agg(
         F.coalesce(F.avg(value), F.lit(0.0)).alias("mean"), F.coalesce(F.var_pop(value) * F.count(value), F.lit(0.0)).alias("m2"), F.count(value).alias("valid"),
-        F.count_if(F.col(water)).alias("wet"), F.count(water).alias("cells"),
+        F.count_if(F.col(water)).alias("wet"), F.count(water).alias("cells"), F.coalesce(F.sum(value), F.lit(0)).alias("total"),
     )
     return windows(kept(own, "blocks"), sizes, _merged_moments)
 

@@ -33,7 +33,7 @@ def window_stats(df: DataFrame, value: str, sizes: tuple[int, ...], water: str)
     """
     overall = df.agg(F.avg(value).alias("overall"))  # one row
     found = pyramid.moments(df, value, sizes, water).where("valid > window_size * window_size / 3")
-    found = found.select(*pyramid.KEYS, "mean", F.expr("sqrt(m2 / valid)").alias("deviation"), "valid", F.expr("wet / cells").alias("water")).crossJoin(F.broadcast(overall))
+    found = found.select(*pyramid.KEYS, F.expr("total / valid").alias("mean"), F.expr("sqrt(m2 / valid)").alias("deviation"), "valid", F.expr("wet / cells").alias("water")).crossJoin(F.broadcast(overall))
     return found.withColumns({"variation": F.col("deviation") / F.col("mean"), "ratio": F.col("mean") / F.col("overall")}).drop("overall")
 
 
