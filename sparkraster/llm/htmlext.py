@@ -34,11 +34,12 @@ import hashlib
 import html as entities
 import json
 import re
-from bisect import bisect_left
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
+from math import isqrt
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,9 +58,10 @@ SALTS = 32
 #: Nesting that shapes follow. What lies deeper is open with its own tags and flags, but its
 #: blocks stand one after another in the last node above.
 DEPTH = 120
-#: Pairs of children up to which the best alignment is looked for in one table; longer lists are
-#: first parted at children that are alone of their kind in both.
-GRID = 250_000
+#: Pairs of children up to which their table is made pair by pair, which is faster for few; both ways give the same match.
+GRID = 2_000
+#: Sizes that are held at once while long lists are aligned.
+CELLS = 16_000_000
 
 #: What counts of an element: all; what isn't mostly links; an article inside; a headline that varies; nothing.
 ALL, PROSE, ARTICLE, HEADLINE, NOTHING = range(5)
@@ -369,12 +371,12 @@ def match(a: list, b: list) -> tuple[int, list[tuple[list, list]]]:
     """Simple tree matching: the size of the best order-keeping match, and its pairs of nodes.
 
     Equal trees match whole, wherever lists of children begin or end with them; a table is
-    made only for the children between. Where that table would exceed ``GRID`` pairs, the lists are
-    parted at children that are alone of their kind on both sides, and what is still too
-    long is aligned by name from front to back: in order, but perhaps not the largest match.
+    made only for the children between. A table of more than ``GRID`` pairs is made row by row in arrays: the same
+    numbers, followed back by the same rule, so that the match doesn't depend on how long the lists are.
     """
     known: dict = {}
     kinds = _kinds(a, known) | _kinds(b, known)
+    made = list(known)
     sizes: dict[tuple[int, int], int] = {}
 
     def size(x: list, y: list) -> int:
@@ -399,15 +401,7 @@ def match(a: list, b: list) -> tuple[int, list[tuple[list, list]]]:
         x, y, kx, ky = x[head:m], y[head:n], kx[head:m], ky[head:n]
         if len(x) * len(y) <= GRID:
             return ends + table(x, y)
-        anchors = _anchors(kx, ky)
-        if not anchors:
-            return ends + _by_name(x, y)
-        i = j = 0
-        for p, q in [*anchors, (len(x), len(y))]:
-            ends += aligned(x[i:p], y[j:q])
-            ends += [(x[p], y[q])] if p < len(x) else []
-            i, j = p + 1, q + 1
-        return ends
+        return ends + [(x[i], y[j]) for i, j in _table(kx, ky, made)]
 
     def table(x: list, y: list) -> list[tuple[list, list]]:
         best = [[0] * (len(y) + 1)]
@@ -436,43 +430,123 @@ def match(a: list, b: list) -> tuple[int, list[tuple[list, list]]]:
     return len(pairs), pairs
 
 
-def _anchors(x: list[int], y: list[int]) -> list[tuple[int, int]]:
-    """Places of what is there once in both lists: the longest ascending run of such pairs."""
-    once_x, once_y = ({k: i for i, k in enumerate(z) if n[k] == 1} for z, n in ((x, Counter(x)), (y, Counter(y))))
-    tails: list[int] = []
-    ends: list[tuple[int, int, int]] = []  # place in x, in y, the pair before
-    last: list[int] = []
-    for k, i in once_x.items():
-        if k in once_y:
-            j = once_y[k]
-            at = bisect_left(tails, j)
-            ends.append((i, j, last[at - 1] if at else -1))
-            if at == len(tails):
-                tails.append(j)
-                last.append(len(ends) - 1)
-            else:
-                tails[at], last[at] = j, len(ends) - 1
-    out, at = [], last[-1] if last else -1
-    while at >= 0:
-        i, j, at = ends[at]
-        out.append((i, j))
-    return out[::-1]
-
-
-def _by_name(x: list, y: list) -> list[tuple[list, list]]:
-    places: dict[str, list[int]] = {}
-    for i, c in enumerate(x):
-        places.setdefault(c[0], []).append(i)
-    out, at = [], 0
-    for d in y:
-        free = places.get(d[0], [])
-        i = bisect_left(free, at)
-        if i < len(free):
-            out.append((x[free[i]], d))
-            at = free[i] + 1
+class _Rows:
+    """The table of two lists of kinds, row by row: best matches of the beginnings of ``x`` with those of ``y``.
+    ``made`` gives the name and the children's kinds of each kind."""
+
+    def __init__(self, x: list[int], y: list[int], made: list[tuple]):
+        self.x, self.made, self.step = x, made, isqrt(len(x)) + 1
+        self.columns, self.of_y = _distinct(y)
+        self.whole = self.sizes(x) if len(set(x)) * len(y) <= CELLS else None
+
+    def sizes(self, x: list[int]) -> dict[int, np.ndarray]:
+        """Of each kind of ``x``, the sizes of its best matches with every element of ``y``."""
+        kinds, _ = _distinct(x)
+        return dict(zip(kinds, _sizes(kinds, self.columns, self.made)[:, self.of_y]))
+
+    def after(self, row: np.ndarray, start: int) -> Iterator[np.ndarray]:
+        """The next ``step`` rows, ``row`` being that before ``start``; as wide as ``row``."""
+        x = self.x[start : start + self.step]
+        sizes = self.whole or self.sizes(x)
+        for k in x:
+            both = row[:-1] + sizes[k][: len(row) - 1]
+            np.maximum(both, row[1:], out=both)
+            row = np.empty_like(row)
+            row[0] = 0
+            np.maximum.accumulate(both, out=row[1:])
+            yield row
+
+    def firsts(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Every ``step``-th row, from that before the first, and the last."""
+        row = np.zeros(len(self.of_y) + 1, np.int32)
+        for start in range(0, len(self.x), self.step):
+            yield start, row
+            for row in self.after(row, start):
+                pass
+        yield len(self.x), row
+
+
+def _table(x: list[int], y: list[int], made: list[tuple]) -> list[tuple[int, int]]:
+    """Places of the pairs of the best match of two lists of kinds. Every ``step``-th row is held; those between are made again."""
+    named = {made[k][0] for k in x} & {made[k][0] for k in y}
+    at_x, at_y = ([i for i, k in enumerate(z) if made[k][0] in named] for z in (x, y))
+    rows = _Rows([x[i] for i in at_x], [y[j] for j in at_y], made)
+    *held, _ = rows.firsts()
+    out, j = [], len(at_y)
+    while held and j:
+        start, row = held.pop()
+        block = [row[: j + 1]]
+        block += rows.after(block[0], start)
+        for i in range(len(block) - 1, 0, -1):
+            here, above = block[i], block[i - 1]
+            while j and here[j] != above[j]:
+                j -= 1
+                if here[j] != here[j + 1]:
+                    out.append((at_x[start + i - 1], at_y[j]))
+                    break
+    return out
+
+
+def _distinct(kinds: list[int]) -> tuple[list[int], np.ndarray]:
+    """The distinct kinds, and the place among them of each."""
+    found, places = np.unique(np.array(kinds, np.int64), return_inverse=True)
+    return found.tolist(), places
+
+
+def _sizes(us: list[int], vs: list[int], made: list[tuple]) -> np.ndarray:
+    """Sizes of the best matches of trees of kinds ``us`` with trees of kinds ``vs``: 0 where the names differ."""
+    out = np.zeros((len(us), len(vs)), np.int32)
+    of_u, of_v = defaultdict(list), defaultdict(list)
+    for places, kinds in ((of_u, us), (of_v, vs)):
+        for i, k in enumerate(kinds):
+            places[made[k][0]].append(i)
+    for name in of_u.keys() & of_v.keys():
+        i, j = of_u[name], of_v[name]
+        out[np.ix_(i, j)] = 1 + _sizes_inside([made[us[k]][1:] for k in i], [made[vs[k]][1:] for k in j], made)
     return out
 
 
+def _sizes_inside(xs: list[tuple], ys: list[tuple], made: list[tuple]) -> np.ndarray:
+    """Sizes of the best matches of lists of children ``xs`` with lists ``ys``, many at a time."""
+    out = np.zeros((len(xs), len(ys)), np.int32)
+    of_x, of_y = sorted({k for x in xs for k in x}), sorted({k for y in ys for k in y})
+    if not of_x or not of_y:
+        return out
+    if len(of_x) * len(of_y) > CELLS:
+        if len(xs) == len(ys) == 1:
+            *_, (_, last) = _Rows(list(xs[0]), list(ys[0]), made).firsts()
+            return out + last[-1]
+        parts = (((xs[: len(xs) // 2], ys), (xs[len(xs) // 2 :], ys)), 0) if len(xs) >= len(ys) else (((xs, ys[: len(ys) // 2]), (xs, ys[len(ys) // 2 :])), 1)
+        return np.concatenate([_sizes_inside(*p, made) for p in parts[0]], axis=parts[1])
+    sizes = np.pad(_sizes(of_x, of_y, made), (0, 1))  # lists of about a length are filled up with what matches nothing
+    for i, left in _by_length(xs, of_x):
+        for j, right in _by_length(ys, of_y):
+            wide = max(1, CELLS // 8 // right.shape[1])
+            for q in range(0, len(j), wide):
+                some = right[q : q + wide]
+                high = max(1, CELLS // 8 // some.size)
+                for p in range(0, len(i), high):
+                    few = left[p : p + high]
+                    rows = np.zeros((len(few), len(some), some.shape[1] + 1), np.int32)
+                    for k in few.T:
+                        np.maximum.accumulate(np.maximum(rows[..., 1:], rows[..., :-1] + sizes[k[:, None, None], some]), axis=-1, out=rows[..., 1:])
+                    out[np.ix_(i[p : p + high], j[q : q + wide])] = rows[..., -1]
+    return out
+
+
+def _by_length(lists: list[tuple], kinds: list[int]) -> Iterator[tuple[list[int], np.ndarray]]:
+    """Lists of about a length together: their places, and the place of each child among ``kinds``, the number of kinds where a list has ended."""
+    place, by = {k: i for i, k in enumerate(kinds)}, defaultdict(list)
+    for i, x in enumerate(lists):
+        by[len(x).bit_length()].append(i)
+    for bits, found in by.items():
+        if bits:
+            filled = np.full((len(found), max(len(lists[i]) for i in found)), len(kinds))
+            for row, i in zip(filled, found):
+                row[: len(lists[i])] = [place[k] for k in lists[i]]
+            yield found, filled
+
+
 def merge(wrapper: list, page: list) -> None:
     """Align ``page`` with ``wrapper`` and add it: nodes are [name, facts, children], facts None or
     [least hash, greatest hash, hashes of titles]; unmatched nodes are added beside their neighbours."""

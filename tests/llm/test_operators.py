@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import json
 import random
 import time
 import zlib
@@ -557,6 +558,56 @@ def test_long_lists_of_siblings_take_seconds():
     assert len(wrapper[2]) == 20002 and time.monotonic() - began < 20
 
 
+def siblings(rng, n):
+    """A list of ``n`` children of few kinds, none of which is there once."""
+    kinds = [["p", 0, []], ["h2", 0, []], ["ul", 0, [["li", 0, []]]], ["ul", 0, [["li", 0, [["a", 0, []]]], ["li", 0, []]]], ["div", 0, [["p", 0, []], ["h3", 0, []]]], ["div", 0, [["h3", 0, []], ["p", 0, []], ["b", 0, []]]]]
+    return ["div", 0, [json.loads(json.dumps(rng.choice(kinds))) for _ in range(n)]]
+
+
+def largest_of_lists(a, b):
+    """``largest`` for long lists of few kinds."""
+    named = [[json.dumps(c) for c in x[2]] for x in (a, b)]
+    both = {(x, y): largest(json.loads(x), json.loads(y)) for x in set(named[0]) for y in set(named[1])}
+    above = [0] * (len(named[1]) + 1)
+    for x in named[0]:
+        row = [0]
+        for j, y in enumerate(named[1]):
+            row.append(max(above[j + 1], row[j], above[j] + both[x, y]))
+        above = row
+    return above[-1] + 1
+
+
+@pytest.mark.parametrize("n", [5, 40, 60, 520, 900])
+def test_the_largest_match_is_found_however_long_the_lists_are(n, monkeypatch):
+    rng = random.Random(n)
+    a, b = siblings(rng, n), siblings(rng, n)
+    size, pairs = htmlext.match(a, b)
+    assert size == len(pairs) == largest_of_lists(a, b)
+    assert htmlext.match(a, ["div", 0, [["table", 0, []] for _ in range(n)]])[0] == 1
+    for grid, cells in ((0, 16_000_000), (0, 50), (10**9, 50)):  # either way of making the table, in parts or whole
+        monkeypatch.setattr(htmlext, "GRID", grid)
+        monkeypatch.setattr(htmlext, "CELLS", cells)
+        assert {(id(x), id(y)) for x, y in htmlext.match(a, b)[1]} == {(id(x), id(y)) for x, y in pairs}
+
+
+def test_texts_do_not_depend_on_how_long_pages_are(spark):
+    """What the site says on two pages of one shape and a third of another is template, with few siblings around it as with many."""
+    pages, wanted = [], {}
+    for h, n in enumerate((6, 600)):
+        for i in range(3):
+            said = [f"<h2>Head {h} {i} {k}</h2><p>Text {h} {i} {k}</p>" for k in range(n)]
+            for k in (n // 3, 2 * n // 3):
+                said[k] += "<ul><li>Said by the site</li></ul>"
+            notes = "<section>One {0}</section><hr><section>Two {0}</section><hr>".format(i)
+            body = notes + "".join(said) if i < 2 else "".join(said) + notes
+            pages.append((10 * h + i, f"http://h{h}.example/{i}", f"<html><head><title>{h} {i}</title></head><body>{body}</body></html>"))
+            own, shown = [x for k in range(n) for x in (f"Head {h} {i} {k}", f"Text {h} {i} {k}")], [f"One {i}", f"Two {i}"]
+            wanted[10 * h + i] = "\n".join(shown + own if i < 2 else own + shown)
+    got = by_id(htmlext.extract(spark.createDataFrame(pages, "page_id long, url string, html string")), "page_id")
+    for k, text in wanted.items():
+        assert got[k]["text"] == text, k
+
+
 def test_words_alone_take_no_article_away():
     assert texts_of('<div class="social-history"><p>A history</p></div><p class="notice-board">On the board</p><table class="tags"><tr><td>Tags of prose</table>') == ["A history", "On the board", "Tags of prose"]
     assert texts_of('<ul class="tags"><li><a href=x>one</a><li><a href=y>two</a></ul><div class="social-links"><a href=z>share this</a></div><p>Body') == ["Body"]
