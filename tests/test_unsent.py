@@ -67,3 +67,9 @@ def test_erosion_with_and_without_broadcasts(spark, monkeypatch):
         monkeypatch.setattr(morph, "SENT", many)
         got = {tuple(r) for r in refine.terrain_eroded(height.select("row", "col"), height).collect()}
         assert got == eroded(cells) and len(got) < len(cells)
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+def test_boundary_terrain_broadcasts_no_cells(spark):
+    plan = joins(catalogue.QUERIES["boundary_terrain"](spark, DATA))
+    assert plan.count("SortMergeJoin") >= 3 and "Broadcast" not in plan
