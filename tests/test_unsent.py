@@ -73,3 +73,20 @@ def test_erosion_with_and_without_broadcasts(spark, monkeypatch):
 def test_boundary_terrain_broadcasts_no_cells(spark):
     plan = joins(catalogue.QUERIES["boundary_terrain"](spark, DATA))
     assert plan.count("SortMergeJoin") >= 3 and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("mode", ["v1", "v2"])
+def test_masking_joins_no_cells_by_broadcast(spark, monkeypatch, mode):
+    """Of cells in memory, whose size is not known, nothing but the size of written files could suggest a broadcast."""
+    monkeypatch.setattr(morph, "SENT", 0)
+    plans, written = [], morph._written
+    monkeypatch.setattr(morph, "_written", lambda df, name: (plans.append(joins(df)), written(df, name))[1])
+    rng = np.random.default_rng(5)
+    rows = [(r, c, int(rng.choice([30, 60, 80])), float(rng.normal(-9 if c < 20 else -20, 2)), float(rng.integers(0, 40))) for r in range(40) for c in range(40)]
+    cells = spark.createDataFrame(rows, "row int, col int, landcover int, co_db double, hand double")
+    cells = cells.selectExpr("*", "co_db - 8 as cross_db", "0.0D as occurrence", "co_db < -19 as dark", "landcover = 80 as water", "10 as glad")
+    water = morph.kept(cells.where("co_db < -7").select("row", "col"), "water")
+    out = refine.mask_stage(cells, water, "co_db", large=20, mode=mode, vegetation="glad" if mode == "v2" else None)
+    assert out.count()
+    by_cell = [j for p in [*plans, joins(out)] for j in re.findall(r"(\w+Join) \[(?:\w+#\d+L?, )*row#\d+, col#\d+", p)]
+    assert len(by_cell) > 10 and set(by_cell) == {"SortMergeJoin"}
