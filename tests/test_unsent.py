@@ -90,3 +90,15 @@ def test_masking_joins_no_cells_by_broadcast(spark, monkeypatch, mode):
     assert out.count()
     by_cell = [j for p in [*plans, joins(out)] for j in re.findall(r"(\w+Join) \[(?:\w+#\d+L?, )*row#\d+, col#\d+", p)]
     assert len(by_cell) > 10 and set(by_cell) == {"SortMergeJoin"}
+
+
+def test_windows_are_shuffled_once(spark):
+    """A grown threshold sends no pair of a bin and a level anywhere, and whole groups stay where they were written."""
+    rng = np.random.default_rng(2)
+    rows = spark.createDataFrame([(w, r, c, float(rng.normal(-20 if c < 5 else -8, 1.5))) for w in range(8) for r in range(10) for c in range(10)], "w int, row int, col int, v double")
+    start = morph.kept(spark.createDataFrame([(w, -16.0, -20.0, 1.5, 0.06) for w in range(8)], "w int, threshold double, mean1 double, std1 double, amp1 double"), "start")
+    rows = morph.grouped(rows, ["w"], "cells")
+    grown = refine.grown_threshold(rows, ["w"], "v", morph.unsent(start), -35.0, 10.0, 90)
+    assert joins(grown).count("Exchange hashpartitioning") <= 1  # of the starts
+    assert "Exchange" not in joins(rows.groupBy("w").count())
+    assert grown.count() == 8
